@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from innkeep.llm import q_archives, q_language
+from innkeep.llm import q_archives, q_language, q_mixing, q_packing
 
-MODULES = (q_archives, q_language)
+MODULES = (q_archives, q_language, q_mixing, q_packing)
 
 QUERIES: dict = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLE: dict = {k: s for m in MODULES for k, s in m.ORACLE.items()}
