@@ -15,6 +15,7 @@ are packed each for itself; an empty table gives no rows; other columns are igno
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 from collections.abc import Iterator
@@ -31,11 +32,12 @@ CAPACITY = 2048
 END_ID = 0
 NEARLY_FULL = 0.99
 ITEMS_PER_TASK = 100_000
-KEPT_WORDS = 300_000
+KEPT_WORDS = 400_000
 
 #: Characters for which the fast path below equals the tokenizer: lower-casing is by character, and normal form C holds.
 _PLAIN = re.compile(r"[\t\n\v\f\r -~ -įı-ňŊ-ž]*")
-_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+_WORDS = re.compile(r"[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)|\d|(?:[^\s\w]|_)+")
+_ASCII_WORDS = re.compile(r"[a-z]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\sa-z0-9]+", re.ASCII)
 _ODD_NUMBERS = re.compile("[²³¹¼-¾]")
 _PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long"
 
@@ -46,17 +48,29 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _byte_letters() -> dict[int, str]:
+    """Byte-level BPE's letter for each byte: printable Latin-1 stands for itself, the others follow from 256 on."""
+    same = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in same]
+    return {b: chr(b) for b in same} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class Words(dict):
-    """Word to the bytes of its ids (little-endian unsigned 32-bit)."""
+    """Word to the bytes of its ids (little-endian unsigned 32-bit). Keeps at most two generations of KEPT_WORDS words."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.letters, self.old = self.tokenizer.model, _byte_letters(), {}
 
     def __missing__(self, word: str) -> bytes:
-        got = self[word] = self.whole(word)
+        got = self.old.get(word)
+        if got is None:
+            spelt = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
+            got = np.array([t.id for t in self.model.tokenize(spelt)], "<u4").tobytes()
+        self[word] = got
         return got
 
     def whole(self, text: str) -> bytes:
@@ -65,11 +79,19 @@ class Words(dict):
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if "<|" in text or not _PLAIN.fullmatch(text) or not text.isascii() and _ODD_NUMBERS.search(text):
+        plain = text.isascii()
+        if "<|" in text or not _PLAIN.fullmatch(text) or not plain and _ODD_NUMBERS.search(text):
             return self.whole(text)
         if len(self) > KEPT_WORDS:
+            self.old = dict(self)
             self.clear()
-        return b"".join(map(self.__getitem__, _WORDS.findall(text.lower())))
+        return b"".join(map(self.__getitem__, (_ASCII_WORDS if plain else _WORDS).findall(text.lower())))
+
+
+@functools.lru_cache(maxsize=1)
+def words_of(path: str) -> Words:
+    """Kept while a Python worker lives, over its tasks."""
+    return Words(path)
 
 
 def tokenize(docs: DataFrame, id_col: str, text_col: str, tokenizer_path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -78,7 +100,7 @@ def tokenize(docs: DataFrame, id_col: str, text_col: str, tokenizer_path: str |
     end = np.array([end_id], "<u4").tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(path)
+        words = words_of(path)
         for b in batches:
             rows: tuple[list, ...] = ([], [], [], [], [])
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
