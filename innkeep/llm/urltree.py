@@ -21,6 +21,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from innkeep.llm import store
+
 MAX_CHILDREN = 12
 RARE = 0.05
 Z = 1.96
@@ -62,8 +64,12 @@ def rule_case(rules: list[tuple[str, str, str]], what: str) -> str:
     return "CASE " + " ".join(whens) + " END" if whens else "CAST(NULL AS STRING)"
 
 
-def sql(d: Dialect, urls: str, labels: str, rules: list[tuple[str, str, str]]) -> str:
-    """The query over tables urls(id, url) and labels(id, bad 0/1)."""
+#: Steps that are read more than once; Spark would work them out anew each time.
+KEPT = ("t0", *(f"t{i + 1}" for i in range(DEPTH)), "fam")
+
+
+def steps(d: Dialect, urls: str, labels: str, rules: list[tuple[str, str, str]]) -> tuple[list[str], str]:
+    """Common table expressions over tables urls(id, url) and labels(id, bad 0/1), and the query over them."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     parts = r"^.*?://([^/?#]*)([^?#]*)"
     extract = lambda g: f"coalesce(regexp_extract(url, '(?s){parts}', {g}), '')"
@@ -110,21 +116,34 @@ def sql(d: Dialect, urls: str, labels: str, rules: list[tuple[str, str, str]]) -
         f"typed AS (SELECT {', '.join(f't.{x}' for x in ['host', *s, 'more'])}, {', '.join(f't.{x}' for x in g)}, l.p FROM {prev} t JOIN leafp l ON " + " AND ".join(f"t.{x} = l.{x}" for x in ["host", *g, "more"]) + ")",
         f"judged AS (SELECT w.id, w.host, w.path, {' || '.join(f"'/' || y.{x}" for x in g)} || y.more AS template, y.p FROM w JOIN typed y ON " + " AND ".join(f"w.{x} = y.{x}" for x in ["host", *s, "more"]) + ")",
     ]
-    return (
-        "WITH "
-        + ",\n".join(ctes)
-        + f"\nSELECT id, host, path, {rule_case(rules, 'rule')} AS rule, coalesce({rule_case(rules, 'verdict')}, CASE WHEN p > {LIMIT} THEN 'block' ELSE 'allow' END) AS verdict, template, round(p, 6) AS bad_share FROM judged"
+    return ctes, (
+        f"SELECT id, host, path, {rule_case(rules, 'rule')} AS rule, coalesce({rule_case(rules, 'verdict')}, CASE WHEN p > {LIMIT} THEN 'block' ELSE 'allow' END) AS verdict, template, round(p, 6) AS bad_share FROM judged"
     )
 
 
+def sql(d: Dialect, urls: str, labels: str, rules: list[tuple[str, str, str]]) -> str:
+    """The whole query in one text."""
+    ctes, last = steps(d, urls, labels, rules)
+    return "WITH " + ",\n".join(ctes) + "\n" + last
+
+
 def judge(urls: DataFrame, labels: DataFrame, id_col: str, url_col: str, label_id: str, bad_col: str, rules: list[tuple[str, str, str]]) -> DataFrame:
     """id, host, path, rule, verdict, template and bad_share for every url; rules: (verdict, host, path)."""
-    spark = urls.sparkSession
-    a, b = f"urls_{uuid.uuid4().hex}", f"labels_{uuid.uuid4().hex}"
-    urls.selectExpr(f"`{id_col}` AS id", f"CAST(`{url_col}` AS STRING) AS url").createOrReplaceTempView(a)
-    labels.selectExpr(f"`{label_id}` AS id", f"CAST(`{bad_col}` AS INT) AS bad").createOrReplaceTempView(b)
+    spark, mark = urls.sparkSession, uuid.uuid4().hex
+    views = [f"urls_{mark}", f"labels_{mark}"]
+    urls.selectExpr(f"`{id_col}` AS id", f"CAST(`{url_col}` AS STRING) AS url").createOrReplaceTempView(views[0])
+    labels.selectExpr(f"`{label_id}` AS id", f"CAST(`{bad_col}` AS INT) AS bad").createOrReplaceTempView(views[1])
     try:
-        return spark.sql(sql(SPARK, a, b, rules))
+        ctes, last = steps(SPARK, *views, rules)
+        ready: list[str] = []
+        for cte in ctes:
+            name = cte.split(" ")[0]
+            ready.append(cte)
+            if name in KEPT:
+                views.append(f"{name}_{mark}")
+                store.cut(spark.sql("WITH " + ",\n".join(ready) + f"\nSELECT * FROM {name}"), f"urls-{name}").createOrReplaceTempView(views[-1])
+                ready[-1] = f"{name} AS (SELECT * FROM {views[-1]})"
+        return spark.sql("WITH " + ",\n".join(ready) + "\n" + last)
     finally:
-        spark.catalog.dropTempView(a)
-        spark.catalog.dropTempView(b)
+        for view in views:
+            spark.catalog.dropTempView(view)
