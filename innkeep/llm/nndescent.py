@@ -32,12 +32,12 @@ from innkeep.llm.vectors import matrix
 NEIGHBOURS = 40
 SAMPLE = 16
 PROPOSALS = 6
-ROUNDS = 5
+ROUNDS = 6
 STARTS = 3
 START_BLOCK = 512
-BEAM = 160
-EXPAND = 40
-SEARCH_ROUNDS = 4
+BEAM = 300
+EXPAND = 60
+SEARCH_ROUNDS = 6
 
 _GRAPH = "id long, vec binary, nb array<long>, nd array<float>"
 
