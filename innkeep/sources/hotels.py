@@ -118,68 +118,64 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "\\'") + "'"
 
 
-def hotel_issues() -> Column:
-    """Errors of the variant column rec."""
-    conds = [(f"coalesce({_kind('rec')}, 'NoneType') <> 'dict'", f"concat('Must be a dict, got ', coalesce({_kind('rec')}, 'NoneType'))")]
-    is_dict = f"{_kind('rec')} = 'dict'"
-    for f in ("placeId", "hotelCode", "name", "rooms"):
-        v = _get("rec", f)
-        conds.append((f"{is_dict} AND {v} IS NULL", _q(f"Missing required field: {f}")))
+def with_hotel_issues(recs: DataFrame) -> DataFrame:
+    """Adds errors of the variant column rec. Members and their kinds become columns first, so that conditions stay short."""
+    fields = {"placeId": ("str", "string"), "hotelCode": ("str", "string"), "name": ("str", "string"), "rooms": ("list", "list")}
+    facts = recs.select("*", F.expr(_kind("rec")).alias("k_"), *[F.expr(_get("rec", f)).alias(f"v_{f}") for f in fields])
+    facts = facts.select("*", *[F.expr(_kind(f"v_{f}")).alias(f"k_{f}") for f in fields], *[F.expr(_falsy(f"v_{f}")).alias(f"e_{f}") for f in fields])
+    conds = [("coalesce(k_, 'NoneType') <> 'dict'", "concat('Must be a dict, got ', coalesce(k_, 'NoneType'))")]
+    for f in fields:
+        conds.append((f"k_ = 'dict' AND k_{f} IS NULL", _q(f"Missing required field: {f}")))
         if f != "rooms":
-            conds.append((f"{is_dict} AND {v} IS NOT NULL AND {_falsy(v)}", _q(f"Empty value for required field: {f}")))
-    for f, want, name in (("placeId", "str", "string"), ("hotelCode", "str", "string"), ("name", "str", "string"), ("rooms", "list", "list")):
-        v = _get("rec", f)
-        conds.append((f"{is_dict} AND {v} IS NOT NULL AND {_kind(v)} <> '{want}'", f"concat('{f} must be {name}, got ', {_kind(v)})"))
-    return _issues(conds)
+            conds.append((f"k_ = 'dict' AND k_{f} IS NOT NULL AND e_{f}", _q(f"Empty value for required field: {f}")))
+    conds += [(f"k_ = 'dict' AND k_{f} <> '{want}'", f"concat('{f} must be {name}, got ', k_{f})") for f, (want, name) in fields.items()]
+    return facts.select(*recs.columns, _issues(conds).alias("errors"))
 
 
-def room_issues(p: Provider) -> tuple[Column, Column]:
-    """(warnings, whether occupancy was reached and is without warnings) of the variant column room."""
+def with_room_issues(rooms: DataFrame, p: Provider) -> DataFrame:
+    """Adds warnings of the variant column room, and occupancy_ok: occupancy was reached and has no warning."""
     where = "concat('Hotel #', hotel_ord, ', Room #', room_ord, ': "
     msg = lambda s: where + s.replace("'", "\\'") + "')"
-    is_dict = f"{_kind('room')} = 'dict'"
-    prov, occ = _get("room", "providers"), _get("room", "occupancies")
     first = "try_variant_get(room, '$.providers[0]', 'variant')"
-    listed = f"{is_dict} AND ({prov} IS NULL OR {_kind(prov)} = 'list')"
-    filled = f"{is_dict} AND {prov} IS NOT NULL AND {_kind(prov)} = 'list' AND {first} IS NOT NULL"
-    reached = f"{filled} AND {_kind(first)} = 'dict'"
+    facts = rooms.selectExpr("*", f"{_kind('room')} AS k_", f"{_get('room', 'id')} IS NULL AS no_id", f"{_falsy(_get('room', 'name'))} AS e_name", f"{_falsy(_get('room', p.room_code))} AS e_code", f"{_get('room', 'providers')} AS v_prov", f"{first} AS v_first", f"{_get('room', 'occupancies')} AS v_occ")
+    facts = facts.selectExpr("*", f"{_kind('v_prov')} AS k_prov", f"{_kind('v_first')} AS k_first", "coalesce(try_variant_get(v_first, '$.name', 'string'), '') AS first_name", f"{_falsy(_get('v_first', 'code'))} AS e_first", f"{_falsy('v_occ')} AS e_occ", f"{_kind('v_occ')} AS k_occ", *[f"{_get('v_occ', f)} AS o_{f}" for f in p.required])
+    facts = facts.selectExpr("*", *[f"{_kind(f'o_{f}')} AS k_{f}" for f in p.required], *[f"try_variant_get(o_{f}, '$', 'string') AS t_{f}" for f in p.required])
+    facts = facts.selectExpr("*", *[f"CASE WHEN t_{f} RLIKE '^\\\\s*[+-]?[0-9]+\\\\s*$' THEN try_cast(trim(t_{f}) AS BIGINT) END AS n_{f}" for f in p.required], "k_ = 'dict' AND coalesce(k_prov, 'list') = 'list' AS listed", "coalesce(k_ = 'dict' AND k_prov = 'list' AND k_first = 'dict', FALSE) AS reached")
     conds = [
-        (f"coalesce({_kind('room')}, 'NoneType') <> 'dict'", msg("Must be a dict")),
-        (f"{is_dict} AND {_get('room', 'id')} IS NULL", msg("Missing id")),
-        (f"{is_dict} AND {_falsy(_get('room', 'name'))}", msg("Missing or empty name")),
-        (f"{is_dict} AND {_falsy(_get('room', p.room_code))}", msg(f"Missing or empty {p.room_code}")),
-        (f"{is_dict} AND NOT ({listed})", msg("providers must be a list")),
-        (f"{listed} AND {first} IS NULL", msg("No providers defined")),
-        (f"{filled} AND {_kind(first)} <> 'dict'", msg("provider must be a dict")),
-        (f"{reached} AND coalesce(try_variant_get({first}, '$.name', 'string'), '') <> '{p.name}'", msg(f"First provider should be '{p.name}'")),
-        (f"{reached} AND {_falsy(_get(first, 'code'))}", msg("Missing provider code")),
+        ("coalesce(k_, 'NoneType') <> 'dict'", msg("Must be a dict")),
+        ("k_ = 'dict' AND no_id", msg("Missing id")),
+        ("k_ = 'dict' AND e_name", msg("Missing or empty name")),
+        ("k_ = 'dict' AND e_code", msg(f"Missing or empty {p.room_code}")),
+        ("k_ = 'dict' AND NOT listed", msg("providers must be a list")),
+        ("listed AND k_first IS NULL", msg("No providers defined")),
+        ("listed AND k_first <> 'dict'", msg("provider must be a dict")),
+        (f"reached AND first_name <> '{p.name}'", msg(f"First provider should be '{p.name}'")),
+        ("reached AND e_first", msg("Missing provider code")),
     ]
-    occ_conds = [(f"{reached} AND {_falsy(occ)}", msg("Missing occupancies data")), (f"{reached} AND NOT {_falsy(occ)} AND {_kind(occ)} <> 'dict'", msg("occupancies must be a dict"))]
-    checked = f"{reached} AND NOT {_falsy(occ)} AND {_kind(occ)} = 'dict'"
-    want = "str" if p.textual else "int"
-    number = lambda f: f"CASE WHEN try_variant_get({_get(occ, f)}, '$', 'string') RLIKE '^\\\\s*[+-]?[0-9]+\\\\s*$' THEN try_cast(trim(try_variant_get({_get(occ, f)}, '$', 'string')) AS BIGINT) END"
+    occ = [("reached AND e_occ", msg("Missing occupancies data")), ("reached AND NOT e_occ AND k_occ <> 'dict'", msg("occupancies must be a dict"))]
+    checked = "reached AND NOT e_occ AND k_occ = 'dict'"
+    want, kinds = ("str", "('str')") if p.textual else ("int", "('int', 'bool')")
     for f in p.required:
-        v = _get(occ, f)
-        kinds = "('int', 'bool')" if want == "int" else "('str')"
-        occ_conds += [
-            (f"{checked} AND {v} IS NULL", msg(f"Missing occupancy field '{f}'")),
-            (f"{checked} AND {v} IS NOT NULL AND {_kind(v)} NOT IN {kinds}", where + f"occupancy field \\'{f}\\' should be {want}, got ', {_kind(v)})"),
-            (f"{checked} AND {_kind(v)} IN {kinds} AND {number(f)} < 0", msg(f"occupancy field '{f}' cannot be negative")),
+        occ += [
+            (f"{checked} AND k_{f} IS NULL", msg(f"Missing occupancy field '{f}'")),
+            (f"{checked} AND k_{f} NOT IN {kinds}", where + f"occupancy field \\'{f}\\' should be {want}, got ', k_{f})"),
+            (f"{checked} AND k_{f} IN {kinds} AND n_{f} < 0", msg(f"occupancy field '{f}' cannot be negative")),
         ]
         if p.textual:
-            occ_conds.append((f"{checked} AND {_kind(v)} = 'str' AND {number(f)} IS NULL", msg(f"occupancy field '{f}' is not a valid integer")))
+            occ.append((f"{checked} AND k_{f} = 'str' AND n_{f} IS NULL", msg(f"occupancy field '{f}' is not a valid integer")))
     for low, high in p.ordered:
-        occ_conds.append((f"{checked} AND {number(low)} > {number(high)}", where + f"{low} (', {number(low)}, ') > {high} (', {number(high)}, ')')"))
-    return F.concat(_issues(conds), _issues(occ_conds)), F.expr(reached) & (F.size(_issues(occ_conds)) == 0)
+        occ.append((f"{checked} AND n_{low} > n_{high}", where + f"{low} (', n_{low}, ') > {high} (', n_{high}, ')')"))
+    facts = facts.select(*rooms.columns, "reached", _issues(conds).alias("w1"), _issues(occ).alias("w2"))
+    return facts.select(*rooms.columns, F.concat("w1", "w2").alias("warnings"), (F.col("reached") & (F.size("w2") == 0)).alias("occupancy_ok"))
 
 
 def load_catalog(spark: SparkSession, path: str, provider: Provider, strict: bool = False, lines: bool = False) -> Catalog:
     """Read and validate a catalog; ``strict`` raises if any hotel has an error."""
-    recs = read_records(spark, path, lines).withColumnRenamed("ord", "hotel_ord").withColumn("errors", hotel_issues()).withColumn("valid", F.size("errors") == 0)
+    recs = read_records(spark, path, lines).withColumnRenamed("ord", "hotel_ord")
+    recs = with_hotel_issues(recs).withColumn("valid", F.size("errors") == 0)
     valid = recs.where("valid")
     rooms = spark.sql("SELECT hotel_ord, CAST(pos AS BIGINT) AS room_ord, value AS room FROM {v}, LATERAL variant_explode(try_variant_get(rec, '$.rooms', 'variant'))", v=valid)
-    warnings, ok = room_issues(provider)
-    rooms = rooms.withColumn("warnings", warnings).withColumn("occupancy_ok", F.coalesce(ok, F.lit(False)))
+    rooms = with_room_issues(rooms, provider)
     none = valid.where("try_variant_get(rec, '$.rooms[0]', 'variant') IS NULL").select(
         F.lit("warning").alias("level"), "hotel_ord", F.lit(None).cast("long").alias("room_ord"), F.expr("concat('Hotel #', hotel_ord, ' (', coalesce(try_variant_get(rec, '$.hotelCode', 'string'), 'UNKNOWN'), '): No rooms defined')").alias("message")
     )
