@@ -34,13 +34,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from innkeep.llm import store
-from innkeep.llm.components import components
+from innkeep.llm.components import components, roots
 
 BANDS, ROWS = 30, 5
 POSITIONS = 1 << 18
 SKETCH = 64
 LINK, CLOSE = 0.3, 0.7
-ROUNDS = 5
+ROUNDS = 3
 SMALL_FAMILY = 400
 BROADCAST_IDS = 500_000
 _BLOCK_A, _BLOCK_B = 256, 1024
@@ -242,22 +242,6 @@ def _linked(one: list[np.ndarray], two: list[np.ndarray], num: int, den: int) ->
     return (den * inter >= num * size) & (inter > 0)
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> list[int]:
-    root = list(range(n))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    for i, j in zip(a.tolist(), b.tolist(), strict=True):
-        i, j = find(i), find(j)
-        if i != j:
-            root[max(i, j)] = min(i, j)
-    return [find(i) for i in range(n)]
-
-
 def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """The rows of each key, from batches sorted by it."""
     rest: list[pa.RecordBatch] = []
@@ -290,7 +274,7 @@ def _small_families(sets: DataFrame, num: int, den: int) -> DataFrame:
             s = _sets(t)
             ids = t.column("id").to_numpy()
             i, j = np.nonzero(np.triu(_linked(s, s, num, den), 1))
-            root = _roots(len(s), i, j)
+            root = roots(len(s), i, j)
             hit = [k for k in range(len(s)) if root[k] != k]
             yield pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array(ids[[root[k] for k in hit]])], ["a", "b"])
 
@@ -332,7 +316,7 @@ def _blocks(sets: DataFrame, comp: DataFrame, num: int, den: int) -> DataFrame:
             pairs = pairs[:, pairs[0] != pairs[1]]
             names, inverse = np.unique(pairs, return_inverse=True)
             inverse = inverse.reshape(pairs.shape)
-            root = _roots(len(names), inverse[0], inverse[1])
+            root = roots(len(names), inverse[0], inverse[1])
             hit = [k for k in range(len(names)) if root[k] != k]
             yield pa.RecordBatch.from_arrays([pa.array(names[hit].astype(np.int64)), pa.array(names[[root[k] for k in hit]].astype(np.int64))], ["a", "b"])
 
