@@ -103,7 +103,7 @@ _OCC = f"""{_LI}, o AS (SELECT l_orderkey, l_linenumber, nullif(p % 3, 0) AS lo,
 _PEN = lambda n, d, hi, lo, a, b: f"CASE WHEN {d} >= 2 THEN '{n}_{'high_' if lo else ''}diff: HB=' || ({a}) || ' AD=' || ({b}) || ' (-{hi}%)' " + (f"WHEN {d} = 1 THEN '{n}_low_diff: HB=' || ({a}) || ' AD=' || ({b}) || ' (-{lo}%)' " if lo else "") + "END"
 
 ORACLE: dict[str, str] = {
-    "hotel_pair_join": "SELECT c_nationkey AS place_id, c_custkey AS hb_c_custkey, s_suppkey AS ad_s_suppkey FROM customer JOIN supplier ON c_nationkey = s_nationkey WHERE c_custkey % 10 = 0",
+    "hotel_pair_join": "SELECT c_nationkey AS place_id, c_custkey AS hb_c_custkey, s_suppkey AS ad_s_suppkey FROM customer JOIN supplier ON c_nationkey = s_nationkey",
     "unmatched_hotels": "SELECT c_custkey AS place_id, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)",
     "catalog_enrich": "SELECT l_orderkey, l_linenumber, coalesce(p_name, l_returnflag) AS code_description, p_partkey IS NOT NULL AS enriched FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 20) ON l_partkey = p_partkey",
     "enrich_stats": "SELECT count(*) AS attempts, count(p_partkey) AS enriched, count(*) - count(p_partkey) AS missed, 0::BIGINT AS no_code, round(count(p_partkey)::DOUBLE / count(*) * 100, 6) AS rate FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 20) ON l_partkey = p_partkey",
