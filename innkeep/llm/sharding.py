@@ -6,8 +6,9 @@ all bytes: its shard is the one that holds its middle byte. A range that still e
 splitters from a sample of its own rows.
 
 Groups of equal texts above ``group_share`` of a shard are told apart by a hash of the id, so they spread over ranges and
-shards; smaller groups are never cut. There are at most shards / group_share large groups, whatever the input: that list
-and the splitters are all that is gathered.
+shards; smaller groups are never cut. There are at most shards / group_share large groups, whatever the input. Single rows
+above that share come first: the largest goes to the emptiest shard, and the ranges fill what room that leaves, up to one
+level. These lists and the splitters are all that is gathered.
 
 Defined results: a null text has size 8 and a null checksum is 0 (of no bytes); null ids are allowed; ties of hash and id
 go by no fixed order (such rows are equal); an empty table gives no rows; other columns are ignored.
@@ -15,6 +16,9 @@ go by no fixed order (such rows are equal); an empty table gives no rows; other
 
 from __future__ import annotations
 
+import heapq
+import itertools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,15 +79,49 @@ def _in_range(rows: DataFrame, cuts: list[tuple[int, int]]) -> DataFrame:
     return rows.withColumn("r", F.col("c") * step + _after(F.element_at(inside, F.col("c") + 1))).drop("c")
 
 
+def _spread(items: list, shards: int) -> tuple[list[tuple[int, int, int]], list[int]]:
+    """(a, b, shard) of each item (a, b, s), the largest to the emptiest shard; and the bytes that shards then hold."""
+    emptiest = [(0, s) for s in range(shards)]
+    held, out = [0] * shards, []
+    for r in sorted(items, key=lambda r: (-r["s"], r["a"], r["b"])):
+        _, s = heapq.heappop(emptiest)
+        held[s] += r["s"]
+        out.append((r["a"], r["b"], s))
+        heapq.heappush(emptiest, (held[s], s))
+    return out, held
+
+
+def _room(held: list[int], rest: int) -> list[float]:
+    """What each shard takes of the rest, so that all but those above it reach one level."""
+    order, below, level = sorted(held), 0, 0.0
+    for n, h in enumerate(order, 1):
+        below += h
+        level = (rest + below) / n
+        if n == len(order) or level <= order[n]:
+            break
+    return [max(0.0, level - h) for h in held]
+
+
 def shard_by_bytes(docs: DataFrame, id_col: str, text_col: str, shards: int, group_share: float = GROUP_SHARE) -> DataFrame:
     """id, size, text_crc32, shard (0 to shards - 1) and slot (0, 1, .. in each shard); shards hold nearly equal bytes."""
     rows, keyed_path = store.materialize(keyed(docs, id_col, text_col), "shard-keys")
     whole = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), F.count("*").alias("n")).first()
     total, n = whole["bytes"], whole["n"]
-    large = rows.groupBy("a").agg(F.sum("size").alias("s")).where(F.col("s") > group_share * total / shards).select("a")
+    most = group_share * total / shards
+    large = rows.groupBy("a").agg(F.sum("size").alias("s")).where(F.col("s") > most).select("a")
     hot = sorted(r["a"] for r in large.collect())  # at most shards / group_share of them, as their bytes add up to total at most
     is_hot = F.array_contains(F.from_json(F.lit("[" + ",".join(map(str, hot)) + "]"), "array<bigint>"), F.col("a"))
     rows = rows.withColumn("b", F.when(is_hot, F.col("b")).otherwise(F.lit(0).cast("long")))
+    items = rows.where(is_hot).groupBy("a", "b").agg(F.sum("size").alias("s")).where(F.col("s") > most).collect() if hot else []
+    alone, held = _spread(items, shards)
+    single = None
+    if alone:
+        listed = "[" + ",".join(f'{{"a":{a},"b":{b},"shard":{s}}}' for a, b, s in alone) + "]"
+        table = F.broadcast(docs.sparkSession.range(1).select(F.inline(F.from_json(F.lit(listed), "array<struct<a:bigint,b:bigint,shard:int>>"))))
+        single = rows.join(table, ["a", "b"]).select("id", "size", "text_crc32", "a", "b", F.lit(-1).alias("r"), "shard")
+        rows = rows.join(table, ["a", "b"], "left_anti")
+        total -= sum(held)
+    room = _room(held, total)
     ranges = max(1, min(MAX_RANGES, max(4 * shards if n > 4 * shards else 1, n // ROWS_PER_RANGE)))
     cuts = _splitters(rows, total, ranges, 1)
     for again in range(2, 5):
@@ -107,8 +145,11 @@ def shard_by_bytes(docs: DataFrame, id_col: str, text_col: str, shards: int, gro
     upto = F.sum("size").over(peers)  # with all rows of the same key
     own = F.sum("size").over(Window.partitionBy("r", "a", "b"))
     middle = start + upto - own / 2.0
-    placed = ranged.withColumn("shard", F.least(F.floor(middle * shards / max(1, total)), F.lit(shards - 1)).cast("int"))
-    placed = placed.select("id", "size", "text_crc32", "a", "b", "r", "shard").withColumn("i", F.row_number().over(Window.partitionBy("r", "shard").orderBy("a", "b", "id")) - 1)
+    ends = F.from_json(F.lit("[" + ",".join(repr(x) for x in itertools.accumulate(room[:-1])) + "]"), "array<double>")
+    placed = ranged.withColumn("middle", middle).withColumn("shard", F.size(F.filter(ends, lambda x: x <= F.col("middle"))))
+    placed = placed.select("id", "size", "text_crc32", "a", "b", "r", "shard")
+    placed = placed if single is None else placed.unionByName(single)
+    placed = placed.withColumn("i", F.row_number().over(Window.partitionBy("r", "shard").orderBy("a", "b", "id")) - 1)
     placed = store.cut(placed, "shard-rows")
     store.remove(docs.sparkSession, keyed_path)
     cells = placed.groupBy("r", "shard").agg(F.count("*").alias("n"))  # at most ranges + shards of them
