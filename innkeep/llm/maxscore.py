@@ -91,10 +91,12 @@ def top_k(vectors: DataFrame, id_col: str, vec_col: str, is_query: Column, k: in
                     low, high = x.min(axis=0), x.max(axis=0)
                     for i in range(len(qid)):
                         found, score = search_block(q2[i], x, low, high, floor[i])
+                        other = ids[found] != qid[i]
+                        found, score = found[other], score[other]
                         if len(found) > 4 * k:
-                            cut = np.partition(score, len(score) - k - 1)[len(score) - k - 1]  # one more: the own row may be among them
+                            cut = np.partition(score, len(score) - k)[len(score) - k]
                             found, score = found[score >= cut], score[score >= cut]
-                        more = [(-int(v), int(d)) for v, d in zip(score, ids[found], strict=True) if d != qid[i]]
+                        more = [(-int(v), int(d)) for v, d in zip(score, ids[found], strict=True)]
                         if more:
                             best[i] = sorted(best[i] + more)[:k]
                             if len(best[i]) == k:
