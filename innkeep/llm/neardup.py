@@ -19,8 +19,8 @@ The chance that two sets of similarity 0.8 share no bucket is 7e-6 with BANDS x
 collisions of 64-bit hashes.
 
 Defined results: null and empty texts have 0 shingles and are linked with nothing; fewer words than a shingle make one
-shingle; rows that share an id are in one component; rows without an id are unlinked, kept and have a null component;
-an empty table gives no rows; extra columns are ignored.
+shingle; rows with shingles that share an id are linked, whatever their texts; rows without an id are unlinked, kept and
+have a null component; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -333,6 +333,15 @@ def _blocks(sets: DataFrame, comp: DataFrame, num: int, den: int) -> DataFrame:
     return met.mapInArrow(work, "a long, b long")
 
 
+def _shared_ids(named: DataFrame, classes: DataFrame) -> DataFrame:
+    """a, b: links between the representatives of classes that have an id in common."""
+    several = named.groupBy("id").agg(F.min("digest").alias("one"), F.max("digest").alias("last")).where("one <> last").select("id", "one")
+    pairs = named.select("id", "digest").join(several, "id").where("digest <> one").select("one", "digest")
+    rep = classes.select(F.col("id").alias("rep"), F.col("digest").alias("of"))
+    pairs = pairs.join(rep.withColumnRenamed("rep", "a"), F.col("one") == F.col("of")).select("a", "digest")
+    return pairs.join(rep.withColumnRenamed("rep", "b"), F.col("digest") == F.col("of")).select("a", "b")
+
+
 def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5, similarity: tuple[int, int] = (80, 100)) -> DataFrame:
     """id, n_shingles, component_id (the smallest id that links lead to) and kept for every row."""
     num, den = similarity
@@ -353,7 +362,7 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int =
         big = sets.where("large")
         star = store.cut(_star(big, links.join(large_ids, "id", "left_semi"), num, den), "nd-star")
         found = found.unionByName(star).unionByName(_blocks(big, components(star, "a", "b"), num, den))
-    # equal sets under another smallest id, and rows that share an id, are links too
+    found = found.unionByName(_shared_ids(named, classes))
     comp = store.cut(components(store.cut(found, "nd-found"), "a", "b"), "nd-components")
     final = classes.select("digest", F.col("id").alias("rep")).join(comp, F.col("rep") == comp["node"], "left").select(F.col("digest").alias("d"), F.coalesce("component", "rep").alias("c"))
     out = feats.select("id", "n_shingles", "digest").join(final, F.col("digest") == F.col("d"), "left")
