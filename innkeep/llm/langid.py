@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 BUCKETS = 1 << 16
 PER_LANG = 2000
 SWITCH_PENALTY = 12.0
+LETTERS_AT_ONCE = 1 << 20
 UND = "und"
 
 #: First code points of script ranges (Unicode blocks) and the script that starts there.
@@ -130,7 +131,7 @@ def _viterbi(s: np.ndarray, starts: np.ndarray, ends: np.ndarray, penalty: float
     v = s[a].astype(np.float64)
     final = np.zeros((len(a), k))
     active = len(a)
-    every = np.arange(k, dtype=np.int8)
+    every = np.arange(k, dtype=np.int16)
     for t in range(1, longest + 1):
         still = int(np.searchsorted(-n, -t, "left"))  # texts with more than t words
         final[still:active] = v[still:active]
@@ -141,10 +142,10 @@ def _viterbi(s: np.ndarray, starts: np.ndarray, ends: np.ndarray, penalty: float
         best = v.argmax(axis=1)
         top = v[np.arange(active), best] - penalty
         switch = top[:, None] > v
-        back.append(np.where(switch, best[:, None].astype(np.int8), every))
+        back.append(np.where(switch, best[:, None].astype(np.int16), every))
         v = np.where(switch, top[:, None], v) + s[a[:active] + t]
-    label = final.argmax(axis=1).astype(np.int8)
-    paths = [np.empty(m, np.int8) for m in n]
+    label = final.argmax(axis=1).astype(np.int16)
+    paths = [np.empty(m, np.int16) for m in n]
     for i, m in enumerate(n):
         paths[i][m - 1] = label[i]
     for t in range(longest - 1, 0, -1):
@@ -168,7 +169,11 @@ def label(model: Model, texts: list[str | None], penalty: float = SWITCH_PENALTY
     if not len(at) or not k:
         return [none] * len(texts)
     first = np.flatnonzero(c[at - 1] == 0)  # of each word, in places of letters
-    score = np.add.reduceat(model.logp[h], first, axis=0)
+    score = np.empty((len(first), k), np.float32)
+    turn = np.append(np.flatnonzero(np.diff(first // LETTERS_AT_ONCE, prepend=-1)), len(first))
+    for i, j in zip(turn[:-1].tolist(), turn[1:].tolist(), strict=True):  # some words at a time: a row of scores per letter is large
+        last = first[j] if j < len(first) else len(h)
+        score[i:j] = np.add.reduceat(model.logp[h[first[i] : last]], first[i:j] - first[i], axis=0)
     script = _IDS[np.searchsorted(_STARTS, c[at[first]], "right") - 1]
     uses = model.uses[script]
     fits_none = ~uses.any(axis=1)
