@@ -129,7 +129,7 @@ def _merged(graph: DataFrame, found: DataFrame, keep: int) -> DataFrame:
     return graph.join(found, "id", "left").select("id", "vec", "nb", "nd", "more").mapInArrow(work, _GRAPH)
 
 
-def _proposals(graph: DataFrame, number: int, sample: int, proposals: int) -> DataFrame:
+def _proposals(graph: DataFrame, number: int, neighbours: int, sample: int, proposals: int) -> DataFrame:
     """id, c, d: nodes that share a neighbour with id and are nearer than the last of its list."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +160,7 @@ def _proposals(graph: DataFrame, number: int, sample: int, proposals: int) -> Da
     ahead = graph.select(F.col("id").alias("a"), F.explode(F.slice(F.array_sort(F.transform("nb", lambda x: F.struct(h(x).alias("h"), x.alias("b")))), 1, sample)).alias("x")).select("a", "x.b")
     lists = edges.withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy(h("a", "b"), "a"))).where(F.col("r") <= sample)
     met = ahead.select(F.col("a").alias("at"), F.col("b").alias("id")).unionByName(lists.select(F.col("b").alias("at"), F.col("a").alias("id"))).distinct()
-    last = F.when(F.size("nd") < NEIGHBOURS, F.lit(float("inf"))).otherwise(F.element_at("nd", -1)).cast("float")
+    last = F.when(F.size("nd") < neighbours, F.lit(float("inf"))).otherwise(F.element_at("nd", -1)).cast("float")
     members = met.join(graph.select("id", "vec", last.alias("last")), "id").groupBy("at").agg(F.collect_list(F.struct("id", "vec", "last")).alias("m"))
     return members.select("m").mapInArrow(work, "id long, c long, d float")
 
@@ -177,7 +177,7 @@ def build_graph(nodes: DataFrame, width: int, neighbours: int = NEIGHBOURS, roun
     graph, path = store.materialize(_merged(graph, found, neighbours), "ann-graph")
     for number in range(rounds):
         paths.append(path)
-        found = _proposals(graph, number, SAMPLE, PROPOSALS).groupBy("id").agg(F.collect_set(F.struct("c", "d")).alias("more"))
+        found = _proposals(graph, number, neighbours, SAMPLE, PROPOSALS).groupBy("id").agg(F.collect_set(F.struct("c", "d")).alias("more"))
         graph, path = store.materialize(_merged(graph, found, neighbours), "ann-graph")
     store.remove(spark, *paths)
     return graph

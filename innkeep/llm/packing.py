@@ -173,7 +173,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, nearly_full: float = NEARL
     """pieces (doc_id, piece, start, length, ids_crc32, with lengths of 1 to capacity) with sequence_id and offset."""
     nearly = int(np.ceil(nearly_full * capacity))
     whole = F.array(F.struct("doc_id", "piece", "start", "length", "ids_crc32")).alias("pieces")
-    items = pieces.select(F.xxhash64("doc_id", "piece").alias("bin"), "length", whole)
+    # the checksum spreads rows that share an id, or have none
+    items = pieces.select(F.xxhash64("doc_id", "piece", "ids_crc32").alias("bin"), "length", whole)
     done: list[DataFrame] = []
     tasks = max(1, -(-pieces.count() // items_per_task))
     spark, number, left = pieces.sparkSession, 0, None
