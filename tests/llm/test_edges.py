@@ -19,6 +19,12 @@ def test_near_duplicates(spark, docs):
     assert got == sorted([(1, 3, 1, True), (1, 3, 1, True), (2, 3, 1, False), (3, 0, 3, True), (4, 0, 4, True), (5, 2, 5, True), (None, 3, None, True)], key=str)
 
 
+def test_rows_that_share_an_id_are_linked(spark):
+    rows = [(1, "a b c d"), (5, "a b c d"), (5, "p q r s"), (5, ""), (7, "p q r s"), (9, "z y x")]
+    got = sorted((r["id"], r["n_shingles"], r["component_id"], r["kept"]) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", 2).collect())
+    assert got == [(1, 3, 1, True), (5, 0, 5, True), (5, 3, 1, False), (5, 3, 1, False), (7, 3, 1, False), (9, 2, 9, True)]
+
+
 def test_language(spark, docs):
     model = langid.fit(docs, "text", "lang", "doc_id")
     rows = langid.identify(docs, model, "text").collect()
@@ -43,6 +49,23 @@ def test_sharding(spark, docs):
         assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
 
 
+def test_shards_beside_very_large_rows(spark):
+    rows = [(i, f"{i} " * 40) for i in range(600)] + [(1000, "x" * 60_000), (1001, "y" * 9_000)] + [(2000 + i, "same words " * 9) for i in range(300)] + [(None, "no id")] * 5
+    got = sharding.shard_by_bytes(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", 6).collect()
+    held = [sum(r["size"] for r in got if r["shard"] == s) for s in range(6)]
+    others = sorted(held)[:-1]
+    assert len(got) == len(rows) and max(held) == 60_008 and max(others) - min(others) < 0.05 * max(others)
+    for s in range(6):
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
+
+
+def test_repeated_query_rows(spark):
+    rows = [(0, [5.0, 5.0])] * 9 + [(i, [float(i % 7), 1.0]) for i in range(1, 40)]
+    v = spark.createDataFrame(rows, "vec_id long, v array<double>").coalesce(1)
+    got = [(r["rank"], r["vec_id"], r["score"]) for r in maxscore.top_k(v, "vec_id", "v", F.col("vec_id") == 0, 3).orderBy("rank").collect()]
+    assert got == [(1, 6, 35 * 65536), (2, 13, 35 * 65536), (3, 20, 35 * 65536)]
+
+
 def test_searches(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, None), (4, [float("nan"), 1.0]), (5, [0.0, 0.0]), (6, [0.5, 0.5])]
     v = spark.createDataFrame(rows, "vec_id long, v array<double>").withColumn("score", F.lit(1))

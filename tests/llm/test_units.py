@@ -91,6 +91,19 @@ def test_viterbi_against_recursion_and_certificate():
         assert abs(got - v.max()) < 1e-3
 
 
+def test_language_scores_in_parts(monkeypatch):
+    rng = np.random.default_rng(3)
+    counts = rng.integers(0, 50, (langid.BUCKETS, 3)).astype(float)
+    scripts = np.zeros((len(langid.SCRIPT_NAMES), 3))
+    scripts[langid.SCRIPT_NAMES.index("Latin")] = 1
+    model = langid.Model(["a", "b", "c"], counts, scripts)
+    texts = [" ".join("".join(map(chr, rng.integers(97, 123, rng.integers(1, 9)))) for _ in range(n)) for n in (1, 40, 300)] + [None, "", "!"]
+    want = langid.label(model, texts)
+    for size in (1, 7, 100):
+        monkeypatch.setattr(langid, "LETTERS_AT_ONCE", size)
+        assert langid.label(model, texts) == want
+
+
 def test_language_spans():
     texts = {"aa": "kal mor tek " * 200, "bb": "lusi ena vio " * 200}
     counts = np.zeros((langid.BUCKETS, 2))
