@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from innkeep.functions import occupancy, scoring, text
 from innkeep.operators import embed, enrich, fuzzy, learn, matching, summary, tiers
+from innkeep.plans import fuzzy_run
 from innkeep.plans import run as plan
 from innkeep.sources import hotels as src
 
@@ -208,6 +209,23 @@ def test_fuzzy_and_tiers(spark):
     assert fuzzy.statistics(m).first()["mapping_rate"] == "100.00%"
 
 
+def test_fuzzy_run(spark, tmp_path):
+    rooms = [{"code": "A100", "name": "two bed suite", "type": "s"}, {"code": "A200", "name": None, "description": "king room"}, {"code": "A300"}, {"name": "sea view room", "code": "A400"}]
+    others = [{"code": "B100", "name": "King room"}, {"code": "B200", "name": "2 bed suite"}]
+    for name, rows in (("a", rooms), ("b", others)):
+        (tmp_path / f"{name}.json").write_text(json.dumps(rows))
+    out = f"{tmp_path}/out"
+    assert fuzzy_run.main([f"{tmp_path}/a.json", f"{tmp_path}/b.json", "--output-dir", out, "--first", "3", "--patterns"]) == 0
+    got = {r["code"]: (r["target_code"], r["match_type"]) for r in spark.read.parquet(f"{out}/mappings").collect()}
+    assert got == {"A100": ("B200", "exact"), "A200": ("B100", "exact"), "A300": (got["A300"][0], "none")}
+    stats = json.loads(spark.read.text(f"{out}/statistics").first()["value"])
+    assert (stats["mapping"]["total"], stats["mapping"]["exact"], stats["filter"]["duplicates_removed"]) == (3, 2, 0)
+    assert [r["tier"] for r in spark.read.json(f"{out}/filtered").orderBy("ord").collect()] == ["high", "high", "low"]
+    assert {r["token"] for r in spark.read.json(f"{out}/patterns/tokens").collect()} >= {"king", "room", "suite"}
+    assert fuzzy_run.main(["--from", f"{out}/mappings", "--output-dir", f"{out}2", "--strict"]) == 0 and spark.read.json(f"{out}2/simplified").count() == 3
+    assert fuzzy_run.main([f"{tmp_path}/none.json", f"{tmp_path}/b.json", "--output-dir", out]) == 1
+
+
 def test_learning(spark):
     rooms = spark.createDataFrame([(0, "AB12", "t", "sea view room"), (1, "AB34", "t", "sea view rooms"), (2, "", "", "king bed")], "ord long, code string, type string, text string")
     assert {r["token"]: r["n"] for r in learn.token_counts(rooms).collect()} == {"sea": 2, "view": 2, "room": 1, "rooms": 1, "king": 1, "bed": 1}
