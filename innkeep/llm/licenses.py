@@ -1,7 +1,10 @@
 """Licence scan: canonical digests of whole texts, hash-joined to those of known licences. DataFrame functions only.
 
-The canonical form is lower case without copyright lines; runs of characters other than letters and digits are one
-space, and spellings that licence guides hold to be equivalent are unified. Known texts are few and fixed, so the table
+The canonical form is lower case without copyright statements: lines that state one (the word followed by (c), the sign,
+a year or "by"; "all rights reserved" alone), and statements that run on into the opening of a licence. So it does not
+depend on where lines are wrapped, but for a holder's name that is itself broken after a line that begins its statement.
+Runs of characters other than letters and digits are one space, and spellings that licence guides hold to be equivalent
+are unified. Known texts are few and fixed, so the table
 of their digests is broadcast. Besides whole texts, single lines are looked up in the same way: notices such as
 "Released under the MIT License." Only lines with one of NOTICE_WORDS are tried; every known notice holds one.
 
@@ -17,14 +20,33 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Lines that licence guides tell to ignore, and equivalent spellings (from, to), both in the lower case.
-COPYRIGHT_LINE = r"(?m)^[ \t>*#/-]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$"
+
+def _unless(words: list[str]) -> str:
+    """A pattern of words that begin with none of the given ones, without lookahead (DuckDB has none)."""
+    by_first: dict[str, list[str]] = {}
+    for w in words:
+        by_first.setdefault(w[0], []).append(w[1:])
+    ways = [rf"[^\s{''.join(sorted(by_first))}]\S*"]
+    for first, rests in sorted(by_first.items()):
+        if "" not in rests:
+            ways.append(f"{first}(?:{_unless(rests)})?")
+    return "|".join(ways)
+
+
+#: Openings of licence texts; a copyright statement ends before them, also within a line.
+OPENINGS = ["permission is hereby granted", "permission to use", "redistribution and use", "licensed under"]
+#: Lines that licence guides tell to ignore: statements of copyright, not lines that merely begin with that word.
+_STATEMENT = r"copyrights?[ \t:,]*(?:\(c\)|©|by\b|[0-9]{4}|[<\[{][ \t]*(?:year|yyyy))|\(c\)[ \t:,]*(?:copyright\b|[0-9]{4})|©"
+_REST = rf"\S*(?:[ \t\r]+(?:{_unless(sorted({o.split(' ')[0] for o in OPENINGS}))})){{0,100}}[ \t\r]*"
+COPYRIGHT_LINE = rf"(?m)^[ \t>*#/-]*(?:(?:{_STATEMENT}){_REST}|all rights reserved[ \t\r.!*#/-]*)$"
 OTHER = r"[^\p{L}\p{N}]+"
+#: Equivalent spellings (from, to) in the lower case; the last ones drop statements that share a line with an opening.
 SPELLINGS = [
     (r"licence", "license"), (r"acknowledgement", "acknowledgment"), (r"authoris", "authoriz"), (r"organis", "organiz"),
     (r"recognis", "recogniz"), (r"utilis", "utiliz"), (r"favour", "favor"), (r"fulfil\b", "fulfill"), (r"judgement", "judgment"),
     (r"\bsub license", "sublicense"), (r"\bnon infringement", "noninfringement"), (r"\bper cent\b", "percent"), (r"\bwhilst\b", "while"),
     (r"\bcopyright owner\b", "copyright holder"), (r"\bnon commercial\b", "noncommercial"),
+    *[(rf"\b(?:copyright (?:c|by|[0-9]{{4}})|c [0-9]{{4}})\b.{{0,300}}? {o}\b", o) for o in OPENINGS],
 ]
 NOTICE_WORDS = "licen|copyright|warrant|permission"
 

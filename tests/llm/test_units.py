@@ -1,6 +1,8 @@
 """The parts of the training-data operators that need no cluster, against plain versions."""
 
+import hashlib
 import random
+import textwrap
 
 import numpy as np
 import pytest
@@ -123,3 +125,49 @@ def test_license_forms_are_told_apart():
     assert len(licenses.digests()) == len(licenses.KNOWN)
     plain = licenses.canonical_text(licenses.KNOWN[0][1])
     assert licenses.canonical_text("Copyright (c) 2020 Some One\n" + licenses.KNOWN[0][1].upper().replace(",", " ;")) == plain
+
+
+def test_license_digests_do_not_depend_on_wrapping():
+    mit = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+    isc = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM
+LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR
+OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE."""
+    known = licenses.digests()
+    name = lambda t: known.get(hashlib.sha256(licenses.canonical_text(t).encode()).hexdigest())
+    for want, title, text in [("MIT", "MIT License", mit), ("ISC", "ISC License", isc)]:
+        for full in [text, f"{title}\n\n{text}", f"{title}\n\nCopyright (c) 2020 Some One. All rights reserved.\n\n{text}", f"Copyright 2020 Some One\n{text}"]:
+            assert [name(full), name(" ".join(full.split()))] == [want, want]
+            assert {name(textwrap.fill(" ".join(full.split()), w)) for w in range(50, 121)} == {want}
+    assert "liable" in licenses.canonical_text("copyright holders be liable\n(c) You must retain this") and "retain" in licenses.canonical_text("x\n(c) You must retain this")
+    assert licenses.canonical_text("a\n# Copyright (C) 2001-2020 Permanent Press\r\n © Some One\nAll rights reserved.\nb") == "a b"
+
+
+def test_copyright_lines_agree_in_spark(spark):
+    texts = [t for _, t in licenses.KNOWN] + ["Copyright (c) 2020 " + "word " * 5000, "MIT License Copyright (c) 2020 Some One\n" + licenses.KNOWN[0][1]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["digest"] for r in licenses.scan(docs, "text").collect()}
+    assert got == {i: hashlib.sha256(licenses.canonical_text(t).encode()).hexdigest() for i, t in enumerate(texts)}
