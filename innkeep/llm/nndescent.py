@@ -4,10 +4,11 @@ Nodes are the distinct vectors; copies hang on their node, and only the smallest
 no group of copies is ever gathered. The first lists come from blocks of vectors that lie together in the order of random
 sign codes. Each round then joins neighbours of neighbours: every node gathers a sample of its neighbours and of the
 nodes that list it, with their vectors, compares them with each other, and proposes each to the others where it beats the
-list's last entry. Samples are of fixed size, so hubs cost no more than other nodes.
+list's last entry. Samples are of fixed size, so hubs cost no more than other nodes. Rounds go on until the share of list
+entries that a round changed is at most ``DELTA``; entries only ever get nearer, so that this comes.
 
-A query starts from its own node and its list, and expands its best unexpanded candidates, many at a time, until
-``SEARCH_ROUNDS`` are over. The best candidates are then measured on the original vectors in double precision.
+A query starts from its own node and its list, and expands its best unexpanded candidates, many at a time, until its beam
+holds no unexpanded one: then none could bring it a better k-th. The best candidates are then measured on the original vectors in double precision.
 
 Every row is indexed; the figures that trade recall for work are parameters, and the tests hold recall at 10 against
 brute force.
@@ -32,14 +33,13 @@ from innkeep.llm.vectors import matrix
 NEIGHBOURS = 40
 SAMPLE = 16
 PROPOSALS = 6
-ROUNDS = 6
+DELTA = 0.001
 STARTS = 3
 START_BLOCK = 512
 BEAM = 300
 EXPAND = 60
-SEARCH_ROUNDS = 6
 
-_GRAPH = "id long, vec binary, nb array<long>, nd array<float>"
+_GRAPH = "id long, vec binary, nb array<long>, nd array<float>, changed int"
 
 
 def _usable(vectors: DataFrame, id_col: str, vec_col: str, is_query: Column) -> DataFrame:
@@ -107,13 +107,13 @@ def _first_lists(nodes: DataFrame, width: int, seed: int, keep: int) -> DataFram
 
 
 def _merged(graph: DataFrame, found: DataFrame, keep: int) -> DataFrame:
-    """The graph with proposals (id, more: array of struct<c, d>) merged into its lists."""
+    """The graph with proposals (id, more: array of struct<c, d>) merged into its lists; changed: the entries new in a list."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            nbs, nds = [], []
+            nbs, nds, changed = [], [], []
             for nb, nd, more in zip(b.column("nb"), b.column("nd"), b.column("more"), strict=True):
-                c, d = nb.values.to_numpy(), nd.values.to_numpy()
+                c, d, new = nb.values.to_numpy(), nd.values.to_numpy(), 0
                 if more.is_valid and len(more):
                     flat = more.values
                     c = np.concatenate([c, flat.field("c").to_numpy()])
@@ -122,9 +122,11 @@ def _merged(graph: DataFrame, found: DataFrame, keep: int) -> DataFrame:
                     _, first = np.unique(c[order], return_index=True)
                     order = order[np.sort(first)][:keep]
                     c, d = c[order], d[order]
+                    new = int((~np.isin(c, nb.values.to_numpy())).sum())
+                changed.append(new)
                 nbs.append(c)
                 nds.append(d)
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("vec"), pa.array(nbs, pa.list_(pa.int64())), pa.array(nds, pa.list_(pa.float32()))], ["id", "vec", "nb", "nd"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("vec"), pa.array(nbs, pa.list_(pa.int64())), pa.array(nds, pa.list_(pa.float32())), pa.array(changed, pa.int32())], ["id", "vec", "nb", "nd", "changed"])
 
     return graph.join(found, "id", "left").select("id", "vec", "nb", "nd", "more").mapInArrow(work, _GRAPH)
 
@@ -165,7 +167,7 @@ def _proposals(graph: DataFrame, number: int, neighbours: int, sample: int, prop
     return members.select("m").mapInArrow(work, "id long, c long, d float")
 
 
-def build_graph(nodes: DataFrame, width: int, neighbours: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
+def build_graph(nodes: DataFrame, width: int, neighbours: int = NEIGHBOURS, delta: float = DELTA) -> DataFrame:
     """id, vec, nb (nearest first) and nd (squared distances) for every node (id, vec)."""
     spark, paths = nodes.sparkSession, []
     graph = nodes.select("id", "vec", F.array().cast("array<bigint>").alias("nb"), F.array().cast("array<float>").alias("nd"))
@@ -175,12 +177,15 @@ def build_graph(nodes: DataFrame, width: int, neighbours: int = NEIGHBOURS, roun
         pairs = one if pairs is None else pairs.unionByName(one)
     found = pairs.select("id", F.explode(F.arrays_zip(F.col("nb").alias("c"), F.col("nd").alias("d"))).alias("x")).groupBy("id").agg(F.collect_list("x").alias("more"))
     graph, path = store.materialize(_merged(graph, found, neighbours), "ann-graph")
-    for number in range(rounds):
+    number, share = 0, 1.0
+    while share > delta:
         paths.append(path)
         found = _proposals(graph, number, neighbours, SAMPLE, PROPOSALS).groupBy("id").agg(F.collect_set(F.struct("c", "d")).alias("more"))
         graph, path = store.materialize(_merged(graph, found, neighbours), "ann-graph")
+        share = graph.agg(F.coalesce(F.try_divide(F.sum("changed"), F.sum(F.size("nb"))), F.lit(0.0))).first()[0]
+        number += 1
     store.remove(spark, *paths)
-    return graph
+    return graph.drop("changed")
 
 
 def _measured(pairs: DataFrame, graph: DataFrame, queries: DataFrame) -> DataFrame:
@@ -196,7 +201,7 @@ def _measured(pairs: DataFrame, graph: DataFrame, queries: DataFrame) -> DataFra
     return both.mapInArrow(work, "q long, c long, d float")
 
 
-def search(graph: DataFrame, nodes: DataFrame, beam: int = BEAM, expand: int = EXPAND, rounds: int = SEARCH_ROUNDS) -> DataFrame:
+def search(graph: DataFrame, nodes: DataFrame, beam: int = BEAM, expand: int = EXPAND) -> DataFrame:
     """q, c, d: the beam of each query node, nearest first by d (squared distance); nodes: the ids of the queries."""
     starts = graph.join(nodes, "id", "left_semi")
     queries = store.cut(starts.select("id", "vec"), "ann-queries")
@@ -204,7 +209,7 @@ def search(graph: DataFrame, nodes: DataFrame, beam: int = BEAM, expand: int = E
     near = starts.select(F.col("id").alias("q"), F.explode(F.arrays_zip(F.col("nb").alias("c"), F.col("nd").alias("d"))).alias("x")).select("q", "x.c", "x.d", F.lit(False).alias("done"))
     state = store.cut(own.unionByName(near), "ann-beam")
     best = Window.partitionBy("q").orderBy("d", "c")
-    for _ in range(rounds):
+    while not state.where("not done").isEmpty():
         go = state.where("not done").withColumn("r", F.row_number().over(best)).where(F.col("r") <= expand).select("q", "c")
         fresh = go.join(graph.select(F.col("id").alias("c"), "nb"), "c").select("q", F.explode("nb").alias("c")).distinct()
         found = _measured(fresh.join(state, ["q", "c"], "left_anti"), graph, queries)

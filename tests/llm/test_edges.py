@@ -1,5 +1,8 @@
 """Nulls, empty texts, repeated rows, empty tables and extra columns through the operators."""
 
+from collections import defaultdict
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,3 +86,26 @@ def test_licenses_and_urls(spark):
     labels = spark.createDataFrame([], "i long, bad int")
     got = {r["id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urltree.judge(urls, labels, "i", "u", "i", "bad", [("block", "a.com", "/en/"), ("allow", "b.a.com", "/en/1")]).collect()}
     assert got == {1: ("a.com", "/en/7", "a.com/en/", "block"), 2: ("", "", None, "allow"), 3: ("", "", None, "allow"), 4: ("b.a.com", "/en/1", "b.a.com/en/1", "allow"), 5: ("acom", "/en/1", None, "allow")}
+
+
+def test_descent_and_search_go_on_until_nothing_changes(spark):
+    x = np.random.default_rng(5).standard_normal((1500, 32))
+    v = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id long, v array<double>")
+    graph = nndescent.build_graph(nndescent._singles(v, 32), 32, 15)
+    d = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (x * x).sum(1)[None] - 2 * x @ x.T, 0))
+    np.fill_diagonal(d, np.inf)
+    true = np.argsort(d, axis=1)
+    share = np.mean([len(set(r["nb"]) & set(true[r["id"], :15].tolist())) / 15 for r in graph.select("id", "nb").collect()])
+    asked = spark.range(0, 1500, 50)
+    found = defaultdict(list)
+    for r in nndescent.search(graph, asked, beam=60, expand=5).where("q <> c").orderBy("q", "d").collect():
+        found[r["q"]].append(r["c"])
+    recall = np.mean([len(set(found[q][:10]) & set(true[q, :10].tolist())) / 10 for q in range(0, 1500, 50)])
+    assert share >= 0.9 and recall >= 0.95, (share, recall)
+
+
+def test_search_follows_a_long_chain_to_its_end(spark):
+    rows = [(i, np.array([i], np.float32).tobytes(), [i + 1] if i < 11 else [], [1.0] if i < 11 else []) for i in range(12)]
+    graph = spark.createDataFrame(rows, "id long, vec binary, nb array<long>, nd array<float>").coalesce(1)
+    found = nndescent.search(graph, spark.range(1)).collect()
+    assert sorted((r["c"], r["d"]) for r in found) == [(i, float(i * i)) for i in range(12)]
