@@ -1,6 +1,6 @@
 """Language identification with spans of mixed-language text.
 
-Words are maximal runs of letters. A word's script, from ranges of code points, narrows the candidates to languages
+Words are maximal runs of letters and the marks that follow them (vowel signs, accents). A word's script, from ranges of code points, narrows the candidates to languages
 that use this script in the training text. Each candidate scores a word by the log probabilities of its letter
 trigrams; Viterbi over the words with a switching penalty labels spans. The document gets the language with the most
 letters in its spans.
@@ -8,10 +8,11 @@ letters in its spans.
 The model is fitted on a bounded sample: about ``per_lang`` documents of each language, picked by a hash, and its size
 is fixed (``BUCKETS`` hashed trigrams a language). Everything else covers all words of all texts.
 
-Most texts are of one language, and a constant path is then optimal. That is proved at once for a whole batch: a path
-that leaves language k for stretches of others gains at most the largest sum of score differences over a stretch; if
-this stays within the penalty for every other language, no switch pays. Only texts without that proof go through the
-Viterbi recursion, many texts side by side.
+Most texts are of one language, and a constant path is then optimal. That is proved at once for a whole batch. Let k be
+the language with the best total, and let no stretch of words gain more than half the penalty over k in any one language.
+A path with r stretches of other languages gains at most r half penalties: with r of 2 or more it pays at least r - 1
+penalties, which is no less; with r of 1 it either pays one or is constant, and k has the best total. Only texts without
+that proof go through the Viterbi recursion, many texts side by side.
 
 Defined results: ``und`` with score 0 for null, empty and letterless texts, or if nothing could be learned; words in a
 script that no learned language uses fit all languages alike; ties go to the language first in code-point order; an
@@ -20,6 +21,7 @@ empty table gives no rows; other columns are kept.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,20 +50,28 @@ SCRIPTS = [
 SCRIPT_NAMES = sorted({s for _, s in SCRIPTS})
 _STARTS = np.array([a for a, _ in SCRIPTS], dtype=np.int64)
 _IDS = np.array([SCRIPT_NAMES.index(s) for _, s in SCRIPTS], dtype=np.int8)
-_LETTER = np.zeros(0x110000, dtype=bool)
+_MARK, _ALPHA = 1, 2
+_KIND = np.zeros(0x110000, dtype=np.int8)
 
 
-def _letters() -> np.ndarray:
-    if not _LETTER[97]:
-        _LETTER[:] = [chr(c).isalpha() for c in range(0x110000)]
-    return _LETTER
+def _kinds() -> np.ndarray:
+    """Of every code point: 2 for letters, 1 for combining marks, 0 for others."""
+    if not _KIND[97]:
+        _KIND[:] = [_ALPHA if (x := chr(c)).isalpha() else _MARK if unicodedata.category(x)[0] == "M" else 0 for c in range(0x110000)]
+    return _KIND
 
 
 def codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Lower-case code points of all texts, 0 for what isn't a letter and between texts; and where each text starts."""
+    """Lower-case code points of all texts, 0 for what isn't part of a word and between texts; and where each text starts."""
     low = [(t or "").lower() for t in texts]
     c = np.frombuffer(("\n" + "\n".join(low) + "\n").encode("utf-32-le", "replace"), dtype=np.uint32)
-    c = np.where(_letters()[np.minimum(c, 0x10FFFF)], c, 0)
+    kind = _kinds()[np.minimum(c, 0x10FFFF)]
+    word = kind == _ALPHA
+    if (kind == _MARK).any():  # a mark belongs to a word if a letter stands before it there
+        place = np.arange(len(c))
+        letter, other = (np.maximum.accumulate(np.where(kind == k, place, -1)) for k in (_ALPHA, 0))
+        word |= (kind == _MARK) & (letter > other)
+    c = np.where(word, c, 0)
     starts = np.cumsum([1] + [len(t) + 1 for t in low])
     return c, starts
 
@@ -188,7 +198,7 @@ def label(model: Model, texts: list[str | None], penalty: float = SWITCH_PENALTY
     total = np.add.reduceat(score.astype(np.float64), lo_f, axis=0)
     total -= np.arange(k) * 1e-6
     best = total.argmax(axis=1)
-    # the proof: the largest sum of any stretch of words, for any other language, is within the penalty
+    # the proof: the largest sum of any stretch of words, for any other language, is below half the penalty
     owner = np.repeat(np.arange(len(full)), hi_f - lo_f)
     lead = score[np.arange(len(score)), best[owner]]
     far = float(np.abs(score).sum() + 1)
@@ -197,7 +207,7 @@ def label(model: Model, texts: list[str | None], penalty: float = SWITCH_PENALTY
         sums = np.concatenate([[0.0], np.cumsum(score[:, j].astype(np.float64) - lead)])
         before = sums[:-1] - owner * far  # the least sum before starts anew in each text
         gain = sums[1:] - owner * far - np.minimum.accumulate(before)
-        sure &= np.maximum.reduceat(gain, lo_f) <= penalty
+        sure &= np.maximum.reduceat(gain, lo_f) < 0.4999 * penalty
     out = [none] * len(texts)
     hard = np.flatnonzero(~sure)
     paths = dict(zip(hard.tolist(), _viterbi(score, lo_f[hard], hi_f[hard], penalty), strict=True)) if len(hard) else {}
