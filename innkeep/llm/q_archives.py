@@ -10,18 +10,19 @@ from innkeep.llm import store, warc
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    path = store.new_path(spark, "warc")
-    warc.write_archive(warc.plan_records(pages, "page_id", "url", "html", min_dedup_bytes=0), path)
-    read = warc.read_archive(spark, path).select(
-        "record_id",
-        "record_type",
-        "row_id",
-        F.col("refers_to"),
-        F.octet_length("payload").cast("long").alias("payload_bytes"),
-        F.when(F.col("payload").isNotNull(), warc.sha1_base32(F.col("payload"))).alias("payload_digest"),
-    )
-    read = store.cut(read, "warc-read")
-    return warc.resolve_revisits(read).select(F.col("row_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+    with store.scratch(spark) as own:
+        path = store.new_path(spark, "warc")
+        warc.write_archive(warc.plan_records(pages, "page_id", "url", "html", min_dedup_bytes=0, stable=True), path)
+        read = warc.read_archive(spark, path).select(
+            "record_id",
+            "record_type",
+            "row_id",
+            F.col("refers_to"),
+            F.octet_length("payload").cast("long").alias("payload_bytes"),
+            F.when(F.col("payload").isNotNull(), warc.sha1_base32(F.col("payload"))).alias("payload_digest"),
+        )
+        read = store.cut(read, "warc-read")
+        return own.keep(warc.resolve_revisits(read).select(F.col("row_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"), "warc-rows")
 
 
 _DIGITS = " || ".join(

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from innkeep.llm import store
+
 #: Digits of conv(.., 32) and the base-32 alphabet of RFC 4648.
 _HEX32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 _RFC32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -47,12 +49,15 @@ def _uuid_urn(*cols: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *[F.substring(h, a, n) for a, n in cuts]), F.lit(">"))
 
 
-def plan_records(pages: DataFrame, id_col: str, url_col: str, payload_col: str, min_dedup_bytes: int = 0) -> DataFrame:
+def plan_records(pages: DataFrame, id_col: str, url_col: str, payload_col: str, min_dedup_bytes: int = 0, stable: bool = False) -> DataFrame:
     """A row per page: row_id, url, payload, digest, record_id and, for revisits, refers_to.
 
-    Of rows with equal payloads of at least ``min_dedup_bytes``, the one with the largest id is the response. Pages
-    must be a stable table: rows are told apart by their place in it.
+    Of rows with equal payloads of at least ``min_dedup_bytes``, the one with the largest id is the response. Rows are told
+    apart by their place in the table, so it is written first, unless it is ``stable``: a plain scan of files, whose rows
+    lie in the same places whenever they are read.
     """
+    if not stable:
+        pages = store.cut(pages.select(*dict.fromkeys([id_col, url_col, payload_col])), "warc-pages")
     base = pages.select(
         F.col(id_col).cast("long").alias("row_id"),
         F.col(url_col).cast("string").alias("url"),
