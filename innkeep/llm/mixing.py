@@ -1,7 +1,7 @@
 """Mixing sources to target weights.
 
 Words are summed per source, targets follow from weights and a budget, and a source's repetition rate is target / size.
-A document is emitted floor(rate) times, plus one copy if a hash of its id falls below the rate's fraction. The hash
+A document is emitted floor(rate) times, plus one copy if a hash of its id (of ``else_col``, where it has none) falls below the rate's fraction. The hash
 gives eight independent draws; each source uses the draw whose words come nearest to its target, so a few long documents
 don't carry a small source far off. Everything is a function of the table: reruns agree.
 
@@ -65,14 +65,22 @@ def _draw(h: Column, i) -> Column:
     return F.conv(F.substr(h, F.lit(1) + F.lit(8) * i, F.lit(8)), 16, 10).cast("double") / float(1 << 32)
 
 
-def plan(docs: DataFrame, id_col: str, source_col: str, size: Column, weights=WEIGHTS, budget: float = BUDGET, most: float = MOST) -> tuple[DataFrame, DataFrame]:
+def _hash(id_col: str, else_col: str | None) -> Column:
+    """SHA-256 in hex digits of the id; of else_col where it is null."""
+    of = [F.col(c).cast("string") for c in (id_col, else_col) if c is not None]
+    return F.sha2(F.coalesce(*of, F.lit("")).cast("binary"), 256)
+
+
+def plan(
+    docs: DataFrame, id_col: str, source_col: str, size: Column, weights=WEIGHTS, budget: float = BUDGET, most: float = MOST, else_col: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(a row per document: id, source, k, size, h), written once; and a row per source: k, source_size, target, rate, draw."""
     rows = docs.select(
         F.col(id_col).alias("id"),
         F.col(source_col).cast("string").alias("source"),
         _key(source_col).alias("k"),
         size.alias("size"),
-        F.sha2(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"), 256).alias("h"),
+        _hash(id_col, else_col).alias("h"),
     )
     rows = store.cut(rows, "mix-sizes")
     goal = targets(rows, weights, budget, most).withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)))
@@ -89,11 +97,11 @@ def copies(h: Column) -> Column:
     return (F.floor("rate") + F.when(_draw(h, F.col("draw")) < F.col("rate") - F.floor("rate"), 1).otherwise(0)).cast("int")
 
 
-def mix(docs: DataFrame, id_col: str, source_col: str, size: Column, weights=WEIGHTS, budget: float = BUDGET, most: float = MOST) -> DataFrame:
+def mix(docs: DataFrame, id_col: str, source_col: str, size: Column, weights=WEIGHTS, budget: float = BUDGET, most: float = MOST, else_col: str | None = None) -> DataFrame:
     """The mixed documents: every row as often as its source's rate says, with all its columns."""
-    _, goal = plan(docs, id_col, source_col, size, weights, budget, most)
+    _, goal = plan(docs, id_col, source_col, size, weights, budget, most, else_col)
     goal = _small(goal.select(F.col("k").alias("_k"), F.col("rate"), F.col("draw")))
-    h = F.sha2(F.coalesce(F.col("d." + id_col).cast("string"), F.lit("")).cast("binary"), 256)
+    h = _hash("d." + id_col, None if else_col is None else "d." + else_col)
     joined = docs.alias("d").join(goal, F.coalesce(F.concat(F.lit("s"), F.col("d." + source_col).cast("string")), F.lit("n")) == goal["_k"])
     n = F.floor(goal["rate"]) + F.when(_draw(h, goal["draw"]) < goal["rate"] - F.floor(goal["rate"]), 1).otherwise(0)
     many = joined.select(F.struct("d.*").alias("d"), F.explode(F.array_repeat(F.lit(0), n.cast("int"))).alias("_i"))

@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innkeep.llm import mixing
+from innkeep.llm import mixing, store
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    rows, goal = mixing.plan(docs, "doc_id", "source", mixing.word_count(F.col("text")))
-    return rows.join(mixing._small(goal), "k").select(
-        F.col("id").alias("doc_id"), "size", "source_size", "target", (mixing.copies(F.col("h")) * F.col("size")).alias("taken"), F.col("rate")
-    )
+    with store.scratch(spark) as own:
+        rows, goal = mixing.plan(docs, "doc_id", "source", mixing.word_count(F.col("text")), else_col="text")
+        taken = rows.join(mixing._small(goal), "k").select(
+            F.col("id").alias("doc_id"), "size", "source_size", "target", (mixing.copies(F.col("h")) * F.col("size")).alias("taken"), F.col("rate")
+        )
+        return own.keep(taken, "mixed")
 
 
 _DRAWN = [f"(('0x' || substr(h, {1 + 8 * i}, 8))::UBIGINT::DOUBLE / 4294967296.0)" for i in range(8)]
@@ -25,7 +27,7 @@ QUERIES = {"op3_mixing": op3_mixing}
 ORACLE = {
     "op3_mixing": f"""
 WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-    sha256(coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+    sha256(coalesce(doc_id::VARCHAR, text, '')) AS h FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, CASE (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight,
     2.0::DOUBLE * source_size AS cap FROM s),
