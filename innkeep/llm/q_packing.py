@@ -9,8 +9,8 @@ from innkeep.llm import packing, store
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    pieces = store.cut(packing.tokenize(docs, "doc_id", "text"), "pieces")
-    return packing.pack(pieces)
+    with store.scratch(spark) as own:
+        return own.keep(packing.pack(store.cut(packing.tokenize(docs, "doc_id", "text"), "pieces")), "packed")
 
 
 QUERIES = {"op5_packing": op5_packing}
