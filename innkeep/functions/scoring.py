@@ -26,6 +26,8 @@ def cosine(a: Column, b: Column, norm_a: Column, norm_b: Column) -> Column:
 
 @dataclass(frozen=True)
 class Penalties:
+    """The shares that a similarity loses by default."""
+
     bedroom: float = 0.30
     occupancy_high: float = 0.25
     occupancy_low: float = 0.10
@@ -111,13 +113,18 @@ def numeric_match(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(both)
 
 
+def ratio(a: str | None, b: str | None) -> float:
+    """Whole-percent similarity of texts by matching blocks, from 0 to 1 (the ratio of Python's difflib)."""
+    return round(100 * SequenceMatcher(None, a, b).ratio()) / 100 if a and b else 0.0
+
+
 @F.pandas_udf(T.DoubleType())
 def fuzzy_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Whole-percent similarity of texts by matching blocks, from 0 to 1 (the ratio of Python's difflib)."""
-    one = lambda x, y: round(100 * SequenceMatcher(None, x or "", y or "").ratio()) / 100 if x and y else 0.0
-    return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+    """``ratio`` of two columns."""
+    return pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
+#: The weights of the parts of a room score.
 WEIGHTS = {"token": 35, "stem": 30, "numeric": 20, "fuzzy": 15}
 
 
@@ -132,5 +139,5 @@ def score_features(token: Column, stem: Column, numeric: Column, fuzzy: Column)
 
 
 def band(score: Column) -> Column:
-    """The match type of an unrounded score."""
+    """The match type of an unrounded score. The bands' limits."""
     return F.when(score >= 95, "exact").when(score >= 90, "high_confidence").when(score >= 85, "medium_confidence").when(score >= 75, "low_confidence").otherwise("none")

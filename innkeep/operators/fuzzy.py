@@ -1,62 +1,150 @@
 """Fuzzy room mapping: each source room to its most similar target room, by text alone.
 
-A score depends on the texts only, so distinct texts are scored, not rooms. Texts that share a token or a stem meet by an
-equal key. A pair that shares neither scores at most the weight of numbers and fuzzy ratio; only sources whose best score
-so far is below that bound are compared with all target texts, a block of these at a time.
+A score depends on the texts only, so distinct texts are scored, not rooms. The score has no key that similar rooms must
+share, so sources are a set of queries against all targets, in blocks: targets are dealt into blocks of about BLOCK_TEXTS
+texts, each source meets each block once, and a block's postings add up its overlaps with all of the block's texts at once.
+The costly ratio of texts is worked out best first, only for targets whose bound (from counts of characters) still
+reaches the best score so far. No pairs are emitted; a source keeps one row per block.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from innkeep.functions import scoring, text
 
-_SMALL = 10_000
+BLOCK_TEXTS = 20_000
+_BUCKETS = 64
 
 
 def normalize_rooms(rooms: DataFrame, with_stems: bool = True) -> DataFrame:
     """Adds text, tokens, stems, numeric_features, normalized_code and code_prefix to rooms with code, name and description."""
-    name, desc = F.col("name"), F.col("description")
-    base = F.coalesce(F.nullif(name, F.lit("")), F.nullif(desc, F.lit("")), F.lit(""))
-    out = rooms.withColumn("text", F.regexp_replace(F.lower(base), r"(?U)^\s+|\s+$", ""))
-    out = out.withColumn("text", text.number_words(F.col("text")))
+    out = rooms.withColumn("text", text.number_words(F.lower(text.room_text(F.col("name"), F.col("description")))))
     out = out.withColumn("tokens", text.kept_tokens(F.col("text")))
     out = out.withColumn("stems", text.stems("tokens") if with_stems else F.array().cast("array<string>"))
     out = out.withColumn("numeric_features", text.numeric_features(F.col("text"))).withColumn("normalized_code", text.trimmed_code(F.col("code")))
     return out.withColumn("code_prefix", text.code_prefix(F.col("normalized_code")))
 
 
+def _characters(s: str) -> np.ndarray:
+    return np.bincount(np.frombuffer(s.encode("utf-32-le"), np.uint32) % _BUCKETS, minlength=_BUCKETS)
+
+
+class _Block:
+    """Targets with postings of their tokens, stems and numbers."""
+
+    def __init__(self, texts: list[str], ords: list[int], lists: list[list[list[str]]]):
+        self.texts, self.ords, self.n = texts, np.array(ords), len(texts)
+        self.postings: list[dict[str, list[int]]] = []
+        self.sizes: list[np.ndarray] = []
+        for of_texts in lists:
+            sets = [set(x) for x in of_texts]
+            postings: dict[str, list[int]] = {}
+            for i, keys in enumerate(sets):
+                for k in keys:
+                    postings.setdefault(k, []).append(i)
+            self.postings.append({k: np.array(v) for k, v in postings.items()})
+            self.sizes.append(np.array([len(x) for x in sets]))
+        self.characters: np.ndarray | None = None
+
+    def _shared(self, kind: int, keys: set[str]) -> np.ndarray:
+        found = [p for k in keys if (p := self.postings[kind].get(k)) is not None]
+        return np.bincount(np.concatenate(found), minlength=self.n) if found else np.zeros(self.n, np.int64)
+
+    def _jaccard(self, kind: int, keys: set[str]) -> np.ndarray:
+        shared = self._shared(kind, keys)
+        return shared / np.maximum(1, len(keys) + self.sizes[kind] - shared)
+
+    def _numeric(self, keys: set[str]) -> np.ndarray:
+        sizes = self.sizes[2]
+        return np.where(sizes == 0, 1.0, 0.0) if not keys else self._shared(2, keys) / np.maximum(len(keys), sizes)
+
+    def best(self, s: str, tokens: list[str], stems: list[str], numbers: list[str], use_fuzzy: bool) -> tuple | None:
+        """(ord, score, token, stem, numeric, fuzzy) of the best target; of equal ones that with the smallest ord. None if no score is above 0."""
+        token, stem, numeric = self._jaccard(0, set(tokens)), self._jaccard(1, set(stems)), self._numeric(set(numbers))
+        w, whole = scoring.WEIGHTS, sum(scoring.WEIGHTS.values())
+        base = token * w["token"] + stem * w["stem"] + numeric * w["numeric"]
+        score = lambda i, fuzzy: (base[i] + fuzzy * w["fuzzy"]) / whole * 100
+        if not use_fuzzy:
+            every = score(slice(None), 0.0)
+            top = np.flatnonzero(every == every.max())
+            at, fuzzy = int(top[self.ords[top].argmin()]), 0.0
+            best = float(every[at])
+        else:
+            at = int(base.argmax())
+            fuzzy = scoring.ratio(s, self.texts[at])
+            best = score(at, fuzzy)
+            near = np.flatnonzero(score(slice(None), 1.0) >= best)
+            if self.characters is None:
+                self.characters = np.array([_characters(t) for t in self.texts], np.int32)
+            common = np.minimum(self.characters[near], _characters(s)).sum(axis=1)
+            most = 2 * common / np.maximum(1, len(s) + self.characters[near].sum(axis=1)) + 0.0051  # the ratio is rounded to whole percents
+            bound = score(near, most)
+            for j in np.argsort(-bound, kind="stable").tolist():
+                if bound[j] < best:
+                    break
+                i = int(near[j])
+                f = scoring.ratio(s, self.texts[i])
+                x = score(i, f)
+                if x > best or (x == best and self.ords[i] < self.ords[at]):
+                    at, best, fuzzy = i, x, f
+        return (int(self.ords[at]), float(best), float(token[at]), float(stem[at]), float(numeric[at]), float(fuzzy)) if best > 0 else None
+
+
+def _scored(s: DataFrame, t: DataFrame, use_fuzzy: bool) -> DataFrame:
+    """text, t_ord, score and the four parts: each source text's best target text."""
+    blocks = max(1, -(-t.count() // BLOCK_TEXTS))
+    splits = max(1, s.sparkSession.sparkContext.defaultParallelism // blocks)
+    hashed = lambda n: F.pmod(F.xxhash64("text"), F.lit(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    cols = ["text", "tokens", "stems", "numeric_features"]
+    met = t.select(F.lit(False).alias("source"), hashed(blocks).alias("block"), each(splits).alias("split"), "t_ord", *cols).unionByName(
+        s.select(F.lit(True).alias("source"), each(blocks).alias("block"), hashed(splits).alias("split"), F.lit(0).cast("long").alias("t_ord"), *cols)
+    )
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, targets, block = None, [], None
+        for b in batches:
+            rows = zip(*(b.column(c).to_pylist() for c in ("block", "split", "source", "t_ord", *cols)), strict=True)
+            out = []
+            for at, split, source, t_ord, *features in rows:
+                if (at, split) != cell:
+                    cell, targets, block = (at, split), [], None
+                if not source:
+                    targets.append((t_ord, *features))
+                    continue
+                if block is None and targets:
+                    ords, texts, *lists = (list(x) for x in zip(*targets, strict=True))
+                    block = _Block(texts, ords, lists)
+                if block is not None and (found := block.best(*features, use_fuzzy)) is not None:
+                    out.append((features[0], *found))
+            if out:
+                names = ["text", "t_ord", "score", "token", "stem", "numeric", "fuzzy"]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], names)
+
+    found = met.repartition(blocks * splits, "block", "split").sortWithinPartitions("block", "split", "source")
+    found = found.mapInArrow(work, "text string, t_ord long, score double, token double, stem double, numeric double, fuzzy double")
+    if blocks == 1:
+        return found
+    return found.groupBy("text").agg(F.max_by(F.struct("t_ord", "score", *scoring.WEIGHTS), F.struct("score", -F.col("t_ord"))).alias("m")).select("text", "m.*")
+
+
 def best_matches(source: DataFrame, target: DataFrame, use_stems: bool = True, use_fuzzy: bool = True) -> DataFrame:
     """Per source room (ord, code, ...): target_ord, target_code, score, match_score, match_type, confidence, matching_features.
 
     Both sides need ord, code, name and description. No target scores above 0: target columns are null.
     """
     src, tgt = normalize_rooms(source, use_stems), normalize_rooms(target, use_stems)
-    cols = ["tokens", "stems", "numeric_features"]
-    s = src.groupBy("text").agg(*[F.first(c).alias(c) for c in cols]).select(F.col("text").alias("s_text"), *[F.col(c).alias(f"s_{c}") for c in cols])
-    t = tgt.groupBy("text").agg(F.min("ord").alias("t_ord"), *[F.first(c).alias(c) for c in cols]).select(F.col("text").alias("t_text"), "t_ord", *[F.col(c).alias(f"t_{c}") for c in cols])
-    keys = lambda df, p: df.select(f"{p}_text", F.explode(F.array_distinct(F.concat(F.transform(f"{p}_tokens", lambda x: F.concat(F.lit("t"), x)), F.transform(f"{p}_stems", lambda x: F.concat(F.lit("s"), x))))).alias("key"))
-    near = keys(s, "s").join(keys(t, "t"), "key").select("s_text", "t_text").distinct()
-
-    def best(pairs: DataFrame) -> DataFrame:
-        token, number = scoring.jaccard(F.col("s_tokens"), F.col("t_tokens")), scoring.numeric_match(F.col("s_numeric_features"), F.col("t_numeric_features"))
-        stem = scoring.jaccard(F.col("s_stems"), F.col("t_stems")) if use_stems else F.lit(0.0)
-        pairs = pairs.withColumn("token", token).withColumn("stem", stem).withColumn("numeric", number)
-        pairs = pairs.withColumn("fuzzy", scoring.fuzzy_ratio("s_text", "t_text") if use_fuzzy else F.lit(0.0))
-        parts = [F.col(c) for c in scoring.WEIGHTS]
-        pairs = pairs.withColumn("score", scoring.room_score(*parts)).withColumn("features", scoring.score_features(*parts))
-        top = F.max_by(F.struct("t_ord", "score", "features"), F.struct("score", -F.col("t_ord")))
-        return pairs.where("score > 0").groupBy("s_text").agg(top.alias("m")).select("s_text", "m.*")
-
-    found = best(near.join(s, "s_text").join(t, "t_text"))
-    limit = 100 * (scoring.WEIGHTS["numeric"] + (scoring.WEIGHTS["fuzzy"] if use_fuzzy else 0)) / sum(scoring.WEIGHTS.values())
-    sure = found.where(F.col("score") > limit)
-    rest = s.join(sure.select("s_text"), "s_text", "left_anti")
-    small = t.count() <= _SMALL
-    far = best(rest.crossJoin(F.broadcast(t) if small else t))
-    m = sure.unionByName(far)
-    joined = src.join(m, src["text"] == m["s_text"], "left").drop("s_text")
+    lists = [F.first(c).alias(c) for c in ("tokens", "stems", "numeric_features")]
+    found = _scored(src.groupBy("text").agg(*lists), tgt.groupBy("text").agg(F.min("ord").cast("long").alias("t_ord"), *lists), use_fuzzy)
+    parts = [F.col(c) for c in scoring.WEIGHTS]
+    found = found.select(F.col("text").alias("s_text"), "t_ord", "score", scoring.score_features(*parts).alias("features"))
+    joined = src.join(found, src["text"] == found["s_text"], "left").drop("s_text")
     joined = joined.join(tgt.select(F.col("ord").alias("t_ord"), F.col("code").alias("target_code"), F.col("name").alias("target_name"), F.col("normalized_code").alias("target_normalized_code")), "t_ord", "left")
     score = F.coalesce(F.col("score"), F.lit(0.0))
     return joined.select(
