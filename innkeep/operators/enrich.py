@@ -38,3 +38,8 @@ def enrichment_stats(enriched: DataFrame) -> DataFrame:
     has = F.coalesce(F.trim("room_code"), F.lit("")) != ""
     attempts, hits = F.count_if(has), F.count_if("enriched")
     return enriched.agg(attempts.alias("attempts"), hits.alias("enriched"), (attempts - hits).alias("missed"), F.count_if(~has).alias("no_code"), F.coalesce(F.try_divide(hits, attempts) * 100, F.lit(0.0)).alias("rate"))
+
+
+def lookup(types: DataFrame, code: str) -> DataFrame:
+    """The catalog's entry of a code, without outer spaces; no row if it has none."""
+    return types.where(F.col("code") == code.strip())

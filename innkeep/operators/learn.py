@@ -35,9 +35,8 @@ def code_prefixes(rooms: DataFrame) -> DataFrame:
 
 
 def type_categories(rooms: DataFrame) -> DataFrame:
-    """category, texts (in order): rooms by their type. Needs ord, type, text."""
-    typed = rooms.where("type <> ''").groupBy("type").agg(F.array_sort(F.collect_list(F.struct("ord", "text"))).alias("x"))
-    return typed.select(F.col("type").alias("category"), F.col("x.text").alias("texts"))
+    """category, ord, text: a row per room that has a type. Needs ord, type, text."""
+    return rooms.where("type <> ''").select(F.col("type").alias("category"), "ord", "text")
 
 
 def _first_seen(rooms: DataFrame, text_col: str, stop_words: Iterable[str]) -> DataFrame:

@@ -1,13 +1,16 @@
 """Hotel pairs, room candidates and greedy one-to-one assignment.
 
-Rooms carry their place in the input (an ordinal): assignment goes in that order, and ties go to the smaller one. The
-assignment is a fold over each hotel pair's rooms, inside one expression; its arrays are as long as a hotel has rooms.
-Blocks of more rooms than ``FOLD_ROOMS`` go through a Python fold per block instead, with the same results.
+Rooms carry their place in the input (an ordinal): assignment goes in that order, and ties go to the smaller one. Each room
+of the first side is a row with its candidates that reach the threshold, best first; the rows of a hotel pair lie together
+in order, and one pass takes for each the first candidate that no row before it took. Only the places taken in the hotel
+pair at hand are kept in memory, however many rooms it has.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +18,6 @@ from innkeep.functions import scoring
 
 ST_THRESHOLD = 0.75
 GM_THRESHOLD = 0.90
-FOLD_ROOMS = 2000
 
 
 def hotel_pairs(hb: DataFrame, ad: DataFrame, key: str = "place_id", null_safe: bool = False) -> DataFrame:
@@ -43,45 +45,7 @@ def room_pairs(hb: DataFrame, ad: DataFrame, block: str, vec: str, keep: tuple[s
     return sides[0].join(sides[1], block).select(block, "hb_ord", "ad_ord", sim.alias("sim"), *[f"{p}_{c}" for p in ("hb", "ad") for c in keep])
 
 
-def _folded(rows: DataFrame, block: str) -> DataFrame:
-    """The fold as an expression."""
-    pick = "get(filter(x.valid, c -> NOT array_contains(s.used, c.ad_ord)), 0)"
-    step = f"""
-      named_struct(
-        'used', CASE WHEN {pick} IS NULL THEN s.used ELSE array_append(s.used, {pick}.ad_ord) END,
-        'out', array_append(s.out, named_struct('hb_ord', x.hb_ord, 'ad_ord', {pick}.ad_ord, 'sim', {pick}.sim, 'adjusted', {pick}.adjusted,
-          'reason', CASE WHEN {pick} IS NOT NULL THEN NULL WHEN size(array_except(x.raw, s.used)) > 0 THEN 'failed_validation_checks'
-            WHEN x.below THEN 'below_threshold' ELSE 'no_match_found' END)))"""
-    start = """named_struct('used', CAST(array() AS array<bigint>),
-      'out', CAST(array() AS array<struct<hb_ord:bigint,ad_ord:bigint,sim:double,adjusted:double,reason:string>>))"""
-    return rows.select(block, F.expr(f"explode(aggregate(rows, {start}, (s, x) -> {step}, s -> s.out))").alias("o")).select(block, "o.*")
-
-
-def _looped(rows: DataFrame, block: str) -> DataFrame:
-    """The same, a block at a time, for blocks of very many rooms."""
-
-    def work(frames):
-        for f in frames:
-            out = []
-            for key, items in zip(f[block], f["rows"], strict=True):
-                used: set = set()
-                for x in items:
-                    hit = next((c for c in x["valid"] if c["ad_ord"] not in used), None)
-                    reason = None
-                    if hit is not None:
-                        used.add(hit["ad_ord"])
-                    elif any(r not in used for r in x["raw"]):
-                        reason = "failed_validation_checks"
-                    else:
-                        reason = "below_threshold" if x["below"] else "no_match_found"
-                    out.append((key, x["hb_ord"], *([hit["ad_ord"], hit["sim"], hit["adjusted"]] if hit is not None else [None] * 3), reason))
-            yield pd.DataFrame(out, columns=[block, "hb_ord", "ad_ord", "sim", "adjusted", "reason"]).astype({"ad_ord": "Int64"})
-
-    kind = rows.schema[block].dataType.simpleString()
-    return rows.select(block, "rows").mapInPandas(work, f"{block} {kind}, hb_ord long, ad_ord long, sim double, adjusted double, reason string")
-
-
-def assign(pairs: DataFrame, block: str, threshold: float, adjusted: Column | None = None, fold_rooms: int = FOLD_ROOMS) -> DataFrame:
+def assign(pairs: DataFrame, block: str, threshold: float, adjusted: Column | None = None) -> DataFrame:
     """block, hb_ord, ad_ord, sim, adjusted, reason: a row per hb room that has ad rooms in its block; ad_ord is null where unmatched.
 
     Each hb room, in order, takes its best unused candidate: raw similarity and ``adjusted`` (if given) must reach the
@@ -89,15 +53,36 @@ def assign(pairs: DataFrame, block: str, threshold: float, adjusted: Column | No
     """
     adj = F.coalesce(adjusted, F.col("sim")) if adjusted is not None else F.col("sim")
     raw = F.coalesce(F.col("sim") >= threshold, F.lit(False)) & ~F.isnan("sim")
-    order = F.struct((-adj).alias("a"), (-F.col("sim")).alias("b"), F.col("ad_ord").alias("ad_ord"), F.col("sim").alias("sim"), adj.alias("adjusted"))
+    order = F.struct((-adj).alias("a"), (-F.col("sim")).alias("b"), F.col("ad_ord").cast("long").alias("ad_ord"), F.col("sim").alias("sim"), adj.alias("adjusted"))
     rooms = pairs.groupBy(block, F.col("hb_ord").cast("long").alias("hb_ord")).agg(
         F.array_sort(F.collect_list(F.when(raw & (adj >= threshold), order))).alias("valid"),
-        F.collect_list(F.when(raw, F.col("ad_ord").cast("long"))).alias("raw"),
+        F.collect_list(F.when(raw & ~(adj >= threshold), F.col("ad_ord").cast("long"))).alias("failed"),
         F.coalesce((F.count_if(F.col("sim").isNull() | F.isnan("sim")) == 0) & (F.max("sim") < threshold), F.lit(False)).alias("below"),
     )
-    valid = F.transform("valid", lambda c: F.struct(c["ad_ord"].cast("long").alias("ad_ord"), c["sim"].alias("sim"), c["adjusted"].alias("adjusted"))).alias("valid")
-    rows = rooms.groupBy(block).agg(F.array_sort(F.collect_list(F.struct("hb_ord", valid, "raw", "below"))).alias("rows"))
-    return _folded(rows.where(F.size("rows") <= fold_rooms), block).unionByName(_looped(rows.where(F.size("rows") > fold_rooms), block))
+    rows = rooms.select(F.col(block).alias("block"), "hb_ord", F.col("valid.ad_ord").alias("ords"), F.col("valid.sim").alias("sims"), F.col("valid.adjusted").alias("adjs"), "failed", "below")
+    kind = rows.schema["block"].dataType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, used = object(), set()
+        for b in batches:
+            got, picked = [], []
+            for at, ords, failed, below in zip(*(b.column(c).to_pylist() for c in ("block", "ords", "failed", "below")), strict=True):
+                if at != now:
+                    now, used = at, set()
+                hit = next((i for i, o in enumerate(ords) if o not in used), None)
+                if hit is not None:
+                    used.add(ords[hit])
+                    got.append(None)
+                elif any(o not in used for o in failed):
+                    got.append("failed_validation_checks")
+                else:
+                    got.append("below_threshold" if below else "no_match_found")
+                picked.append(hit)
+            of = lambda c: [None if i is None else x[i] for x, i in zip(b.column(c).to_pylist(), picked, strict=True)]  # noqa: B023, E731
+            yield pa.RecordBatch.from_arrays([b.column("block"), b.column("hb_ord"), pa.array(of("ords"), pa.int64()), pa.array(of("sims"), pa.float64()), pa.array(of("adjs"), pa.float64()), pa.array(got, pa.string())], ["block", "hb_ord", "ad_ord", "sim", "adjusted", "reason"])
+
+    found = rows.repartition("block").sortWithinPartitions("block", "hb_ord").mapInArrow(work, f"block {kind}, hb_ord long, ad_ord long, sim double, adjusted double, reason string")
+    return found.withColumnRenamed("block", block)
 
 
 def match_rooms(hb: DataFrame, ad: DataFrame, block: str, vec: str, threshold: float = ST_THRESHOLD) -> DataFrame:

@@ -2,21 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+_BUCKETS = 500_000
+
+
+def _zero(c: Column) -> Column:
+    return F.coalesce(c, F.lit(0.0))
+
+
+def exact_median(df: DataFrame, col: str, name: str) -> DataFrame:
+    """One row: the interpolated median of a column, 0.0 over nothing.
+
+    Values are counted in buckets of 1 / 500,000 over [-1, 1] (the last ones are open), so no task sees more than a million
+    counts; only the buckets that hold the middle are ordered.
+    """
+    values = df.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("x"))
+    values = values.withColumn("b", F.floor((F.least(F.greatest("x", F.lit(-1.0)), F.lit(1.0)) + 1) * _BUCKETS).cast("int"))
+    order = Window.orderBy("b")
+    counts = values.groupBy("b").agg(F.count("*").alias("n"))
+    sums = counts.select("b", "n", F.sum("n").over(order).alias("upto"), F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"))
+    middle = F.explode(F.array(F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)))
+    wanted = sums.select("b", "n", "upto", middle.alias("k")).where((F.col("k") < F.col("upto")) & (F.col("k") >= F.col("upto") - F.col("n"))).select("b", (F.col("k") - F.col("upto") + F.col("n")).alias("r"))
+    near = values.join(F.broadcast(wanted.select("b").distinct()), "b", "left_semi")  # at most two buckets
+    ranked = near.withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy("x")).cast("long") - 1)
+    return ranked.join(F.broadcast(wanted), ["b", "r"]).agg(_zero(F.sum("x") / 2).alias(name))
+
+
 def similarity_stats(sim: str, prefix: str = "") -> list[Column]:
-    """mean, median, min and max of a column; 0.0 over nothing."""
-    zero = lambda c: F.coalesce(c, F.lit(0.0))
-    return [zero(f(sim)).alias(f"{prefix}{n}") for n, f in (("mean", F.avg), ("median", F.median), ("min", F.min), ("max", F.max))]
+    """mean, min and max of a column; 0.0 over nothing."""
+    return [_zero(f(sim)).alias(f"{prefix}{n}") for n, f in (("mean", F.avg), ("min", F.min), ("max", F.max))]
 
 
 def match_summary(assigned: DataFrame, ad_unmatched: DataFrame, block: str) -> DataFrame:
-    """One row: pairs, matches, unmatched rooms per side and statistics of the similarities."""
+    """One row: pairs, matches, unmatched rooms per side and statistics of the similarities, with exact medians."""
     got = F.col("ad_ord").isNotNull()
     main = assigned.agg(F.countDistinct(block).alias("pairs"), F.count_if(got).alias("matches"), F.count_if(~got).alias("unmatched_hb"), *similarity_stats("sim"), *similarity_stats("adjusted", "adjusted_"))
-    return main.join(F.broadcast(ad_unmatched.agg(F.count("*").alias("unmatched_ad"))))
+    out = main.join(F.broadcast(ad_unmatched.agg(F.count("*").alias("unmatched_ad"))))
+    for col, prefix in (("sim", ""), ("adjusted", "adjusted_")):
+        out = out.join(F.broadcast(exact_median(assigned, col, f"{prefix}median")))
+    return out
 
 
 def flag_counts(matches: DataFrame) -> DataFrame:
@@ -45,3 +72,8 @@ def hotel_confidence(matches: DataFrame, hotel: str, matched: str) -> DataFrame:
 def char_batches(texts: DataFrame, text_col: str, batch: int = 30) -> DataFrame:
     """chars and mean length per batch of ``batch`` texts in the order of ord."""
     return texts.groupBy(F.floor(F.col("ord") / batch).alias("batch")).agg(F.sum(F.length(text_col)).alias("chars"), F.avg(F.length(text_col)).alias("mean_chars"))
+
+
+def samples(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The first n rows in the given order, for a look at results."""
+    return df.orderBy(*order).limit(n)
