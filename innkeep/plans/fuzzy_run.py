@@ -26,6 +26,20 @@ def read_rooms(spark: SparkSession, path: str, lines: bool = False) -> DataFrame
     return recs.selectExpr("ord", *[f"try_variant_get(rec, '$.{f}', 'string') AS {f}" for f in FIELDS])
 
 
+def read_mappings(spark: SparkSession, path: str) -> DataFrame:
+    """Mappings of an earlier run: the table it wrote, or a JSON document whose ``mappings`` hold source_room and target_room."""
+    if not path.endswith(".json"):
+        return spark.read.parquet(path)
+    room = "struct<code:string,name:string,description:string>"
+    kind = f"mappings array<struct<source_room:{room},target_room:{room},match_score:double,match_type:string,confidence:double>>"
+    rows = spark.read.json(path, multiLine=True, schema=kind).select(F.posexplode("mappings").alias("ord", "m"))
+    side = lambda p, c, name: F.col(f"m.{p}_room.{c}").alias(name)
+    return rows.select(
+        F.col("ord").cast("long").alias("ord"), side("source", "code", "code"), side("source", "name", "name"), side("source", "description", "description"), side("target", "code", "target_code"), side("target", "name", "target_name"),
+        F.when(F.col("m.target_room").isNotNull(), F.col("ord").cast("long")).alias("target_ord"), "m.match_score", "m.match_type", "m.confidence",
+    )
+
+
 def learned(rooms: DataFrame) -> dict[str, DataFrame]:
     """All patterns of a room list, by name."""
     texts = rooms.withColumn("text", F.lower(F.coalesce(F.nullif("name", F.lit("")), F.nullif("description", F.lit("")), F.lit(""))))
@@ -63,7 +77,7 @@ def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(description="Map each room of a list to its most similar room of another.")
     p.add_argument("source", nargs="?")
     p.add_argument("target", nargs="?")
-    p.add_argument("--from", dest="earlier", help="mappings of an earlier run, to filter anew")
+    p.add_argument("--from", dest="earlier", help="mappings of an earlier run (its table, or a .json document), to filter anew")
     p.add_argument("--output-dir", default="out")
     p.add_argument("--first", type=int, help="only so many source rooms")
     p.add_argument("--patterns", action="store_true", help="also write the patterns of all rooms")
@@ -74,7 +88,7 @@ def main(argv: list[str] | None = None) -> int:
         p.error("two room lists or --from are needed")
     spark = SparkSession.builder.appName("innkeep").getOrCreate()
     try:
-        m = spark.read.parquet(a.earlier) if a.earlier else map_rooms(spark, a.source, a.target, a.output_dir, a.first, a.patterns, a.lines)
+        m = read_mappings(spark, a.earlier) if a.earlier else map_rooms(spark, a.source, a.target, a.output_dir, a.first, a.patterns, a.lines)
         print(json.dumps(post_filter(m, a.output_dir, a.strict)))
     except KeyboardInterrupt:
         return 130

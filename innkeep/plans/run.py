@@ -1,7 +1,8 @@
-"""The catalog pipeline as one plan, and its command line.
+"""The catalog pipeline and its command line.
 
-Steps: load and validate, enrich, normalize, embed, match, report. Enrichment is optional and never stops the run; a step
-that fails ends it. Only embeddings are written in between, keyed by the text, as they are the costly part.
+Stages: load and validate, enrich, normalize, embed, match, report. Each reads what the stages before it wrote below the
+output folder and writes its own tables there, so a stage also runs alone (``--stage``). Enrichment is optional and never
+stops the run; any other stage that fails ends it.
 """
 
 from __future__ import annotations
@@ -10,17 +11,21 @@ import argparse
 import json
 import sys
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from innkeep import settings
 from innkeep.functions.scoring import Penalties
 from innkeep.operators import embed, enrich, matching, results, summary
 from innkeep.sources import hotels as src
 from innkeep.sources import tables
 
+SIDES = (("hotelbeds", src.HOTELBEDS), ("axisdata", src.AXISDATA))
+
 
 @dataclass
 class Config:
@@ -37,62 +42,144 @@ class Config:
     lines: bool = False
     skip_enrichment: bool = False
     skip_embeddings: bool = False
+    skip_normalization: bool = False
+    document: bool = True  # also write all results as one JSON document, which must fit one row
+
+    def path(self, name: str) -> str:
+        return f"{self.output_dir}/{name}"
+
+
+def _keep(df: DataFrame, cfg: Config, name: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(cfg.path(name))
+    return df.sparkSession.read.parquet(cfg.path(name))
 
 
-def _enriched(spark: SparkSession, flat: DataFrame, cfg: Config) -> DataFrame:
-    if cfg.skip_enrichment or not cfg.catalog:
-        return flat
-    recs = src.read_records(spark, cfg.catalog)
+def _read(spark: SparkSession, cfg: Config, name: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(cfg.path(name))
+    except AnalysisException:
+        return None
+
+
+def load(spark: SparkSession, cfg: Config) -> dict:
+    """Validated hotels and flat rooms of both sides, their issues and counts."""
+    counts = {}
+    catalogs = src.load_all(spark, cfg.hotelbeds, cfg.axisdata, cfg.strict, cfg.lines)
+    for name, provider in SIDES:
+        cat = catalogs[name]
+        tables.write_rows(cat.issues, cfg.path(f"issues_{name}"))
+        counts[name] = cat.stats().first().asDict()
+        _keep(src.hotel_members(cat, provider), cfg, f"hotels_{name}")
+        _keep(src.flat_rooms(cat, provider), cfg, f"rooms_{name}")
+    return counts
+
+
+def type_catalog(spark: SparkSession, path: str) -> DataFrame:
+    """Room types of a JSON file."""
+    recs = src.read_records(spark, path)
     fields = ["code", "codeDescription", "type"]
-    types = enrich.catalog(recs.selectExpr("ord", *[f"try_variant_get(rec, '$.{f}', 'string') AS {f}" for f in fields], "CASE WHEN schema_of_variant(try_variant_get(rec, '$.occupancies', 'variant')) LIKE 'ARRAY%' THEN 1 END AS occupancies"))
-    return enrich.enrich(flat, types, "hotel_ord").drop("enriched")
+    return enrich.catalog(recs.selectExpr("ord", *[f"try_variant_get(rec, '$.{f}', 'string') AS {f}" for f in fields], "CASE WHEN schema_of_variant(try_variant_get(rec, '$.occupancies', 'variant')) LIKE 'ARRAY%' THEN 1 END AS occupancies"))
+
+
+def enrich_rooms(spark: SparkSession, cfg: Config) -> dict:
+    """The first side's rooms with descriptions of the room-type catalog."""
+    found = enrich.enrich(spark.read.parquet(cfg.path("rooms_hotelbeds")), type_catalog(spark, cfg.catalog), "hotel_ord")
+    found = _keep(found, cfg, "enriched_hotelbeds")
+    tables.write_rows(found, cfg.path("enriched_hotelbeds_rows"))
+    return enrich.enrichment_stats(found).first().asDict()
+
+
+def normalize(spark: SparkSession, cfg: Config) -> dict:
+    """Normalized rooms and hotels of both sides, with their metadata."""
+    out = {}
+    for name, provider in SIDES:
+        flat = _read(spark, cfg, f"enriched_{name}") if name == "hotelbeds" and cfg.catalog and not cfg.skip_enrichment else None
+        flat = spark.read.parquet(cfg.path(f"rooms_{name}")) if flat is None else flat
+        rooms = _keep(src.normalized_rooms(flat, provider), cfg, f"normalized_rooms_{name}")
+        hotels = src.nested_hotels(rooms, spark.read.parquet(cfg.path(f"hotels_{name}")))
+        tables.write_rows(hotels, cfg.path(f"normalized_{name}"))
+        meta = summary.normalization_metadata(hotels).withColumn("source", F.lit(name))
+        tables.write_document(meta, cfg.path(f"normalized_{name}_metadata"))
+        out[name] = meta.first().asDict()
+        if cfg.document:
+            more = {k: v for k, v in out[name].items() if k != "total_count"}
+            tables.write_document(tables.enveloped(hotels, "hotels", ["hotel_ord"], **more), cfg.path(f"normalized_{name}_document"))
+    return out
 
 
-def _rooms(normalized: DataFrame, cfg: Config, provider: str) -> DataFrame:
-    texts = embed.described_texts(normalized, provider) if cfg.method == "validated" else embed.plain_texts(normalized)
-    return texts.withColumn("ord", F.col("room_ord"))
+def embed_rooms(spark: SparkSession, cfg: Config) -> dict:
+    """Embeddings of the rooms of both sides."""
+    out = {}
+    for name, _ in SIDES:
+        rooms = spark.read.parquet(cfg.path(f"normalized_rooms_{name}"))
+        texts = embed.described_texts(rooms, name) if cfg.method == "validated" else embed.plain_texts(rooms)
+        kept = _keep(embed.embed(texts.withColumn("ord", F.col("room_ord")), cfg.embedder, cfg.dimensions), cfg, f"embeddings_{name}")
+        out[name] = kept.count()
+    return out
 
 
-def run(spark: SparkSession, cfg: Config) -> dict:
-    """Run all steps; returns the report, which is also written beside the results."""
-    began = datetime.now(timezone.utc)
-    steps: list[str] = []
-    sides = {}
-    for name, path, provider in (("hotelbeds", cfg.hotelbeds, src.HOTELBEDS), ("axisdata", cfg.axisdata, src.AXISDATA)):
-        cat = src.load_catalog(spark, path, provider, cfg.strict, cfg.lines)
-        flat = src.flat_rooms(cat, provider)
-        flat = _enriched(spark, flat, cfg) if name == "hotelbeds" else flat
-        rooms = src.normalized_rooms(flat, provider)
-        hotels = src.normalized_hotels(rooms, cat, provider)
-        tables.write_rows(hotels, f"{cfg.output_dir}/normalized_{name}")
-        kept = f"{cfg.output_dir}/embeddings_{name}"
-        if not cfg.skip_embeddings:
-            embed.embed(_rooms(rooms, cfg, name), cfg.embedder, cfg.dimensions).write.mode("overwrite").parquet(kept)
-        sides[name] = (cat, hotels.select("hotel_ord", "place_id", "hotel_code", "hotel_name"), spark.read.parquet(kept))
-    steps += ["load_data", "enrich" if cfg.catalog and not cfg.skip_enrichment else "enrich_skipped", "normalize", "embed_skipped" if cfg.skip_embeddings else "embed"]
-    hb, ad = sides["hotelbeds"], sides["axisdata"]
-    pairs = matching.hotel_pairs(hb[1], ad[1]).withColumn("pair", F.struct("hb_hotel_ord", "ad_hotel_ord").cast("string"))
-    of = lambda side, p: side[2].select("hotel_ord", "ord", "room_code", "room_id", "text_for_embedding", "embedding", F.col("text_for_embedding").alias("text"), F.struct("occupancy.max_occupancy", "occupancy.max_adults", "occupancy.max_children").alias("occupancy")).join(pairs.select("pair", F.col(f"{p}_hotel_ord").alias("hotel_ord")), "hotel_ord")
-    hb_rooms, ad_rooms = of(hb, "hb"), of(ad, "ad")
+def match(spark: SparkSession, cfg: Config) -> dict:
+    """Hotel pairs with matched and unmatched rooms, from embeddings and hotels."""
+    side = {name: (spark.read.parquet(cfg.path(f"hotels_{name}")).select("hotel_ord", "place_id", "hotel_code", "hotel_name"), spark.read.parquet(cfg.path(f"embeddings_{name}"))) for name, _ in SIDES}
+    (hb_hotels, hb_emb), (ad_hotels, ad_emb) = side["hotelbeds"], side["axisdata"]
+    pairs = matching.hotel_pairs(hb_hotels, ad_hotels).withColumn("pair", F.struct("hb_hotel_ord", "ad_hotel_ord").cast("string"))
+    room = ["hotel_ord", "ord", "room_code", "room_id", "text_for_embedding", "embedding", F.col("text_for_embedding").alias("text"), F.struct("occupancy.max_occupancy", "occupancy.max_adults", "occupancy.max_children").alias("occupancy")]
+    hb_rooms, ad_rooms = (emb.select(*room).join(pairs.select("pair", F.col(f"{p}_hotel_ord").alias("hotel_ord")), "hotel_ord") for emb, p in ((hb_emb, "hb"), (ad_emb, "ad")))
     if cfg.method == "validated":
         threshold = cfg.threshold or matching.GM_THRESHOLD
         assigned = matching.match_rooms_validated(hb_rooms, ad_rooms, "pair", "embedding", threshold, cfg.penalties)
     else:
         threshold = cfg.threshold or matching.ST_THRESHOLD
         assigned = matching.match_rooms(hb_rooms, ad_rooms, "pair", "embedding", threshold)
-    assigned.write.mode("overwrite").parquet(f"{cfg.output_dir}/assigned")
-    assigned = spark.read.parquet(f"{cfg.output_dir}/assigned")
-    unmatched = matching.unmatched_rooms(hb_rooms, ad_rooms, assigned, "pair")
+    assigned = _keep(assigned, cfg, "assigned")
+    unmatched = _keep(matching.unmatched_rooms(hb_rooms, ad_rooms, assigned, "pair"), cfg, "unmatched")
     report = results.pair_report(pairs, hb_rooms, ad_rooms, assigned, unmatched)
-    tables.write_rows(report, f"{cfg.output_dir}/hotel_pairs")
-    tables.write_document(results.mapped_document(report, assigned, unmatched.where("side = 'ad'"), similarity_threshold=threshold, strategy="rank_1_greedy", method=cfg.method), f"{cfg.output_dir}/mapped")
-    tables.audit(assigned.where("ad_ord is not null"), "room_match", f"{cfg.output_dir}/audit")
-    steps.append("match")
-    totals = summary.match_summary(assigned, unmatched.where("side = 'ad'"), "pair").first().asDict()
+    tables.write_rows(report, cfg.path("hotel_pairs"))
+    ad_unmatched = unmatched.where("side = 'ad'")
+    if cfg.document:
+        tables.write_document(results.mapped_document(report, assigned, ad_unmatched, similarity_threshold=threshold, strategy="rank_1_greedy", method=cfg.method), cfg.path("mapped"))
+    tables.audit(pairs.select("place_id", "hb_hotel_code", "ad_hotel_code"), "hotel_match", cfg.path("audit"))
+    tables.audit(assigned.where("ad_ord is not null"), "room_match", cfg.path("audit"))
+    return summary.match_summary(assigned, ad_unmatched, "pair").first().asDict()
+
+
+STAGES = {"load": load, "enrich": enrich_rooms, "normalize": normalize, "embed": embed_rooms, "match": match}
+
+
+def run(spark: SparkSession, cfg: Config, stage: str | None = None) -> dict:
+    """Run all stages, or one; returns the report, which is also written beside the results."""
+    began = datetime.now(timezone.utc)
+    skip = {"enrich": cfg.skip_enrichment or not cfg.catalog, "normalize": cfg.skip_normalization, "embed": cfg.skip_embeddings}
+    steps, out = [], {}
+    log = settings.logger()
+    tables.audit_event(spark, "pipeline_start", {"method": cfg.method, "stage": stage or "all"}, cfg.path("audit"))
+    for name, work in STAGES.items():
+        if stage not in (None, name):
+            continue
+        if stage is None and skip.get(name):
+            steps.append(f"{name}_skipped")
+            continue
+        try:
+            out[name] = work(spark, cfg)
+            steps.append(name)
+        except Exception as e:
+            log.error("%s failed: %s", name, e)
+            tables.audit_event(spark, "error", {"stage": name, "message": str(e)[:1000]}, cfg.path("audit"))
+            if name != "enrich" or stage is not None:
+                raise
+            steps.append("enrich_failed")
+            cfg = replace(cfg, skip_enrichment=True)
+        log.info("%s done", steps[-1])
     ended = datetime.now(timezone.utc)
-    out = {"start": began.isoformat(), "end": ended.isoformat(), "duration_seconds": (ended - began).total_seconds(), "steps": steps, "total_hotels": sum(s[1].count() for s in sides.values()), "summary": totals}
-    spark.createDataFrame([(json.dumps(out),)], "value string").coalesce(1).write.mode("overwrite").text(f"{cfg.output_dir}/report")
-    return out
+    report = {"start": began.isoformat(), "end": ended.isoformat(), "duration_seconds": (ended - began).total_seconds(), "steps": steps}
+    if "load" in out:
+        report["total_hotels"] = sum(c["valid_hotels"] for c in out["load"].values())
+    report |= {"summary": out["match"]} if "match" in out else {}
+    report["stages"] = {k: v for k, v in out.items() if k != "match"}
+    name = "report" if stage is None else f"report_{stage}"
+    spark.createDataFrame([(json.dumps(report, default=str),)], "value string").coalesce(1).write.mode("overwrite").text(cfg.path(name))
+    tables.audit_event(spark, "pipeline_complete", {"duration_seconds": str(report["duration_seconds"])}, cfg.path("audit"))
+    return report
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -100,17 +187,24 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("hotelbeds")
     p.add_argument("axisdata")
     p.add_argument("--catalog")
-    p.add_argument("--output-dir", default="out")
+    p.add_argument("--output-dir", default=settings.Settings.from_env().output_dir)
     p.add_argument("--method", choices=["plain", "validated"], default="plain")
     p.add_argument("--threshold", type=float)
     p.add_argument("--strict", action="store_true")
     p.add_argument("--lines", action="store_true", help="one hotel per line")
     p.add_argument("--skip-enrichment", action="store_true")
+    p.add_argument("--skip-normalization", action="store_true", help="use that of an earlier run")
     p.add_argument("--skip-embeddings", action="store_true", help="use those of an earlier run")
+    p.add_argument("--no-document", action="store_true", help="rows only, no document of all results")
+    p.add_argument("--stage", choices=list(STAGES), help="only this stage, on what earlier ones wrote")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("innkeep").getOrCreate()
     try:
-        print(json.dumps(run(spark, Config(a.hotelbeds, a.axisdata, a.output_dir, a.catalog, a.method, a.threshold, strict=a.strict, lines=a.lines, skip_enrichment=a.skip_enrichment, skip_embeddings=a.skip_embeddings))))
+        cfg = Config(
+            a.hotelbeds, a.axisdata, a.output_dir, a.catalog, a.method, a.threshold, strict=a.strict, lines=a.lines, skip_enrichment=a.skip_enrichment,
+            skip_embeddings=a.skip_embeddings, skip_normalization=a.skip_normalization, document=not a.no_document,
+        )
+        print(json.dumps(run(spark, cfg, a.stage), default=str))
     except KeyboardInterrupt:
         return 130
     except Exception as e:

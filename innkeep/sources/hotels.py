@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from innkeep.functions import occupancy, text
 
 
+#: Spark's limit of a variant, in bytes.
+VARIANT_BYTES = 128 << 20
+
+
 class CatalogError(Exception):
     """A catalog that can't be read."""
 
@@ -53,14 +57,20 @@ class Catalog:
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """doc: each file of the path as a variant; CatalogError for what is missing, a folder without files, or no JSON."""
+    """doc: each file of the path as a variant; CatalogError for what is missing, a folder without files, too large or no JSON."""
     try:
         raw = spark.read.text(path, wholetext=True)
-        head = raw.select(F.count_if(F.try_parse_json("value").isNull()).alias("bad"), F.count("*").alias("n")).first()
+        head = raw.select(
+            F.count_if(F.try_parse_json("value").isNull()).alias("bad"), F.count_if(F.octet_length("value") > VARIANT_BYTES).alias("large"), F.count_if(~F.is_valid_utf8("value")).alias("garbled"), F.count("*").alias("n")
+        ).first()
     except AnalysisException as e:
         raise CatalogError(f"File not found: {path}") from e
     if not head["n"]:
         raise CatalogError(f"Not a file: {path}")
+    if head["large"]:
+        raise CatalogError(f"A document above {VARIANT_BYTES >> 20} MB in {path}: give one record per line (lines)")
+    if head["garbled"]:
+        raise CatalogError(f"Not UTF-8: {path}")
     if head["bad"]:
         raise CatalogError(f"Invalid JSON in {path}")
     return raw.select(F.parse_json("value").alias("doc"))
@@ -169,12 +179,11 @@ def with_room_issues(rooms: DataFrame, p: Provider) -> DataFrame:
     return facts.select(*rooms.columns, F.concat("w1", "w2").alias("warnings"), (F.col("reached") & (F.size("w2") == 0)).alias("occupancy_ok"))
 
 
-def load_catalog(spark: SparkSession, path: str, provider: Provider, strict: bool = False, lines: bool = False) -> Catalog:
-    """Read and validate a catalog; ``strict`` raises if any hotel has an error."""
-    recs = read_records(spark, path, lines).withColumnRenamed("ord", "hotel_ord")
+def validated(recs: DataFrame, provider: Provider, strict: bool = False) -> Catalog:
+    """The catalog of records (hotel_ord, rec); ``strict`` raises if any hotel has an error."""
     recs = with_hotel_issues(recs).withColumn("valid", F.size("errors") == 0)
     valid = recs.where("valid")
-    rooms = spark.sql("SELECT hotel_ord, CAST(pos AS BIGINT) AS room_ord, value AS room FROM {v}, LATERAL variant_explode(try_variant_get(rec, '$.rooms', 'variant'))", v=valid)
+    rooms = recs.sparkSession.sql("SELECT hotel_ord, CAST(pos AS BIGINT) AS room_ord, value AS room FROM {v}, LATERAL variant_explode(try_variant_get(rec, '$.rooms', 'variant'))", v=valid)
     rooms = with_room_issues(rooms, provider)
     none = valid.where("try_variant_get(rec, '$.rooms[0]', 'variant') IS NULL").select(
         F.lit("warning").alias("level"), "hotel_ord", F.lit(None).cast("long").alias("room_ord"), F.expr("concat('Hotel #', hotel_ord, ' (', coalesce(try_variant_get(rec, '$.hotelCode', 'string'), 'UNKNOWN'), '): No rooms defined')").alias("message")
@@ -186,18 +195,38 @@ def load_catalog(spark: SparkSession, path: str, provider: Provider, strict: boo
     return Catalog(recs.select("hotel_ord", "rec", "valid"), rooms, issues)
 
 
+def load_catalog(spark: SparkSession, path: str, provider: Provider, strict: bool = False, lines: bool = False) -> Catalog:
+    """Read and validate a catalog."""
+    return validated(read_records(spark, path, lines).withColumnRenamed("ord", "hotel_ord"), provider, strict)
+
+
+def load_all(spark: SparkSession, hotelbeds: str, axisdata: str, strict: bool = False, lines: bool = False) -> dict[str, Catalog]:
+    """Both suppliers' catalogs by name."""
+    return {"hotelbeds": load_catalog(spark, hotelbeds, HOTELBEDS, strict, lines), "axisdata": load_catalog(spark, axisdata, AXISDATA, strict, lines)}
+
+
 def _text(v: str, key: str, absent: str) -> str:
     """A text member: ``absent`` (SQL) if the key is missing, null if it is null."""
     return f"CASE WHEN {_get(v, key)} IS NULL THEN {absent} ELSE try_variant_get({v}, '$.{key}', 'string') END"
 
 
+def _members(cat: Catalog) -> DataFrame:
+    return cat.hotels.where("valid").selectExpr(
+        "hotel_ord", "coalesce(try_variant_get(rec, '$._id.oid', 'string'), '') AS hotel_id", "try_variant_get(rec, '$.placeId', 'string') AS place_id", "try_variant_get(rec, '$.hotelCode', 'string') AS hotel_code", "try_variant_get(rec, '$.name', 'string') AS hotel_name"
+    )
+
+
+def hotel_members(cat: Catalog, p: Provider) -> DataFrame:
+    """Valid hotels without their rooms."""
+    named = _members(cat).withColumn("normalized_hotel_name", text.normalize_full(F.col("hotel_name"), remove_special=False))
+    return named.withColumn("source", F.lit(p.name.lower()))
+
+
 def flat_rooms(cat: Catalog, p: Provider) -> DataFrame:
     """A row per room of valid hotels: hotel and room members as columns; occupancies as a struct of the provider's fields."""
     occ = ", ".join(f"'{f}', try_variant_get(room, '$.occupancies.{f}', '{t}')" for f, t in p.ints.items())
     has = f"NOT {_falsy(_get('room', 'occupancies'))} AND {_kind(_get('room', 'occupancies'))} = 'dict'"
-    hotels = cat.hotels.where("valid").selectExpr(
-        "hotel_ord", "coalesce(try_variant_get(rec, '$._id.oid', 'string'), '') AS hotel_id", "try_variant_get(rec, '$.placeId', 'string') AS place_id", "try_variant_get(rec, '$.hotelCode', 'string') AS hotel_code", "try_variant_get(rec, '$.name', 'string') AS hotel_name"
-    )
+    hotels = _members(cat)
     rooms = cat.rooms.selectExpr(
         "hotel_ord", "room_ord", f"{_text('room', 'id', _q(''))} AS room_id", f"{_text('room', p.room_code, _q(''))} AS room_code", f"{_text('room', 'name', _q('Unknown Room'))} AS name",
         f"{_get('room', 'description')} IS NOT NULL AS has_description", "try_variant_get(room, '$.description', 'string') AS description",
@@ -226,16 +255,17 @@ _ROOM = ["room_id", "room_code", "room_name", "room_description", "code_descript
 _HOTEL = ["hotel_ord", "hotel_id", "place_id", "hotel_code", "hotel_name", "normalized_hotel_name", "source"]
 
 
-def normalized_hotels(rooms: DataFrame, cat: Catalog, p: Provider) -> DataFrame:
-    """Hotels with their rooms nested in input order; hotels without rooms stay."""
+def nested_hotels(rooms: DataFrame, hotels: DataFrame) -> DataFrame:
+    """Hotels (of ``hotel_members``) with their normalized rooms nested in input order; hotels without rooms stay."""
     nested = rooms.groupBy("hotel_ord").agg(F.transform(F.array_sort(F.collect_list(F.struct("room_ord", F.struct(*_ROOM).alias("r")))), lambda x: x["r"]).alias("rooms"))
-    hotels = cat.hotels.where("valid").selectExpr(
-        "hotel_ord", "coalesce(try_variant_get(rec, '$._id.oid', 'string'), '') AS hotel_id", "try_variant_get(rec, '$.placeId', 'string') AS place_id", "try_variant_get(rec, '$.hotelCode', 'string') AS hotel_code", "try_variant_get(rec, '$.name', 'string') AS hotel_name"
-    )
-    hotels = hotels.withColumn("normalized_hotel_name", text.normalize_full(F.col("hotel_name"), remove_special=False)).withColumn("source", F.lit(p.name.lower()))
     return hotels.join(nested, "hotel_ord", "left").select(*_HOTEL, F.coalesce("rooms", F.expr("CAST(array() AS array<" + rooms.select(F.struct(*_ROOM).alias("r")).schema["r"].dataType.simpleString() + ">)")).alias("rooms"))
 
 
+def normalized_hotels(rooms: DataFrame, cat: Catalog, p: Provider) -> DataFrame:
+    """Valid hotels of a catalog with their normalized rooms."""
+    return nested_hotels(rooms, hotel_members(cat, p))
+
+
 def extract_occupancy(flat: DataFrame, p: Provider) -> DataFrame:
     """hotel_code, room_code and the normalized occupancy of every room that has one."""
     occ = occupancy.from_axisdata(F.col("occupancies")) if p.textual else occupancy.from_hotelbeds(F.col("occupancies"))

@@ -26,6 +26,11 @@ def room_embeddings(spark: SparkSession, path: str) -> DataFrame:
     return rooms.fillna("", ["text_for_embedding", "base_description", "occupancy_text"])
 
 
+def load_embeddings(spark: SparkSession, hotels_hb: str, rooms_hb: str, hotels_ad: str, rooms_ad: str) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """Hotels and rooms of both suppliers from their embedding envelopes."""
+    return {"hotelbeds": (hotel_embeddings(spark, hotels_hb), room_embeddings(spark, rooms_hb)), "axisdata": (hotel_embeddings(spark, hotels_ad), room_embeddings(spark, rooms_ad))}
+
+
 def write_document(df: DataFrame, path: str) -> None:
     """One row as one JSON document."""
     df.coalesce(1).write.mode("overwrite").json(path)
@@ -46,3 +51,8 @@ def enveloped(rows: DataFrame, name: str, order: list[str], **metadata) -> DataF
 def audit(df: DataFrame, event: str, path: str) -> None:
     """Append an event per row: timestamp, event_type and data."""
     df.select(F.current_timestamp().cast("string").alias("timestamp"), F.lit(event).alias("event_type"), F.struct(*df.columns).alias("data")).write.mode("append").json(path)
+
+
+def audit_event(spark: SparkSession, event: str, data: dict[str, str], path: str) -> None:
+    """Append one event of the pipeline itself: start, completion, an error."""
+    audit(spark.createDataFrame([tuple(str(v) for v in data.values())], ", ".join(f"{k} string" for k in data)), event, path)
