@@ -105,13 +105,6 @@ def occupancy_text(spark, d):
     return _occ(spark, d).select("l_orderkey", "l_linenumber", occupancy.describe(F.col("occ")).alias("said"))
 
 
-def validate_records(spark, d):
-    o = table(spark, d, "orders")
-    rules = {"empty_priority": F.col("o_orderpriority").startswith("1"), "low_price": F.col("o_totalprice") < 1000, "open": F.col("o_orderstatus") == "O"}
-    issues = F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()]), lambda x: x.isNotNull())
-    return o.select(F.explode(issues).alias("issue")).groupBy("issue").agg(F.count("*").alias("n"))
-
-
 def cosine_pairs(spark, d):
     p = matching.room_pairs(*_sides(spark, d), "label", "embedding")
     return p.where(F.col("sim") >= T).select("label", "hb_ord", "ad_ord", F.round("sim", 6).alias("sim"))
@@ -153,13 +146,6 @@ def match_summary(spark, d):
     return s.select("pairs", "matches", "unmatched_hb", "unmatched_ad", *[F.round(f"{p}{c}", 6).alias(f"{p}{c}") for p in ("", "adjusted_") for c in ("mean", "median", "min", "max")])
 
 
-def mapped_report(spark, d):
-    hb, ad, a = _st(spark, d)
-    got = a.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.when(F.col("ad_ord").isNotNull(), F.struct("hb_ord", "ad_ord")))), lambda m: F.concat_ws("-", m["hb_ord"].cast("string"), m["ad_ord"].cast("string"))).alias("m"))
-    totals = lambda df, n: df.groupBy("label").agg(F.count("*").alias(n))
-    return got.join(totals(hb, "hb_total"), "label").join(totals(ad, "ad_total"), "label").select("label", "hb_total", "ad_total", F.array_join("m", ",").alias("matches"))
-
-
 def hotel_totals(spark, d):
     return summary.hotel_totals(table(spark, d, "lineitem"), "l_orderkey")
 
@@ -204,7 +190,7 @@ def code_prefixes(spark, d):
 
 
 def type_categories(spark, d):
-    return learn.type_categories(_words(spark, d).select("ord", "type", F.col("name").alias("text"))).select("category", F.size("texts").alias("n"), F.element_at("texts", 1).alias("first"))
+    return learn.type_categories(_words(spark, d).select("ord", "type", F.col("name").alias("text"))).groupBy("category").agg(F.count("*").cast("int").alias("n"), F.min_by("text", "ord").alias("first"))
 
 
 def categories(spark, d):
@@ -271,7 +257,7 @@ def simplify_mappings(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     hotel_pair_join, unmatched_hotels, catalog_enrich, enrich_stats, keep_last_dedup, keep_first_dedup, normalize_text, normalize_unicode_text, key_terms, safe_int,
-    occupancy_norm, occupancy_text, validate_records, cosine_pairs, greedy_rank1_match, unmatched_with_reason, penalized_match, penalty_flags, match_summary, mapped_report,
+    occupancy_norm, occupancy_text, cosine_pairs, greedy_rank1_match, unmatched_with_reason, penalized_match, penalty_flags, match_summary,
     hotel_totals, hotel_confidence, char_batches, number_words, token_freq, bigrams, trigrams, numeric_patterns, code_prefixes, type_categories, categories, category_rooms,
     word_clusters, jaccard_score, best_match, fuzzy_score, fuzzy_stats, tier_dedup_filter, filter_stats, simplify_mappings,
 )}

@@ -119,7 +119,6 @@ ORACLE: dict[str, str] = {
         CASE WHEN ch > 0 THEN 'up to ' || ch || ' children' || coalesce(' (max age ' || ca || ')', '') END,
         CASE WHEN inf > 0 THEN 'up to ' || inf || ' infants' || coalesce(' (max age ' || ia || ')', '') END,
         CASE WHEN st > 0 THEN 'standard occupancy ' || st END), '') AS said FROM o""",
-    "validate_records": "SELECT issue, count(*) AS n FROM (SELECT 'empty_priority' AS issue FROM orders WHERE o_orderpriority LIKE '1%' UNION ALL SELECT 'low_price' FROM orders WHERE o_totalprice < 1000 UNION ALL SELECT 'open' FROM orders WHERE o_orderstatus = 'O') GROUP BY issue",
     "cosine_pairs": f"WITH {_SIM} SELECT label, hb_ord, ad_ord, round(sim, 6) AS sim FROM p WHERE sim >= {T}",
     "greedy_rank1_match": f"{_ST} SELECT label, hb_ord, ad_ord, round(sim, 6) AS sim FROM a WHERE ad_ord IS NOT NULL",
     "unmatched_with_reason": f"""{_ST}
@@ -134,7 +133,6 @@ UNION ALL SELECT 'hb', label, ord, 'no_axisdata_rooms_available' FROM e WHERE or
         FROM g WHERE sim >= {T}""",
     "match_summary": f"""{_GM} SELECT count(DISTINCT label) AS pairs, count(ad_ord) AS matches, count(*) - count(ad_ord) AS unmatched_hb, any_value({_UNMATCHED_AD}) AS unmatched_ad,
         {', '.join(f"round(coalesce({f}({c}), 0), 6) AS {p}{n}" for p, c in (("", "sim"), ("adjusted_", "adj")) for n, f in (("mean", "avg"), ("median", "median"), ("min", "min"), ("max", "max")))} FROM a""",
-    "mapped_report": f"{_ST} SELECT label, (SELECT count(*) FROM e WHERE e.label = a.label AND ord % 2 = 0) AS hb_total, (SELECT count(*) FROM e WHERE e.label = a.label AND ord % 2 = 1) AS ad_total, coalesce(string_agg(hb_ord || '-' || ad_ord, ',' ORDER BY hb_ord) FILTER (ad_ord IS NOT NULL), '') AS matches FROM a GROUP BY label",
     "hotel_totals": "SELECT l_orderkey, count(*) AS total_rooms FROM lineitem GROUP BY 1",
     "hotel_confidence": "SELECT l_orderkey, round(avg(CASE WHEN l_returnflag = 'N' THEN 1.0 ELSE 0.0 END), 6) AS confidence FROM lineitem GROUP BY 1",
     "char_batches": "SELECT doc_id // 30 AS batch, sum(length(text))::BIGINT AS chars, round(avg(length(text)), 6) AS mean_chars FROM documents GROUP BY 1",
@@ -145,6 +143,14 @@ UNION ALL SELECT 'hb', label, ord, 'no_axisdata_rooms_available' FROM e WHERE or
     "numeric_patterns": f"WITH {_WORDS} SELECT regexp_replace(x, '\\s+', ' ', 'g') AS pattern, count(*) AS n FROM (SELECT unnest(regexp_extract_all(digits, '\\d+\\s+[a-z]+')) AS x FROM d) GROUP BY 1",
     "code_prefixes": "WITH c AS (SELECT p_partkey AS ord, CASE WHEN length(p_brand) > 2 THEN left(p_brand, length(p_brand) - 2) ELSE p_brand END AS c, lower(p_name) AS t FROM part), l AS (SELECT ord, t, left(c, n) AS prefix FROM c, (VALUES (2), (3), (4)) v(n) WHERE length(c) >= n) SELECT prefix, arg_min(t, ord) AS text FROM l GROUP BY prefix",
     "type_categories": "SELECT p_type AS category, count(*)::INTEGER AS n, arg_min(p_name, p_partkey) AS first FROM part WHERE p_type <> '' GROUP BY 1",
+    "word_clusters": f"""WITH RECURSIVE {_WORDS}, {_FIRST}, top AS (SELECT token, row_number() OVER (ORDER BY n DESC, first) AS place FROM fs ORDER BY n DESC, first LIMIT 200),
+      x AS (SELECT list(token ORDER BY place) AS ws FROM top),
+      g(i, taken, cluster) AS (SELECT 0, []::VARCHAR[], []::VARCHAR[] UNION ALL
+        SELECT i + 1, CASE WHEN skip THEN taken ELSE list_concat(taken, near) END, CASE WHEN skip THEN []::VARCHAR[] ELSE near END FROM (
+          SELECT i, taken, list_contains(taken, ws[i + 1]) OR len(ws[i + 1]) <= 3 AS skip,
+            list_concat([ws[i + 1]], list_filter(ws, lambda v: v <> ws[i + 1] AND NOT list_contains(taken, v) AND 1 - levenshtein(ws[i + 1], v)::DOUBLE / greatest(len(ws[i + 1]), len(v)) > 0.5)) AS near
+          FROM g, x WHERE i < len(ws)))
+      SELECT cluster[1] AS leader, array_to_string(cluster, ',') AS words FROM g WHERE len(cluster) > 1""",
     "categories": f"WITH {_WORDS}, {_FIRST} SELECT token AS category, n FROM fs WHERE len(token) > 3 AND n > 0.05 * (SELECT count(*) FROM w) ORDER BY n DESC, first LIMIT 30",
     "category_rooms": f"WITH {_WORDS}, {_FIRST}, c AS (SELECT token AS category FROM fs WHERE len(token) > 3 AND n > 0.05 * (SELECT count(*) FROM w) ORDER BY n DESC, first LIMIT 30) SELECT category, count(*) AS rooms FROM c JOIN w ON contains(text, category) GROUP BY 1",
     "jaccard_score": f"WITH p AS (SELECT p_partkey, p_size, string_split(lower(p_name), ' ') AS w FROM part) SELECT p.p_partkey, q.p_partkey AS q_partkey, round({_JACCARD.format('p.w', 'q.w')}, 6) AS jaccard, round({_NUMERIC.format('p.w[1:1]', 'q.w[1:2]')}, 6) AS shared FROM p JOIN p q ON p.p_size = q.p_size AND p.p_partkey < q.p_partkey",

@@ -2,15 +2,21 @@
 
 import json
 import random
+import statistics
+import unicodedata
+from collections import Counter
+from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
 
+from innkeep import settings
 from innkeep.functions import occupancy, scoring, text
 from innkeep.operators import embed, enrich, fuzzy, learn, matching, summary, tiers
 from innkeep.plans import fuzzy_run
 from innkeep.plans import run as plan
 from innkeep.sources import hotels as src
+from innkeep.sources import tables
 
 
 def one(spark, value, fn, kind="string"):
@@ -74,8 +80,7 @@ def greedy(pairs, t):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("fold_rooms", [2000, 3])
-def test_greedy_against_loop(spark, fold_rooms):
+def test_greedy_against_loop(spark):
     rng = random.Random(7)
     pairs = []
     for b in range(30):
@@ -84,7 +89,7 @@ def test_greedy_against_loop(spark, fold_rooms):
                 s = rng.choice([0.1, 0.4, 0.5, 0.6, 0.8, 0.9, None])
                 pairs.append((b, h, a, s, None if s is None else s * rng.choice([1.0, 1.0, 0.7])))
     df = spark.createDataFrame(pairs, "b long, hb_ord long, ad_ord long, sim double, adj double")
-    got = matching.assign(df, "b", 0.5, F.col("adj"), fold_rooms).collect()
+    got = matching.assign(df, "b", 0.5, F.col("adj")).collect()
     assert sorted(((r["b"], r["hb_ord"], r["ad_ord"], r["reason"]) for r in got), key=str) == greedy(pairs, 0.5)
     assert sum(r["ad_ord"] is not None for r in got) > 30
 
@@ -181,6 +186,112 @@ def test_pipeline(spark, files, method):
     assert pair["room_matches"][0]["hotelbeds_room_id"] == "1" and pair["room_matches"][0]["axisdata_room_id"] == "8"
 
 
+def test_stages_run_alone(spark, files, monkeypatch):
+    out = files / "alone"
+    args = [str(files / "hb.json"), str(files / "ad.json"), "--catalog", str(files / "types.json"), "--output-dir", str(out), "--method", "validated", "--threshold", "0.4"]
+    for stage in plan.STAGES:
+        assert plan.main([*args, "--stage", stage]) == 0
+    report = json.loads(spark.read.text(f"{out}/report_match").first()["value"])
+    assert report["steps"] == ["match"] and report["summary"]["matches"] == 1
+    doc = spark.read.json(f"{out}/normalized_axisdata_document").first()
+    assert (doc["metadata"]["total_count"], doc["metadata"]["total_rooms"], len(doc["hotels"]), doc["metadata"]["source"]) == (2, 2, 2, "axisdata")
+    assert spark.read.json(f"{out}/enriched_hotelbeds_rows").where("enriched").count() == 1
+    assert plan.main([*args, "--no-document", "--skip-normalization", "--skip-embeddings"]) == 0
+    report = json.loads(spark.read.text(f"{out}/report").first()["value"])
+    assert report["steps"] == ["load", "enrich", "normalize_skipped", "embed_skipped", "match"] and report["stages"]["load"]["hotelbeds"]["errors"] == 4
+    events = Counter(r["event_type"] for r in spark.read.json(f"{out}/audit").collect())
+    assert events["pipeline_start"] == events["pipeline_complete"] == 6 and events["room_match"] == 2 and events["hotel_match"] == 2
+    assert plan.main([str(files / "none.json"), *args[1:], "--stage", "load"]) == 1
+    assert spark.read.json(f"{out}/audit").where("event_type = 'error'").count() == 1
+    bad = [*args[:3], str(files / "none.json"), *args[4:]]
+    assert plan.main(bad) == 0 and "enrich_failed" in spark.read.text(f"{out}/report").first()["value"]
+
+
+def test_embedding_envelopes(spark, tmp_path):
+    hotels = spark.createDataFrame([(0, "H1", "p", "One"), (1, "H1", "q", "Two"), (2, "H2", "r", "Three")], "ord long, hotel_code string, place_id string, hotel_name string")
+    rooms = spark.createDataFrame([(0, "1", "H1", "a", "text", [1.0, 0.0]), (1, "2", "H1", "b", None, [0.0, 1.0])], "ord long, room_id string, hotel_code string, room_code string, text_for_embedding string, embedding array<double>")
+    for name, df in (("hotels", hotels), ("rooms", rooms)):
+        tables.write_document(tables.enveloped(df, "embeddings", ["ord"], model="m"), f"{tmp_path}/{name}")
+    both = tables.load_embeddings(spark, *[f"{tmp_path}/{n}" for n in ("hotels", "rooms", "hotels", "rooms")])
+    for h, r in both.values():
+        assert {(x["hotel_code"], x["hotel_name"]) for x in h.collect()} == {("H1", "Two"), ("H2", "Three")}
+        assert [(x["ord"], x["room_id"], x["text_for_embedding"], x["embedding"]) for x in r.orderBy("ord").collect()] == [(0, "1", "text", [1.0, 0.0]), (1, "2", "", [0.0, 1.0])]
+    assert spark.read.json(f"{tmp_path}/rooms").first()["metadata"]["total_count"] == 2
+
+
+def test_settings_and_logging(tmp_path, capsys):
+    s = settings.Settings.from_env({"INNKEEP_BATCH_SIZE": "7", "INNKEEP_LOG_FILE": str(tmp_path / "errors"), "OTHER": "x"})
+    assert (s.batch_size, s.room_threshold, s.output_dir) == (7, 0.8, "out")
+    log = settings.logger(s, "innkeep.test")
+    log.info("fine")
+    try:
+        raise ValueError("why")
+    except ValueError:
+        log.exception("broken %d", 3)
+    [line] = (tmp_path / "errors").read_text().splitlines()
+    said = json.loads(line)
+    assert (said["level"], said["message"]) == ("ERROR", "broken 3") and "ValueError: why" in said["exception"]
+    assert len(settings.logger(s, "innkeep.test").handlers) == 2 and settings.device() in ("cpu", "cuda")
+
+
+def test_lookups_and_samples(spark):
+    types = enrich.catalog(spark.createDataFrame([(0, "A", "x", "t", 1), (1, " A ", "y", "t", 1), (2, "B", "", "t", 1), (3, None, "z", "t", 1)], "ord long, code string, codeDescription string, type string, occupancies int"))
+    assert [r["codeDescription"] for r in enrich.lookup(types, " A").collect()] == ["y"] and enrich.lookup(types, "B").count() == 0
+    assert [r["id"] for r in summary.samples(spark.range(9).repartition(3), ["id"], 3).collect()] == [0, 1, 2]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 400, 401])
+def test_exact_median(spark, n):
+    rng = random.Random(n)
+    xs = [rng.choice([rng.uniform(-3, 3), 0.25, rng.gauss(0.5, 1e-8)]) for _ in range(n)]
+    df = spark.createDataFrame([(x,) for x in xs] + [(None,)], "x double").repartition(3)
+    assert abs(summary.exact_median(df, "x", "m").first()["m"] - (statistics.median(xs) if xs else 0.0)) < 1e-15
+
+
+def test_unicode_forms_and_stems(spark):
+    docs = ["Ŕésumé ™ ½ ﬁne", "Ａｂｃ  １２", "naïve\tcafé", "", None, "ﷺ", "e\u0301\u0327 x", "Å Å"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(docs)], "i long, t string")
+    got = {r["i"]: r["x"] for r in df.select("i", text.normalize_full(F.col("t"), remove_special=False).alias("x")).collect()}
+    plain = lambda t: " ".join("".join(c for c in unicodedata.normalize("NFKD", t or "") if unicodedata.category(c) != "Mn").split()).lower()
+    assert got == {i: plain(t) for i, t in enumerate(docs)}
+    #: Examples of the published algorithm.
+    pairs = "caress caress cats cat feed feed agreed agre plastered plaster bled bled motoring motor sing sing conflated conflat troubled troubl sized size falling fall hissing hiss fizzed fizz failing fail filing file happy happi rational ration valenci valenc digitizer digit conformabli conform radicalli radic differentli differ vileli vile analogousli analog vietnamization vietnam predication predic operator oper feudalism feudal decisiveness decis hopefulness hope callousness callous formaliti formal sensitiviti sensit sensibiliti sensibl triplicate triplic formative form formalize formal electriciti electr electrical electr hopeful hope goodness good revival reviv allowance allow inference infer airliner airlin gyroscopic gyroscop adjustable adjust defensible defens irritant irrit replacement replac adjustment adjust dependent depend adoption adopt communism commun activate activ angulariti angular homologous homolog effective effect bowdlerize bowdler probate probat rate rate cease ceas controll control roll roll".split()
+    assert [text.stem(w) for w in pairs[::2]] == pairs[1::2]
+
+
+@pytest.mark.parametrize("block", [20_000, 3])
+def test_fuzzy_search_against_all_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(fuzzy, "BLOCK_TEXTS", block)
+    rng = random.Random(block)
+    words = ["double", "rooms", "room", "suite", "suites", "sea", "view", "two", "beds", "king", "queens", "deluxe", "3", "terrace"]
+    name = lambda: " ".join([*rng.choices(words, k=rng.randint(0, 4)), "room"]) if rng.random() > 0.05 else rng.choice(["", "§§", "zz"])
+    kind = "ord long, code string, name string, description string"
+    one, two = [(i, f"A{i}", name(), None) for i in range(60)], [(i, f"B{i}", name(), None) for i in range(50)]
+    a, b = spark.createDataFrame(one, kind), spark.createDataFrame(two, kind)
+    features = lambda df: [(r["ord"], r["text"], set(r["tokens"]), set(r["stems"]), set(r["numeric_features"])) for r in fuzzy.normalize_rooms(df).orderBy("ord").collect()]
+    jaccard = lambda x, y: len(x & y) / len(x | y) if x and y else 0.0
+    sides = features(a), features(b)
+    got = {r["ord"]: r for r in fuzzy.best_matches(a, b).collect()}
+    assert len(got) == 60
+    for o, t, tok, stem, num in sides[0]:
+        scores = []
+        for p, u, tok2, stem2, num2 in sides[1]:
+            number = 1.0 if not num and not num2 else len(num & num2) / max(len(num), len(num2)) if num and num2 else 0.0
+            ratio = round(100 * SequenceMatcher(None, t, u).ratio()) / 100 if t and u else 0.0
+            scores.append(((jaccard(tok, tok2) * 35 + jaccard(stem, stem2) * 30 + number * 20 + ratio * 15) / 100 * 100, -p))
+        best = max(scores)
+        assert (got[o]["score"], got[o]["target_ord"]) == ((best[0], -best[1]) if best[0] > 0 else (0.0, None))
+
+
+def test_mappings_of_a_document(spark, tmp_path):
+    room = lambda c: {"code": c, "name": f"n{c}", "description": None}
+    rows = [{"source_room": room("a"), "target_room": room("x"), "match_score": 99.0, "match_type": "exact", "confidence": 0.99}, {"source_room": room("b"), "target_room": None, "match_score": 10.0, "match_type": "none", "confidence": 0.1}]
+    (tmp_path / "m.json").write_text(json.dumps({"mappings": rows}))
+    assert fuzzy_run.main(["--from", f"{tmp_path}/m.json", "--output-dir", f"{tmp_path}/out"]) == 0
+    got = [(r["tier"], r["code"], r["target_code"]) for r in spark.read.json(f"{tmp_path}/out/filtered").orderBy("ord").collect()]
+    assert got == [("high", "a", "x"), ("low", "b", None)]
+
+
 def test_enrich_drops_hotels_with_null_codes(spark):
     rooms = spark.createDataFrame([("h", " A ", "x"), ("h", "B", "y"), ("i", None, "z"), ("i", "A", "z"), ("j", "", "w")], "hotel string, room_code string, code_description string")
     types = spark.createDataFrame([("A", "found")], "code string, codeDescription string")
@@ -231,7 +342,7 @@ def test_learning(spark):
     assert {r["token"]: r["n"] for r in learn.token_counts(rooms).collect()} == {"sea": 2, "view": 2, "room": 1, "rooms": 1, "king": 1, "bed": 1}
     assert {(r["leader"], tuple(r["words"])) for r in learn.word_clusters(rooms, similarity=0.75).collect()} == {("room", ("room", "rooms"))}
     assert learn.code_prefixes(rooms).collect()[0].asDict() == {"prefix": "AB", "text": "sea view room"}
-    assert learn.type_categories(rooms).first()["texts"] == ["sea view room", "sea view rooms"]
+    assert [tuple(r) for r in learn.type_categories(rooms).orderBy("ord").collect()] == [("t", 0, "sea view room"), ("t", 1, "sea view rooms")]
 
 
 def test_embedder_failure_gives_zeros(spark):
