@@ -15,8 +15,9 @@ first confirmed against their best leaders, and only those outside the largest c
 others, block by block. Members with equal sets count once throughout. No cap drops a pair: past ROUNDS rounds a bucket's
 rest joins its leader's family as it is.
 
-The chance that two sets of similarity 0.8 share no bucket is 7e-6 with BANDS x ROWS = 30 x 5; all else is exact up to
-collisions of 64-bit hashes.
+The chance that two sets of similarity 0.8 share no bucket is 7e-6 with BANDS x ROWS = 30 x 5. LINK and CLOSE are decided
+on SKETCH of the coordinates, with margins that make a further loss of about that size; all else is exact up to collisions
+of 64-bit hashes. Rows of hot buckets, leaders and classes are dealt over several tasks.
 
 Defined results: null and empty texts have 0 shingles and are linked with nothing; fewer words than a shingle make one
 shingle; rows with shingles that share an id are linked, whatever their texts; rows without an id are unlinked, kept and
@@ -33,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from innkeep.llm import store
+from innkeep.llm import skew, store
 from innkeep.llm.components import components, roots
 
 BANDS, ROWS = 30, 5
@@ -172,7 +173,7 @@ def _estimates(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column("leader"), b.column("id"), pa.array(same)], ["leader", "id", "est"])
 
     one = sketches.select(F.col("id").alias("leader"), F.col("sketch").alias("s1"))
-    return pairs.join(one, "leader").join(sketches.select("id", F.col("sketch").alias("s2")), "id").mapInArrow(work, "leader long, id long, est double")
+    return skew.spread_join(pairs, one, ["leader"], F.xxhash64("id")).join(sketches.select("id", F.col("sketch").alias("s2")), "id").mapInArrow(work, "leader long, id long, est double")
 
 
 def family_links(classes: DataFrame) -> DataFrame:
@@ -183,9 +184,10 @@ def family_links(classes: DataFrame) -> DataFrame:
     links: DataFrame | None = None
     for number in range(ROUNDS):
         lead = entries.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "id").alias("h"), F.col("id").alias("leader"))).alias("m"), F.count("*").alias("n"))
-        lead = lead.where("n > 1").select("key", F.col("m.leader").alias("leader"))
-        led = store.cut(entries.join(lead, "key").where("id <> leader"), "nd-buckets")
-        est = store.cut(_estimates(led.select("leader", "id").distinct(), sketches), "nd-estimates")
+        lead = store.cut(lead.where("n > 1").select("key", F.col("m.leader").alias("leader"), "n"), "nd-leaders")
+        sizes = lead.select("key", "n")
+        led = store.cut(skew.spread_join(entries, lead.drop("n"), ["key"], F.xxhash64("id"), sizes).where("id <> leader"), "nd-buckets")
+        est = store.cut(_estimates(store.cut(led.select("leader", "id").distinct(), "nd-pairs"), sketches), "nd-estimates")
         last = number == ROUNDS - 1
         good = est if last else est.where(F.col("est") >= LINK)
         links = good if links is None else links.unionByName(good)
@@ -193,7 +195,7 @@ def family_links(classes: DataFrame) -> DataFrame:
             break
         led = led.join(est, ["leader", "id"])
         torn = led.where(F.col("est") < LINK).select("key").distinct()
-        entries, _ = store.materialize(led.where(F.col("est") < CLOSE).join(torn, "key", "left_semi").select("id", "key"), "nd-rest")
+        entries = store.cut(skew.spread_join(led.where(F.col("est") < CLOSE), torn, ["key"], F.xxhash64("id"), sizes).select("id", "key"), "nd-rest")
         if entries.isEmpty():
             break
     return links if links is not None else spark.createDataFrame([], "leader long, id long, est double")
@@ -293,8 +295,8 @@ def _star(sets: DataFrame, links: DataFrame, num: int, den: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("leader").filter(ok), b.column("id").filter(ok)], ["a", "b"])
 
     rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("est"), "leader"))
-    best = links.where(F.col("est") >= 0.6).withColumn("rank", rank).where("rank <= 3").select("leader", "id")
-    joined = best.join(sets.select(F.col("id").alias("leader"), F.col("set").alias("s1")), "leader").join(sets.select("id", F.col("set").alias("s2")), "id")
+    best = store.cut(links.where(F.col("est") >= 0.6).withColumn("rank", rank).where("rank <= 3").select("leader", "id"), "nd-best")
+    joined = skew.spread_join(best, sets.select(F.col("id").alias("leader"), F.col("set").alias("s1")), ["leader"], F.xxhash64("id")).join(sets.select("id", F.col("set").alias("s2")), "id")
     return joined.mapInArrow(work, "a long, b long")
 
 
@@ -324,7 +326,8 @@ def _blocks(sets: DataFrame, comp: DataFrame, num: int, den: int) -> DataFrame:
     rows = store.cut(rows, "nd-large")
     sizes = rows.groupBy("fam", "comp").agg(F.count("*").alias("n"))
     most = sizes.groupBy("fam").agg(F.max(F.struct("n", "comp")).alias("m"), F.sum("n").alias("total")).select("fam", F.col("m.comp").alias("main"), "total", (F.col("total") - F.col("m.n")).alias("out"))
-    rows = rows.join(most, "fam").withColumn("h", F.pmod(F.xxhash64("id"), F.lit(1 << 40)))
+    most = store.cut(most, "nd-most")
+    rows = skew.spread_join(rows, most, ["fam"], F.xxhash64("id"), most.select("fam", F.col("total").alias("n"))).withColumn("h", F.pmod(F.xxhash64("id"), F.lit(1 << 40)))
     na = F.ceil(F.col("out") / _BLOCK_A).cast("long")
     nb = F.ceil(F.col("total") / _BLOCK_B).cast("long")
     few = rows.where("comp <> main").select("fam", "id", "set", "comp", F.lit(True).alias("few"), F.pmod("h", na).alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), nb - 1)).alias("j"))
@@ -345,26 +348,28 @@ def _shared_ids(named: DataFrame, classes: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5, similarity: tuple[int, int] = (80, 100)) -> DataFrame:
     """id, n_shingles, component_id (the smallest id that links lead to) and kept for every row."""
     num, den = similarity
-    feats = store.cut(features(docs, id_col, text_col, shingle), "nd-features")
-    named = feats.where("digest is not null and id is not null")
-    # the sketch and the bands follow from the set, so any row of a class will do
-    classes = named.groupBy("digest").agg(F.min(F.struct("id", "sketch", "bands")).alias("x")).select("digest", "x.*")
-    classes = store.cut(classes, "nd-classes")
-    links = store.cut(family_links(classes.select("id", "sketch", "bands")), "nd-links")
-    fams = store.cut(components(links, "leader", "id"), "nd-families")
-    sizes = fams.groupBy("component").agg(F.count("*").alias("n"))
-    members = fams.join(sizes, "component").select(F.col("node").alias("id"), F.col("component").alias("fam"), (F.col("n") > SMALL_FAMILY).alias("large"))
-    members = store.cut(members, "nd-members")
-    sets = store.cut(member_sets(docs, id_col, text_col, shingle, members), "nd-sets")
-    large_ids = members.where("large").select("id")
-    found = _small_families(sets.where("not large"), num, den)
-    if not large_ids.isEmpty():
-        big = sets.where("large")
-        star = store.cut(_star(big, links.join(large_ids, "id", "left_semi"), num, den), "nd-star")
-        found = found.unionByName(star).unionByName(_blocks(big, components(star, "a", "b"), num, den))
-    found = found.unionByName(_shared_ids(named, classes))
-    comp = store.cut(components(store.cut(found, "nd-found"), "a", "b"), "nd-components")
-    final = classes.select("digest", F.col("id").alias("rep")).join(comp, F.col("rep") == comp["node"], "left").select(F.col("digest").alias("d"), F.coalesce("component", "rep").alias("c"))
-    out = feats.select("id", "n_shingles", "digest").join(final, F.col("digest") == F.col("d"), "left")
-    component = F.when(F.col("id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("c", "id"))
-    return out.select("id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
+    with store.scratch(docs.sparkSession) as own:
+        feats = store.cut(features(docs, id_col, text_col, shingle), "nd-features")
+        named = feats.where("digest is not null and id is not null")
+        # the sketch and the bands follow from the set, so any row of a class will do
+        classes = named.groupBy("digest").agg(F.min(F.struct("id", "sketch", "bands")).alias("x"), F.count("*").alias("n")).select("digest", "x.*", "n")
+        classes = store.cut(classes, "nd-classes")
+        links = store.cut(family_links(classes.select("id", "sketch", "bands")), "nd-links")
+        fams = store.cut(components(links, "leader", "id"), "nd-families")
+        sizes = store.cut(fams.groupBy("component").agg(F.count("*").alias("n")), "nd-sizes")
+        members = skew.spread_join(fams, sizes.select("component", F.col("n").alias("members")), ["component"], F.xxhash64("node"), sizes)
+        members = store.cut(members.select(F.col("node").alias("id"), F.col("component").alias("fam"), (F.col("members") > SMALL_FAMILY).alias("large")), "nd-members")
+        sets = store.cut(member_sets(docs, id_col, text_col, shingle, members), "nd-sets")
+        large_ids = members.where("large").select("id")
+        found = _small_families(sets.where("not large"), num, den)
+        if not large_ids.isEmpty():
+            big = sets.where("large")
+            star = store.cut(_star(big, links.join(large_ids, "id", "left_semi"), num, den), "nd-star")
+            found = found.unionByName(star).unionByName(_blocks(big, components(star, "a", "b"), num, den))
+        found = found.unionByName(_shared_ids(named, classes))
+        comp = store.cut(components(store.cut(found, "nd-found"), "a", "b"), "nd-components")
+        final = classes.join(comp, classes["id"] == comp["node"], "left").select("digest", F.coalesce("component", "id").alias("component_id"))
+        met = skew.spread_join(named.select("id", "n_shingles", "digest"), final, ["digest"], F.xxhash64("id"), classes.select("digest", "n"))
+        alone = feats.where("digest is null or id is null").select("id", "n_shingles", F.col("id").alias("component_id"))
+        out = met.select("id", "n_shingles", "component_id").unionByName(alone)
+        return own.keep(out.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))), "near-duplicates")
