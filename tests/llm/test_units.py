@@ -3,11 +3,14 @@
 import hashlib
 import random
 import textwrap
+from pathlib import Path
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from innkeep.llm import components, langid, licenses, maxscore, neardup, packing, warc
+from innkeep.llm import components, langid, licenses, maxscore, neardup, packing, q_licenses, warc
 
 
 def test_warc_round_trip():
@@ -81,7 +84,7 @@ def test_maxscore_block(floor):
     assert at.tolist() == want.tolist() and np.array_equal(score, full[want])
 
 
-def test_viterbi_against_recursion_and_certificate():
+def test_viterbi_against_recursion():
     rng = np.random.default_rng(4)
     s = rng.normal(0, 4, (60, 3)).astype(np.float32)
     starts, ends = np.array([0, 1, 25]), np.array([1, 25, 60])
@@ -93,6 +96,53 @@ def test_viterbi_against_recursion_and_certificate():
         assert abs(got - v.max()) < 1e-3
 
 
+def _random_model(rng, n):
+    scripts = np.zeros((len(langid.SCRIPT_NAMES), n))
+    scripts[langid.SCRIPT_NAMES.index("Latin")] = 1
+    return langid.Model([f"l{k}" for k in range(n)], rng.integers(0, 4, (langid.BUCKETS, n)).astype(float) ** 3, scripts)
+
+
+@pytest.mark.parametrize("n", [2, 3, 4, 5, 6])
+def test_labels_equal_those_of_the_plain_recursion(n):
+    """With and without the proof that spares the recursion, on texts whose languages mostly mix."""
+    rng = np.random.default_rng(n)
+    model = _random_model(rng, n)
+    words = ["".join(map(chr, rng.integers(97, 123, rng.integers(2, 7)))) for _ in range(4000)]
+    best = {w: langid.label(model, [w])[0]["lang"] for w in words}
+    of = {lang: [w for w in words if best[w] == lang] for lang in model.langs}
+    texts = []
+    for _ in range(4000):
+        stretches = [rng.choice(of[model.langs[rng.integers(n)]], rng.integers(1, 9)).tolist() for _ in range(rng.integers(1, 5))]
+        texts.append(" ".join(w for part in stretches for w in part))
+    got = langid.label(model, texts, 12.0)
+    spared = sum(len(g["spans"]) == 1 for g in got)
+    for text, g in zip(texts, got, strict=True):
+        c, _ = langid.codes([text])
+        at, h = langid.trigrams(c)
+        first = np.flatnonzero(c[at - 1] == 0)
+        s = np.add.reduceat(model.logp[h], first, axis=0).astype(float)
+        v, back = s[0], []
+        for row in s[1:]:
+            back.append(np.where(v >= v.max() - 12.0, np.arange(n), v.argmax()))
+            v = np.maximum(v, v.max() - 12.0) + row
+        path = [int(v.argmax())]
+        for step in reversed(back):
+            path.append(int(step[path[-1]]))
+        path.reverse()
+        letters = [len(w) for w in text.split()]
+        weight = np.bincount(path, letters, n)
+        assert (g["lang"], round(g["score"], 9)) == (model.langs[int(weight.argmax())], round(weight.max() / sum(letters), 9))
+        assert [x[2] for x in g["spans"]] == [model.langs[path[i]] for i in range(len(path)) if not i or path[i] != path[i - 1]]
+    assert 0 < spared < len(texts)
+
+
+def test_marks_belong_to_words():
+    count = lambda t: len(np.flatnonzero(np.diff((langid.codes([t])[0] != 0).astype(int)) == 1))
+    assert [count(t) for t in ("हिन्दी भाषा", "বাংলা", "ภาษาไทย", "e\u0301te\u0301", "\u0301 a", "a \u0301b", "\u0301")] == [2, 1, 1, 1, 1, 2, 0]
+    model = _random_model(np.random.default_rng(1), 2)
+    assert langid.label(model, ["\u0301\u0302", "a\u0301"])[0]["lang"] == "und" != langid.label(model, ["a\u0301"])[0]["lang"]
+
+
 def test_language_scores_in_parts(monkeypatch):
     rng = np.random.default_rng(3)
     counts = rng.integers(0, 50, (langid.BUCKETS, 3)).astype(float)
@@ -122,7 +172,7 @@ def test_language_spans():
 
 
 def test_license_forms_are_told_apart():
-    assert len(licenses.digests()) == len(licenses.KNOWN)
+    assert len(licenses.digests()) == len(licenses.KNOWN) + len(licenses.PUBLISHED)
     plain = licenses.canonical_text(licenses.KNOWN[0][1])
     assert licenses.canonical_text("Copyright (c) 2020 Some One\n" + licenses.KNOWN[0][1].upper().replace(",", " ;")) == plain
 
@@ -166,6 +216,35 @@ PERFORMANCE OF THIS SOFTWARE."""
     assert licenses.canonical_text("a\n# Copyright (C) 2001-2020 Permanent Press\r\n © Some One\nAll rights reserved.\nb") == "a b"
 
 
+COMMON = Path("/usr/share/common-licenses")
+FILES = {"Apache-2.0": "Apache-2.0", "CC0-1.0": "CC0-1.0", "GFDL-1.3": "GFDL-1.3-only", "GPL-2": "GPL-2.0-only", "GPL-3": "GPL-3.0-only", "LGPL-2.1": "LGPL-2.1-only", "LGPL-3": "LGPL-3.0-only", "MPL-2.0": "MPL-2.0"}
+
+
+def _wrappings(text):
+    one = " ".join(text.split())
+    return [text, one, textwrap.fill(one, 60, break_long_words=False, break_on_hyphens=False)]
+
+
+@pytest.mark.skipif(not COMMON.is_dir(), reason="no published texts on this machine")
+@pytest.mark.parametrize("file", sorted(FILES))
+def test_published_texts_in_three_wrappings(file):
+    known = licenses.digests()
+    for text in _wrappings((COMMON / file).read_text()):
+        assert known.get(hashlib.sha256(licenses.canonical_text(text).encode()).hexdigest()) == FILES[file]
+
+
+def test_licenses_against_sql(spark):
+    texts = [t for _, known in licenses.KNOWN for t in _wrappings(known)] + [(COMMON / f).read_text() for f in FILES if COMMON.is_dir()]
+    texts += ["A text\nReleased under the MIT License.\nLicensed under CC BY 4.0.", "MIT License\n\nCopyright (c) 2020 Some One\n\n" + licenses.KNOWN[0][1], "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())}))
+    want = con.execute(q_licenses.ORACLE["op10_license_digest"]).fetchall()
+    out = licenses.scan(docs, "text").collect()
+    assert sorted((r["doc_id"], r["digest"], r["license"], ",".join(r["notices"])) for r in out) == sorted(want)
+    assert sum(r["license"] is not None for r in out) >= len(texts) - 4
+
+
 def test_copyright_lines_agree_in_spark(spark):
     texts = [t for _, t in licenses.KNOWN] + ["Copyright (c) 2020 " + "word " * 5000, "MIT License Copyright (c) 2020 Some One\n" + licenses.KNOWN[0][1]]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
