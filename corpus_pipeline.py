@@ -19,9 +19,11 @@ MIN_LANGUAGE_SHARE = 0.5
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents with a main language; fills in missing values of lang."""
     model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))), "text", "lang", "doc_id")
-    found = langid.identify(docs, model, "text", names=("_lang", "_share", "_spans"))
-    found = found.where((F.col("_lang") != langid.UND) & (F.col("_share") >= MIN_LANGUAGE_SHARE))
-    return found.select(*[F.coalesce("lang", "_lang").alias("lang") if c == "lang" else F.col(c) for c in docs.columns])
+    mark = "_" * (1 + max(map(len, docs.columns)))  # longer than any column's name
+    lang, share, spans = (mark + c for c in ("lang", "share", "spans"))
+    found = langid.identify(docs, model, "text", names=(lang, share, spans))
+    found = found.where((F.col(lang) != langid.UND) & (F.col(share) >= MIN_LANGUAGE_SHARE))
+    return found.select(*[F.coalesce("lang", lang).alias("lang") if c == "lang" else F.col(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,15 +31,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Of rows that repeat this id one stays; rows without an id stay.
     """
-    kept = neardup.near_duplicates(docs, "doc_id", "text", shingle=5, similarity=(80, 100)).where("kept and id is not null").select("id").distinct()
+    found = neardup.near_duplicates(docs, "doc_id", "text", shingle=5, similarity=(80, 100))
+    kept = found.where("kept and id is not null").select(F.col("id").alias("kept_id")).distinct()
     with_id = docs.where("doc_id is not null")
-    one = with_id.join(kept, with_id["doc_id"] == kept["id"], "left_semi").dropDuplicates(["doc_id"])
+    one = with_id.join(kept, with_id["doc_id"] == kept["kept_id"], "left_semi").dropDuplicates(["doc_id"])
     return one.unionByName(docs.where("doc_id is null"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or thins out documents so that sources come near their target weights."""
-    return mixing.mix(docs, "doc_id", "source", mixing.word_count(F.col("text")))
+    return mixing.mix(docs, "doc_id", "source", mixing.word_count(F.col("text")), else_col="text")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,6 +56,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = store.cut(stage(spark, docs, sf_dir), f"stage-{name}")
-    return docs
+    with store.scratch(spark) as own:
+        for name, stage in STAGES[:-1]:
+            docs = store.cut(stage(spark, docs, sf_dir), f"stage-{name}")
+        return own.keep(STAGES[-1][1](spark, docs, sf_dir), "packed")
