@@ -11,8 +11,9 @@ to it that nobody outside can be similar to them. Families are connected compone
 pair that shares a bucket lies within a family.
 
 Within a family links are confirmed on full sets: all pairs of a small family, in one task; in a large one, members are
-first confirmed against their best leaders, and only those outside the largest component so found are compared with all
-others, block by block. Members with equal sets count once throughout. No cap drops a pair: past ROUNDS rounds a bucket's
+first confirmed against their best leaders. A family that this leaves in several components is split into finer ones by
+the shingles that similar sets must share among their rarest, and only members outside the largest component of a finer
+family are compared with all others of it, block by block. Members with equal sets count once throughout. No cap drops a pair: past ROUNDS rounds a bucket's
 rest joins its leader's family as it is.
 
 The chance that two sets of similarity 0.8 share no bucket is 7e-6 with BANDS x ROWS = 30 x 5. LINK and CLOSE are decided
@@ -43,6 +44,7 @@ SKETCH = 64
 LINK, CLOSE = 0.3, 0.7
 ROUNDS = 3
 SMALL_FAMILY = 400
+SAMPLE = 256
 BROADCAST_IDS = 500_000
 _BLOCK_A, _BLOCK_B = 256, 1024
 
@@ -300,6 +302,55 @@ def _star(sets: DataFrame, links: DataFrame, num: int, den: int) -> DataFrame:
     return joined.mapInArrow(work, "a long, b long")
 
 
+def _refined(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """rows (fam, id, set, comp) of families that are torn into several components, with fam replaced by a finer one.
+
+    In any one order of a family's shingles, two sets as similar as asked share one among their first
+    n - ceil(num * n / den) + 1. Members are linked through these, so similar ones stay in one family. The order puts
+    shingles last that are frequent in a sample of the family, such as those of a passage that all members hold; it is
+    only the number of links that depends on the sample.
+    """
+
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _grouped(batches, ["fam"]):
+            h, n = np.unique(np.concatenate(_sets(t)), return_counts=True)
+            often = n >= 3
+            yield pa.RecordBatch.from_arrays([pa.array([t.column("fam")[0].as_py()]), pa.array([h[often].tobytes()], pa.binary()), pa.array([n[often].astype(np.int32).tobytes()], pa.binary())], ["fam", "set", "n"])
+
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fam, often, counts = None, np.empty(0, np.uint64), np.empty(0, np.int32)
+        for b in batches:
+            ids, nodes = [], []
+            for f, i, part, n in zip(*(b.column(c).to_pylist() for c in ("fam", "id", "set", "n")), strict=True):
+                h = np.frombuffer(part, np.uint64)
+                if n is not None or f != fam:
+                    fam = f
+                    often, counts = (h, np.frombuffer(n, np.int32)) if n is not None else (often[:0], counts[:0])
+                if n is not None:
+                    continue
+                at = np.minimum(np.searchsorted(often, h), max(len(often) - 1, 0))
+                known = often[at] == h if len(often) else np.zeros(len(h), bool)
+                first = len(h) - -(-num * len(h) // den) + 1
+                order = np.concatenate([h[~known], h[known][np.argsort(counts[at[known]], kind="stable")]]) if first > (~known).sum() else h[~known]
+                node = _mix(order[:first] ^ _mix(np.array([f], np.int64).view(np.uint64))).view(np.int64)
+                ids.append(np.full(len(node), i, np.int64))
+                nodes.append(node)
+            if ids:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(nodes))], ["a", "b"])
+
+    torn = rows.groupBy("fam").agg(F.min("comp").alias("one"), F.max("comp").alias("last"), F.count("*").alias("members")).where("one <> last").select("fam", "members", F.ceil(F.col("members") / 4096).cast("int").alias("parts"))
+    torn = store.cut(torn, "nd-torn")
+    sizes = torn.select("fam", F.col("members").alias("n"))
+    rows = store.cut(skew.spread_join(rows, torn.drop("members"), ["fam"], F.xxhash64("id"), sizes), "nd-torn-rows")
+    sample = rows.withColumn("r", F.row_number().over(Window.partitionBy("fam").orderBy(F.xxhash64("id"), "id"))).where(F.col("r") <= SAMPLE)
+    often = sample.select("fam", "set").repartition("fam").sortWithinPartitions("fam").mapInArrow(frequent, "fam long, set binary, n binary")
+    often = often.join(torn, "fam").select("fam", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).cast("long").alias("id"), "set", "n")
+    dealt = rows.select("fam", F.pmod(F.xxhash64(F.lit(9), "id"), "parts").cast("int").alias("part"), "id", "set", F.lit(None).cast("binary").alias("n"))
+    met = often.unionByName(dealt).repartition("fam", "part").sortWithinPartitions("fam", "part", F.col("n").isNull())
+    finer = components(met.select("fam", "id", "set", "n").mapInArrow(firsts, "a long, b long"), "a", "b")
+    return rows.join(finer, rows["id"] == finer["node"]).select(F.col("component").alias("fam"), "id", "set", "comp")
+
+
 def _blocks(sets: DataFrame, comp: DataFrame, num: int, den: int) -> DataFrame:
     """a, b: further links of large families. Members outside the family's largest component meet all members, in blocks."""
 
@@ -323,7 +374,7 @@ def _blocks(sets: DataFrame, comp: DataFrame, num: int, den: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(names[hit].astype(np.int64)), pa.array(names[[root[k] for k in hit]].astype(np.int64))], ["a", "b"])
 
     rows = sets.join(comp, sets["id"] == comp["node"], "left").select("fam", "id", "set", F.coalesce("component", "id").alias("comp"))
-    rows = store.cut(rows, "nd-large")
+    rows = store.cut(_refined(store.cut(rows, "nd-large"), num, den), "nd-refined")
     sizes = rows.groupBy("fam", "comp").agg(F.count("*").alias("n"))
     most = sizes.groupBy("fam").agg(F.max(F.struct("n", "comp")).alias("m"), F.sum("n").alias("total")).select("fam", F.col("m.comp").alias("main"), "total", (F.col("total") - F.col("m.n")).alias("out"))
     most = store.cut(most, "nd-most")

@@ -161,6 +161,23 @@ def test_near_duplicates_against_all_pairs(spark, monkeypatch, small_family, n):
     assert got == {i: (len(sets[i]), want[i], want[i] == i) for i, _ in rows}
 
 
+def test_documents_that_share_a_passage_against_all_pairs(spark, monkeypatch):
+    """One family that is torn into very many components, some of them of several documents."""
+    monkeypatch.setattr(neardup, "SMALL_FAMILY", 20)
+    rng = np.random.default_rng(11)
+    passage, texts = [f"p{k}" for k in range(60)], []
+    for k in range(120):
+        own = [f"o{x}" for x in rng.integers(0, 100_000, 30)]
+        for _ in range(1 if k % 3 else 4):
+            words = passage + own
+            for at in rng.integers(0, 90, rng.integers(0, 4)):
+                words[at] = f"v{rng.integers(0, 100_000)}"
+            texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    got = {r["id"]: r["component_id"] for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), "doc_id", "text", 2).collect()}
+    assert got == links_of({i: shingles(t, 2) for i, t in rows}, 80, 100) and len(set(got.values())) >= 120
+
+
 def test_components_by_star_steps(spark, monkeypatch):
     monkeypatch.setattr(components, "CHUNK", 10)
     rng = np.random.default_rng(8)
