@@ -162,9 +162,31 @@ def filtered_order(spark, d):
     return tiers.tiered(base._banded(spark, d)).select(place.alias("place"), "tier", "ord", "code", "match_score")
 
 
+def _letters():
+    return lambda texts: [[float(len(t)), *[float(t.count(c)) for c in "aeiou"]] for t in texts]
+
+
+def embedded_texts(spark, d):
+    """Texts with the vectors of a callable (here: counts of letters), a batch at a time."""
+    p = table(spark, d, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("text_for_embedding"))
+    return embed.embed(p, _letters, 6, batch=7).select("p_partkey", "text_for_embedding", F.array_join(F.transform("embedding", lambda x: x.cast("int").cast("string")), ",").alias("vector"))
+
+
+def catalog_lookup(spark, d):
+    """Entries of the room-type catalog by their codes."""
+    parts = table(spark, d, "part").selectExpr("p_partkey AS ord", "concat(' C', p_partkey % 40) AS code", "p_name AS codeDescription", "p_type AS type", "1 AS occupancies")
+    types = enrich.catalog(parts)
+    return enrich.lookup(types, " C7 ").unionByName(enrich.lookup(types, "C39")).unionByName(enrich.lookup(types, "none"))
+
+
+def first_matches(spark, d):
+    """A look at the first matches."""
+    return summary.samples(base._st(spark, d)[2].where("ad_ord is not null").select("label", "hb_ord", "ad_ord"), ["label", "hb_ord"], 10)
+
+
 QUERIES = {f.__name__: f for f in (
     validate_records, validate_textual_records, catalog_stats, normalized_rooms, normalized_textual_rooms, normalized_hotels, extract_occupancy, embedding_texts, described_texts, hotel_texts,
-    occupancy_summary, room_texts, flag_counts, mapped_report, output_document, filtered_order,
+    occupancy_summary, room_texts, flag_counts, mapped_report, output_document, filtered_order, embedded_texts, catalog_lookup, first_matches,
 )}
 
 from innkeep.plans.hotel_queries_sql import ORACLE  # noqa: E402, F401

@@ -118,4 +118,7 @@ ORACLE = {
       SELECT (row_number() OVER (ORDER BY o_orderkey) - 1)::INTEGER AS pos, o_custkey, round(coalesce(m::DOUBLE / n, 0), 6) AS confidence, coalesce(n, 0)::INTEGER AS n_rooms, round(coalesce(0.8::DOUBLE * m, 0), 6) AS room_confidence,
         (SELECT count(*) FROM orders)::INTEGER AS total_hotels, (SELECT sum(n) FROM l JOIN orders ON k = o_orderkey)::BIGINT AS total_rooms FROM orders LEFT JOIN l ON k = o_orderkey""",
     "filtered_order": f"WITH {_MAPPED}, {_TIERS} SELECT row_number() OVER (ORDER BY match_score DESC, tier, ord)::INTEGER AS place, tier, ord, code, match_score FROM u",
+    "embedded_texts": "WITH x AS (SELECT p_partkey, p_name || ' ' || p_type AS t FROM part) SELECT p_partkey, t AS text_for_embedding, len(t) || ',' || " + " || ',' || ".join(f"len(t) - len(replace(t, '{c}', ''))" for c in "aeiou") + " AS vector FROM x",
+    "catalog_lookup": "SELECT 'C' || p_partkey % 40 AS code, arg_max(p_name, p_partkey) AS \"codeDescription\", arg_max(p_type, p_partkey) AS type FROM part WHERE p_partkey % 40 IN (7, 39) GROUP BY 1",
+    "first_matches": f"{_ST} SELECT label, hb_ord, ad_ord FROM a WHERE ad_ord IS NOT NULL ORDER BY label, hb_ord LIMIT 10",
 }
