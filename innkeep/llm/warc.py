@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innkeep.llm import store
+from innkeep.llm import skew, store
 
 #: Digits of conv(.., 32) and the base-32 alphabet of RFC 4648.
 _HEX32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
@@ -71,9 +71,14 @@ def plan_records(pages: DataFrame, id_col: str, url_col: str, payload_col: str,
         .groupBy("whole")
         .agg(F.max(F.struct("row_id", "n")).alias("first"), F.count("*").alias("copies"))
         .where("copies > 1")
-        .select("whole", F.col("first.row_id").alias("f_id"), F.col("first.n").alias("f_n"))
+        .select("whole", F.col("first.row_id").alias("f_id"), F.col("first.n").alias("f_n"), "copies")
     )
-    out = base.join(groups, "whole", "left")
+    groups = store.cut(groups, "warc-groups")
+    counts = groups.select("whole", F.col("copies").alias("n"))
+    groups = groups.drop("copies")
+    out = skew.spread_join(base.where("whole is not null"), groups, ["whole"], F.xxhash64("row_id", "n"), counts, "left")
+    if min_dedup_bytes > 0:
+        out = out.unionByName(base.where("whole is null").select("*", F.lit(None).cast("long").alias("f_id"), F.lit(None).cast("long").alias("f_n")))
     revisit = F.col("f_n").isNotNull() & (F.col("f_n") != F.col("n"))
     return out.select(
         "row_id",
@@ -295,18 +300,11 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """Give every revisit the row, size and digest of the response that it refers to.
 
-    ``records``: record_id, record_type, row_id, refers_to, payload_bytes, payload_digest. The join's key is the
-    response; a response that very many records revisit is dealt with by Spark's skew join, as nothing after the join
-    needs its rows together.
+    ``records``: a written table of record_id, record_type, row_id, refers_to, payload_bytes, payload_digest. The join's
+    key is the response; one that very many records revisit is dealt over several tasks.
     """
-    to = records.where("record_type = 'response'").select(
-        F.col("record_id").alias("to_id"), F.col("row_id").alias("to_row"), F.col("payload_bytes").alias("to_bytes"), F.col("payload_digest").alias("to_digest")
-    )
-    return records.join(to, records["refers_to"] == to["to_id"], "left").select(
-        "record_id",
-        "record_type",
-        "row_id",
-        F.coalesce("to_bytes", "payload_bytes").alias("payload_bytes"),
-        F.coalesce("to_digest", "payload_digest").alias("payload_digest"),
-        F.col("to_row").alias("refers_to"),
-    )
+    to = records.where("record_type = 'response'").select(F.col("record_id").alias("refers_to"), F.col("row_id").alias("to_row"), F.col("payload_bytes").alias("to_bytes"), F.col("payload_digest").alias("to_digest"))
+    met = skew.spread_join(records.where("refers_to is not null"), to, ["refers_to"], F.xxhash64("record_id"), how="left")
+    met = met.select("record_id", "record_type", "row_id", F.coalesce("to_bytes", "payload_bytes").alias("payload_bytes"), F.coalesce("to_digest", "payload_digest").alias("payload_digest"), F.col("to_row").alias("refers_to"))
+    alone = records.where("refers_to is null").select("record_id", "record_type", "row_id", "payload_bytes", "payload_digest", F.lit(None).cast("long").alias("refers_to"))
+    return met.unionByName(alone)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from innkeep.llm import components, mixing, neardup, packing, q_urls, queries, sharding, warc
+from innkeep.llm import components, mixing, neardup, packing, q_urls, queries, sharding, skew, warc
 from plain import links_of, norm, shingles, url_templates
 
 TINY, SMALL = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -141,6 +141,39 @@ def test_archive_edges(spark):
     assert warc.read_archive(spark, empty).count() == 0
 
 
+def test_damaged_archives(spark, tmp_path):
+    whole = list(warc.record_bytes(1, "http://a/", b"x" * 5000, "D", "<urn:uuid:1>", None, 1000, 300))
+    other = list(warc.record_bytes(2, "http://b/", b"y" * 5000, "E", "<urn:uuid:2>", None, 1000, 300))
+    small = list(warc.record_bytes(3, "http://c/", b"fine", "F", "<urn:uuid:3>", None, 1000, 300))
+    longer = [*other[:-1], other[-1].replace(b"Total-Length: ", b"Total-Length: 1")]
+    files = {
+        "lost": [*small, *whole[:2], *whole[3:]], "cut": [*small, b"".join(whole)[:-700]], "longer": longer, "junk": [*small, b"junk", *whole], "frame": [small[0].replace(b"4\r\nfine", b"9\r\nfine")],
+        "twice": [*whole, *whole], "none": [], "split-1": whole[:3], "split-2": whole[3:],
+    }
+    got = {}
+    for name, parts in files.items():
+        folder = tmp_path / name.split("-")[0]
+        folder.mkdir(exist_ok=True)
+        (folder / f"{name}.warc").write_bytes(b"".join(parts))
+        got[folder.name] = sorted((r["row_id"] or 0, r["status"], len(r["payload"] or b"")) for r in warc.read_archive(spark, str(folder)).collect())
+    assert got["lost"] == [(1, "segments missing", 0), (3, "ok", 4)] and got["longer"] == [(2, "wrong total length", 0)]
+    assert got["cut"] == [(0, "truncated", 0), (1, "no total length", 0), (3, "ok", 4)] and got["junk"] == [(0, "not a record", 0), (3, "ok", 4)]
+    assert got["frame"] == [(3, "bad chunk framing", 0)] and got["none"] == []
+    assert got["twice"] == got["split"] == [(1, "ok", 5000)]
+
+
+def test_revisits_of_a_hot_response(spark, monkeypatch):
+    monkeypatch.setattr(skew, "KEY_ROWS", 7)
+    pages = spark.createDataFrame([(i, "http://a/", "same" if i % 3 else f"own {i}") for i in range(90)], "page_id long, url string, html string").repartition(3)
+    path = corpus_pipeline.store.new_path(spark, "warc")
+    warc.write_archive(warc.plan_records(pages, "page_id", "url", "html", min_dedup_bytes=5), f"{path}-long")
+    assert {r["record_type"] for r in warc.read_archive(spark, f"{path}-long").collect()} == {"response"}
+    warc.write_archive(warc.plan_records(pages, "page_id", "url", "html"), path)
+    read = warc.read_archive(spark, path).select("record_id", "record_type", "row_id", "refers_to", F.octet_length("payload").alias("payload_bytes"), F.col("digest").alias("payload_digest"))
+    got = {r["row_id"]: (r["record_type"], r["refers_to"], r["payload_bytes"]) for r in warc.resolve_revisits(corpus_pipeline.store.cut(read, "read")).collect()}
+    assert got == {i: ("response", None, len(f"own {i}")) if i % 3 == 0 else ("response", None, 4) if i == 89 else ("revisit", 89, 4) for i in range(90)}
+
+
 @pytest.mark.parametrize(("small_family", "n"), [(400, 5), (3, 5), (3, 2)])
 def test_near_duplicates_against_all_pairs(spark, monkeypatch, small_family, n):
     monkeypatch.setattr(neardup, "SMALL_FAMILY", small_family)
