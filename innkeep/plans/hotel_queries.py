@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from innkeep.functions import occupancy, text
-from innkeep.operators import embed, enrich, matching, results, summary, tiers
+from innkeep.operators import embed, enrich, learn, matching, results, summary, tiers
 from innkeep.plans import catalog as base
 from innkeep.sources import hotels as src
 from innkeep.sources.tables import table
@@ -179,6 +179,23 @@ def catalog_lookup(spark, d):
     return enrich.lookup(types, " C7 ").unionByName(enrich.lookup(types, "C39")).unionByName(enrich.lookup(types, "none"))
 
 
+def _texts(spark, d):
+    return table(spark, d, "documents").select(F.col("doc_id").alias("ord"), "text")
+
+
+def document_tokens(spark, d):
+    """Tokens of whole documents and how often they occur."""
+    return learn.token_counts(_texts(spark, d))
+
+
+def document_bigrams(spark, d):
+    return learn.ngram_counts(_texts(spark, d), 2)
+
+
+def document_numbers(spark, d):
+    return learn.numeric_counts(_texts(spark, d))
+
+
 def first_matches(spark, d):
     """A look at the first matches."""
     return summary.samples(base._st(spark, d)[2].where("ad_ord is not null").select("label", "hb_ord", "ad_ord"), ["label", "hb_ord"], 10)
@@ -186,7 +203,7 @@ def first_matches(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     validate_records, validate_textual_records, catalog_stats, normalized_rooms, normalized_textual_rooms, normalized_hotels, extract_occupancy, embedding_texts, described_texts, hotel_texts,
-    occupancy_summary, room_texts, flag_counts, mapped_report, output_document, filtered_order, embedded_texts, catalog_lookup, first_matches,
+    occupancy_summary, room_texts, flag_counts, mapped_report, output_document, filtered_order, embedded_texts, catalog_lookup, document_tokens, document_bigrams, document_numbers, first_matches,
 )}
 
 from innkeep.plans.hotel_queries_sql import ORACLE  # noqa: E402, F401

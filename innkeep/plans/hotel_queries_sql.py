@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from innkeep.plans.catalog_sql import _FACTS, _MAPPED, _OCC, _SIM, _ST, _TIERS, T
+from innkeep.plans.catalog_sql import _FACTS, _MAPPED, _OCC, _SIM, _ST, _TIERS, T, _digits
 
 _VALID = "o_orderkey % 13 <> 0 AND o_orderkey % 11 <> 0 AND o_orderkey % 17 <> 0 AND o_orderkey % 19 <> 0"
 _LINES = f"""
@@ -84,6 +84,12 @@ _DESCRIBE = """concat_ws(', ',
     CASE WHEN standard_occupancy > 0 THEN 'standard occupancy ' || standard_occupancy END)"""
 _COLS = "provider, hotel_ord, room_ord, base AS base_description, said AS occupancy_text, CASE WHEN said <> '' THEN base || '. ' || said ELSE base END AS text_for_embedding"
 _FIELDS = [("min_occupancy", "lo"), ("max_occupancy", "hi"), ("min_adults", "la"), ("max_adults", "ha"), ("max_children", "ch"), ("max_child_age", "ca"), ("max_infants", "inf"), ("max_infant_age", "ia"), ("standard_occupancy", "st")]
+_SPACE = "\\x09-\\x0D\\x{85}\\p{Z}"
+_WORDY = "\\p{L}\\p{M}\\p{Nd}\\p{Nl}\\p{Pc}"
+_TOKENS = f"""
+x AS (SELECT doc_id, {_digits('text')} AS t FROM documents WHERE text IS NOT NULL),
+y AS (SELECT doc_id, list_filter(regexp_split_to_array(regexp_replace(regexp_replace(t, '([^{_WORDY}{_SPACE}''.-])', ' \\1 ', 'g'), '\\.([{_SPACE}]|$)', ' .\\1', 'g'), '[{_SPACE}]+'), lambda w: w <> '') AS words FROM x),
+z AS (SELECT list_filter(words, lambda w: len(w) > 2 OR regexp_full_match(w, '[0-9]')) AS counted, list_filter(words, lambda w: len(w) > 2 OR regexp_full_match(w, '[0-9]+')) AS kept FROM y)"""
 
 ORACLE = {
     "validate_records": _issues(_HB_RULES),
@@ -121,4 +127,7 @@ ORACLE = {
     "embedded_texts": "WITH x AS (SELECT p_partkey, p_name || ' ' || p_type AS t FROM part) SELECT p_partkey, t AS text_for_embedding, len(t) || ',' || " + " || ',' || ".join(f"len(t) - len(replace(t, '{c}', ''))" for c in "aeiou") + " AS vector FROM x",
     "catalog_lookup": "SELECT 'C' || p_partkey % 40 AS code, arg_max(p_name, p_partkey) AS \"codeDescription\", arg_max(p_type, p_partkey) AS type FROM part WHERE p_partkey % 40 IN (7, 39) GROUP BY 1",
     "first_matches": f"{_ST} SELECT label, hb_ord, ad_ord FROM a WHERE ad_ord IS NOT NULL ORDER BY label, hb_ord LIMIT 10",
+    "document_tokens": f"WITH {_TOKENS} SELECT token, count(*) AS n FROM (SELECT unnest(counted) AS token FROM z) GROUP BY 1",
+    "document_bigrams": f"WITH {_TOKENS} SELECT kept[i] || ' ' || kept[i + 1] AS ngram, count(*) AS n FROM (SELECT kept, unnest(range(1, len(kept))) AS i FROM z WHERE len(kept) > 1) GROUP BY 1",
+    "document_numbers": f"WITH {_TOKENS} SELECT regexp_replace(p, '\\s+', ' ') AS pattern, count(*) AS n FROM (SELECT unnest(regexp_extract_all(t, '\\d+\\s+[a-z]+')) AS p FROM x) GROUP BY 1",
 }
