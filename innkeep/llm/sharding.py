@@ -10,7 +10,7 @@ groups above GROUP_SHARE go by splitters into the room that leaves; and so do th
 level. Only a group above a whole shard's share is cut: its rows are groups of their own, told apart by a hash of the id.
 What is gathered are the splitters, sums of ranges and shards, and at most shards / GROUP_SHARE groups above that share.
 
-Defined results: a null text has size 8 and a null checksum is 0 (of no bytes); null and empty texts are two groups; null
+Defined results: a null text has size 8 and a null checksum is 0 (of no bytes); null and empty texts are one group; null
 ids are allowed; ties of hash and id go by no fixed order (such rows are equal); an empty table gives no rows; other columns
 are ignored. Texts whose 64-bit hashes collide are one group.
 """
@@ -39,7 +39,7 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.col(id_col).alias("id"),
         (F.octet_length(text).cast("long") + 8).alias("size"),
         F.crc32(text).alias("text_crc32"),
-        F.xxhash64(text, F.col(text_col).isNull()).alias("a"),
+        F.xxhash64(text).alias("a"),
         F.xxhash64(F.lit(11), id_col).alias("b"),
     )
 
