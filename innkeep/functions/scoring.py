@@ -69,7 +69,12 @@ def penalized(sim: Column, text_a: Column, text_b: Column, occ_a: Column, occ_b:
 
     occ_a, occ_b: structs of max_occupancy, max_adults and max_children; a null struct or member is never penalized.
     """
-    ba, bb, ta, tb = bedrooms(text_a), bedrooms(text_b), room_type(text_a), room_type(text_b)
+    return penalized_facts(sim, (bedrooms(text_a), room_type(text_a), occ_a), (bedrooms(text_b), room_type(text_b), occ_b), p)
+
+
+def penalized_facts(sim: Column, a: tuple[Column, Column, Column], b: tuple[Column, Column, Column], p: Penalties = Penalties()) -> Column:
+    """The same from bedrooms, room type and occupancy of both sides, so that they need be worked out only once per room."""
+    (ba, ta, occ_a), (bb, tb, occ_b) = a, b
     bedroom = F.coalesce(ba != bb, F.lit(False))
     tiers = [
         ("max_occupancy", _tiers(occ_a["max_occupancy"], occ_b["max_occupancy"], p.occupancy_high, p.occupancy_low)),

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from innkeep.functions import occupancy
+from innkeep.functions.columns import settled
 
 BATCH = 32
 
@@ -31,7 +32,8 @@ def plain_texts(rooms: DataFrame) -> DataFrame:
 def described_texts(rooms: DataFrame, provider: str) -> DataFrame:
     """base_description, occupancy_text and text_for_embedding, in lower case. Rooms without hotel code or text go."""
     cols = ("normalized_code_description", "code_description") if provider == "hotelbeds" else ("normalized_description", "room_description", "room_name")
-    out = rooms.where("hotel_code <> ''").withColumn("base_description", F.lower(_first(*cols))).withColumn("occupancy_text", F.coalesce(occupancy.describe(F.col("occupancy")), F.lit("")))
+    out = settled(rooms.where("hotel_code <> ''"), "occupancy").withColumn("base_description", F.lower(_first(*cols))).withColumn("occupancy_text", F.coalesce(occupancy.describe(F.col("occupancy")), F.lit("")))
+    out = settled(out, "base_description", "occupancy_text")
     text = F.when(F.col("occupancy_text") != "", F.concat("base_description", F.lit(". "), "occupancy_text")).otherwise(F.col("base_description"))
     return out.withColumn("text_for_embedding", text).where("text_for_embedding <> ''")
 

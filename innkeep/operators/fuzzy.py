@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from innkeep.functions import scoring, text
+from innkeep.functions.columns import settled
 
 BLOCK_TEXTS = 20_000
 _BUCKETS = 64
@@ -24,7 +25,7 @@ _BUCKETS = 64
 
 def normalize_rooms(rooms: DataFrame, with_stems: bool = True) -> DataFrame:
     """Adds text, tokens, stems, numeric_features, normalized_code and code_prefix to rooms with code, name and description."""
-    out = rooms.withColumn("text", text.number_words(F.lower(text.room_text(F.col("name"), F.col("description")))))
+    out = settled(rooms.withColumn("text", text.number_words(F.lower(text.room_text(F.col("name"), F.col("description"))))), "text")
     out = out.withColumn("tokens", text.kept_tokens(F.col("text")))
     out = out.withColumn("stems", text.stems("tokens") if with_stems else F.array().cast("array<string>"))
     out = out.withColumn("numeric_features", text.numeric_features(F.col("text"))).withColumn("normalized_code", text.trimmed_code(F.col("code")))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from innkeep.functions import text
+from innkeep.functions.columns import settled
 
 
 def _counts(rooms: DataFrame, words: Column, name: str) -> DataFrame:
@@ -19,7 +20,8 @@ def token_counts(rooms: DataFrame, text_col: str = "text", stop_words: Iterable[
 
 
 def ngram_counts(rooms: DataFrame, n: int, text_col: str = "text") -> DataFrame:
-    return _counts(rooms, text.ngrams(text.kept_tokens(text.number_words(F.col(text_col))), n), "ngram")
+    words = settled(rooms.select(text.kept_tokens(text.number_words(F.col(text_col))).alias("words")), "words")
+    return _counts(words, text.ngrams(F.col("words"), n), "ngram")
 
 
 def numeric_counts(rooms: DataFrame, text_col: str = "text") -> DataFrame:

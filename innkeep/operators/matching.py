@@ -92,9 +92,11 @@ def match_rooms(hb: DataFrame, ad: DataFrame, block: str, vec: str, threshold: f
 
 def match_rooms_validated(hb: DataFrame, ad: DataFrame, block: str, vec: str, threshold: float = GM_THRESHOLD, penalties: scoring.Penalties = scoring.Penalties(), text: str = "text", occ: str = "occupancy") -> DataFrame:
     """Greedy assignment by similarity less penalties for bedrooms, occupancy and room type."""
-    pairs = room_pairs(hb, ad, block, vec, (text, occ))
-    p = scoring.penalized(F.col("sim"), F.col(f"hb_{text}"), F.col(f"ad_{text}"), F.col(f"hb_{occ}"), F.col(f"ad_{occ}"), penalties)
-    pairs = pairs.withColumn("adjusted", p["adjusted"])
+    facts = ("_bedrooms", "_type", occ)
+    hb, ad = (df.withColumn("_bedrooms", scoring.bedrooms(F.col(text))).withColumn("_type", scoring.room_type(F.col(text))) for df in (hb, ad))
+    pairs = room_pairs(hb, ad, block, vec, facts)
+    p = scoring.penalized_facts(F.col("sim"), *[tuple(F.col(f"{side}_{c}") for c in facts) for side in ("hb", "ad")], penalties)
+    pairs = pairs.select(block, "hb_ord", "ad_ord", "sim", p["adjusted"].alias("adjusted"))
     return assign(pairs, block, threshold, F.col("adjusted"))
 
 

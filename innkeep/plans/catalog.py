@@ -142,6 +142,7 @@ def penalty_flags(spark, d):
 
 def match_summary(spark, d):
     hb, ad, a = _gm(spark, d)
+    a = a.cache()  # read for each of the figures
     s = summary.match_summary(a, matching.unmatched_rooms(hb, ad, a, "label").where("side = 'ad'"), "label")
     return s.select("pairs", "matches", "unmatched_hb", "unmatched_ad", *[F.round(f"{p}{c}", 6).alias(f"{p}{c}") for p in ("", "adjusted_") for c in ("mean", "median", "min", "max")])
 

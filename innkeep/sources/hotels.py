@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from innkeep.functions import occupancy, text
+from innkeep.functions.columns import settled
 
 
 #: Spark's limit of a variant, in bytes.
@@ -80,7 +81,8 @@ def read_records(spark: SparkSession, path: str, lines: bool = False) -> DataFra
     """ord and rec (variant) of the top-level array, or of each line."""
     if lines:
         try:
-            return spark.read.text(path).where("trim(value) <> ''").select(F.monotonically_increasing_id().alias("ord"), F.try_parse_json("value").alias("rec"))
+            # exploded, so that conditions on a record don't parse its line again and again
+            return spark.read.text(path).where("trim(value) <> ''").select(F.monotonically_increasing_id().alias("ord"), F.explode(F.array(F.try_parse_json("value"))).alias("rec"))
         except AnalysisException as e:
             raise CatalogError(f"File not found: {path}") from e
     docs = read_documents(spark, path)
@@ -139,7 +141,7 @@ def with_hotel_issues(recs: DataFrame) -> DataFrame:
         if f != "rooms":
             conds.append((f"k_ = 'dict' AND k_{f} IS NOT NULL AND e_{f}", _q(f"Empty value for required field: {f}")))
     conds += [(f"k_ = 'dict' AND k_{f} <> '{want}'", f"concat('{f} must be {name}, got ', k_{f})") for f, (want, name) in fields.items()]
-    return facts.select(*recs.columns, _issues(conds).alias("errors"))
+    return settled(facts.select(*recs.columns, _issues(conds).alias("errors")), "errors")
 
 
 def with_room_issues(rooms: DataFrame, p: Provider) -> DataFrame:
@@ -176,7 +178,7 @@ def with_room_issues(rooms: DataFrame, p: Provider) -> DataFrame:
     for low, high in p.ordered:
         occ.append((f"{checked} AND n_{low} > n_{high}", where + f"{low} (', n_{low}, ') > {high} (', n_{high}, ')')"))
     facts = facts.select(*rooms.columns, "reached", _issues(conds).alias("w1"), _issues(occ).alias("w2"))
-    return facts.select(*rooms.columns, F.concat("w1", "w2").alias("warnings"), (F.col("reached") & (F.size("w2") == 0)).alias("occupancy_ok"))
+    return settled(facts.select(*rooms.columns, F.concat("w1", "w2").alias("warnings"), (F.col("reached") & (F.size("w2") == 0)).alias("occupancy_ok")), "warnings", "occupancy_ok")
 
 
 def validated(recs: DataFrame, provider: Provider, strict: bool = False) -> Catalog:
@@ -233,7 +235,7 @@ def flat_rooms(cat: Catalog, p: Provider) -> DataFrame:
         f"{_text('room', 'codeDescription', _q(''))} AS code_description", "coalesce(CASE WHEN try_variant_get(room, '$.providers[0].code', 'variant') IS NULL THEN '' END, try_variant_get(room, '$.providers[0].code', 'string')) AS provider_code",
         f"CASE WHEN {has} THEN named_struct({occ}) END AS occupancies",
     )
-    return hotels.join(rooms, "hotel_ord")
+    return hotels.join(settled(rooms, "occupancies"), "hotel_ord")
 
 
 def normalized_rooms(flat: DataFrame, p: Provider) -> DataFrame:
