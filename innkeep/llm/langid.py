@@ -33,7 +33,8 @@ from pyspark.sql import types as T
 BUCKETS = 1 << 16
 PER_LANG = 2000
 SWITCH_PENALTY = 12.0
-LETTERS_AT_ONCE = 1 << 20
+LETTERS_AT_ONCE = 1 << 18
+RUN_LETTERS = 1_000_000
 UND = "und"
 
 #: First code points of script ranges (Unicode blocks) and the script that starts there.
@@ -241,7 +242,7 @@ def identify(docs: DataFrame, model: Model, text_col: str, penalty: float = SWIT
             while i < big.num_rows:  # short runs of rows bound the memory of the arrays above
                 n, size = 0, 0
                 texts = big.column(text_col)
-                while i + n < big.num_rows and n < 2000 and size < 4_000_000:
+                while i + n < big.num_rows and n < 2000 and size < RUN_LETTERS:
                     size += len(texts[i + n].as_py() or "")
                     n += 1
                 b = big.slice(i, n)
