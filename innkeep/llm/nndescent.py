@@ -12,7 +12,7 @@ last of a list is proposed to it. Rounds end when at most DELTA of all entries c
 of old entries isn't met again, so rounds grow cheaper and come to an end.
 
 A query starts from its own node and its list, and expands its best unexpanded candidates, many at a time, until its beam
-holds no unexpanded one. Queries go in blocks of at most QUERY_BYTES; what a round gathers on the driver is two numbers
+holds no unexpanded one. The beam grows with the square root of the nodes. Queries go in blocks of at most QUERY_BYTES; what a round gathers on the driver is two numbers
 for each query of the block. Joins with the graph broadcast a side only if its size stays below BROADCAST_BYTES.
 
 Every row is indexed; the figures that trade recall for work are parameters, and the tests hold recall at 10 against
@@ -45,7 +45,7 @@ START_BLOCK = 2048
 MEET = 64
 HUB = 65_536
 BEAM = 300
-EXPAND = 150
+BEAM_GROWTH = 1.35
 QUERY_BYTES = 32 << 20
 BROADCAST_BYTES = 16 << 20
 
@@ -423,9 +423,11 @@ def _search_block(graph: DataFrame, asked: DataFrame, beam: int, expand: int, sm
     return state.select("q", "c", "d", "r")
 
 
-def search(graph: DataFrame, asked: DataFrame, beam: int = BEAM, expand: int = EXPAND) -> DataFrame:
+def search(graph: DataFrame, asked: DataFrame, beam: int | None = None, expand: int | None = None) -> DataFrame:
     """q, c, d, r: the nearest found of each query node, itself included, with d the squared distance in the graph; asked: the ids of the queries."""
     whole = graph.agg(F.max(F.octet_length("code")).alias("width"), F.count("*").alias("n")).first()
+    beam = beam or max(BEAM, int(BEAM_GROWTH * whole["n"] ** 0.5))
+    expand = expand or beam // 2
     width = whole["width"] or 1
     blocks = max(1, -(-asked.count() * (width + 16) // QUERY_BYTES))
     small = whole["n"] * (width + 16) <= BROADCAST_BYTES
