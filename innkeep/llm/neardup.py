@@ -45,6 +45,7 @@ LINK, CLOSE = 0.3, 0.7
 ROUNDS = 3
 SMALL_FAMILY = 400
 SAMPLE = 256
+RUN_BYTES = 1_000_000
 BROADCAST_IDS = 500_000
 _BLOCK_A, _BLOCK_B = 256, 1024
 
@@ -122,11 +123,11 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def _slices(b: pa.RecordBatch, column: str) -> Iterator[tuple[int, int]]:
-    """Runs of rows with at most about 4 MB of text."""
+    """Runs of rows with at most about RUN_BYTES of text."""
     size = pc.binary_length(b.column(column)).fill_null(0).to_numpy(zero_copy_only=False).cumsum()
     i = 0
     while i < b.num_rows:
-        j = int(np.searchsorted(size, (size[i - 1] if i else 0) + 4_000_000, "right"))
+        j = int(np.searchsorted(size, (size[i - 1] if i else 0) + RUN_BYTES, "right"))
         j = min(max(j, i + 1), b.num_rows)
         yield i, j
         i = j
@@ -289,7 +290,7 @@ def _star(sets: DataFrame, links: DataFrame, num: int, den: int) -> DataFrame:
     """a, b: confirmed links between the members of large families and their three most similar leaders."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (big.slice(i, j - i) for big in batches for i, j in _slices(big, "s2")):
             one, two = ([np.frombuffer(x, np.uint64) for x in b.column(c).to_pylist()] for c in ("s1", "s2"))
             inter = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(one, two, strict=True)])
             size = np.array([len(x) + len(y) for x, y in zip(one, two, strict=True)]) - inter
@@ -319,7 +320,7 @@ def _refined(rows: DataFrame, num: int, den: int) -> DataFrame:
 
     def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fam, often, counts = None, np.empty(0, np.uint64), np.empty(0, np.int32)
-        for b in batches:
+        for b in (big.slice(i, j - i) for big in batches for i, j in _slices(big, "set")):
             ids, nodes = [], []
             for f, i, part, n in zip(*(b.column(c).to_pylist() for c in ("fam", "id", "set", "n")), strict=True):
                 h = np.frombuffer(part, np.uint64)
@@ -347,7 +348,8 @@ def _refined(rows: DataFrame, num: int, den: int) -> DataFrame:
     often = often.join(torn, "fam").select("fam", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).cast("long").alias("id"), "set", "n")
     dealt = rows.select("fam", F.pmod(F.xxhash64(F.lit(9), "id"), "parts").cast("int").alias("part"), "id", "set", F.lit(None).cast("binary").alias("n"))
     met = often.unionByName(dealt).repartition("fam", "part").sortWithinPartitions("fam", "part", F.col("n").isNull())
-    finer = components(met.select("fam", "id", "set", "n").mapInArrow(firsts, "a long, b long"), "a", "b")
+    # written first: chained Python steps would hold two workers a core
+    finer = components(store.cut(met.select("fam", "id", "set", "n").mapInArrow(firsts, "a long, b long"), "nd-firsts"), "a", "b")
     return rows.join(finer, rows["id"] == finer["node"]).select(F.col("component").alias("fam"), "id", "set", "comp")
 
 
