@@ -1,9 +1,15 @@
 """Hotel pairs, room candidates and greedy one-to-one assignment.
 
 Rooms carry their place in the input (an ordinal): assignment goes in that order, and ties go to the smaller one. Each room
-of the first side is a row with its candidates that reach the threshold, best first; the rows of a hotel pair lie together
-in order, and one pass takes for each the first candidate that no row before it took. Only the places taken in the hotel
-pair at hand are kept in memory, however many rooms it has.
+of the first side is a row with its candidates that reach the threshold, best first.
+
+Assignment is deferred acceptance: rooms propose to the best candidate that has not refused them, a candidate keeps the room with the
+smallest ordinal and refuses the others, until nobody is refused. As all candidates prefer smaller ordinals, this gives
+what taking the rooms one by one would give, in any order of proposals. So the rooms of a block that is not large propose
+in one pass, in their order, and are done. Those of a large block are dealt by ordinals into buckets that propose at the
+same time, each in one pass that knows what earlier buckets hold so far; the smallest ordinals win, and buckets that lost
+rooms propose again. After round k the first k buckets are final, so there are as many rounds as buckets at most. A pass
+keeps only the places taken in its block.
 """
 
 from __future__ import annotations
@@ -15,9 +21,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from innkeep.functions import scoring
+from innkeep.operators import similar
+from innkeep.operators.positions import with_places
+from innkeep.sources import shared
 
 ST_THRESHOLD = 0.75
 GM_THRESHOLD = 0.90
+#: Rooms of a bucket; blocks with more rooms are large.
+BUCKET_ROOMS = 4096
 
 
 def hotel_pairs(hb: DataFrame, ad: DataFrame, key: str = "place_id", null_safe: bool = False) -> DataFrame:
@@ -33,71 +44,126 @@ def unmatched_hotels(hotels: DataFrame, others: DataFrame, key: str = "place_id"
     return hotels.join(others.select(key), key, "left_anti")
 
 
-def with_norm(rooms: DataFrame, vec: str) -> DataFrame:
-    """The vector as doubles and its norm, once per room rather than per pair."""
-    return rooms.withColumn(vec, F.col(vec).cast("array<double>")).withColumn(f"{vec}_norm", scoring.norm(F.col(vec)))
+def room_pairs(hb: DataFrame, ad: DataFrame, block: str, vec: str, keep: tuple[str, ...] = (), threshold: float | None = None) -> DataFrame:
+    """block, hb_ord, ad_ord, sim and the columns ``keep`` of both sides, for the pairs of a block that reach the threshold.
 
+    Without a threshold, all pairs that have a similarity.
+    """
+    met = similar.candidates(hb, ad, block, vec, threshold, keep)
+    each = met.select(block, F.col("ord").alias("hb_ord"), *[F.col(c).alias(f"hb_{c}") for c in keep], F.explode("met").alias("m"))
+    return each.select(block, "hb_ord", F.col("m.ord").alias("ad_ord"), "m.sim", *[f"hb_{c}" for c in keep], *[F.col(f"m.{c}").alias(f"ad_{c}") for c in keep])
+
+
+def _ranked(met: DataFrame, block: str, threshold: float, adjusted=None) -> DataFrame:
+    """Rows of :func:`similar.candidates` with their candidates in order of preference.
 
-def room_pairs(hb: DataFrame, ad: DataFrame, block: str, vec: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """block, hb_ord, ad_ord, sim and the columns ``keep`` of both sides, for every hb with every ad room of a block."""
-    sides = [with_norm(df, vec).select(F.col(block), *[F.col(c).alias(f"{p}_{c}") for c in ("ord", vec, f"{vec}_norm", *keep)]) for df, p in ((hb, "hb"), (ad, "ad"))]
-    sim = scoring.cosine(F.col(f"hb_{vec}"), F.col(f"ad_{vec}"), F.col(f"hb_{vec}_norm"), F.col(f"ad_{vec}_norm"))
-    return sides[0].join(sides[1], block).select(block, "hb_ord", "ad_ord", sim.alias("sim"), *[f"{p}_{c}" for p in ("hb", "ad") for c in keep])
+    adjusted: from a candidate (a struct column) to its adjusted similarity, which must reach the threshold too.
+    """
+    adj = (lambda m: F.coalesce(adjusted(m), m["sim"])) if adjusted else (lambda m: m["sim"])
+    order = F.transform("met", lambda m: F.struct((-adj(m)).alias("a"), (-m["sim"]).alias("b"), m["ord"].alias("ad_ord"), m["sim"].alias("sim"), adj(m).alias("adjusted")))
+    rows = met.select(F.col(block).alias("block"), F.col("ord").alias("hb_ord"), order.alias("all"), ((F.size("met") == 0) & ~F.col("unknown")).alias("below"))
+    valid = F.array_sort(F.filter("all", lambda m: m["adjusted"] >= threshold))
+    failed = F.transform(F.filter("all", lambda m: ~(m["adjusted"] >= threshold)), lambda m: m["ad_ord"])
+    rows = rows.select("block", "hb_ord", valid.alias("valid"), failed.alias("failed"), "below")
+    return rows.select("block", "hb_ord", F.col("valid.ad_ord").alias("ords"), F.col("valid.sim").alias("sims"), F.col("valid.adjusted").alias("adjs"), "failed", "below")
+
+
+def _proposed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by block and bucket, first what earlier buckets hold (held), then rooms in order: each room's first free candidate."""
+    now, used = object(), set()
+    for b in batches:
+        out = []
+        for at, bucket, held, hb, ords, sims, adjs, failed, below in zip(*(b.column(c).to_pylist() for c in ("block", "bucket", "held", "hb_ord", "ords", "sims", "adjs", "failed", "below")), strict=True):
+            if (at, bucket) != now:
+                now, used = (at, bucket), set()
+            if held is not None:
+                used.add(held)
+                continue
+            hit = next((i for i, o in enumerate(ords) if o not in used), None)
+            if hit is not None:
+                used.add(ords[hit])
+                out.append((at, bucket, hb, ords[hit], sims[hit], adjs[hit], None))
+            elif any(o not in used for o in failed):
+                out.append((at, bucket, hb, None, None, None, "failed_validation_checks"))
+            else:
+                out.append((at, bucket, hb, None, None, None, "below_threshold" if below else "no_match_found"))
+        if out:
+            kinds = [b.schema.field("block").type, pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["block", "bucket", "hb_ord", "ad_ord", "sim", "adjusted", "reason"])
+
+
+def _round(rooms: DataFrame, held: DataFrame | None = None) -> DataFrame:
+    """Proposals of rooms (block, bucket, hb_ord, candidates), given held (block, bucket, held: a place that an earlier bucket has)."""
+    cols = ["hb_ord", "ords", "sims", "adjs", "failed", "below"]
+    rows = rooms.select("block", "bucket", F.lit(None).cast("long").alias("held"), *cols)
+    if held is not None:
+        rows = rows.unionByName(held.select("block", "bucket", "held", *[F.lit(None).cast(rooms.schema[c].dataType).alias(c) for c in cols]))
+    kind = rooms.schema["block"].dataType.simpleString()
+    return rows.repartition("block", "bucket").sortWithinPartitions("block", "bucket", F.col("held").isNull(), "hb_ord").mapInArrow(_proposed, f"block {kind}, bucket long, hb_ord long, ad_ord long, sim double, adjusted double, reason string")
+
+
+def _accepted(rooms: DataFrame) -> DataFrame:
+    """Final proposals of the rooms of large blocks, by rounds."""
+    rooms = shared.cut(rooms, "rooms")
+    placed = with_places(rooms.select("block", "hb_ord"), [F.col("hb_ord").asc()], ["block"], "place")
+    bucket = F.floor(F.col("place") / BUCKET_ROOMS)
+    rooms = shared.cut(rooms.join(placed.select("block", "hb_ord", bucket.alias("bucket")), ["block", "hb_ord"]), "buckets")
+    last = shared.cut(rooms.groupBy("block").agg(F.max("bucket").alias("last")), "last-buckets")
+    held = None
+    while True:
+        found = shared.cut(_round(rooms, held), "proposals")
+        taken = found.where("ad_ord is not null")
+        held = taken.groupBy("block", F.col("ad_ord").alias("held")).agg(F.min(F.struct("hb_ord", "bucket")).alias("by"), F.count("*").alias("n"))
+        held = shared.cut(held.select("block", "held", F.col("by.bucket").alias("of"), "n"), "held")
+        if held.where("n > 1").isEmpty():
+            return found
+        # later buckets of the block learn what is held; a block's buckets are few
+        held = held.join(last, "block").where("of < last").select("block", "held", F.explode(F.sequence(F.col("of") + 1, F.col("last"))).alias("bucket"))
+
+
+def _assigned(rooms: DataFrame, block: str, large: DataFrame) -> DataFrame:
+    """Assignment of rooms as :func:`_ranked` gives them. large: the blocks (column block) of more than BUCKET_ROOMS rooms."""
+    if large.isEmpty():
+        found = _round(rooms.withColumn("bucket", F.lit(0).cast("long")))
+    else:
+        with shared.scratch(rooms.sparkSession) as own:
+            rooms = shared.cut(rooms, "candidates")
+            hot = large.select(F.col("block").alias("l_"))
+            small = _round(rooms.join(hot, F.col("block") == F.col("l_"), "left_anti").withColumn("bucket", F.lit(0).cast("long")))
+            found = own.keep(small.unionByName(_accepted(rooms.join(hot, F.col("block") == F.col("l_"), "left_semi"))), "assigned")
+    return found.select(F.col("block").alias(block), "hb_ord", "ad_ord", "sim", "adjusted", "reason")
 
 
 def assign(pairs: DataFrame, block: str, threshold: float, adjusted: Column | None = None) -> DataFrame:
     """block, hb_ord, ad_ord, sim, adjusted, reason: a row per hb room that has ad rooms in its block; ad_ord is null where unmatched.
 
-    Each hb room, in order, takes its best unused candidate: raw similarity and ``adjusted`` (if given) must reach the
-    threshold. Null similarity is no candidate, and with one of them the best similarity of a room counts as unknown.
+    pairs: block, hb_ord, ad_ord and sim of all pairs of a block. Each hb room, in order, takes its best unused candidate: raw
+    similarity and ``adjusted`` (if given) must reach the threshold. Null similarity is no candidate, and with one of them
+    the best similarity of a room counts as unknown. With large blocks, results are written in the shared folder.
     """
+    known = F.col("sim").isNotNull() & ~F.isnan("sim")
     adj = F.coalesce(adjusted, F.col("sim")) if adjusted is not None else F.col("sim")
-    raw = F.coalesce(F.col("sim") >= threshold, F.lit(False)) & ~F.isnan("sim")
-    order = F.struct((-adj).alias("a"), (-F.col("sim")).alias("b"), F.col("ad_ord").cast("long").alias("ad_ord"), F.col("sim").alias("sim"), adj.alias("adjusted"))
-    rooms = pairs.groupBy(block, F.col("hb_ord").cast("long").alias("hb_ord")).agg(
-        F.array_sort(F.collect_list(F.when(raw & (adj >= threshold), order))).alias("valid"),
-        F.collect_list(F.when(raw & ~(adj >= threshold), F.col("ad_ord").cast("long"))).alias("failed"),
-        F.coalesce((F.count_if(F.col("sim").isNull() | F.isnan("sim")) == 0) & (F.max("sim") < threshold), F.lit(False)).alias("below"),
-    )
-    rows = rooms.select(F.col(block).alias("block"), "hb_ord", F.col("valid.ad_ord").alias("ords"), F.col("valid.sim").alias("sims"), F.col("valid.adjusted").alias("adjs"), "failed", "below")
-    kind = rows.schema["block"].dataType.simpleString()
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, used = object(), set()
-        for b in batches:
-            got, picked = [], []
-            for at, ords, failed, below in zip(*(b.column(c).to_pylist() for c in ("block", "ords", "failed", "below")), strict=True):
-                if at != now:
-                    now, used = at, set()
-                hit = next((i for i, o in enumerate(ords) if o not in used), None)
-                if hit is not None:
-                    used.add(ords[hit])
-                    got.append(None)
-                elif any(o not in used for o in failed):
-                    got.append("failed_validation_checks")
-                else:
-                    got.append("below_threshold" if below else "no_match_found")
-                picked.append(hit)
-            of = lambda c: [None if i is None else x[i] for x, i in zip(b.column(c).to_pylist(), picked, strict=True)]  # noqa: B023, E731
-            yield pa.RecordBatch.from_arrays([b.column("block"), b.column("hb_ord"), pa.array(of("ords"), pa.int64()), pa.array(of("sims"), pa.float64()), pa.array(of("adjs"), pa.float64()), pa.array(got, pa.string())], ["block", "hb_ord", "ad_ord", "sim", "adjusted", "reason"])
-
-    found = rows.repartition("block").sortWithinPartitions("block", "hb_ord").mapInArrow(work, f"block {kind}, hb_ord long, ad_ord long, sim double, adjusted double, reason string")
-    return found.withColumnRenamed("block", block)
+    one = F.struct(F.col("ad_ord").cast("long").alias("ord"), "sim", adj.alias("adj"))
+    met = pairs.groupBy(block, F.col("hb_ord").cast("long").alias("ord")).agg(F.collect_list(F.when(known & (F.col("sim") >= threshold), one)).alias("met"), F.max(~known).alias("unknown"))
+    return _assigned(_ranked(met, block, threshold, lambda m: m["adj"]), block, _large(pairs.select(block, "hb_ord").distinct(), block))
+
+
+def _large(rooms: DataFrame, block: str) -> DataFrame:
+    return rooms.groupBy(F.col(block).alias("block")).agg(F.count("*").alias("n")).where(F.col("n") > BUCKET_ROOMS)
 
 
 def match_rooms(hb: DataFrame, ad: DataFrame, block: str, vec: str, threshold: float = ST_THRESHOLD) -> DataFrame:
-    """Greedy assignment by plain similarity."""
-    return assign(room_pairs(hb, ad, block, vec), block, threshold)
+    """Greedy assignment by plain similarity. Null similarity is no candidate; with one of them, a room's best one counts as unknown."""
+    return _assigned(_ranked(similar.candidates(hb, ad, block, vec, threshold), block, threshold), block, _large(hb, block))
 
 
 def match_rooms_validated(hb: DataFrame, ad: DataFrame, block: str, vec: str, threshold: float = GM_THRESHOLD, penalties: scoring.Penalties = scoring.Penalties(), text: str = "text", occ: str = "occupancy") -> DataFrame:
     """Greedy assignment by similarity less penalties for bedrooms, occupancy and room type."""
     facts = ("_bedrooms", "_type", occ)
     hb, ad = (df.withColumn("_bedrooms", scoring.bedrooms(F.col(text))).withColumn("_type", scoring.room_type(F.col(text))) for df in (hb, ad))
-    pairs = room_pairs(hb, ad, block, vec, facts)
-    p = scoring.penalized_facts(F.col("sim"), *[tuple(F.col(f"{side}_{c}") for c in facts) for side in ("hb", "ad")], penalties)
-    pairs = pairs.select(block, "hb_ord", "ad_ord", "sim", p["adjusted"].alias("adjusted"))
-    return assign(pairs, block, threshold, F.col("adjusted"))
+    met = similar.candidates(hb, ad, block, vec, threshold, facts)
+    adjusted = lambda m: scoring.penalized_facts(m["sim"], tuple(F.col(c) for c in facts), tuple(m[c] for c in facts), penalties)["adjusted"]
+    return _assigned(_ranked(met, block, threshold, adjusted), block, _large(hb, block))
 
 
 def unmatched_rooms(hb: DataFrame, ad: DataFrame, assigned: DataFrame, block: str) -> DataFrame:

@@ -106,8 +106,8 @@ def occupancy_text(spark, d):
 
 
 def cosine_pairs(spark, d):
-    p = matching.room_pairs(*_sides(spark, d), "label", "embedding")
-    return p.where(F.col("sim") >= T).select("label", "hb_ord", "ad_ord", F.round("sim", 6).alias("sim"))
+    p = matching.room_pairs(*_sides(spark, d), "label", "embedding", threshold=T)
+    return p.select("label", "hb_ord", "ad_ord", F.round("sim", 6).alias("sim"))
 
 
 def _st(spark, d):
@@ -135,7 +135,7 @@ def penalized_match(spark, d):
 
 def penalty_flags(spark, d):
     hb, ad = (_described(x) for x in _sides(spark, d))
-    p = matching.room_pairs(hb, ad, "label", "embedding", ("text", "occupancy")).where(F.col("sim") >= T)
+    p = matching.room_pairs(hb, ad, "label", "embedding", ("text", "occupancy"), T)
     p = p.select("label", "hb_ord", "ad_ord", scoring.penalized(F.col("sim"), F.col("hb_text"), F.col("ad_text"), F.col("hb_occupancy"), F.col("ad_occupancy")).alias("p"))
     return p.select("label", "hb_ord", "ad_ord", F.round("p.adjusted", 6).alias("adjusted"), "p.flags.bedroom_match", "p.flags.room_type_match", "p.flags.occupancy_match", F.array_join("p.flags.penalties_applied", "; ").alias("penalties"))
 
