@@ -49,20 +49,20 @@ def _uuid_urn(*cols: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *[F.substring(h, a, n) for a, n in cuts]), F.lit(">"))
 
 
-def plan_records(pages: DataFrame, id_col: str, url_col: str, payload_col: str, min_dedup_bytes: int = 0, stable: bool = False) -> DataFrame:
+def plan_records(pages: DataFrame, id_col: str, url_col: str, payload_col: str, min_dedup_bytes: int = 0) -> DataFrame:
     """A row per page: row_id, url, payload, digest, record_id and, for revisits, refers_to.
 
-    Of rows with equal payloads of at least ``min_dedup_bytes``, the one with the largest id is the response. Rows are told
-    apart by their place in the table, so it is written first, unless it is ``stable``: a plain scan of files, whose rows
-    lie in the same places whenever they are read.
+    Of rows with equal payloads of at least ``min_dedup_bytes``, the one with the largest id is the response. Pages are written
+    once, each with a number: rows that repeat an id are told apart by it, and it is data from then on, however later jobs
+    lay out their scans.
     """
-    if not stable:
-        pages = store.cut(pages.select(*dict.fromkeys([id_col, url_col, payload_col])), "warc-pages")
     base = pages.select(
         F.col(id_col).cast("long").alias("row_id"),
         F.col(url_col).cast("string").alias("url"),
         F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload"),
-    ).withColumn("n", F.monotonically_increasing_id())
+        F.monotonically_increasing_id().alias("n"),
+    )
+    base = store.cut(base, "warc-pages")
     base = base.withColumn("whole", F.sha2("payload", 256))
     if min_dedup_bytes > 0:
         base = base.withColumn("whole", F.when(F.octet_length("payload") >= min_dedup_bytes, F.col("whole")))
@@ -298,13 +298,14 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
-    """Give every revisit the row, size and digest of the response that it refers to.
+    """Give every revisit the row, size and digest of the response that it refers to; fails if there is none.
 
     ``records``: a written table of record_id, record_type, row_id, refers_to, payload_bytes, payload_digest. The join's
     key is the response; one that very many records revisit is dealt over several tasks.
     """
-    to = records.where("record_type = 'response'").select(F.col("record_id").alias("refers_to"), F.col("row_id").alias("to_row"), F.col("payload_bytes").alias("to_bytes"), F.col("payload_digest").alias("to_digest"))
+    to = records.where("record_type = 'response'").select(F.col("record_id").alias("refers_to"), F.col("row_id").alias("to_row"), F.col("payload_bytes").alias("to_bytes"), F.col("payload_digest").alias("to_digest"), F.lit(True).alias("there"))
     met = skew.spread_join(records.where("refers_to is not null"), to, ["refers_to"], F.xxhash64("record_id"), how="left")
-    met = met.select("record_id", "record_type", "row_id", F.coalesce("to_bytes", "payload_bytes").alias("payload_bytes"), F.coalesce("to_digest", "payload_digest").alias("payload_digest"), F.col("to_row").alias("refers_to"))
+    lost = F.raise_error(F.concat(F.lit("revisit without a response: "), F.col("record_id"))).cast("long")
+    met = met.select("record_id", "record_type", "row_id", F.coalesce("to_bytes", "payload_bytes").alias("payload_bytes"), F.coalesce("to_digest", "payload_digest").alias("payload_digest"), F.when(F.col("there"), F.col("to_row")).otherwise(lost).alias("refers_to"))
     alone = records.where("refers_to is null").select("record_id", "record_type", "row_id", "payload_bytes", "payload_digest", F.lit(None).cast("long").alias("refers_to"))
     return met.unionByName(alone)

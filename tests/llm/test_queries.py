@@ -8,12 +8,14 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from innkeep.llm import components, mixing, neardup, packing, q_urls, queries, sharding, skew, warc
+from innkeep.sources import shared
 from plain import links_of, norm, shingles, url_templates
 
 TINY, SMALL = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -162,6 +164,48 @@ def test_damaged_archives(spark, tmp_path):
     assert got["twice"] == got["split"] == [(1, "ok", 5000)]
 
 
+def test_revisits_when_every_job_lays_out_its_scan_anew(spark, monkeypatch, tmp_path):
+    """The registered query over pages with copies, repeated ids and files that are split differently from job to job."""
+    rows = [(i % 550, "http://a/", None if i % 11 == 0 else f"page {i % 97} " * 50) for i in range(600)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7).write.parquet(f"{tmp_path}/pages.parquet")
+    key, real, jobs = "spark.sql.files.minPartitionNum", corpus_pipeline.store.shared_dir, iter(range(10_000))
+
+    def anew(session):
+        n = next(jobs)
+        session.conf.set(key, str([1, 13, 2, 29, 5][n % 5]))
+        session.conf.set("spark.sql.files.maxPartitionBytes", str([1 << 27, 3000, 9000][n % 3]))
+        return real(session)
+
+    monkeypatch.setattr(shared, "shared_dir", anew)
+    try:
+        got = queries.QUERIES["op1_warc"](spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset(key)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(got) == 600 and next(jobs) > 4
+    by = defaultdict(list)
+    for i, _, html in rows:
+        by[(html or "").encode()].append(i)
+    want = Counter()
+    for payload, ids in by.items():
+        for k, i in enumerate(sorted(ids, reverse=True)):
+            want[i, len(payload), "revisit" if k else "response", max(ids) if k else None] += 1
+    assert Counter((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in got) == want
+    con = duckdb.connect()
+    unique = {r[0]: r for r in rows}
+    con.register("pages", pa.table({"page_id": list(unique), "html": [r[2] for r in unique.values()]}))
+    spark.createDataFrame(list(unique.values()), "page_id long, url string, html string").write.parquet(f"{tmp_path}/u/pages.parquet")
+    sql = con.execute(queries.ORACLE["op1_warc"])
+    names = [c[0] for c in sql.description]
+    assert sorted(map(repr, map(tuple, queries.QUERIES["op1_warc"](spark, f"{tmp_path}/u").select(*names).collect()))) == sorted(map(repr, sql.fetchall()))
+
+
+def test_a_revisit_without_its_response_fails(spark):
+    rows = spark.createDataFrame([("a", "revisit", 1, "gone", 0, "D")], "record_id string, record_type string, row_id long, refers_to string, payload_bytes long, payload_digest string")
+    with pytest.raises(Exception, match="revisit without a response: a"):
+        warc.resolve_revisits(corpus_pipeline.store.cut(rows, "read")).collect()
+
+
 def test_revisits_of_a_hot_response(spark, monkeypatch):
     monkeypatch.setattr(skew, "KEY_ROWS", 7)
     pages = spark.createDataFrame([(i, "http://a/", "same" if i % 3 else f"own {i}") for i in range(90)], "page_id long, url string, html string").repartition(3)
