@@ -15,7 +15,7 @@ shuffle.
 
 Defined results: vectors that are null or hold null or non-finite components (also after preparation) take no part;
 shorter ones are padded with zeros; a query's own row is every row with its id; a repeated query id is searched once, for
-the vector that a maximum picks; repeated candidates are listed each; ties go to the smaller id; a score beyond 64 bits is
+the largest of its usable vectors; repeated candidates are listed each; ties go to the smaller id; a score beyond 64 bits is
 ranked by its exact value and shown as the nearest 64-bit number; an empty table gives no rows; other columns are ignored.
 """
 
@@ -105,7 +105,13 @@ def top_k(vectors: DataFrame, id_col: str, vec_col: str, is_query: Column, k: in
     """query_id, rank, vec_id, score: for each query the k rows with the highest integer inner products."""
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"), is_query.alias("q")).where("id is not null and v is not null")
-    queries = rows.where("q").groupBy("id").agg(F.max("v").alias("v"))
+
+    def usable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, x = matrix(b.column("v"))
+            yield b.take(pa.array(at[np.isfinite(prepare(x)).all(axis=1)]))
+
+    queries = rows.where("q").select("id", "v").mapInArrow(usable, "id long, v array<double>").groupBy("id").agg(F.max("v").alias("v"))
     size = queries.agg(F.coalesce(F.sum(F.size("v")), F.lit(0)) * 8).first()[0]
     blocks = max(1, -(-size // QUERY_BYTES))
 

@@ -86,6 +86,12 @@ def test_repeated_query_rows(spark):
     assert got == [(1, 6, 35 * 65536), (2, 13, 35 * 65536), (3, 20, 35 * 65536)]
 
 
+def test_repeated_query_rows_beside_unusable_ones(spark):
+    rows = [(0, [1.0, 2.0]), (0, [float("nan"), 9.0]), (0, [None, 9.0]), (0, None), (0, [float("inf"), 1.0]), (0, [1e308, 1.0]), (1, [3.0, 1.0]), (2, [0.0, 1.0])]
+    got = maxscore.top_k(spark.createDataFrame(rows, "vec_id long, v array<double>"), "vec_id", "v", F.col("vec_id") == 0, 5).collect()
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in got) == [(1, 1, 5 * 65536), (2, 2, 2 * 65536)]
+
+
 def test_searches(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, None), (4, [float("nan"), 1.0]), (5, [0.0, 0.0]), (6, [0.5, 0.5])]
     v = spark.createDataFrame(rows, "vec_id long, v array<double>").withColumn("score", F.lit(1))
