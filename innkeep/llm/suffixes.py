@@ -1,10 +1,11 @@
 """Exact removal of repeated passages: bytes covered by a string that also starts in a document with a smaller id.
 
-1. Documents are packed into shards of SHARD_BYTES, written once and compressed; from then on a shard is known by its name.
+1. Documents that repeat a whole text of a smaller id go at once. All others are packed into shards of SHARD_BYTES,
+   written once and compressed; from then on a shard is known by its name.
 2. Which strings can repeat at all: each string of ``length`` bytes has a least gram (by a hash of GRAM bytes), and equal
    strings have the same one. Each shard sends the sorted distinct least grams of its documents, by ranges of the hash; a
    range's task tells which of them other shards have too. Nothing is lost by that: hashes that happen to be equal only add work.
-3. Each shard sorts the suffixes of its suspect text (Larsson and Sadakane: by eight bytes, then only groups that are still
+3. Each shard sorts the suffixes of its suspect text (Larsson and Sadakane: by seven bytes, then only groups that are still
    tied, by the ranks of what follows, so that the sorted length doubles) and takes common prefixes from Kasai's recurrence, in many
    stretches of the text at once. Neighbours that share ``length`` bytes are one string; its smallest id in the shard
    settles all others there.
@@ -35,15 +36,20 @@ from pyspark.sql import functions as F
 from innkeep.llm import store
 
 SHARD_BYTES = 1 << 20
-PART_BYTES = 1 << 21
+PART_BYTES = 1 << 19
 #: Bytes of text whose grams a range holds, about.
-RANGE_BYTES = 1 << 24
+RANGE_BYTES = 1 << 23
 #: Shards that hold a gram before the strings around it are dealt by themselves.
 HOT_SHARDS = 64
+#: Texts with whole copies whose digests (a row each) are broadcast; more of them are joined.
+BROADCAST_ROWS = 100_000
+#: Strings that a range's task merges at once.
+SHARE_STRINGS = 1 << 19
 GRAM = 24
 _BLOCK = 1 << 15
 _LAST = np.iinfo(np.int64).max
 _U = np.uint64
+_SHARD_CODEC = pa.Codec("zstd", compression_level=6)
 _MULT, _MIX = 0x9E3779B97F4A7C15, _U(0xD6E8FEB86659FD93)
 
 
@@ -101,29 +107,36 @@ def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, int]:
     n = len(data)
     padded = np.append(data, np.zeros(8, np.uint8))
     key = np.zeros(n, _U)
-    for k in range(8):
+    for k in range(7):
         key = (key << _U(8)) | padded[k : k + n]
-    sa = np.argsort(key)
+    key <<= _U(8)
+    key |= np.minimum(np.arange(n, 0, -1), 7).astype(_U)  # the end of the text is less than any byte
+    sa = np.argsort(key).astype(np.int32)
     key = key[sa]
     new = np.append(True, key[1:] != key[:-1])
-    rank = np.empty(n, np.int64)
-    rank[sa] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    h = 8
-    while h < depth:
-        at = np.flatnonzero(~(new & np.append(new[1:], True)))
+    del key
+    rank = np.empty(n, np.int32)
+    rank[sa] = np.maximum.accumulate(np.where(new, np.arange(n, dtype=np.int32), 0))
+
+    def ranked(at: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The suffixes at some places of sa by their rank and what comes after, and these two as one number."""
         i = sa[at]
-        after = np.where(i + h < n, rank[np.minimum(i + h, n - 1)] + 1, 0)
-        both = (rank[i] << 32) | after
+        both = (rank[i].astype(np.int64) << 32) | after(i)
         order = np.argsort(both)
-        i, both = i[order], both[order]
+        return i[order], both[order]
+
+    tied = lambda: np.flatnonzero(~(new & np.append(new[1:], True))).astype(np.int32)
+    h = 7
+    while h < depth:
+        at = tied()
+        i, both = ranked(at, lambda i: np.where(i < n - h, rank[np.minimum(i, n - 1 - min(h, n - 1)) + min(h, n - 1)] + 1, 0))  # noqa: B023
         sa[at] = i
-        first = np.append(True, both[1:] != both[:-1])
+        first = np.append(True, both[1:] != both[:-1])[: len(at)]
         new[at] |= first
         rank[i] = np.maximum.accumulate(np.where(first, at, 0))
         h *= 2
-    at = np.flatnonzero(~(new & np.append(new[1:], True)))
-    i = sa[at]
-    sa[at] = i[np.argsort((rank[i] << 32) | i)]
+    at = tied()
+    sa[at] = ranked(at, lambda i: i)[0]
     return sa, h
 
 
@@ -139,9 +152,9 @@ def common_prefixes(data: np.ndarray, sa: np.ndarray, most: int, stretch: int =
     word = np.zeros(n + most + 8, _U)
     for k in range(8):
         word |= padded[k : k + len(word)].astype(_U) << _U(8 * k)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, np.int32)
     before[sa[1:]] = sa[:-1]
-    out = np.zeros(n, np.int64)
+    out = np.zeros(n, np.int32)
     at = np.arange(0, n, stretch)
     shared, last = np.zeros(len(at), np.int64), np.full(len(at), -2)
     for _ in range(min(stretch, n)):
@@ -193,7 +206,7 @@ def _packed_size(*arrays: np.ndarray) -> int:
     return 8 + 8 * len(arrays) + 8 * sum(len(a) for a in arrays)
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shards(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[pa.RecordBatch]:
     """Rows (id, text) packed: shard, ids, sizes, bytes, data (compressed)."""
     task, n = TaskContext.get().partitionId(), 0
     ids, texts, size = [], [], 0
@@ -201,14 +214,14 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def one() -> pa.RecordBatch:
         whole = b"".join(texts)
         return pa.RecordBatch.from_arrays(
-            [pa.array([(task << 33) + n]), pa.array([ids], pa.list_(pa.int64())), pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([len(whole)], pa.int64()), pa.array([pa.compress(whole, codec="zstd", asbytes=True)], pa.binary())],
+            [pa.array([(task << 33) + n]), pa.array([ids], pa.list_(pa.int64())), pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([len(whole)], pa.int64()), pa.array([_SHARD_CODEC.compress(whole, asbytes=True)], pa.binary())],
             ["shard", "ids", "sizes", "bytes", "data"],
         )
 
     for b in batches:
         for i, t in zip(b.column("id").to_pylist(), b.column("text"), strict=True):
             t = t.as_py()
-            if size + len(t) > SHARD_BYTES and ids:
+            if size + len(t) > shard_bytes and ids:
                 yield one()
                 n, ids, texts, size = n + 1, [], [], 0
             ids.append(i)
@@ -251,7 +264,9 @@ def _cuts(grams: np.ndarray, shift: int) -> Iterator[tuple[int, slice]]:
 
 
 def _rows_of(batch: pa.RecordBatch, *cols: str) -> Iterator[tuple]:
-    return zip(*(batch.column(c).to_pylist() for c in cols), strict=True)
+    """Rows one by one: a batch's data isn't copied at once."""
+    held = [batch.column(c) for c in cols]
+    return (tuple(c[i].as_py() for c in held) for i in range(batch.num_rows))
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], key: str, *cols: str) -> Iterator[tuple[int, list[tuple]]]:
@@ -284,7 +299,7 @@ def _batched(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatc
 _GRAMS = pa.schema([("range", pa.int64()), ("shard", pa.int64()), ("n", pa.int64()), ("grams", pa.binary())])
 _MASKS = pa.schema([("shard", pa.int64()), ("range", pa.int64()), ("n", pa.int64()), ("mask", pa.binary())])
 _PARTS = pa.schema([("range", pa.int64()), ("shard", pa.int64()), ("part", pa.int64()), ("size", pa.int64()), ("runs", pa.binary()), ("n", pa.int64()), ("text", pa.binary())])
-_VERDICTS = pa.schema([("shard", pa.int64()), ("part", pa.int64()), ("range", pa.int64()), ("mask", pa.binary())])
+_FOUND = pa.schema([("shard", pa.int64()), ("part", pa.int64()), ("range", pa.int64()), ("size", pa.int64()), ("runs", pa.binary()), ("mask", pa.binary())])
 _SQL = {pa.int64(): "long", pa.binary(): "binary"}
 
 
@@ -292,7 +307,7 @@ def _ddl(schema: pa.Schema) -> str:
     return ", ".join(f"{f.name} {_SQL[f.type]}" for f in schema)
 
 
-def _met(rows: list[tuple]) -> Iterator[tuple]:
+def _met(rows: list[tuple], hot_shards: int) -> Iterator[tuple]:
     """Of a range: for each shard's grams, which ones other shards hold, and which very many do."""
     each = [_unpacked(g, _packed_size(range(n)))[0] for _, n, g in rows]
     sizes = [len(g) for g in each]
@@ -304,7 +319,7 @@ def _met(rows: list[tuple]) -> Iterator[tuple]:
     held = np.empty(len(g), np.int64)
     held[order] = np.repeat(n, n)
     for (shard, _, _), part in zip(rows, np.split(held, np.cumsum(sizes)[:-1]), strict=True):
-        yield shard, len(part), np.packbits(part > 1).tobytes() + np.packbits(part > HOT_SHARDS).tobytes()
+        yield shard, len(part), np.packbits(part > 1).tobytes() + np.packbits(part > hot_shards).tobytes()
 
 
 def _bits_of(mask: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -313,10 +328,10 @@ def _bits_of(mask: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.unpackbits(m[:half], count=n).astype(bool), np.unpackbits(m[half:], count=n).astype(bool)
 
 
-def _local(s: _Shard, runs: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _local(s: _Shard, runs: np.ndarray, length: int, part_bytes: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Of parts of the suspect runs: the places of their strings, their runs, and which a smaller id in the part settles."""
     size = s.count[runs] + length - 1
-    part = (np.cumsum(size) - size) // PART_BYTES
+    part = (np.cumsum(size) - size) // part_bytes
     for p in np.unique(part):
         own = runs[part == p]
         first, count = s.first[own], s.count[own]
@@ -348,7 +363,7 @@ def _stretches(places: np.ndarray, breaks: np.ndarray | None = None) -> tuple[np
     return places[at], np.diff(np.append(at, len(places)))
 
 
-def _suspects(s: _Shard, shard: int, masks: list[tuple], length: int, bits: int, shift: int) -> Iterator[tuple]:
+def _suspects(s: _Shard, shard: int, masks: list[tuple], length: int, bits: int, shift: int, part_bytes: int) -> Iterator[tuple]:
     """Rows of _PARTS: what is sent, by range, and (range -1) what is settled here and where the sent strings lie."""
     grams, several = s.grams()
     there, hot = np.zeros(len(grams), bool), np.zeros(len(grams), bool)
@@ -359,7 +374,10 @@ def _suspects(s: _Shard, shard: int, masks: list[tuple], length: int, bits: int,
     there, several, hot = there[of], several[of], hot[of]
     run_at = np.zeros(len(s.data) + 1, bool)
     run_at[s.first] = True
-    for part, (places, run, settled) in enumerate(_local(s, np.flatnonzero(there | several), length)):
+    runs = np.flatnonzero(there | several)
+    if (s.count[runs] + length - 1).sum() > part_bytes:
+        there = there | several  # the parts of the shard meet like those of others
+    for part, (places, run, settled) in enumerate(_local(s, runs, length, part_bytes)):
         gone = _stretches(places[settled])
         sent = ~settled & there[run]
         places, run = places[sent], run[sent]
@@ -370,7 +388,7 @@ def _suspects(s: _Shard, shard: int, masks: list[tuple], length: int, bits: int,
         single = hot[run]
         if single.any():  # strings around a gram that very many shards hold go by themselves, by their own hash
             spot[single] = _of_rows(s.data[first[single][:, None] + np.arange(length)]) >> _U(64 - bits)
-        to = (spot >> _U(shift)).astype(np.int64)
+        to = (spot >> _U(max(0, shift - 1))).astype(np.int64)  # passages are longer than grams, so their ranges are finer
         order = np.argsort(to, kind="stable")
         first, count, run, to = first[order], count[order], run[order], to[order]
         home = (*gone, first, count, to)
@@ -390,41 +408,67 @@ def _of_rows(rows: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(29))
 
 
+def _differ(words: np.ndarray, p: np.ndarray, q: np.ndarray, length: int) -> np.ndarray:
+    """Whether the strings at places p and q differ. words: what begins at each byte, eight bytes or one."""
+    step = words.dtype.itemsize
+    out = np.zeros(len(p), bool)
+    for o in [*range(0, length - step + 1, step), length - step]:
+        out |= words[p + o] != words[q + o]
+    return out
+
+
 def _merged(rows: list[tuple], length: int) -> Iterator[tuple]:
-    """Of a range: for each shard's strings, whether a smaller id elsewhere holds them."""
-    parts = []
-    for _, _, size, runs, n, text in rows:
-        doc, count = _unpacked(runs, size)
+    """Of a range: for each shard's strings, whether a smaller id elsewhere holds them. Strings are taken a share at a time, by their hash."""
+    docs, runs, places, keys, texts, begin = [], [], [], [], [], 0
+    for _, _, size, packed, n, text in rows:
+        doc, count = _unpacked(packed, size)
         total = count + length - 1
-        parts.append((np.repeat(doc, count), _spread(np.cumsum(total) - total, count), np.frombuffer(pa.decompress(text, n, codec="zstd", asbytes=True), np.uint8)))
-    whole = np.concatenate([t for _, _, t in parts])
-    begin = np.cumsum([0, *[len(t) for _, _, t in parts]])
-    keys = [hashes(t, length)[at] for _, at, t in parts]
-    table = np.unique(np.concatenate(keys))
-    best, one, held = np.full(len(table), _LAST), np.zeros(len(table), np.int64), np.zeros(len(table), np.int64)
-    slots = [np.searchsorted(table, k) for k in keys]
-    for (doc, at, _), slot, b in zip(parts, slots, begin.tolist(), strict=False):
-        np.minimum.at(best, slot, doc)
-        one[slot] = at + b
-        held += np.bincount(slot, minlength=len(table))
+        at = _spread(np.cumsum(total) - total, count)
+        data = np.frombuffer(pa.decompress(text, n, codec="zstd", asbytes=True), np.uint8)
+        keys.append(hashes(data, length)[at])
+        docs.append(doc)
+        runs.append(np.repeat(np.arange(len(doc), dtype=np.int32), count))
+        places.append((at + begin).astype(np.int64 if begin + n >= 1 << 31 else np.int32))
+        texts.append(data)
+        begin += n
+    whole = np.concatenate(texts)
+    del texts
     strings = np.lib.stride_tricks.sliding_window_view(whole, length)
-    odd = np.zeros(len(table), bool)  # equal hashes of different strings
-    for (_, at, _), slot, b in zip(parts, slots, begin.tolist(), strict=False):
-        met = np.flatnonzero(held[slot] > 1)
-        for s in range(0, len(met), 1 << 16):
-            m = met[s : s + (1 << 16)]
-            odd[slot[m[(strings[at[m] + b] != strings[one[slot[m]]]).any(axis=1)]]] = True
-    exact: dict[bytes, int] = {}
-    if odd.any():
-        for (doc, at, _), slot, b in zip(parts, slots, begin.tolist(), strict=False):
+    words = np.ndarray((len(whole) - 7,), np.uint64, whole.data, strides=(1,)) if length >= 8 else whole
+    later = [np.zeros(len(k), bool) for k in keys]
+    shares = -(-sum(map(len, keys)) // SHARE_STRINGS)
+    for share in range(shares):
+        own = [np.flatnonzero(k % _U(shares) == share) for k in keys]
+        own = [o[np.argsort(k[o])] for k, o in zip(keys, own, strict=True)]  # a sorted run of each shard
+        mine = [k[o] for k, o in zip(keys, own, strict=True)]
+        table = np.sort(np.concatenate(mine))
+        table = table[np.append(True, table[1:] != table[:-1])]
+        best, one, held = np.full(len(table), _LAST), np.zeros(len(table), np.int64), np.zeros(len(table), np.int32)
+        slots = [np.searchsorted(table, k) for k in mine]
+        of = [d[r[o]] for d, r, o in zip(docs, runs, own, strict=True)]
+        at = [p[o] for p, o in zip(places, own, strict=True)]
+        for d, p, slot in zip(of, at, slots, strict=True):
+            np.minimum.at(best, slot, d)
+            one[slot] = p
+            held += np.bincount(slot, minlength=len(table)).astype(np.int32)
+        odd = np.zeros(len(table), bool)  # equal hashes of different strings
+        for p, slot in zip(at, slots, strict=True):
+            met = np.flatnonzero(held[slot] > 1)
+            for s in range(0, len(met), 1 << 14):
+                m = met[s : s + (1 << 14)]
+                odd[slot[m[_differ(words, p[m], one[slot[m]], length)]]] = True
+        exact: dict[bytes, int] = {}
+        if odd.any():
+            for d, p, slot in zip(of, at, slots, strict=True):
+                for i in np.flatnonzero(odd[slot]).tolist():
+                    key = strings[p[i]].tobytes()
+                    exact[key] = min(exact.get(key, _LAST), int(d[i]))
+        for d, p, slot, o, out in zip(of, at, slots, own, later, strict=True):
+            out[o] = d > best[slot]
             for i in np.flatnonzero(odd[slot]).tolist():
-                key = strings[at[i] + b].tobytes()
-                exact[key] = min(exact.get(key, _LAST), int(doc[i]))
-    for (shard, part, *_), (doc, at, _), slot, b in zip(rows, parts, slots, begin.tolist(), strict=False):
-        later = doc > best[slot]
-        for i in np.flatnonzero(odd[slot]).tolist():
-            later[i] = int(doc[i]) > exact[strings[at[i] + b].tobytes()]
-        yield shard, part, np.packbits(later).tobytes()
+                out[o[i]] = int(d[i]) > exact[strings[p[i]].tobytes()]
+    for (shard, part, *_), out in zip(rows, later, strict=True):
+        yield shard, part, np.packbits(out).tobytes()
 
 
 def _covered(n: int, parts: dict[int, tuple], verdicts: dict[tuple[int, int], bytes], length: int) -> np.ndarray:
@@ -455,7 +499,21 @@ def _kept(ids: list, sizes: np.ndarray, data: np.ndarray, gone: np.ndarray) -> p
     return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes), pa.ListArray.from_arrays(pa.array(offsets), spans), kept], ["id", "n_bytes", "spans", "kept"])
 
 
-def without_repeats(docs: DataFrame, id_col: str, text_col: str, length: int = 50) -> DataFrame:
+def _whole_copies(rows: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """rows (id, text) apart: those that repeat the whole text of a smaller id, as results, and all others."""
+    digest = F.when(F.octet_length("text") >= length, F.sha2("text", 256))
+    order = F.coalesce(F.col("id"), F.lit(_LAST))
+    met = rows.select(digest.alias("whole"), order.alias("order")).where("whole is not null").groupBy("whole").agg(F.min("order").alias("least"), F.max("order").alias("most"))
+    met = store.cut(met.where("least < most").select("whole", "least"), "copies")
+    few = met.count() <= BROADCAST_ROWS
+    marked = rows.withColumn("whole", digest).join(F.broadcast(met) if few else met, "whole", "left")
+    copy = F.coalesce(order > F.col("least"), F.lit(False))
+    size = F.octet_length("text").cast("long")
+    gone = marked.where(copy).select("id", size.alias("n_bytes"), F.array(F.struct(F.lit(0).cast("long").alias("start"), size.alias("length"))).alias("spans"), F.lit(b"").alias("kept"))
+    return gone, marked.where(~copy).select("id", "text")
+
+
+def without_repeats(docs: DataFrame, id_col: str, text_col: str, length: int = 50, shard_bytes: int = SHARD_BYTES, part_bytes: int = PART_BYTES, range_bytes: int = RANGE_BYTES, hot_shards: int = HOT_SHARDS) -> DataFrame:
     """id, n_bytes, spans (start and length of what goes, by byte), kept (the bytes that stay): a row per document.
 
     Tables are written in the caller's scratch.
@@ -464,10 +522,11 @@ def without_repeats(docs: DataFrame, id_col: str, text_col: str, length: int = 5
         raise ValueError("strings of two bytes or more")
     gram = min(GRAM, max(1, length // 2))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
-    shards = store.cut(rows.mapInArrow(_shards, "shard long, ids array<long>, sizes array<long>, bytes long, data binary"), "shards")
+    gone, rows = _whole_copies(rows, length)
+    shards = store.cut(rows.mapInArrow(lambda batches: _shards(batches, shard_bytes), "shard long, ids array<long>, sizes array<long>, bytes long, data binary"), "shards")
     total = shards.agg(F.sum("bytes")).first()[0] or 0
     bits = min(56, max(32, total.bit_length() + 8))
-    shift = bits - max(0, (total // RANGE_BYTES).bit_length())
+    shift = bits - max(0, (total // range_bytes).bit_length())
     cols = ("shard", "ids", "sizes", "bytes", "data")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -481,18 +540,25 @@ def without_repeats(docs: DataFrame, id_col: str, text_col: str, length: int = 5
         return _batched(each(), _GRAMS)
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _batched(((shard, r, n, mask) for r, part in _grouped(batches, "range", "shard", "n", "grams") for shard, n, mask in _met(part)), _MASKS)
+        return _batched(((shard, r, n, mask) for r, part in _grouped(batches, "range", "shard", "n", "grams") for shard, n, mask in _met(part, hot_shards)), _MASKS)
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def each() -> Iterator[tuple]:
             for b in batches:
                 for shard, *rest, masks in _rows_of(b, *cols, "masks"):
-                    yield from _suspects(_Shard(*rest, length, gram, bits), shard, [(m["range"], m["n"], m["mask"]) for m in masks], length, bits, shift)
+                    yield from _suspects(_Shard(*rest, length, gram, bits), shard, [(m["range"], m["n"], m["mask"]) for m in masks], length, bits, shift, part_bytes)
 
         return _batched(each(), _PARTS)
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _batched(((shard, part, r, mask) for r, of in _grouped(batches, "range", "shard", "part", "size", "runs", "n", "text") for shard, part, mask in _merged(of, length)), _VERDICTS)
+        def each() -> Iterator[tuple]:
+            for r, of in _grouped(batches, "range", "shard", "part", "size", "runs", "n", "text"):
+                if r < 0:
+                    yield from ((shard, part, r, size, runs, None) for shard, part, size, runs, _, _ in of)
+                else:
+                    yield from ((shard, part, r, None, None, mask) for shard, part, mask in _merged(of, length))
+
+        return _batched(each(), _FOUND)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -505,9 +571,11 @@ def without_repeats(docs: DataFrame, id_col: str, text_col: str, length: int = 5
     sent = shards.mapInArrow(grams, _ddl(_GRAMS)).repartition("range").sortWithinPartitions("range")
     masks = store.cut(sent.mapInArrow(met, _ddl(_MASKS)), "masks")
     masks = masks.groupBy(F.col("shard").alias("s_")).agg(F.collect_list(F.struct("range", "n", "mask")).alias("masks"))
-    parts = store.cut(shards.join(masks, F.col("shard") == F.col("s_")).select(*cols, "masks").mapInArrow(suspects, _ddl(_PARTS)), "parts")
-    verdicts = parts.where("range >= 0").repartition("range").sortWithinPartitions("range").mapInArrow(merged, _ddl(_VERDICTS))
-    found = parts.where("range < 0").select("shard", "part", "range", "size", "runs", F.lit(None).cast("binary").alias("mask"))
-    found = found.unionByName(verdicts.select("shard", "part", "range", F.lit(None).cast("long").alias("size"), F.lit(None).cast("binary").alias("runs"), "mask"))
+    parts = shards.join(masks, F.col("shard") == F.col("s_")).select(*cols, "masks").mapInArrow(suspects, _ddl(_PARTS))
+    # passages meet by range; what stays at home passes through
+    key = F.when(F.col("range") >= 0, F.col("range")).otherwise(-1 - F.pmod(F.xxhash64("shard", "part"), F.lit(1 << 40)))
+    met_again = parts.withColumn("key", key).repartition("key").sortWithinPartitions("key").drop("key")
+    found = store.cut(met_again.mapInArrow(merged, _ddl(_FOUND)), "found")
     found = found.groupBy(F.col("shard").alias("s_")).agg(F.collect_list(F.struct("part", "range", "size", "runs", "mask")).alias("found"))
-    return shards.join(found, F.col("shard") == F.col("s_"), "left").select(*cols, "found").mapInArrow(kept, "id long, n_bytes long, spans array<struct<start:long,length:long>>, kept binary")
+    kept_rows = shards.join(found, F.col("shard") == F.col("s_"), "left").select(*cols, "found").mapInArrow(kept, "id long, n_bytes long, spans array<struct<start:long,length:long>>, kept binary")
+    return kept_rows.unionByName(gone)

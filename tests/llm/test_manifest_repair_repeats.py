@@ -38,7 +38,7 @@ def found_repeats(spark, docs, length, **sizes):
     return [(r["id"], bytes(r["kept"]), [(s["start"], s["length"]) for s in r["spans"]]) for r in rows]
 
 
-@pytest.mark.parametrize("seed,length,sizes", [(0, 50, {}), (1, 50, {"shard_bytes": 3000, "range_bytes": 4000, "hot_shards": 1}), (2, 9, {"shard_bytes": 500, "range_bytes": 1 << 30, "hot_shards": 0, "part_bytes": 200}), (3, 24, {"shard_bytes": 1, "range_bytes": 100, "hot_shards": 3})])
+@pytest.mark.parametrize("seed,length,sizes", [(0, 50, {}), (1, 50, {"shard_bytes": 3000, "range_bytes": 4000, "hot_shards": 1}), (2, 9, {"shard_bytes": 500, "range_bytes": 1 << 30, "hot_shards": 0, "part_bytes": 200}), (4, 30, {"part_bytes": 300}), (3, 24, {"shard_bytes": 1, "range_bytes": 100, "hot_shards": 3})])
 def test_repeats_against_all_strings(spark, seed, length, sizes):
     rng = random.Random(seed)
     words = ["".join(rng.choices("abcdeéß字\0", k=rng.randint(1, 7))) for _ in range(60)]
@@ -68,13 +68,13 @@ def test_repeats_of_very_long_and_no_texts(spark):
     assert suffixes.without_repeats(empty, "doc_id", "text", 50).count() == 0
 
 
-@pytest.mark.parametrize("text", ["a" * 300, "abracadabra" * 40, "".join(random.Random(7).choices("ab", k=700)), "x"])
+@pytest.mark.parametrize("text", ["a" * 300, "abracadabra" * 40, "".join(random.Random(7).choices("ab", k=700)), "x", "\0" * 200, "".join(random.Random(8).choices("a\0", k=700)) + "\0" * 70])
 def test_suffix_arrays_and_prefixes(text):
     data = np.frombuffer(text.encode(), np.uint8)
     sa, depth = suffixes.suffix_array(data, 50)
-    assert depth == 64 and sorted(sa.tolist()) == list(range(len(text)))
-    assert sa.tolist() == sorted(range(len(text)), key=lambda i: (text[i : i + 64], i))
-    shared = [0] + [next((k for k in range(64) if i + k >= len(text) or j + k >= len(text) or text[i + k] != text[j + k]), 64) for i, j in zip(sa[:-1].tolist(), sa[1:].tolist(), strict=True)]
+    assert depth == 56 and sorted(sa.tolist()) == list(range(len(text)))
+    assert sa.tolist() == sorted(range(len(text)), key=lambda i: (text[i : i + depth], i))
+    shared = [0] + [next((k for k in range(depth) if i + k >= len(text) or j + k >= len(text) or text[i + k] != text[j + k]), depth) for i, j in zip(sa[:-1].tolist(), sa[1:].tolist(), strict=True)]
     assert suffixes.common_prefixes(data, sa, depth, stretch=13).tolist() == shared
 
 
