@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from innkeep.functions.ratio import ratios
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
@@ -125,8 +126,8 @@ def ratio(a: str | None, b: str | None) -> float:
 
 @F.pandas_udf(T.DoubleType())
 def fuzzy_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """``ratio`` of two columns."""
-    return pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+    """``ratio`` of two columns, all pairs of a batch at once."""
+    return pd.Series(ratios([x if isinstance(x, str) else None for x in a], [x if isinstance(x, str) else None for x in b]), dtype="float64")
 
 
 #: The weights of the parts of a room score.
@@ -143,6 +144,29 @@ def score_features(token: Column, stem: Column, numeric: Column, fuzzy: Column)
     return F.filter(F.array(*parts), lambda x: x.isNotNull())
 
 
+def half_even(c: Column, digits: int = 2) -> Column:
+    """A double rounded to some decimals (8 at most) by its exact binary value, ties to the even digit, as Python's round does.
+
+    The product with a power of ten is taken as the exact sum of two doubles: the number is split into halves of 26 bits, whose
+    products are exact, and the error of their sum is known (Dekker's and Knuth's transformations). So a tie is a tie
+    only if the binary value lies right between two decimals. Numbers too large to have such decimals stay.
+    """
+    if not 0 <= digits <= 8:
+        raise ValueError("0 to 8 decimals")
+    ten = 10.0**digits
+    x = F.abs(c.cast("double"))
+    big = x * 134217729.0  # 2^27 + 1
+    high = big - (big - x)
+    a, b = high * ten, (x - high) * ten
+    total = a + b
+    rest = (a - (total - (total - a))) + (b - (total - a))
+    whole = F.floor(total).cast("double")
+    over = (total - whole - 0.5) + rest
+    up = (over > 0) | ((over == 0) & (whole % 2 == 1))
+    rounded = (whole + F.when(up, 1.0).otherwise(0.0)) / ten * F.when(c < 0, -1.0).otherwise(1.0)
+    return F.when(x < 2.0**52 / ten, rounded).otherwise(c.cast("double"))
+
+
 def band(score: Column) -> Column:
     """The match type of an unrounded score. The bands' limits."""
     return F.when(score >= 95, "exact").when(score >= 90, "high_confidence").when(score >= 85, "medium_confidence").when(score >= 75, "low_confidence").otherwise("none")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from innkeep.operators.tiers import last_by
@@ -33,11 +33,17 @@ def enrich(rooms: DataFrame, types: DataFrame, hotel: str | None = None) -> Data
     return out.withColumn("code_description", F.coalesce("_found", "code_description")).withColumn("enriched", F.col("_code").isNotNull()).drop("_code", "_found")
 
 
+def counters() -> dict[str, Column]:
+    """Counts of enriched rooms by name, to be observed while they are written: attempts (rooms with a code), enriched, no_code."""
+    has = F.coalesce(F.trim("room_code"), F.lit("")) != ""
+    return {"attempts": F.count_if(has), "enriched": F.count_if("enriched"), "no_code": F.count_if(~has)}
+
+
 def enrichment_stats(enriched: DataFrame) -> DataFrame:
     """attempts (rooms with a code), enriched, missed, no_code and the rate in percent."""
-    has = F.coalesce(F.trim("room_code"), F.lit("")) != ""
-    attempts, hits = F.count_if(has), F.count_if("enriched")
-    return enriched.agg(attempts.alias("attempts"), hits.alias("enriched"), (attempts - hits).alias("missed"), F.count_if(~has).alias("no_code"), F.coalesce(F.try_divide(hits, attempts) * 100, F.lit(0.0)).alias("rate"))
+    n = counters()
+    attempts, hits = n["attempts"], n["enriched"]
+    return enriched.agg(attempts.alias("attempts"), hits.alias("enriched"), (attempts - hits).alias("missed"), n["no_code"].alias("no_code"), F.coalesce(F.try_divide(hits, attempts) * 100, F.lit(0.0)).alias("rate"))
 
 
 def lookup(types: DataFrame, code: str) -> DataFrame:

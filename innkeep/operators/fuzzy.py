@@ -1,8 +1,8 @@
 """Fuzzy room mapping: each source room to its most similar target room, by text alone.
 
-A score depends on the texts only, so distinct texts are scored, not rooms. The score has no key that similar rooms must
-share, so sources are a set of queries against all targets, in blocks: targets are dealt into blocks of about BLOCK_TEXTS
-texts, each source meets each block once, and a block's postings add up its overlaps with all of the block's texts at once.
+A score depends on the texts only, so distinct texts are scored, not rooms. Many texts are searched by an inverted index
+(``inverted``); few ones, and those of which it can't tell, are a set of queries against all targets, in blocks, as the
+score has no key that similar rooms must share: targets are dealt into blocks of about BLOCK_TEXTS texts, each source meets each block once, and a block's postings add up its overlaps with all of the block's texts at once.
 The costly ratio of texts is worked out best first, only for targets whose bound (from counts of characters) still
 reaches the best score so far. No pairs are emitted; a source keeps one row per block.
 """
@@ -18,8 +18,12 @@ from pyspark.sql import functions as F
 
 from innkeep.functions import scoring, text
 from innkeep.functions.columns import settled
+from innkeep.operators import inverted
+from innkeep.sources import shared
 
 BLOCK_TEXTS = 20_000
+#: Pairs of rooms up to which meeting all targets is cheaper than an index of them.
+SCAN_PAIRS = 20_000_000_000
 _BUCKETS = 64
 
 
@@ -135,14 +139,29 @@ def _scored(s: DataFrame, t: DataFrame, use_fuzzy: bool) -> DataFrame:
     return found.groupBy("text").agg(F.max_by(F.struct("t_ord", "score", *scoring.WEIGHTS), F.struct("score", -F.col("t_ord"))).alias("m")).select("text", "m.*")
 
 
-def best_matches(source: DataFrame, target: DataFrame, use_stems: bool = True, use_fuzzy: bool = True) -> DataFrame:
+def _searched(s: DataFrame, t: DataFrame, use_stems: bool, use_fuzzy: bool) -> DataFrame:
+    """The rows of :func:`_scored`, by the index where it can tell and over all targets for the other sources."""
+    with shared.scratch(s.sparkSession) as own:
+        s, t = shared.cut(s, "source-texts"), shared.cut(t, "target-texts")
+        found, unsure, _ = inverted.search(s, t, use_stems, use_fuzzy)
+        left = s.join(unsure, "text", "left_semi")
+        if not left.isEmpty():
+            found = found.unionByName(_scored(left, t, use_fuzzy))
+        return own.keep(found, "best-targets")
+
+
+def best_matches(source: DataFrame, target: DataFrame, use_stems: bool = True, use_fuzzy: bool = True, indexed: bool | None = None) -> DataFrame:
     """Per source room (ord, code, ...): target_ord, target_code, score, match_score, match_type, confidence, matching_features.
 
-    Both sides need ord, code, name and description. No target scores above 0: target columns are null.
+    Both sides need ord, code, name and description. No target scores above 0: target columns are null. indexed: search by the
+    inverted index (its results are written in the shared folder); by default beyond SCAN_PAIRS pairs of texts. Both ways are exact.
     """
     src, tgt = normalize_rooms(source, use_stems), normalize_rooms(target, use_stems)
     lists = [F.first(c).alias(c) for c in ("tokens", "stems", "numeric_features")]
-    found = _scored(src.groupBy("text").agg(*lists), tgt.groupBy("text").agg(F.min("ord").cast("long").alias("t_ord"), *lists), use_fuzzy)
+    s, t = src.groupBy("text").agg(*lists), tgt.groupBy("text").agg(F.min("ord").cast("long").alias("t_ord"), *lists)
+    if indexed is None:
+        indexed = source.count() * target.count() > SCAN_PAIRS
+    found = _searched(s, t, use_stems, use_fuzzy) if indexed else _scored(s, t, use_fuzzy)
     parts = [F.col(c) for c in scoring.WEIGHTS]
     found = found.select(F.col("text").alias("s_text"), "t_ord", "score", scoring.score_features(*parts).alias("features"))
     joined = src.join(found, src["text"] == found["s_text"], "left").drop("s_text")
@@ -150,7 +169,7 @@ def best_matches(source: DataFrame, target: DataFrame, use_stems: bool = True, u
     score = F.coalesce(F.col("score"), F.lit(0.0))
     return joined.select(
         "ord", "code", "name", "description", F.col("normalized_code").alias("source_normalized_code"), F.col("t_ord").alias("target_ord"), "target_code", "target_name", F.coalesce("target_normalized_code", F.lit("")).alias("target_normalized_code"),
-        score.alias("score"), F.round(score, 2).alias("match_score"), scoring.band(score).alias("match_type"), F.round(score / 100, 2).alias("confidence"),
+        score.alias("score"), scoring.half_even(score).alias("match_score"), scoring.band(score).alias("match_type"), scoring.half_even(score / 100).alias("confidence"),
         F.coalesce("features", F.array().cast("array<string>")).alias("matching_features"),
     )
 
@@ -163,6 +182,6 @@ def statistics(mappings: DataFrame) -> DataFrame:
     return mappings.agg(
         total.alias("total"), mapped.alias("mapped"), (total - mapped).alias("unmapped"), rate.alias("mapping_rate"),
         n("exact").alias("exact"), n("high_confidence").alias("high"), n("medium_confidence").alias("medium"), n("low_confidence").alias("low"), n("none").alias("none"),
-        F.round(F.coalesce(F.avg("match_score"), F.lit(0.0)), 2).alias("average_score"),
+        scoring.half_even(F.coalesce(F.avg("match_score"), F.lit(0.0))).alias("average_score"),
         n("exact", "high_confidence").alias("auto_apply"), n("medium_confidence").alias("manual_review"), n("low_confidence", "none").alias("needs_attention"),
     )

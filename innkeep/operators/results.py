@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from innkeep.operators import summary
+from innkeep.sources.documents import Document, document
 
 _SIDES = (("hb", "hotelbeds"), ("ad", "axisdata"))
 
@@ -32,13 +33,11 @@ def pair_report(pairs: DataFrame, hb_rooms: DataFrame, ad_rooms: DataFrame, assi
     return out.withColumn("confidence", F.lit(1.0))
 
 
-def mapped_document(report: DataFrame, assigned: DataFrame, ad_unmatched: DataFrame, **metadata) -> DataFrame:
-    """One row {metadata, summary, hotel_pairs}, pairs by place_id and then in input order."""
+def mapped_document(report: DataFrame, assigned: DataFrame, ad_unmatched: DataFrame, **metadata) -> Document:
+    """The document {metadata, summary, hotel_pairs}, pairs by place_id and then in input order."""
     s = summary.match_summary(assigned, ad_unmatched, "pair")
-    cols = [c for c in report.columns if c != "pair"]
-    nested = report.agg(F.array_sort(F.collect_list(F.struct("place_id", "pair", F.struct(*cols).alias("r")))).alias("x")).select(F.transform("x", lambda e: e["r"]).alias("hotel_pairs"))
-    meta = F.struct(*[F.lit(v).alias(k) for k, v in metadata.items()], F.current_timestamp().cast("string").alias("generated_at"))
-    return nested.join(F.broadcast(s.select(F.struct(*s.columns).alias("summary")))).select(meta.alias("metadata"), "summary", "hotel_pairs")
+    meta = F.struct(*[F.lit(v).alias(k) if not isinstance(v, Column) else v.alias(k) for k, v in metadata.items()], F.current_timestamp().cast("string").alias("generated_at"))
+    return document(s.select(meta.alias("metadata"), F.struct(*s.columns).alias("summary")), "hotel_pairs", report, [F.col("place_id").asc(), F.col("pair").asc()], ("pair",))
 
 
 def hotel_mapping(hotel_matches: DataFrame, room_lists: DataFrame) -> DataFrame:
@@ -51,12 +50,12 @@ def hotel_mapping(hotel_matches: DataFrame, room_lists: DataFrame) -> DataFrame:
     return hotel_matches.join(room_lists, "ord", "left").withColumn("confidence", F.coalesce(share, F.lit(0.0))).withColumn("rooms", F.coalesce(rooms, F.array().cast(room_lists.select(rooms.alias("x")).schema["x"].dataType)))
 
 
-def output_document(mappings: DataFrame, order: str = "ord") -> DataFrame:
-    """One row {metadata, mappings} with counts."""
-    nested = mappings.agg(F.array_sort(F.collect_list(F.struct(order, F.struct(*[c for c in mappings.columns if c != order]).alias("r")))).alias("x"), F.coalesce(F.sum(F.size("rooms")), F.lit(0)).alias("n"))
-    meta = F.struct(F.current_timestamp().cast("string").alias("generated_at"), F.size("x").alias("total_hotels"), F.col("n").alias("total_rooms"))
-    return nested.select(meta.alias("metadata"), F.transform("x", lambda e: e["r"]).alias("mappings"))
+def output_document(mappings: DataFrame, order: str = "ord") -> Document:
+    """The document {metadata, mappings} with counts."""
+    n = mappings.agg(F.count("*").alias("hotels"), F.coalesce(F.sum(F.size("rooms")), F.lit(0)).alias("rooms"))
+    meta = F.struct(F.current_timestamp().cast("string").alias("generated_at"), F.col("hotels").alias("total_hotels"), F.col("rooms").alias("total_rooms"))
+    return document(n.select(meta.alias("metadata")), "mappings", mappings, [F.col(order).asc()], (order,))
 
 
-def valid_document(doc: DataFrame) -> bool:
-    return {"metadata", "mappings"} <= set(doc.columns)
+def valid_document(doc: Document) -> bool:
+    return {"metadata", "mappings"} <= doc.members

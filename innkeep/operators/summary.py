@@ -13,22 +13,29 @@ def _zero(c: Column) -> Column:
     return F.coalesce(c, F.lit(0.0))
 
 
-def exact_median(df: DataFrame, col: str, name: str) -> DataFrame:
-    """One row: the interpolated median of a column, 0.0 over nothing.
+def exact_medians(df: DataFrame, cols: dict[str, str]) -> DataFrame:
+    """One row: the interpolated medians of columns (name of the result to column), 0.0 over nothing.
 
-    Values are counted in buckets of 1 / 500,000 over [-1, 1] (the last ones are open), so no task sees more than a million
-    counts; only the buckets that hold the middle are ordered.
+    Values of all columns are counted at once in buckets of 1 / 500,000 over [-1, 1] (the last ones are open), so that no task
+    sees more than a million counts of a column; only the buckets that hold the middles are ordered.
     """
-    values = df.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("x"))
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("c"), F.col(c).cast("double").alias("x")) for k, c in enumerate(cols.values())]))
+    values = df.select(each.alias("v")).select("v.*").where("x is not null")
     values = values.withColumn("b", F.floor((F.least(F.greatest("x", F.lit(-1.0)), F.lit(1.0)) + 1) * _BUCKETS).cast("int"))
-    order = Window.orderBy("b")
-    counts = values.groupBy("b").agg(F.count("*").alias("n"))
-    sums = counts.select("b", "n", F.sum("n").over(order).alias("upto"), F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"))
+    order = Window.partitionBy("c").orderBy("b")
+    counts = values.groupBy("c", "b").agg(F.count("*").alias("n"))
+    sums = counts.select("c", "b", "n", F.sum("n").over(order).alias("upto"), F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"))
     middle = F.explode(F.array(F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)))
-    wanted = sums.select("b", "n", "upto", middle.alias("k")).where((F.col("k") < F.col("upto")) & (F.col("k") >= F.col("upto") - F.col("n"))).select("b", (F.col("k") - F.col("upto") + F.col("n")).alias("r"))
-    near = values.join(F.broadcast(wanted.select("b").distinct()), "b", "left_semi")  # at most two buckets
-    ranked = near.withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy("x")).cast("long") - 1)
-    return ranked.join(F.broadcast(wanted), ["b", "r"]).agg(_zero(F.sum("x") / 2).alias(name))
+    wanted = sums.select("c", "b", "n", "upto", middle.alias("k")).where((F.col("k") < F.col("upto")) & (F.col("k") >= F.col("upto") - F.col("n"))).select("c", "b", (F.col("k") - F.col("upto") + F.col("n")).alias("r"))
+    near = values.join(F.broadcast(wanted.select("c", "b").distinct()), ["c", "b"], "left_semi")  # at most two buckets of a column
+    ranked = near.withColumn("r", F.row_number().over(Window.partitionBy("c", "b").orderBy("x")).cast("long") - 1)
+    of = lambda k: _zero(F.sum(F.when(F.col("c") == k, F.col("x"))) / 2)
+    return ranked.join(F.broadcast(wanted), ["c", "b", "r"]).agg(*[of(k).alias(name) for k, name in enumerate(cols)])
+
+
+def exact_median(df: DataFrame, col: str, name: str) -> DataFrame:
+    """One row: the interpolated median of a column, 0.0 over nothing."""
+    return exact_medians(df, {name: col})
 
 
 def similarity_stats(sim: str, prefix: str = "") -> list[Column]:
@@ -41,9 +48,7 @@ def match_summary(assigned: DataFrame, ad_unmatched: DataFrame, block: str) -> D
     got = F.col("ad_ord").isNotNull()
     main = assigned.agg(F.countDistinct(block).alias("pairs"), F.count_if(got).alias("matches"), F.count_if(~got).alias("unmatched_hb"), *similarity_stats("sim"), *similarity_stats("adjusted", "adjusted_"))
     out = main.join(F.broadcast(ad_unmatched.agg(F.count("*").alias("unmatched_ad"))))
-    for col, prefix in (("sim", ""), ("adjusted", "adjusted_")):
-        out = out.join(F.broadcast(exact_median(assigned, col, f"{prefix}median")))
-    return out
+    return out.join(F.broadcast(exact_medians(assigned, {"median": "sim", "adjusted_median": "adjusted"})))
 
 
 def flag_counts(matches: DataFrame) -> DataFrame:

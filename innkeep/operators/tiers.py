@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from innkeep.functions.scoring import half_even
+
 HIGH = ["exact", "high_confidence"]
 LOW = ["medium_confidence", "low_confidence", "none"]
 
@@ -45,7 +47,7 @@ def tier_statistics(mappings: DataFrame, unique: DataFrame) -> DataFrame:
     after = unique.agg(
         total.alias("total"), mapped.alias("mapped"), (total - mapped).alias("unmapped"),
         n("exact").alias("exact"), n("high_confidence").alias("high"), n("medium_confidence").alias("medium"), n("low_confidence").alias("low"), n("none").alias("none"),
-        F.round(F.coalesce(F.avg("match_score"), F.lit(0.0)), 2).alias("average_score"),
+        half_even(F.coalesce(F.avg("match_score"), F.lit(0.0))).alias("average_score"),
         F.when(total > 0, F.concat(F.format_string("%.2f", mapped / total * 100), F.lit("%"))).otherwise("0%").alias("mapping_rate"),
     )
     return before.join(F.broadcast(after)).withColumn("duplicates_removed", F.col("filtered_count") - F.col("total"))

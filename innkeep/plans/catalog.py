@@ -227,6 +227,18 @@ def best_match(spark, d):
     return _mapped(spark, d).select("ord", "target_ord", F.round("score", 6).alias("score"), "match_type")
 
 
+def indexed_match(spark, d):
+    """The same matches by the inverted index."""
+    m = fuzzy.best_matches(*_parts(spark, d), use_stems=False, use_fuzzy=False, indexed=True)
+    return m.select("ord", "target_ord", F.round("score", 6).alias("score"), "match_type")
+
+
+def rounded_doubles(spark, d):
+    """Doubles rounded by their exact values: prices, ties, and numbers next to ties."""
+    x = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_extendedprice").cast("double") / F.col("l_quantity").cast("double") / 8).alias("x"), (F.col("l_partkey") / 8.0 - 100).cast("double").alias("tie"), (F.col("l_suppkey") / 200.0).cast("double").alias("near"))
+    return x.select("l_orderkey", "l_linenumber", scoring.half_even(F.col("x")).alias("two"), scoring.half_even(F.col("x"), 0).alias("none"), scoring.half_even(F.col("tie")).alias("tie"), scoring.half_even(F.col("near")).alias("near"))
+
+
 def fuzzy_score(spark, d):
     m = fuzzy.best_matches(*_parts(spark, d))
     return m.select("ord", "target_ord", F.round("score", 6).alias("score"), "match_type", F.array_join("matching_features", " ").alias("features"))
@@ -260,7 +272,7 @@ QUERIES = {f.__name__: f for f in (
     hotel_pair_join, unmatched_hotels, catalog_enrich, enrich_stats, keep_last_dedup, keep_first_dedup, normalize_text, normalize_unicode_text, key_terms, safe_int,
     occupancy_norm, occupancy_text, cosine_pairs, greedy_rank1_match, unmatched_with_reason, penalized_match, penalty_flags, match_summary,
     hotel_totals, hotel_confidence, char_batches, number_words, token_freq, bigrams, trigrams, numeric_patterns, code_prefixes, type_categories, categories, category_rooms,
-    word_clusters, jaccard_score, best_match, fuzzy_score, fuzzy_stats, tier_dedup_filter, filter_stats, simplify_mappings,
+    word_clusters, jaccard_score, best_match, indexed_match, rounded_doubles, fuzzy_score, fuzzy_stats, tier_dedup_filter, filter_stats, simplify_mappings,
 )}
 
 from innkeep.plans.catalog_sql import ORACLE  # noqa: E402, F401

@@ -102,6 +102,17 @@ _LI = "p AS (SELECT l_orderkey, l_linenumber, l_partkey AS p, l_suppkey AS s, l_
 _OCC = f"""{_LI}, o AS (SELECT l_orderkey, l_linenumber, nullif(p % 3, 0) AS lo, nullif(p % 5, 0) AS hi, nullif(s % 3, 0) AS la, nullif(s % 4, 0) AS ha, k % 3 AS ch, nullif(k % 2, 0) AS ca, k % 2 AS inf, nullif(p % 2, 0) AS ia, nullif(s % 2, 0) AS st FROM p)"""
 _PEN = lambda n, d, hi, lo, a, b: f"CASE WHEN {d} >= 2 THEN '{n}_{'high_' if lo else ''}diff: HB=' || ({a}) || ' AD=' || ({b}) || ' (-{hi}%)' " + (f"WHEN {d} = 1 THEN '{n}_low_diff: HB=' || ({a}) || ' AD=' || ({b}) || ' (-{lo}%)' " if lo else "") + "END"
 
+def _half_even(x: str, ten: int) -> str:
+    """Rounding by exact values: |x| = h + l in halves, a + b the exact product, s its double and e what that lost."""
+    x, sign = f"abs({x})", f"CASE WHEN {x} < 0 THEN -1 ELSE 1 END"
+    h = f"({x} * 134217729::DOUBLE - ({x} * 134217729::DOUBLE - {x}))"
+    a, b = f"({h} * {ten}::DOUBLE)", f"(({x} - {h}) * {ten}::DOUBLE)"
+    s = f"({a} + {b})"
+    e = f"(({a} - ({s} - ({s} - {a}))) + ({b} - ({s} - {a})))"
+    over = f"(({s} - floor({s}) - 0.5::DOUBLE) + {e})"
+    return f"(floor({s}) + CASE WHEN {over} > 0 OR {over} = 0 AND floor({s}) % 2 = 1 THEN 1 ELSE 0 END) / {ten}::DOUBLE * {sign}"
+
+
 ORACLE: dict[str, str] = {
     "hotel_pair_join": "SELECT c_nationkey AS place_id, c_custkey AS hb_c_custkey, s_suppkey AS ad_s_suppkey FROM customer JOIN supplier ON c_nationkey = s_nationkey",
     "unmatched_hotels": "SELECT c_custkey AS place_id, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)",
@@ -155,6 +166,9 @@ UNION ALL SELECT 'hb', label, ord, 'no_axisdata_rooms_available' FROM e WHERE or
     "category_rooms": f"WITH {_WORDS}, {_FIRST}, c AS (SELECT token AS category FROM fs WHERE len(token) > 3 AND n > 0.05 * (SELECT count(*) FROM w) ORDER BY n DESC, first LIMIT 30) SELECT category, count(*) AS rooms FROM c JOIN w ON contains(text, category) GROUP BY 1",
     "jaccard_score": f"WITH p AS (SELECT p_partkey, p_size, string_split(lower(p_name), ' ') AS w FROM part) SELECT p.p_partkey, q.p_partkey AS q_partkey, round({_JACCARD.format('p.w', 'q.w')}, 6) AS jaccard, round({_NUMERIC.format('p.w[1:1]', 'q.w[1:2]')}, 6) AS shared FROM p JOIN p q ON p.p_size = q.p_size AND p.p_partkey < q.p_partkey",
     "best_match": f"WITH {_MAPPED} SELECT ord, target_ord, round(score, 6) AS score, {_BAND.format('score')} AS match_type FROM m",
+    "indexed_match": f"WITH {_MAPPED} SELECT ord, target_ord, round(score, 6) AS score, {_BAND.format('score')} AS match_type FROM m",
+    "rounded_doubles": f"""WITH v AS (SELECT l_orderkey, l_linenumber, l_extendedprice::DOUBLE / l_quantity::DOUBLE / 8 AS x, l_partkey::DOUBLE / 8 - 100 AS y, l_suppkey::DOUBLE / 200 AS z FROM lineitem)
+      SELECT l_orderkey, l_linenumber, {_half_even('x', 100)} AS two, {_half_even('x', 1)} AS none, {_half_even('y', 100)} AS tie, {_half_even('z', 100)} AS near FROM v""",
     "fuzzy_stats": f"WITH {_MAPPED} SELECT count(*) AS total, count(target_ord) AS mapped, count(*) - count(target_ord) AS unmapped, printf('%.2f%%', count(target_ord)::DOUBLE / count(*) * 100) AS mapping_rate, {_COUNTS}, round(avg(match_score), 2) AS average_score, count(*) FILTER (match_type IN ('exact', 'high_confidence')) AS auto_apply, count(*) FILTER (match_type = 'medium_confidence') AS manual_review, count(*) FILTER (match_type IN ('low_confidence', 'none')) AS needs_attention FROM b",
     "tier_dedup_filter": f"WITH {_MAPPED}, {_TIERS} SELECT * FROM u",
     "filter_stats": f"WITH {_MAPPED}, {_TIERS} SELECT (SELECT count(*) FROM b) AS original_count, (SELECT count(*) FROM b) AS filtered_count, count(*) AS total, count(*) FILTER (tier = 'high') AS mapped, count(*) FILTER (tier = 'low') AS unmapped, {_COUNTS}, round(avg(match_score), 2) AS average_score, printf('%.2f%%', count(*) FILTER (tier = 'high')::DOUBLE / count(*) * 100) AS mapping_rate, (SELECT count(*) FROM b) - count(*) AS duplicates_removed FROM u",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from innkeep.functions import occupancy, text
 from innkeep.operators import embed, enrich, learn, matching, results, summary, tiers
+from innkeep.operators.positions import with_places
 from innkeep.plans import catalog as base
 from innkeep.sources import hotels as src
 from innkeep.sources.tables import table
@@ -132,12 +133,12 @@ def mapped_report(spark, d):
     """Hotel pairs as the mapped document nests them, a row per pair, with their places in the document and its summary."""
     report, assigned, unmatched = _report(spark, d)
     doc = results.mapped_document(report, assigned, unmatched.where("side = 'ad'"), similarity_threshold=base.T)
-    rows = doc.select("summary", F.posexplode("hotel_pairs").alias("pos", "p"))
+    rows = doc.rows.join(F.broadcast(doc.head.select("summary")))
     listed = lambda c, *names: F.array_join(F.transform(F.coalesce(c, F.array()), lambda r: F.concat_ws(":", *[r[n] for n in names])), ",")
     return rows.select(
-        "pos", "p.place_id", "p.hotelbeds_hotel_code", "p.axisdata_hotel_name", "p.confidence", "p.hotelbeds_total_rooms", "p.axisdata_total_rooms",
-        listed(F.col("p.room_matches"), "hotelbeds_room_code", "axisdata_room_id", "axisdata_text").alias("matches"),
-        listed(F.col("p.unmatched_hotelbeds_rooms"), "room_id", "reason").alias("unmatched_hb"), listed(F.col("p.unmatched_axisdata_rooms"), "room_code", "reason").alias("unmatched_ad"),
+        F.col("place").cast("int").alias("pos"), "place_id", "hotelbeds_hotel_code", "axisdata_hotel_name", "confidence", "hotelbeds_total_rooms", "axisdata_total_rooms",
+        listed(F.col("room_matches"), "hotelbeds_room_code", "axisdata_room_id", "axisdata_text").alias("matches"),
+        listed(F.col("unmatched_hotelbeds_rooms"), "room_id", "reason").alias("unmatched_hb"), listed(F.col("unmatched_axisdata_rooms"), "room_code", "reason").alias("unmatched_ad"),
         F.col("summary.pairs").alias("pairs"), F.col("summary.matches").alias("all_matches"), F.round("summary.median", 6).alias("median"),
     )
 
@@ -147,19 +148,16 @@ def output_document(spark, d):
     hotels = table(spark, d, "orders").select(F.col("o_orderkey").alias("ord"), "o_custkey")
     lists = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("ord")).agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", (F.col("l_returnflag") == "N").alias("matched")))).alias("rooms"))
     doc = results.output_document(results.hotel_mapping(hotels, lists))
-    rows = doc.select("metadata", F.posexplode("mappings").alias("pos", "m"))
-    return rows.select(
-        "pos", "m.o_custkey", F.round("m.confidence", 6).alias("confidence"), F.size("m.rooms").alias("n_rooms"), F.round(F.aggregate("m.rooms", F.lit(0.0), lambda s, r: s + r["confidence"]), 6).alias("room_confidence"),
+    return doc.rows.join(F.broadcast(doc.head)).select(
+        F.col("place").cast("int").alias("pos"), "o_custkey", F.round("confidence", 6).alias("confidence"), F.size("rooms").alias("n_rooms"), F.round(F.aggregate("rooms", F.lit(0.0), lambda s, r: s + r["confidence"]), 6).alias("room_confidence"),
         F.col("metadata.total_hotels").alias("total_hotels"), F.col("metadata.total_rooms").alias("total_rooms"),
     )
 
 
 def filtered_order(spark, d):
     """The post-filter's rows with their places: best score first."""
-    from pyspark.sql import Window
-
-    place = F.row_number().over(Window.orderBy(F.desc("match_score"), "tier", "ord"))
-    return tiers.tiered(base._banded(spark, d)).select(place.alias("place"), "tier", "ord", "code", "match_score")
+    placed = with_places(tiers.tiered(base._banded(spark, d)), [F.desc("match_score"), F.col("tier").asc(), F.col("ord").asc()])
+    return placed.select((F.col("place") + 1).cast("int").alias("place"), "tier", "ord", "code", "match_score")
 
 
 def _letters():

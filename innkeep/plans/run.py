@@ -8,21 +8,23 @@ stops the run; any other stage that fails ends it.
 from __future__ import annotations
 
 import argparse
+import hashlib
 import json
+import os
 import sys
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from innkeep import settings
 from innkeep.functions.scoring import Penalties
 from innkeep.operators import embed, enrich, matching, results, summary
 from innkeep.sources import hotels as src
-from innkeep.sources import tables
+from innkeep.sources import shared, tables
 
 SIDES = (("hotelbeds", src.HOTELBEDS), ("axisdata", src.AXISDATA))
 
@@ -43,7 +45,12 @@ class Config:
     skip_enrichment: bool = False
     skip_embeddings: bool = False
     skip_normalization: bool = False
-    document: bool = True  # also write all results as one JSON document, which must fit one row
+    document: bool = True  # also write results as JSON documents with metadata
+    model: str | None = None  # the embedder's name in the cache and in exports; by default that of its code
+    cache: bool = True  # keep embeddings for later runs
+    batch_size: int = embed.BATCH
+    pause: float = 0.0
+    reuse: bool = False  # leave out stages whose inputs and parameters have not changed
 
     def path(self, name: str) -> str:
         return f"{self.output_dir}/{name}"
@@ -54,6 +61,12 @@ def _keep(df: DataFrame, cfg: Config, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(cfg.path(name))
 
 
+def _observed(df: DataFrame, counts: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """df whose rows are counted while they are written."""
+    seen = Observation()
+    return df.observe(seen, *[c.alias(k) for k, c in counts.items()]), seen
+
+
 def _read(spark: SparkSession, cfg: Config, name: str) -> DataFrame | None:
     try:
         return spark.read.parquet(cfg.path(name))
@@ -62,15 +75,20 @@ def _read(spark: SparkSession, cfg: Config, name: str) -> DataFrame | None:
 
 
 def load(spark: SparkSession, cfg: Config) -> dict:
-    """Validated hotels and flat rooms of both sides, their issues and counts."""
+    """Validated hotels and flat rooms of both sides, their issues and counts, taken in the passes that write them."""
     counts = {}
     catalogs = src.load_all(spark, cfg.hotelbeds, cfg.axisdata, cfg.strict, cfg.lines)
+    is_ = lambda level: F.count_if(F.col("level") == level)
     for name, provider in SIDES:
         cat = catalogs[name]
-        tables.write_rows(cat.issues, cfg.path(f"issues_{name}"))
-        counts[name] = cat.stats().first().asDict()
-        _keep(src.hotel_members(cat, provider), cfg, f"hotels_{name}")
-        _keep(src.flat_rooms(cat, provider), cfg, f"rooms_{name}")
+        issues, n_issues = _observed(cat.counted, {"errors": is_("error"), "warnings": is_("warning"), "bad_hotels": F.count_if("first")})
+        tables.write_rows(issues.drop("first"), cfg.path(f"issues_{name}"))
+        hotels, n_hotels = _observed(src.hotel_members(cat, provider), {"valid_hotels": F.count(F.lit(1))})
+        _keep(hotels, cfg, f"hotels_{name}")
+        rooms, n_rooms = _observed(src.flat_rooms(cat, provider, checked=True), {"rooms": F.count(F.lit(1)), "rooms_with_occupancy": F.count_if("occupancy_ok")})
+        _keep(rooms.drop("occupancy_ok"), cfg, f"rooms_{name}")
+        n = n_issues.get | n_hotels.get | n_rooms.get
+        counts[name] = {"hotels": n["valid_hotels"] + n.pop("bad_hotels"), **n}
     return counts
 
 
@@ -84,9 +102,10 @@ def type_catalog(spark: SparkSession, path: str) -> DataFrame:
 def enrich_rooms(spark: SparkSession, cfg: Config) -> dict:
     """The first side's rooms with descriptions of the room-type catalog."""
     found = enrich.enrich(spark.read.parquet(cfg.path("rooms_hotelbeds")), type_catalog(spark, cfg.catalog), "hotel_ord")
-    found = _keep(found, cfg, "enriched_hotelbeds")
-    tables.write_rows(found, cfg.path("enriched_hotelbeds_rows"))
-    return enrich.enrichment_stats(found).first().asDict()
+    found, seen = _observed(found, enrich.counters())
+    tables.write_rows(_keep(found, cfg, "enriched_hotelbeds"), cfg.path("enriched_hotelbeds_rows"))
+    n = seen.get
+    return n | {"missed": n["attempts"] - n["enriched"], "rate": 100.0 * n["enriched"] / n["attempts"] if n["attempts"] else 0.0}
 
 
 def normalize(spark: SparkSession, cfg: Config) -> dict:
@@ -108,16 +127,41 @@ def normalize(spark: SparkSession, cfg: Config) -> dict:
 
 
 def embed_rooms(spark: SparkSession, cfg: Config) -> dict:
-    """Embeddings of the rooms of both sides."""
+    """Embeddings of the rooms of both sides; with ``document`` also as an envelope with metadata. Texts of earlier runs aren't embedded again."""
     out = {}
+    model = cfg.model or f"{cfg.embedder.__module__}.{cfg.embedder.__qualname__}"
+    cache = embed.Cache(cfg.path("embedding_cache"), model) if cfg.cache else None
     for name, _ in SIDES:
         rooms = spark.read.parquet(cfg.path(f"normalized_rooms_{name}"))
         texts = embed.described_texts(rooms, name) if cfg.method == "validated" else embed.plain_texts(rooms)
-        kept = _keep(embed.embed(texts.withColumn("ord", F.col("room_ord")), cfg.embedder, cfg.dimensions), cfg, f"embeddings_{name}")
-        out[name] = kept.count()
+        found = embed.embed(texts.withColumn("ord", F.col("room_ord")), cfg.embedder, cfg.dimensions, cfg.batch_size, cfg.pause, cache)
+        found, seen = _observed(found, {"rooms": F.count(F.lit(1)), "failed": F.count("embedding_error")})
+        kept = _keep(found, cfg, f"embeddings_{name}")
+        if n := seen.get["failed"]:
+            settings.logger().warning("%d rooms of %s have no embedding", n, name)
+        out[name] = seen.get["rooms"]
+        if cfg.document:
+            _export_embeddings(spark, cfg, name, kept, model)
     return out
 
 
+def _export_embeddings(spark: SparkSession, cfg: Config, name: str, rooms: DataFrame, model: str) -> None:
+    """Envelopes {metadata, embeddings} of a side's rooms and hotels, in the order of the input."""
+    meta = {"provider": name, "model": model, "embedding_dim": cfg.dimensions}
+    common = F.struct("occupancy.max_occupancy", "occupancy.max_adults", "occupancy.max_children")
+    described = ["base_description", "occupancy_text"] if cfg.method == "validated" else []
+    with shared.scratch(spark):
+        some = F.count_if(F.greatest(*[F.col(f"occupancy.{c}").isNotNull() for c in ("max_occupancy", "max_adults", "max_children")]))
+        own = rooms.select("hotel_ord", "ord", "room_id", "hotel_code", "room_code", F.lit(name).alias("provider"), "text_for_embedding", *described, common.alias("occupancy"), "embedding")
+        tables.write_document(tables.enveloped(own, "embeddings", ["hotel_ord", "ord"], **meta, rooms_with_occupancy=some, includes_occupancy=bool(described)), cfg.path(f"room_embeddings_{name}"))
+        hotels = spark.read.parquet(cfg.path(f"hotels_{name}"))
+        texts = embed.hotel_texts(hotels, lower=cfg.method == "validated").where("text_for_embedding <> ''")
+        cache = embed.Cache(cfg.path("embedding_cache"), model) if cfg.cache else None
+        found = embed.embed(texts, cfg.embedder, cfg.dimensions, cfg.batch_size, cfg.pause, cache)
+        own = found.select("hotel_ord", "hotel_code", "place_id", "hotel_name", F.lit(name).alias("provider"), "text_for_embedding", "embedding")
+        tables.write_document(tables.enveloped(own, "embeddings", ["hotel_ord"], **meta), cfg.path(f"hotel_embeddings_{name}"))
+
+
 def match(spark: SparkSession, cfg: Config) -> dict:
     """Hotel pairs with matched and unmatched rooms, from embeddings and hotels."""
     side = {name: (spark.read.parquet(cfg.path(f"hotels_{name}")).select("hotel_ord", "place_id", "hotel_code", "hotel_name"), spark.read.parquet(cfg.path(f"embeddings_{name}"))) for name, _ in SIDES}
@@ -131,8 +175,11 @@ def match(spark: SparkSession, cfg: Config) -> dict:
     else:
         threshold = cfg.threshold or matching.ST_THRESHOLD
         assigned = matching.match_rooms(hb_rooms, ad_rooms, "pair", "embedding", threshold)
+    assigned, n_assigned = _observed(assigned, {"matches": F.count("ad_ord")})
     assigned = _keep(assigned, cfg, "assigned")
-    unmatched = _keep(matching.unmatched_rooms(hb_rooms, ad_rooms, assigned, "pair"), cfg, "unmatched")
+    unmatched, n_unmatched = _observed(matching.unmatched_rooms(hb_rooms, ad_rooms, assigned, "pair"), {f"unmatched_{p}_rooms": F.count_if(F.col("side") == p) for p in ("hb", "ad")})
+    unmatched = _keep(unmatched, cfg, "unmatched")
+    settings.logger().info("matched: %s", n_assigned.get | n_unmatched.get)
     report = results.pair_report(pairs, hb_rooms, ad_rooms, assigned, unmatched)
     tables.write_rows(report, cfg.path("hotel_pairs"))
     ad_unmatched = unmatched.where("side = 'ad'")
@@ -146,11 +193,47 @@ def match(spark: SparkSession, cfg: Config) -> dict:
 STAGES = {"load": load, "enrich": enrich_rooms, "normalize": normalize, "embed": embed_rooms, "match": match}
 
 
+def _content(spark: SparkSession, path: str | None) -> list:
+    """A digest of a file's text, or of a folder's, worked out where it lies; its order within a file counts for little."""
+    if not path:
+        return []
+    h = F.xxhash64("value")
+    return list(spark.read.text(path).agg(F.count("*"), F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0)).cast("string"), F.bit_xor(h), F.sum(F.xxhash64("value", F.length("value")).cast("decimal(38,0)")).cast("string")).first())
+
+
+def fingerprint(spark: SparkSession, cfg: Config, stage: str, before: str) -> str:
+    """What a stage's result depends on: its inputs, its parameters and the stages before it."""
+    model = cfg.model or f"{cfg.embedder.__module__}.{cfg.embedder.__qualname__}"
+    own = {
+        "load": lambda: [_content(spark, cfg.hotelbeds), _content(spark, cfg.axisdata), cfg.strict, cfg.lines],
+        "enrich": lambda: _content(spark, cfg.catalog),
+        "normalize": lambda: [cfg.document, cfg.skip_enrichment or not cfg.catalog],
+        "embed": lambda: [cfg.method, cfg.dimensions, model, cfg.document],
+        "match": lambda: [cfg.method, cfg.threshold, cfg.penalties, cfg.document],
+    }
+    return hashlib.sha256(json.dumps([stage, before, own[stage]()], default=repr).encode()).hexdigest()
+
+
+def _done(spark: SparkSession, cfg: Config, stage: str) -> dict:
+    """The note that a finished stage left: its fingerprint and what it returned."""
+    try:
+        return json.loads(spark.read.text(cfg.path(f"done_{stage}")).first()["value"])
+    except AnalysisException:
+        return {}
+
+
+def _note(spark: SparkSession, path: str, what: dict) -> None:
+    spark.createDataFrame([(json.dumps(what, default=str),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def run(spark: SparkSession, cfg: Config, stage: str | None = None) -> dict:
-    """Run all stages, or one; returns the report, which is also written beside the results."""
+    """Run all stages, or one; returns the report, which is also written beside the results.
+
+    With ``reuse``, a stage whose inputs, parameters and earlier stages are those of its last finished run isn't run again.
+    """
     began = datetime.now(timezone.utc)
     skip = {"enrich": cfg.skip_enrichment or not cfg.catalog, "normalize": cfg.skip_normalization, "embed": cfg.skip_embeddings}
-    steps, out = [], {}
+    steps, out, mark = [], {}, ""
     log = settings.logger()
     tables.audit_event(spark, "pipeline_start", {"method": cfg.method, "stage": stage or "all"}, cfg.path("audit"))
     for name, work in STAGES.items():
@@ -160,7 +243,17 @@ def run(spark: SparkSession, cfg: Config, stage: str | None = None) -> dict:
             steps.append(f"{name}_skipped")
             continue
         try:
-            out[name] = work(spark, cfg)
+            if stage is None:
+                mark = fingerprint(spark, cfg, name, mark)
+                if cfg.reuse and (last := _done(spark, cfg, name)).get("fingerprint") == mark:
+                    out[name] = last["result"]
+                    steps.append(f"{name}_reused")
+                    log.info("%s reused", name)
+                    continue
+            _note(spark, cfg.path(f"done_{name}"), {})  # not done until it is
+            with shared.scratch(spark):
+                out[name] = work(spark, cfg)
+            _note(spark, cfg.path(f"done_{name}"), {"fingerprint": mark if stage is None else None, "result": out[name]})
             steps.append(name)
         except Exception as e:
             log.error("%s failed: %s", name, e)
@@ -176,33 +269,35 @@ def run(spark: SparkSession, cfg: Config, stage: str | None = None) -> dict:
         report["total_hotels"] = sum(c["valid_hotels"] for c in out["load"].values())
     report |= {"summary": out["match"]} if "match" in out else {}
     report["stages"] = {k: v for k, v in out.items() if k != "match"}
-    name = "report" if stage is None else f"report_{stage}"
-    spark.createDataFrame([(json.dumps(report, default=str),)], "value string").coalesce(1).write.mode("overwrite").text(cfg.path(name))
+    _note(spark, cfg.path("report" if stage is None else f"report_{stage}"), report)
     tables.audit_event(spark, "pipeline_complete", {"duration_seconds": str(report["duration_seconds"])}, cfg.path("audit"))
     return report
 
 
 def main(argv: list[str] | None = None) -> int:
+    given = settings.Settings.from_env()
     p = argparse.ArgumentParser(description="Match the rooms of two suppliers' hotels.")
     p.add_argument("hotelbeds")
     p.add_argument("axisdata")
     p.add_argument("--catalog")
-    p.add_argument("--output-dir", default=settings.Settings.from_env().output_dir)
+    p.add_argument("--output-dir", default=given.output_dir)
     p.add_argument("--method", choices=["plain", "validated"], default="plain")
-    p.add_argument("--threshold", type=float)
+    p.add_argument("--threshold", type=float, default=given.room_threshold if "INNKEEP_ROOM_THRESHOLD" in os.environ else None)
     p.add_argument("--strict", action="store_true")
     p.add_argument("--lines", action="store_true", help="one hotel per line")
     p.add_argument("--skip-enrichment", action="store_true")
     p.add_argument("--skip-normalization", action="store_true", help="use that of an earlier run")
     p.add_argument("--skip-embeddings", action="store_true", help="use those of an earlier run")
-    p.add_argument("--no-document", action="store_true", help="rows only, no document of all results")
+    p.add_argument("--no-document", action="store_true", help="rows only, no documents")
+    p.add_argument("--reuse", action="store_true", help="leave out stages whose inputs and parameters have not changed")
+    p.add_argument("--no-cache", action="store_true", help="embed all texts anew")
     p.add_argument("--stage", choices=list(STAGES), help="only this stage, on what earlier ones wrote")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("innkeep").getOrCreate()
     try:
         cfg = Config(
             a.hotelbeds, a.axisdata, a.output_dir, a.catalog, a.method, a.threshold, strict=a.strict, lines=a.lines, skip_enrichment=a.skip_enrichment,
-            skip_embeddings=a.skip_embeddings, skip_normalization=a.skip_normalization, document=not a.no_document,
+            skip_embeddings=a.skip_embeddings, skip_normalization=a.skip_normalization, document=not a.no_document, reuse=a.reuse, cache=not a.no_cache, batch_size=given.batch_size,
         )
         print(json.dumps(run(spark, cfg, a.stage), default=str))
     except KeyboardInterrupt:

@@ -16,9 +16,8 @@ class Settings:
     output_dir: str = "out"
     log_level: str = "INFO"
     log_file: str = ""  # errors also go there, as JSON lines
-    hotel_threshold: float = 0.85
-    room_threshold: float = 0.80
-    batch_size: int = 32
+    room_threshold: float = 0.80  # of matching, where the variable is set; else the method's own
+    batch_size: int = 32  # texts that are embedded at once
 
     @classmethod
     def from_env(cls, env=os.environ) -> Settings:

@@ -2,7 +2,7 @@
 
 Documents are read as variants, so a wrong type, a missing key and a null stay apart until they are checked. Invalid
 hotels are dropped with an error; problems of rooms are warnings. Hotels and rooms carry their places in the input.
-A catalog is one JSON array per file, or, with ``lines``, one hotel per line, which Spark can split.
+A catalog is one JSON array per file, of any size, or, with ``lines``, one hotel per line.
 """
 
 from __future__ import annotations
@@ -10,15 +10,18 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from innkeep.functions import occupancy, text
 from innkeep.functions.columns import settled
+from innkeep.sources import arrays, shared
 
 
 #: Spark's limit of a variant, in bytes.
 VARIANT_BYTES = 128 << 20
+#: Files of arrays above this are read in parallel.
+SPLIT_BYTES = 32 << 20
 
 
 class CatalogError(Exception):
@@ -48,6 +51,7 @@ class Catalog:
     hotels: DataFrame  # hotel_ord, rec (variant), valid
     rooms: DataFrame  # hotel_ord, room_ord, room (variant) of valid hotels
     issues: DataFrame  # level, hotel_ord, room_ord, message
+    counted: DataFrame  # issues with first: the first error of its hotel
 
     def stats(self) -> DataFrame:
         """One row: hotels, valid hotels, rooms, rooms without occupancy warnings, errors and warnings."""
@@ -77,14 +81,48 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.parse_json("value").alias("doc"))
 
 
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """ord (gapless, in the order of files and lines) and rec of each line that isn't blank."""
+    try:
+        raw = spark.read.text(path)
+    except AnalysisException as e:
+        raise CatalogError(f"File not found: {path}") from e
+    raw = raw.where("trim(value) <> ''").select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    raw = shared.cut(raw, "lines")  # from here on a line's place is data
+    blocks = shared.cut(raw.groupBy("file", "block").agg(F.min("at").alias("first"), F.count("*").alias("n")), "blocks")
+    ahead = Window.partitionBy(F.lit(0)).orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("file", "block", "first", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))  # a row per block of a file
+    placed = raw.join(starts, ["file", "block"]).select((F.col("at") - F.col("first") + F.col("before")).alias("ord"), "value")
+    # exploded, so that conditions on a record don't parse its line again and again
+    return placed.select("ord", F.explode(F.array(F.try_parse_json("value"))).alias("rec"))
+
+
+def _elements(spark: SparkSession, path: str) -> DataFrame:
+    """ord and rec of the elements of JSON arrays of any size."""
+    try:
+        each = arrays.read_array(spark, path)
+    except arrays.ArrayError as e:
+        raise CatalogError(str(e) if str(e).startswith("Top level") else f"Invalid JSON in {path}: {e}") from e
+    text = F.col("text").cast("string")
+    rows = each.select("ord", F.is_valid_utf8(text).alias("fine"), F.explode(F.array(F.try_parse_json(text))).alias("rec"))
+    bad = rows.agg(F.count_if(~F.col("fine")).alias("garbled"), F.count_if(F.col("rec").isNull()).alias("bad")).first()
+    if bad["garbled"]:
+        raise CatalogError(f"Not UTF-8: {path}")
+    if bad["bad"]:
+        raise CatalogError(f"Invalid JSON in {path}")
+    return rows.select("ord", "rec")
+
+
 def read_records(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """ord and rec (variant) of the top-level array, or of each line."""
+    """ord and rec (variant) of the top-level array, or of each line. Files above SPLIT_BYTES are cut into records in parallel."""
     if lines:
-        try:
-            # exploded, so that conditions on a record don't parse its line again and again
-            return spark.read.text(path).where("trim(value) <> ''").select(F.monotonically_increasing_id().alias("ord"), F.explode(F.array(F.try_parse_json("value"))).alias("rec"))
-        except AnalysisException as e:
-            raise CatalogError(f"File not found: {path}") from e
+        return _lines(spark, path)
+    try:
+        largest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0  # contents aren't read
+    except AnalysisException as e:
+        raise CatalogError(f"File not found: {path}") from e
+    if largest > SPLIT_BYTES:
+        return _elements(spark, path)
     docs = read_documents(spark, path)
     if docs.where(~F.schema_of_variant("doc").like("ARRAY%")).limit(1).count():
         raise CatalogError("Top level must be a list")
@@ -190,11 +228,13 @@ def validated(recs: DataFrame, provider: Provider, strict: bool = False) -> Cata
     none = valid.where("try_variant_get(rec, '$.rooms[0]', 'variant') IS NULL").select(
         F.lit("warning").alias("level"), "hotel_ord", F.lit(None).cast("long").alias("room_ord"), F.expr("concat('Hotel #', hotel_ord, ' (', coalesce(try_variant_get(rec, '$.hotelCode', 'string'), 'UNKNOWN'), '): No rooms defined')").alias("message")
     )
-    errors = recs.select(F.lit("error").alias("level"), "hotel_ord", F.lit(None).cast("long").alias("room_ord"), F.explode("errors").alias("message"))
-    issues = errors.unionByName(none).unionByName(rooms.select(F.lit("warning").alias("level"), "hotel_ord", "room_ord", F.explode("warnings").alias("message")))
+    errors = recs.select(F.lit("error").alias("level"), "hotel_ord", F.lit(None).cast("long").alias("room_ord"), F.posexplode("errors").alias("pos", "message"))
+    errors = errors.select("level", "hotel_ord", "room_ord", "message", (F.col("pos") == 0).alias("first"))
+    warnings = none.unionByName(rooms.select(F.lit("warning").alias("level"), "hotel_ord", "room_ord", F.explode("warnings").alias("message")))
+    issues = errors.unionByName(warnings.withColumn("first", F.lit(False)))
     if strict and errors.limit(1).count():
         raise CatalogError("Validation failed: " + "; ".join(r["message"] for r in errors.limit(5).collect()))
-    return Catalog(recs.select("hotel_ord", "rec", "valid"), rooms, issues)
+    return Catalog(recs.select("hotel_ord", "rec", "valid"), rooms, issues.drop("first"), issues)
 
 
 def load_catalog(spark: SparkSession, path: str, provider: Provider, strict: bool = False, lines: bool = False) -> Catalog:
@@ -224,8 +264,11 @@ def hotel_members(cat: Catalog, p: Provider) -> DataFrame:
     return named.withColumn("source", F.lit(p.name.lower()))
 
 
-def flat_rooms(cat: Catalog, p: Provider) -> DataFrame:
-    """A row per room of valid hotels: hotel and room members as columns; occupancies as a struct of the provider's fields."""
+def flat_rooms(cat: Catalog, p: Provider, checked: bool = False) -> DataFrame:
+    """A row per room of valid hotels: hotel and room members as columns; occupancies as a struct of the provider's fields.
+
+    ``checked`` adds occupancy_ok: no warning of its occupancy.
+    """
     occ = ", ".join(f"'{f}', try_variant_get(room, '$.occupancies.{f}', '{t}')" for f, t in p.ints.items())
     has = f"NOT {_falsy(_get('room', 'occupancies'))} AND {_kind(_get('room', 'occupancies'))} = 'dict'"
     hotels = _members(cat)
@@ -233,7 +276,7 @@ def flat_rooms(cat: Catalog, p: Provider) -> DataFrame:
         "hotel_ord", "room_ord", f"{_text('room', 'id', _q(''))} AS room_id", f"{_text('room', p.room_code, _q(''))} AS room_code", f"{_text('room', 'name', _q('Unknown Room'))} AS name",
         f"{_get('room', 'description')} IS NOT NULL AS has_description", "try_variant_get(room, '$.description', 'string') AS description",
         f"{_text('room', 'codeDescription', _q(''))} AS code_description", "coalesce(CASE WHEN try_variant_get(room, '$.providers[0].code', 'variant') IS NULL THEN '' END, try_variant_get(room, '$.providers[0].code', 'string')) AS provider_code",
-        f"CASE WHEN {has} THEN named_struct({occ}) END AS occupancies",
+        f"CASE WHEN {has} THEN named_struct({occ}) END AS occupancies", *["occupancy_ok"] * checked,
     )
     return hotels.join(settled(rooms, "occupancies"), "hotel_ord")
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from innkeep.operators.tiers import last_by
+from innkeep.sources import documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,21 +32,23 @@ def load_embeddings(spark: SparkSession, hotels_hb: str, rooms_hb: str, hotels_a
     return {"hotelbeds": (hotel_embeddings(spark, hotels_hb), room_embeddings(spark, rooms_hb)), "axisdata": (hotel_embeddings(spark, hotels_ad), room_embeddings(spark, rooms_ad))}
 
 
-def write_document(df: DataFrame, path: str) -> None:
-    """One row as one JSON document."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+def write_document(doc: DataFrame | documents.Document, path: str) -> None:
+    """One row as one JSON document, or a document with a list of any length."""
+    if isinstance(doc, documents.Document):
+        documents.write_document(doc, path)
+    else:
+        doc.coalesce(1).write.mode("overwrite").json(path)
 
 
 def write_rows(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def enveloped(rows: DataFrame, name: str, order: list[str], **metadata) -> DataFrame:
-    """One row {metadata, <name>: [rows in order]}, for exports small enough for one document."""
-    cols = [c for c in rows.columns if c not in order]
-    nested = rows.agg(F.array_sort(F.collect_list(F.struct(*order, F.struct(*cols).alias("r")))).alias("x"))
-    meta = F.struct(*[F.lit(v).alias(k) for k, v in metadata.items()], F.size("x").alias("total_count"))
-    return nested.select(meta.alias("metadata"), F.transform("x", lambda e: e["r"]).alias(name))
+def enveloped(rows: DataFrame, name: str, order: list[str], **metadata) -> documents.Document:
+    """The document {metadata, <name>: [rows in order]}; values of metadata may be aggregates of the rows."""
+    head = rows.agg(F.count("*").alias("total_count"), *[v.alias(k) for k, v in metadata.items() if isinstance(v, Column)])
+    meta = [F.col(k) if isinstance(v, Column) else F.lit(v).alias(k) for k, v in metadata.items()]
+    return documents.document(head.select(F.struct(*meta, "total_count").alias("metadata")), name, rows, [F.col(c).asc() for c in order], tuple(order))
 
 
 def audit(df: DataFrame, event: str, path: str) -> None:
