@@ -1,9 +1,10 @@
 """Licence scan: canonical digests of whole texts, hash-joined to those of known licences. DataFrame functions only.
 
-The canonical form is lower case without copyright statements: those that run on into the opening of a licence (on the same
-line or the next ones), and lines that state one (the word followed by (c), the sign, a year or "by"; "all rights reserved"
-alone). So it does not depend on where lines are wrapped, but for a holder's name that is itself broken after a line that
-begins its statement, where no opening follows within 300 characters.
+The canonical form is lower case without copyright statements. Before the first opening of a licence, paragraphs that begin
+with the word or the sign go whole, and the last one goes from its first statement (the word followed by (c), the sign, a year or
+"by") on, however many holders it lists. After it, statements that run on into another opening within 300 characters go, and
+lines that state one; and "all rights reserved" alone. So it does not depend on where lines are wrapped, but that a holder
+without sign and year needs a paragraph.
 Runs of characters other than letters and digits are one space, and spellings that licence guides hold to be equivalent
 are unified. Known texts are few and fixed, so the table
 of their digests is broadcast; the longer ones are listed by their digests alone. Besides whole texts, single lines are looked up in the same way: notices such as
@@ -37,14 +38,22 @@ def _unless(words: list[str]) -> str:
 #: Openings of licence texts; a copyright statement ends before them, also within a line.
 OPENINGS = [
     "permission is hereby granted", "permission to use", "redistribution and use", "licensed under", "everyone is permitted", "permission is granted to copy",
-    "this program is free software", "this library is free software", "this program comes with", "gnomovision comes with",
+    "this program is free software", "this library is free software", "this program comes with", "gnomovision comes with", "this software is provided as is",
 ]
 #: Lines that licence guides tell to ignore: statements of copyright, not lines that merely begin with that word.
 _STATEMENT = r"copyrights?[ \t:,]*(?:\(c\)|©|by\b|[0-9]{4}|[<\[{][ \t]*(?:year|yyyy))|\(c\)[ \t:,]*(?:copyright\b|[0-9]{4})|©"
 _REST = rf"\S*(?:[ \t\r]+(?:{_unless(sorted({o.split(' ')[0] for o in OPENINGS}))})){{0,100}}[ \t\r]*"
 COPYRIGHT_LINE = rf"(?m)^[ \t>*#/-]*(?:(?:{_STATEMENT}){_REST}|all rights reserved[ \t\r.!*#/-]*)$"
+#: What may lie between the words of an opening.
+GAP = r"[\s'-]+"
 #: Statements that an opening follows within some words, on the same line or the next ones.
-RUN_ON = rf"(?s)(?:{_STATEMENT.replace('[ \\t', '[\\s')}).{{0,300}}?\b({'|'.join(o.replace(' ', chr(92) + 's+') for o in OPENINGS)})\b"
+RUN_ON = rf"(?s)(?:{_STATEMENT.replace('[ \\t', '[\\s')}).{{0,300}}?\b({'|'.join(o.replace(' ', GAP) for o in OPENINGS)})\b"
+#: The first opening of a text; what is before it is its head.
+OPENING = r"\b(?:" + "|".join(o.replace(" ", GAP) for o in OPENINGS) + r")\b"
+#: What separates paragraphs, what begins a paragraph that states a copyright in any form, and a statement with all that follows.
+BLANK_LINE = r"\n[ \t\r]*\n"
+PLAIN = r"(?s)^[ \t\r\n>*#/-]*(?:copyrights?\b|\(c\)[ \t:,]*(?:copyright\b|[0-9]{4})|©).*"
+TO_THE_END = rf"(?s)(?:{_STATEMENT.replace('[ \\t', '[\\s')}).*"
 OTHER = r"[^\p{L}\p{N}]+"
 #: Equivalent spellings (from, to) in the lower case.
 SPELLINGS = [
@@ -121,12 +130,34 @@ WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-I
 COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT,
 TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
 
+_0BSD = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+granted.
+""" + _ISC[_ISC.index("THE SOFTWARE IS") :]
+_ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
+liable for any damages arising from the use of this software.
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and
+redistribute it freely, subject to the following restrictions:
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you
+use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution."""
+
+
+def _bulleted(text: str) -> str:
+    """The same with bullets in place of numbers."""
+    return re.sub(r"(?m)^[0-9]\. ", "* ", text)
+
+
 #: Known texts: (licence id, text). Texts with and without their title lines are listed each.
 KNOWN = [
     ("MIT", _MIT), ("MIT", "MIT License\n" + _MIT), ("MIT", "The MIT License (MIT)\n" + _MIT),
     ("ISC", _ISC), ("ISC", "ISC License\n" + _ISC),
     ("BSD-2-Clause", _BSD_HEAD + _BSD_TAIL), ("BSD-2-Clause", "BSD 2-Clause License\n" + _BSD_HEAD + _BSD_TAIL),
     ("BSD-3-Clause", _BSD_HEAD + _BSD_NAMES + _BSD_TAIL), ("BSD-3-Clause", "BSD 3-Clause License\n" + _BSD_HEAD + _BSD_NAMES + _BSD_TAIL),
+    ("BSD-2-Clause", _bulleted(_BSD_HEAD + _BSD_TAIL)), ("BSD-2-Clause", _bulleted("BSD 2-Clause License\n" + _BSD_HEAD + _BSD_TAIL)),
+    ("BSD-3-Clause", _bulleted(_BSD_HEAD + _BSD_NAMES + _BSD_TAIL)), ("BSD-3-Clause", _bulleted("BSD 3-Clause License\n" + _BSD_HEAD + _BSD_NAMES + _BSD_TAIL)),
+    ("0BSD", _0BSD), ("0BSD", "BSD Zero Clause License\n" + _0BSD), ("Zlib", _ZLIB), ("Zlib", "zlib License\n" + _ZLIB), ("Zlib", _bulleted(_ZLIB)),
+    *[("MIT", title + _MIT + f"\n{scheme}://opensource.org/licenses/MIT") for title in ("", "MIT License\n", "The MIT License (MIT)\n") for scheme in ("http", "https")],
     ("Unlicense", _UNLICENSE + "<http://unlicense.org/>"), ("Unlicense", _UNLICENSE + "<https://unlicense.org/>"),
     ("BSL-1.0", _BOOST), ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003\n" + _BOOST),
     ("Apache-2.0", _APACHE), ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -157,10 +188,22 @@ PUBLISHED = [
 ]
 
 
+def _headless(c: Column) -> Column:
+    """Text without the copyright statements before its first opening: paragraphs that begin with one, and the end of the last from one on."""
+    at = F.regexp_instr(c, F.lit(OPENING))
+    parts = F.split(F.regexp_replace(F.substring(c, F.lit(1), at - 1), r"\s+$", ""), BLANK_LINE)
+    whole = F.filter(F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 1, F.lit(0))), lambda x: ~x.rlike(PLAIN))
+    last = F.regexp_replace(F.regexp_replace(F.element_at(parts, -1), PLAIN, ""), TO_THE_END, "")
+    head = F.array_join(F.concat(whole, F.array(last)), "\n\n")
+    return F.when(at > 0, F.concat(head, F.lit("\n"), F.substring(c, at, F.length(c)))).otherwise(c)
+
+
 def canonical(text: Column) -> Column:
     """The canonical form of a text."""
-    c = F.regexp_replace(F.regexp_replace(F.lower(text), RUN_ON, "$1"), COPYRIGHT_LINE, "")
-    c = F.trim(F.regexp_replace(c, OTHER, " "))
+    low = F.lower(text)
+    said = low.contains("copyright") | low.contains("(c)") | low.contains("©") | low.contains("all rights reserved")
+    bare = F.regexp_replace(F.regexp_replace(_headless(low), RUN_ON, "$1"), COPYRIGHT_LINE, "")
+    c = F.trim(F.regexp_replace(F.when(said, bare).otherwise(low), OTHER, " "))
     unified = c
     for old, new in SPELLINGS:
         unified = F.regexp_replace(unified, old, new)
@@ -169,7 +212,12 @@ def canonical(text: Column) -> Column:
 
 def canonical_text(text: str) -> str:
     """The same for the known texts, on the driver."""
-    c = re.sub(COPYRIGHT_LINE, "", re.sub(RUN_ON, r"\1", text.lower()))
+    c = text.lower()
+    if found := re.search(OPENING, c):
+        *whole, last = re.split(BLANK_LINE, re.sub(r"\s+\Z", "", c[: found.start()]))
+        last = re.sub(TO_THE_END, "", re.sub(PLAIN, "", last))
+        c = "\n\n".join([*[x for x in whole if not re.search(PLAIN, x)], last]) + "\n" + c[found.start() :]
+    c = re.sub(COPYRIGHT_LINE, "", re.sub(RUN_ON, r"\1", c))
     c = re.sub(r"[\W_]+", " ", c).strip()
     for old, new in SPELLINGS:
         c = re.sub(old, new, c)
