@@ -241,7 +241,8 @@ class _Shard:
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.data = np.frombuffer(pa.decompress(data, raw, codec="zstd", asbytes=True), np.uint8) if raw else np.empty(0, np.uint8)
         self.first, self.count, value = window_runs(self.data, self.starts, self.sizes, length, gram)
-        self.gram = value >> _U(64 - bits)
+        value = value * _U(_MULT)  # least hashes are small: hashed anew, ranges are even
+        self.gram = ((value ^ (value >> _U(31))) * _MIX) >> _U(64 - bits)
         self.doc = self.order[np.searchsorted(self.starts, self.first, "right") - 1] if len(self.first) else np.empty(0, np.int64)
 
     def grams(self) -> tuple[np.ndarray, np.ndarray]:
