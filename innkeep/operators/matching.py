@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from innkeep.functions import scoring
+from innkeep.functions.columns import settled
 from innkeep.operators import similar
 from innkeep.operators.positions import with_places
 from innkeep.sources import shared
@@ -60,11 +61,12 @@ def _ranked(met: DataFrame, block: str, threshold: float, adjusted=None) -> Data
     adjusted: from a candidate (a struct column) to its adjusted similarity, which must reach the threshold too.
     """
     adj = (lambda m: F.coalesce(adjusted(m), m["sim"])) if adjusted else (lambda m: m["sim"])
-    order = F.transform("met", lambda m: F.struct((-adj(m)).alias("a"), (-m["sim"]).alias("b"), m["ord"].alias("ad_ord"), m["sim"].alias("sim"), adj(m).alias("adjusted")))
-    rows = met.select(F.col(block).alias("block"), F.col("ord").alias("hb_ord"), order.alias("all"), ((F.size("met") == 0) & ~F.col("unknown")).alias("below"))
-    valid = F.array_sort(F.filter("all", lambda m: m["adjusted"] >= threshold))
+    pairs = F.transform("met", lambda m: F.struct(m["ord"].alias("ad_ord"), m["sim"].alias("sim"), adj(m).alias("adjusted")))
+    rows = settled(met.select(F.col(block).alias("block"), F.col("ord").alias("hb_ord"), pairs.alias("all"), ((F.size("met") == 0) & ~F.col("unknown")).alias("below")), "all")
+    good = F.filter("all", lambda m: m["adjusted"] >= threshold)
+    valid = F.array_sort(F.transform(good, lambda m: F.struct((-m["adjusted"]).alias("a"), (-m["sim"]).alias("b"), m["ad_ord"].alias("ad_ord"), m["sim"].alias("sim"), m["adjusted"].alias("adjusted"))))
     failed = F.transform(F.filter("all", lambda m: ~(m["adjusted"] >= threshold)), lambda m: m["ad_ord"])
-    rows = rows.select("block", "hb_ord", valid.alias("valid"), failed.alias("failed"), "below")
+    rows = settled(rows.select("block", "hb_ord", valid.alias("valid"), failed.alias("failed"), "below"), "valid")
     return rows.select("block", "hb_ord", F.col("valid.ad_ord").alias("ords"), F.col("valid.sim").alias("sims"), F.col("valid.adjusted").alias("adjs"), "failed", "below")
 
 
@@ -121,9 +123,9 @@ def _accepted(rooms: DataFrame) -> DataFrame:
         held = held.join(last, "block").where("of < last").select("block", "held", F.explode(F.sequence(F.col("of") + 1, F.col("last"))).alias("bucket"))
 
 
-def _assigned(rooms: DataFrame, block: str, large: DataFrame) -> DataFrame:
-    """Assignment of rooms as :func:`_ranked` gives them. large: the blocks (column block) of more than BUCKET_ROOMS rooms."""
-    if large.isEmpty():
+def _assigned(rooms: DataFrame, block: str, large: DataFrame | None) -> DataFrame:
+    """Assignment of rooms as :func:`_ranked` gives them. large: the blocks (column block) of more than BUCKET_ROOMS rooms, if any."""
+    if large is None or large.isEmpty():
         found = _round(rooms.withColumn("bucket", F.lit(0).cast("long")))
     else:
         with shared.scratch(rooms.sparkSession) as own:
@@ -152,18 +154,25 @@ def _large(rooms: DataFrame, block: str) -> DataFrame:
     return rooms.groupBy(F.col(block).alias("block")).agg(F.count("*").alias("n")).where(F.col("n") > BUCKET_ROOMS)
 
 
+def _even(hb: DataFrame, ad: DataFrame, block: str) -> bool:
+    """Whether no block is large in any way: one job in place of several."""
+    return similar.large_blocks(similar.block_sizes(hb, ad, block), BUCKET_ROOMS).isEmpty()
+
+
 def match_rooms(hb: DataFrame, ad: DataFrame, block: str, vec: str, threshold: float = ST_THRESHOLD) -> DataFrame:
     """Greedy assignment by plain similarity. Null similarity is no candidate; with one of them, a room's best one counts as unknown."""
-    return _assigned(_ranked(similar.candidates(hb, ad, block, vec, threshold), block, threshold), block, _large(hb, block))
+    even = _even(hb, ad, block)
+    return _assigned(_ranked(similar.candidates(hb, ad, block, vec, threshold, even=even), block, threshold), block, None if even else _large(hb, block))
 
 
 def match_rooms_validated(hb: DataFrame, ad: DataFrame, block: str, vec: str, threshold: float = GM_THRESHOLD, penalties: scoring.Penalties = scoring.Penalties(), text: str = "text", occ: str = "occupancy") -> DataFrame:
     """Greedy assignment by similarity less penalties for bedrooms, occupancy and room type."""
     facts = ("_bedrooms", "_type", occ)
     hb, ad = (df.withColumn("_bedrooms", scoring.bedrooms(F.col(text))).withColumn("_type", scoring.room_type(F.col(text))) for df in (hb, ad))
-    met = similar.candidates(hb, ad, block, vec, threshold, facts)
+    even = _even(hb, ad, block)
+    met = similar.candidates(hb, ad, block, vec, threshold, facts, even)
     adjusted = lambda m: scoring.penalized_facts(m["sim"], tuple(F.col(c) for c in facts), tuple(m[c] for c in facts), penalties)["adjusted"]
-    return _assigned(_ranked(met, block, threshold, adjusted), block, _large(hb, block))
+    return _assigned(_ranked(met, block, threshold, adjusted), block, None if even else _large(hb, block))
 
 
 def unmatched_rooms(hb: DataFrame, ad: DataFrame, assigned: DataFrame, block: str) -> DataFrame:

@@ -69,19 +69,30 @@ class _Tile:
         return i, j, sim, ~known.all(axis=1)
 
 
-def candidates(hb: DataFrame, ad: DataFrame, block: str, vec: str, threshold: float | None, keep: tuple[str, ...] = ()) -> DataFrame:
+def block_sizes(hb: DataFrame, ad: DataFrame, block: str) -> DataFrame:
+    """b_, n_, m_: blocks with the rows of the first side and of the second, counted in one pass."""
+    one = lambda df, first: df.select(F.col(block).alias("b_"), F.lit(int(first)).alias("f_"))
+    return one(hb, True).unionByName(one(ad, False)).groupBy("b_").agg(F.sum("f_").alias("n_"), F.count_if(F.col("f_") == 0).alias("m_"))
+
+
+def large_blocks(sizes: DataFrame, rows: int) -> DataFrame:
+    """Blocks of which a side is too large for one cell, or the first has more than ``rows`` rows."""
+    return sizes.where((F.col("m_") > TILE) | (F.col("n_") * F.least(F.col("m_"), F.lit(TILE)) > CELL_PAIRS) | (F.col("n_") > rows))
+
+
+def candidates(hb: DataFrame, ad: DataFrame, block: str, vec: str, threshold: float | None, keep: tuple[str, ...] = (), even: bool = False) -> DataFrame:
     """block, ord, ``keep`` of each first-side row, met: array of (ord, ``keep``, sim) of the second side's that reach the threshold, unknown.
 
     A row per first-side row whose block the second side has. unknown: with some row there is no similarity (a null,
     zero, not finite or differently long vector). threshold None: all pairs that have one. Rows need ``ord``; null blocks
-    meet nothing.
+    meet nothing. even: it is known that no block is above TILE or CELL_PAIRS.
     """
     spark = hb.sparkSession
-    sizes = hb.groupBy(block).agg(F.count("*").alias("n_")).join(ad.groupBy(F.col(block).alias("b_")).agg(F.count("*").alias("m_")), F.col(block) == F.col("b_"))
+    sizes = block_sizes(hb, ad, block)
     tiles, parts = F.ceil(F.col("m_") / TILE).cast("int"), F.ceil(F.col("n_") * F.least(F.col("m_"), F.lit(TILE)) / CELL_PAIRS).cast("int")
     large = sizes.select(F.col("b_"), tiles.alias("tiles_"), parts.alias("parts_")).where("tiles_ > 1 or parts_ > 1")
     # at most one block in TILE rows of the second side is large, or one in CELL_PAIRS / TILE of the first
-    large = F.broadcast(large) if (n := large.limit(100_001).count()) <= 100_000 else large
+    large = F.broadcast(large) if (n := 0 if even else large.limit(100_001).count()) <= 100_000 else large
     share = lambda n: F.pmod(F.xxhash64("ord"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     cells = []
