@@ -10,8 +10,8 @@
    stretches of the text at once. Neighbours that share ``length`` bytes are one string; its smallest id in the shard
    settles all others there.
 4. What is left and may lie in other shards is sent by its least gram, neighbouring strings as one passage. A range's task
-   keeps a sorted table of the distinct strings and merges the shards into it by binary search; where keys are equal, the bytes
-   are compared. Strings around a gram that very many shards hold are dealt by themselves, so that no range holds them all.
+   sorts the strings of all shards by their hash, once; where hashes are equal, the bytes are compared. Strings around a gram
+   that very many shards hold are dealt by themselves, so that no range holds them all.
 5. Verdicts return to the shards, which cut the covered bytes.
 
 A string that is repeated thousands of times is sent once per shard. No task holds more than a shard, or a range of
@@ -35,15 +35,18 @@ from pyspark.sql import functions as F
 
 from innkeep.llm import store
 
-SHARD_BYTES = 1 << 20
+#: Shards and ranges meet in a row each, so both are as large as a task's memory allows: their rows grow with the product.
+SHARD_BYTES = 1 << 22
 PART_BYTES = 1 << 19
 #: Bytes of text whose grams a range holds, about.
-RANGE_BYTES = 1 << 23
+RANGE_BYTES = 1 << 24
+#: Stretches of a shard that are sent together, about.
+HELD_STRETCHES = 1 << 19
 #: Shards that hold a gram before the strings around it are dealt by themselves.
 HOT_SHARDS = 64
 #: Texts with whole copies whose digests (a row each) are broadcast; more of them are joined.
 BROADCAST_ROWS = 100_000
-#: Strings that a range's task merges at once.
+#: Strings that a range's task compares at once.
 SHARE_STRINGS = 1 << 19
 GRAM = 24
 _BLOCK = 1 << 15
@@ -378,7 +381,22 @@ def _suspects(s: _Shard, shard: int, masks: list[tuple], length: int, bits: int,
     runs = np.flatnonzero(there | several)
     if (s.count[runs] + length - 1).sum() > part_bytes:
         there = there | several  # the parts of the shard meet like those of others
-    for part, (places, run, settled) in enumerate(_local(s, runs, length, part_bytes)):
+    held: list[tuple] = []
+    size = n = 0
+
+    def sent_rows() -> Iterator[tuple]:
+        """What the parts since the last call leave: a row per range, however many parts they are."""
+        gone, times, first, count, run, to = (np.concatenate(c) for c in zip(*held, strict=True))
+        order = np.argsort(to, kind="stable")
+        first, count, run, to = first[order], count[order], run[order], to[order]
+        home = gone, times, first, count, to
+        yield -1, shard, n, _packed_size(*home), _packed(*home), 0, b""
+        for r, at in _cuts(to.astype(_U), 0):
+            text = s.data[_spread(first[at], count[at] + length - 1)].tobytes()
+            found = s.doc[run[at]], count[at]
+            yield r, shard, n, _packed_size(*found), _packed(*found), len(text), pa.compress(text, codec="zstd", asbytes=True)
+
+    for places, run, settled in _local(s, runs, length, part_bytes):
         gone = _stretches(places[settled])
         sent = ~settled & there[run]
         places, run = places[sent], run[sent]
@@ -390,14 +408,13 @@ def _suspects(s: _Shard, shard: int, masks: list[tuple], length: int, bits: int,
         if single.any():  # strings around a gram that very many shards hold go by themselves, by their own hash
             spot[single] = _of_rows(s.data[first[single][:, None] + np.arange(length)]) >> _U(64 - bits)
         to = (spot >> _U(max(0, shift - 1))).astype(np.int64)  # passages are longer than grams, so their ranges are finer
-        order = np.argsort(to, kind="stable")
-        first, count, run, to = first[order], count[order], run[order], to[order]
-        home = (*gone, first, count, to)
-        yield -1, shard, part, _packed_size(*home), _packed(*home), 0, b""
-        for r, at in _cuts(to.astype(_U), 0):
-            text = s.data[_spread(first[at], count[at] + length - 1)].tobytes()
-            runs = s.doc[run[at]], count[at]
-            yield r, shard, part, _packed_size(*runs), _packed(*runs), len(text), pa.compress(text, codec="zstd", asbytes=True)
+        held.append((*gone, first, count, run, to))
+        size += len(gone[0]) + len(first)
+        if size > HELD_STRETCHES:
+            yield from sent_rows()
+            held, size, n = [], 0, n + 1
+    if held:
+        yield from sent_rows()
 
 
 def _of_rows(rows: np.ndarray) -> np.ndarray:
@@ -419,57 +436,59 @@ def _differ(words: np.ndarray, p: np.ndarray, q: np.ndarray, length: int) -> np.
 
 
 def _merged(rows: list[tuple], length: int) -> Iterator[tuple]:
-    """Of a range: for each shard's strings, whether a smaller id elsewhere holds them. Strings are taken a share at a time, by their hash."""
-    docs, runs, places, keys, texts, begin = [], [], [], [], [], 0
+    """Of a range: for each shard's strings, whether a smaller id elsewhere holds them. Strings are sorted by their hash and compared a share at a time."""
+    docs, runs, places, texts, sizes, begin, n_runs = [], [], [], [], [], 0, 0
     for _, _, size, packed, n, text in rows:
         doc, count = _unpacked(packed, size)
         total = count + length - 1
-        at = _spread(np.cumsum(total) - total, count)
-        data = np.frombuffer(pa.decompress(text, n, codec="zstd", asbytes=True), np.uint8)
-        keys.append(hashes(data, length)[at])
+        places.append((_spread(np.cumsum(total) - total, count) + begin).astype(np.int64 if begin + n >= 1 << 31 else np.int32))
         docs.append(doc)
-        runs.append(np.repeat(np.arange(len(doc), dtype=np.int32), count))
-        places.append((at + begin).astype(np.int64 if begin + n >= 1 << 31 else np.int32))
-        texts.append(data)
-        begin += n
-    whole = np.concatenate(texts)
-    del texts
+        runs.append(np.repeat(np.arange(n_runs, n_runs + len(doc), dtype=np.int32), count))
+        sizes.append(int(count.sum()))
+        texts.append(np.frombuffer(pa.decompress(text, n, codec="zstd", asbytes=True), np.uint8))
+        begin, n_runs = begin + n, n_runs + len(doc)
+    whole, doc, run, place = np.concatenate(texts), np.concatenate(docs), np.concatenate(runs), np.concatenate(places)
+    del texts, docs, runs, places
     strings = np.lib.stride_tricks.sliding_window_view(whole, length)
     words = np.ndarray((len(whole) - 7,), np.uint64, whole.data, strides=(1,)) if length >= 8 else whole
-    later = [np.zeros(len(k), bool) for k in keys]
-    shares = -(-sum(map(len, keys)) // SHARE_STRINGS)
-    for share in range(shares):
-        own = [np.flatnonzero(k % _U(shares) == share) for k in keys]
-        own = [o[np.argsort(k[o])] for k, o in zip(keys, own, strict=True)]  # a sorted run of each shard
-        mine = [k[o] for k, o in zip(keys, own, strict=True)]
-        table = np.sort(np.concatenate(mine))
-        table = table[np.append(True, table[1:] != table[:-1])]
-        best, one, held = np.full(len(table), _LAST), np.zeros(len(table), np.int64), np.zeros(len(table), np.int32)
-        slots = [np.searchsorted(table, k) for k in mine]
-        of = [d[r[o]] for d, r, o in zip(docs, runs, own, strict=True)]
-        at = [p[o] for p, o in zip(places, own, strict=True)]
-        for d, p, slot in zip(of, at, slots, strict=True):
-            np.minimum.at(best, slot, d)
-            one[slot] = p
-            held += np.bincount(slot, minlength=len(table)).astype(np.int32)
-        odd = np.zeros(len(table), bool)  # equal hashes of different strings
-        for p, slot in zip(at, slots, strict=True):
-            met = np.flatnonzero(held[slot] > 1)
-            for s in range(0, len(met), 1 << 14):
-                m = met[s : s + (1 << 14)]
-                odd[slot[m[_differ(words, p[m], one[slot[m]], length)]]] = True
+    keys = np.empty(len(place), _U)
+    edges = np.append(np.searchsorted(place, np.arange(0, len(strings), _BLOCK)), len(place))  # places ascend
+    for k, (s, e) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+        if s < e:
+            keys[s:e] = hashes(whole[k * _BLOCK : (k + 1) * _BLOCK + length - 1], length)[place[s:e] - k * _BLOCK]
+    order = np.argsort(keys)
+    keys = keys[order]
+    later = np.zeros(len(keys), bool)
+    s = 0
+    while s < len(keys):
+        e = int(np.searchsorted(keys, keys[min(s + SHARE_STRINGS, len(keys)) - 1], "right"))  # equal hashes stay together
+        k, own = keys[s:e], order[s:e]
+        s = e
+        new = np.append(True, k[1:] != k[:-1])
+        tied = ~(new & np.append(new[1:], True))
+        own, new = own[tied], new[tied]  # a string that comes once stays
+        if not len(own):
+            continue
+        at = np.flatnonzero(new)
+        slot = np.cumsum(new) - 1
+        d, p = doc[run[own]], place[own]
+        one = p[at][slot]
+        out = d > np.minimum.reduceat(d, at)[slot]
+        odd = np.zeros(len(at), bool)  # equal hashes of different strings
+        for m in range(0, len(p), 1 << 14):
+            m = slice(m, m + (1 << 14))
+            odd[slot[m][_differ(words, p[m], one[m], length)]] = True
         exact: dict[bytes, int] = {}
-        if odd.any():
-            for d, p, slot in zip(of, at, slots, strict=True):
-                for i in np.flatnonzero(odd[slot]).tolist():
-                    key = strings[p[i]].tobytes()
-                    exact[key] = min(exact.get(key, _LAST), int(d[i]))
-        for d, p, slot, o, out in zip(of, at, slots, own, later, strict=True):
-            out[o] = d > best[slot]
-            for i in np.flatnonzero(odd[slot]).tolist():
-                out[o[i]] = int(d[i]) > exact[strings[p[i]].tobytes()]
-    for (shard, part, *_), out in zip(rows, later, strict=True):
-        yield shard, part, np.packbits(out).tobytes()
+        unclear = np.flatnonzero(odd[slot]).tolist()
+        for i in unclear:
+            key = strings[p[i]].tobytes()
+            exact[key] = min(exact.get(key, _LAST), int(d[i]))
+        for i in unclear:
+            out[i] = int(d[i]) > exact[strings[p[i]].tobytes()]
+        later[own] = out
+    ends = np.cumsum(sizes).tolist()
+    for (shard, part, *_), n, e in zip(rows, sizes, ends, strict=True):
+        yield shard, part, np.packbits(later[e - n : e]).tobytes()
 
 
 def _covered(n: int, parts: dict[int, tuple], verdicts: dict[tuple[int, int], bytes], length: int) -> np.ndarray:

@@ -91,6 +91,17 @@ def test_equal_hashes_of_different_strings():
     assert got == {9: [1, 1, 0], 3: [0, 0, 0], 5: [0, 0, 0]}
 
 
+def test_a_shard_sends_a_row_per_range():
+    """However many parts its text is sorted in: rows grow with shards and ranges only."""
+    text = "".join(random.Random(9).choices("abcdefgh", k=20_000)).encode()
+    shard = suffixes._Shard([4], [len(text)], len(text), suffixes._SHARD_CODEC.compress(text, asbytes=True), 50, 24, 40)
+    grams, _ = shard.grams()
+    every = np.packbits(np.ones(len(grams), bool)).tobytes() + np.packbits(np.zeros(len(grams), bool)).tobytes()
+    rows = list(suffixes._suspects(shard, 0, [(0, len(grams), every)], 50, 40, 40, 1 << 9))
+    assert [r[0] for r in rows] == [-1, 0, 1]
+    assert sum(r[5] for r in rows) > 20_000
+
+
 _KEEP = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (3, "u"): 2, (2, "a"): 3}
 _NEXT = {0: 2, 1: 2, 2: 3, 3: 2}
 
