@@ -49,7 +49,8 @@ AXISDATA = Provider("axisData", "code", {f: "string" for f in _AD_FIELDS}, True,
 @dataclass
 class Catalog:
     hotels: DataFrame  # hotel_ord, rec (variant), valid
-    rooms: DataFrame  # hotel_ord, room_ord, room (variant) of valid hotels
+    rooms: DataFrame  # hotel_ord, room_ord, room (variant) of valid hotels, with warnings and the members of _MEMBERS
+    found: DataFrame  # these rooms before they are checked
     issues: DataFrame  # level, hotel_ord, room_ord, message
     counted: DataFrame  # issues with first: the first error of its hotel
 
@@ -145,17 +146,29 @@ def _get(v: str, key: str) -> str:
     return f"try_variant_get({v}, '$.{key}', 'variant')"
 
 
+def _is_dict(v: str) -> str:
+    """Whether a variant is an object; only its keys are looked at."""
+    return f"try_variant_get({v}, '$', 'struct<`_`:string>') IS NOT NULL"
+
+
+def _length(v: str, kind: str) -> str:
+    """Members of a variant that is an array or a map; null for others. What members hold is passed over."""
+    inner = "struct<`_`:string>"
+    return f"cardinality(try_variant_get({v}, '$', '{'array<' if kind == 'array' else 'map<string,'}{inner}>'))"
+
+
 def _kind(v: str) -> str:
-    """The type's name as messages give it; null where the key is missing."""
+    """The type's name as messages give it; null where the key is missing. Only of scalars the schema is worked out, as it takes in all members."""
     s = f"schema_of_variant({v})"
     return (
-        f"CASE WHEN {v} IS NULL THEN NULL WHEN is_variant_null({v}) THEN 'NoneType' WHEN {s} LIKE 'ARRAY%' THEN 'list' WHEN {s} LIKE 'OBJECT%' THEN 'dict' "
-        f"WHEN {s} = 'STRING' THEN 'str' WHEN {s} = 'BOOLEAN' THEN 'bool' WHEN {s} = 'BIGINT' THEN 'int' ELSE 'float' END"
+        f"CASE WHEN {v} IS NULL THEN NULL WHEN is_variant_null({v}) THEN 'NoneType' WHEN {_is_dict(v)} THEN 'dict' WHEN {_length(v, 'array')} IS NOT NULL THEN 'list' "
+        f"ELSE CASE {s} WHEN 'STRING' THEN 'str' WHEN 'BOOLEAN' THEN 'bool' WHEN 'BIGINT' THEN 'int' ELSE 'float' END END"
     )
 
 
 def _falsy(v: str) -> str:
-    return f"({v} IS NULL OR is_variant_null({v}) OR to_json({v}) IN ('\"\"', '0', '0.0', 'false', '[]', '{{}}'))"
+    plain = f"to_json({v}) IN ('\"\"', '0', '0.0', 'false')"  # scalars only: containers are told by their size
+    return f"({v} IS NULL OR is_variant_null({v}) OR coalesce({_length(v, 'array')} = 0, {_length(v, 'map')} = 0, {plain}))"
 
 
 def _issues(conds: list[tuple[str, str]]) -> Column:
@@ -219,12 +232,17 @@ def with_room_issues(rooms: DataFrame, p: Provider) -> DataFrame:
     return settled(facts.select(*rooms.columns, F.concat("w1", "w2").alias("warnings"), (F.col("reached") & (F.size("w2") == 0)).alias("occupancy_ok")), "warnings", "occupancy_ok")
 
 
+_MEMBERS = ("coalesce(try_variant_get(rec, '$._id.oid', 'string'), '') AS hotel_id", "try_variant_get(rec, '$.placeId', 'string') AS place_id", "try_variant_get(rec, '$.hotelCode', 'string') AS hotel_code", "try_variant_get(rec, '$.name', 'string') AS hotel_name")
+
+
 def validated(recs: DataFrame, provider: Provider, strict: bool = False) -> Catalog:
     """The catalog of records (hotel_ord, rec); ``strict`` raises if any hotel has an error."""
     recs = with_hotel_issues(recs).withColumn("valid", F.size("errors") == 0)
     valid = recs.where("valid")
-    rooms = recs.sparkSession.sql("SELECT hotel_ord, CAST(pos AS BIGINT) AS room_ord, value AS room FROM {v}, LATERAL variant_explode(try_variant_get(rec, '$.rooms', 'variant'))", v=valid)
-    rooms = with_room_issues(rooms, provider)
+    members = settled(valid.selectExpr("hotel_ord", "rec", *_MEMBERS), *[m.split()[-1] for m in _MEMBERS])
+    names = ", ".join(m.split()[-1] for m in _MEMBERS)
+    found = recs.sparkSession.sql(f"SELECT hotel_ord, {names}, CAST(pos AS BIGINT) AS room_ord, value AS room FROM {{v}}, LATERAL variant_explode(try_variant_get(rec, '$.rooms', 'variant'))", v=members)
+    rooms = with_room_issues(found.select("hotel_ord", "room_ord", "room", *[m.split()[-1] for m in _MEMBERS]), provider)
     none = valid.where("try_variant_get(rec, '$.rooms[0]', 'variant') IS NULL").select(
         F.lit("warning").alias("level"), "hotel_ord", F.lit(None).cast("long").alias("room_ord"), F.expr("concat('Hotel #', hotel_ord, ' (', coalesce(try_variant_get(rec, '$.hotelCode', 'string'), 'UNKNOWN'), '): No rooms defined')").alias("message")
     )
@@ -234,7 +252,7 @@ def validated(recs: DataFrame, provider: Provider, strict: bool = False) -> Cata
     issues = errors.unionByName(warnings.withColumn("first", F.lit(False)))
     if strict and errors.limit(1).count():
         raise CatalogError("Validation failed: " + "; ".join(r["message"] for r in errors.limit(5).collect()))
-    return Catalog(recs.select("hotel_ord", "rec", "valid"), rooms, issues.drop("first"), issues)
+    return Catalog(recs.select("hotel_ord", "rec", "valid"), rooms, found, issues.drop("first"), issues)
 
 
 def load_catalog(spark: SparkSession, path: str, provider: Provider, strict: bool = False, lines: bool = False) -> Catalog:
@@ -253,9 +271,7 @@ def _text(v: str, key: str, absent: str) -> str:
 
 
 def _members(cat: Catalog) -> DataFrame:
-    return cat.hotels.where("valid").selectExpr(
-        "hotel_ord", "coalesce(try_variant_get(rec, '$._id.oid', 'string'), '') AS hotel_id", "try_variant_get(rec, '$.placeId', 'string') AS place_id", "try_variant_get(rec, '$.hotelCode', 'string') AS hotel_code", "try_variant_get(rec, '$.name', 'string') AS hotel_name"
-    )
+    return cat.hotels.where("valid").selectExpr("hotel_ord", *_MEMBERS)
 
 
 def hotel_members(cat: Catalog, p: Provider) -> DataFrame:
@@ -271,14 +287,13 @@ def flat_rooms(cat: Catalog, p: Provider, checked: bool = False) -> DataFrame:
     """
     occ = ", ".join(f"'{f}', try_variant_get(room, '$.occupancies.{f}', '{t}')" for f, t in p.ints.items())
     has = f"NOT {_falsy(_get('room', 'occupancies'))} AND {_kind(_get('room', 'occupancies'))} = 'dict'"
-    hotels = _members(cat)
-    rooms = cat.rooms.selectExpr(
-        "hotel_ord", "room_ord", f"{_text('room', 'id', _q(''))} AS room_id", f"{_text('room', p.room_code, _q(''))} AS room_code", f"{_text('room', 'name', _q('Unknown Room'))} AS name",
+    rooms = (cat.rooms if checked else cat.found).selectExpr(
+        "hotel_ord", "hotel_id", "place_id", "hotel_code", "hotel_name", "room_ord", f"{_text('room', 'id', _q(''))} AS room_id", f"{_text('room', p.room_code, _q(''))} AS room_code", f"{_text('room', 'name', _q('Unknown Room'))} AS name",
         f"{_get('room', 'description')} IS NOT NULL AS has_description", "try_variant_get(room, '$.description', 'string') AS description",
         f"{_text('room', 'codeDescription', _q(''))} AS code_description", "coalesce(CASE WHEN try_variant_get(room, '$.providers[0].code', 'variant') IS NULL THEN '' END, try_variant_get(room, '$.providers[0].code', 'string')) AS provider_code",
         f"CASE WHEN {has} THEN named_struct({occ}) END AS occupancies", *["occupancy_ok"] * checked,
     )
-    return hotels.join(settled(rooms, "occupancies"), "hotel_ord")
+    return settled(rooms, "occupancies")
 
 
 def normalized_rooms(flat: DataFrame, p: Provider) -> DataFrame:

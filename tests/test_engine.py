@@ -15,6 +15,7 @@ from innkeep.functions import occupancy, scoring, text
 from innkeep.operators import embed, enrich, fuzzy, learn, matching, summary, tiers
 from innkeep.plans import fuzzy_run
 from innkeep.plans import run as plan
+from innkeep.plans import hotel_queries
 from innkeep.sources import hotels as src
 from innkeep.sources import tables
 
@@ -354,3 +355,18 @@ def test_embedder_failure_gives_zeros(spark):
 
     df = spark.createDataFrame([("a",), ("b",)], "text_for_embedding string")
     assert all(r["embedding"] == [0.0, 0.0] for r in embed.embed(df, broken, 2).collect())
+
+
+def test_catalogs_are_read_once(spark):
+    """Rooms carry the members of their hotel: no plan meets a catalog with itself."""
+    for name in ("hotel_texts", "normalized_rooms", "normalized_textual_rooms", "extract_occupancy"):
+        plan = hotel_queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("l_linenumber#") and sum("Relation" in line for line in plan.splitlines()) == 2, name
+
+
+def test_kinds_and_emptiness_of_variants(spark):
+    texts = ['{"a":1,"b":[1,{"c":2}]}', "{}", "[]", "[1]", '[{"x":1}]', "[[]]", "null", '"s"', '""', "0", "0.0", "-1", "1.5", "1e400", "false", "true", '{"_":[]}']
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("t", "parse_json(t) AS v").selectExpr("t", f"{src._kind('v')} AS kind", f"{src._falsy('v')} AS falsy").collect()
+    kind = lambda x: type(x).__name__
+    assert {r["t"]: (r["kind"], r["falsy"]) for r in rows} == {t: (kind(json.loads(t)), not json.loads(t)) if t not in ("0.0", "1e400") else ("float", t == "0.0") for t in texts}
+    assert "to_json" not in src._kind("v") and src._kind("v").count("schema_of_variant") == 1
