@@ -11,7 +11,7 @@
    settles all others there.
 4. What is left and may lie in other shards is sent by its least gram, neighbouring strings as one passage. A range's task
    sorts the strings of all shards by their hash, once; where hashes are equal, the bytes are compared. Strings around a gram
-   that very many shards hold are dealt by themselves, so that no range holds them all.
+   that very many shards hold are dealt by a second gram too, the least by another hash, so that no range holds them all.
 5. Verdicts return to the shards, which cut the covered bytes.
 
 A string that is repeated thousands of times is sent once per shard. No task holds more than a shard, or a range of
@@ -42,7 +42,7 @@ PART_BYTES = 1 << 19
 RANGE_BYTES = 1 << 24
 #: Stretches of a shard that are sent together, about.
 HELD_STRETCHES = 1 << 19
-#: Shards that hold a gram before the strings around it are dealt by themselves.
+#: Shards that hold a gram before the strings around it are dealt by a second gram too.
 HOT_SHARDS = 64
 #: Texts with whole copies whose digests (a row each) are broadcast; more of them are joined.
 BROADCAST_ROWS = 100_000
@@ -238,7 +238,7 @@ class _Shard:
     """A shard's text with its runs of strings and their least grams."""
 
     def __init__(self, ids: list, sizes: list[int], raw: int, data: bytes, length: int, gram: int, bits: int):
-        self.ids = ids
+        self.ids, self.width = ids, gram
         self.order = np.array([_LAST if i is None else i for i in ids], np.int64)
         self.sizes = np.array(sizes, np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
@@ -400,13 +400,13 @@ def _suspects(s: _Shard, shard: int, masks: list[tuple], length: int, bits: int,
         gone = _stretches(places[settled])
         sent = ~settled & there[run]
         places, run = places[sent], run[sent]
-        breaks = run_at[places] | hot[run]
+        spot, twice = s.gram[run], hot[run]
+        if twice.any():  # strings around a gram that very many shards hold go by a second gram too
+            spot[twice] = _second(s, places[twice], spot[twice], length, bits)
+        breaks = run_at[places] | (twice & np.append(True, spot[1:] != spot[:-1]))
         first, count = _stretches(places, breaks)
-        run = run[np.searchsorted(places, first)]
-        spot = s.gram[run].copy()
-        single = hot[run]
-        if single.any():  # strings around a gram that very many shards hold go by themselves, by their own hash
-            spot[single] = _of_rows(s.data[first[single][:, None] + np.arange(length)]) >> _U(64 - bits)
+        at = np.searchsorted(places, first)
+        run, spot = run[at], spot[at]
         to = (spot >> _U(max(0, shift - 1))).astype(np.int64)  # passages are longer than grams, so their ranges are finer
         held.append((*gone, first, count, run, to))
         size += len(gone[0]) + len(first)
@@ -417,13 +417,14 @@ def _suspects(s: _Shard, shard: int, masks: list[tuple], length: int, bits: int,
         yield from sent_rows()
 
 
-def _of_rows(rows: np.ndarray) -> np.ndarray:
-    """Hashes of equally long strings, a row each."""
-    h = np.zeros(len(rows), _U)
-    for c in rows.T:
-        h = h * _U(_MULT) + c + _U(1)
-    h = (h ^ (h >> _U(32))) * _MIX
-    return h ^ (h >> _U(29))
+def _second(s: _Shard, places: np.ndarray, spot: np.ndarray, length: int, bits: int) -> np.ndarray:
+    """Hashes of strings' least grams with their least grams by another hash: alike strings mostly stay together."""
+    first, count = _stretches(places)
+    total = count + length - 1
+    h = hashes(s.data[_spread(first, total)], s.width)
+    low = _least((h ^ (h >> _U(31))) * _U(_MULT), length - s.width + 1)[_spread(np.cumsum(total) - total, count)]
+    low = (low ^ spot) * _MIX
+    return ((low ^ (low >> _U(29))) * _U(_MULT)) >> _U(64 - bits)
 
 
 def _differ(words: np.ndarray, p: np.ndarray, q: np.ndarray, length: int) -> np.ndarray:
