@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from innkeep.functions import occupancy, scoring, text
 from innkeep.functions.scoring import Penalties
 from innkeep.operators import enrich, fuzzy, learn, matching, summary, tiers
+from innkeep.operators.dealt import dealt_join
 from innkeep.sources.tables import table
 
 T = 0.15
@@ -207,11 +208,18 @@ def word_clusters(spark, d):
     return learn.word_clusters(_words(spark, d), similarity=0.5).select("leader", F.array_join("words", ",").alias("words"))
 
 
+#: Keys of a list of parts span less than this, so that no list is longer.
+_KEY_SPAN = 1 << 20
+
+
 def jaccard_score(spark, d):
+    """All pairs of parts of a size. A part meets lists of the parts of one name: scores are worked out once a list, not once a pair."""
     p = table(spark, d, "part").select("p_partkey", "p_size", F.split(F.lower("p_name"), " ").alias("w"))
-    q = p.select(F.col("p_partkey").alias("q_partkey"), F.col("p_size").alias("q_size"), F.col("w").alias("v"))
-    pairs = p.join(q, (p["p_size"] == q["q_size"]) & (p["p_partkey"] < q["q_partkey"]))
-    return pairs.select("p_partkey", "q_partkey", F.round(scoring.jaccard(F.col("w"), F.col("v")), 6).alias("jaccard"), F.round(scoring.numeric_match(F.slice("w", 1, 1), F.slice("v", 1, 2)), 6).alias("shared"))
+    span = F.floor(F.col("p_partkey") / _KEY_SPAN).alias("span")
+    q = p.where("p_partkey is not null").groupBy(F.col("p_size").alias("q_size"), F.col("w").alias("v"), span).agg(F.collect_list("p_partkey").alias("keys"), F.max("p_partkey").alias("last")).drop("span")
+    met = dealt_join(p, q, ("p_size", "q_size"), (F.col("p_partkey"), F.col("keys")), F.col("p_partkey") < F.col("last"))
+    scored = met.select("p_partkey", "keys", F.round(scoring.jaccard(F.col("w"), F.col("v")), 6).alias("jaccard"), F.round(scoring.numeric_match(F.slice("w", 1, 1), F.slice("v", 1, 2)), 6).alias("shared"))
+    return scored.select("p_partkey", F.explode("keys").alias("q_partkey"), "jaccard", "shared").where("p_partkey < q_partkey")
 
 
 def _parts(spark, d):
