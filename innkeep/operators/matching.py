@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from innkeep.functions import scoring
 from innkeep.functions.columns import settled
 from innkeep.operators import similar
+from innkeep.operators.dealt import dealt_join
 from innkeep.operators.positions import with_places
 from innkeep.sources import shared
 
@@ -33,11 +34,14 @@ BUCKET_ROOMS = 4096
 
 
 def hotel_pairs(hb: DataFrame, ad: DataFrame, key: str = "place_id", null_safe: bool = False) -> DataFrame:
-    """Inner equi-join on the key: every hb hotel with every ad hotel of the place. Other columns get the prefixes hb_ and ad_."""
+    """Inner equi-join on the key: every hb hotel with every ad hotel of the place. Other columns get the prefixes hb_ and ad_.
+
+    The pairs of a place are quadratic in it, so they are dealt over tasks.
+    """
     left = hb.select(F.col(key).alias("hb_key"), *[F.col(c).alias(f"hb_{c}") for c in hb.columns if c != key])
     right = ad.select(F.col(key).alias("ad_key"), *[F.col(c).alias(f"ad_{c}") for c in ad.columns if c != key])
-    on = F.col("hb_key").eqNullSafe(F.col("ad_key")) if null_safe else F.col("hb_key") == F.col("ad_key")
-    return left.join(right, on).drop("ad_key").withColumnRenamed("hb_key", key)
+    by = tuple(F.struct(*df.columns) for df in (left, right))
+    return dealt_join(left, right, ("hb_key", "ad_key"), by, null_safe=null_safe).drop("ad_key").withColumnRenamed("hb_key", key)
 
 
 def unmatched_hotels(hotels: DataFrame, others: DataFrame, key: str = "place_id") -> DataFrame:

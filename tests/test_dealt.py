@@ -5,7 +5,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from innkeep.operators import dealt
+from innkeep.operators import dealt, matching
 from innkeep.plans import catalog
 
 
@@ -14,6 +14,21 @@ def _tasks(df):
     return sorted(Counter(r[0] for r in df.select(F.spark_partition_id()).collect()).values(), reverse=True)
 
 
+def test_pairs_of_one_place_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(dealt, "CELL_ROWS", 16)
+    rng = random.Random(3)
+    hb = [(rng.choice([1, 1, 1, 1, 2, None]), i) for i in range(200)]
+    ad = [(rng.choice([1, 1, 1, 3, None]), i) for i in range(120)]
+    x, y = spark.createDataFrame(hb, "place_id int, c long").coalesce(1), spark.createDataFrame(ad, "place_id int, s long").coalesce(1)
+    for safe in (False, True):
+        got = matching.hotel_pairs(x, y, null_safe=safe)
+        assert got.columns == ["place_id", "hb_c", "ad_s"]
+        assert Counter((r[0], r[1], r[2]) for r in got.collect()) == Counter((a, i, j) for a, i in hb for b, j in ad if a == b and (safe or a is not None))
+        rows = _tasks(got)
+        assert rows[0] < sum(rows) / 3  # it was one task
+    assert matching.hotel_pairs(x.where("1 = 0"), y).count() == 0
+
+
 def test_scores_of_one_size_are_dealt(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(dealt, "CELL_ROWS", 16)
     monkeypatch.setattr(catalog, "_KEY_SPAN", 100)
