@@ -10,6 +10,9 @@ in one pass, in their order, and are done. Those of a large block are dealt by o
 same time, each in one pass that knows what earlier buckets hold so far; the smallest ordinals win, and buckets that lost
 rooms propose again. After round k the first k buckets are final, so there are as many rounds as buckets at most. A pass
 keeps only the places taken in its block.
+
+Lists of all candidates would be quadratic in a block. Rooms of vectors choose in one pass where they meet, block by block; in
+large blocks they propose from short lists, in phases.
 """
 
 from __future__ import annotations
@@ -31,6 +34,10 @@ ST_THRESHOLD = 0.75
 GM_THRESHOLD = 0.90
 #: Rooms of a bucket; blocks with more rooms are large.
 BUCKET_ROOMS = 4096
+#: Rooms of a side up to which a block chooses in one pass, 256 rooms against all places at a time.
+ONE_PASS_ROOMS = 12_288
+#: Candidates that a room of a large block proposes to in a phase.
+LIST_ROOMS = 64
 
 
 def hotel_pairs(hb: DataFrame, ad: DataFrame, key: str = "place_id", null_safe: bool = False) -> DataFrame:
@@ -158,25 +165,77 @@ def _large(rooms: DataFrame, block: str) -> DataFrame:
     return rooms.groupBy(F.col(block).alias("block")).agg(F.count("*").alias("n")).where(F.col("n") > BUCKET_ROOMS)
 
 
-def _even(hb: DataFrame, ad: DataFrame, block: str) -> bool:
-    """Whether no block is large in any way: one job in place of several."""
-    return similar.large_blocks(similar.block_sizes(hb, ad, block), BUCKET_ROOMS).isEmpty()
+def _many(hb: DataFrame, ad: DataFrame, block: str) -> DataFrame:
+    """b_: blocks that are too large for one pass."""
+    return similar.block_sizes(hb, ad, block).where(F.greatest("n_", "m_") > ONE_PASS_ROOMS)
+
+
+def _cells(active: DataFrame, places: DataFrame, held: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Rooms dealt into parts of at most about BUCKET_ROOMS, and the places for each part, with who holds them."""
+    parts = active.groupBy("block").agg(F.ceil(F.count("*") / BUCKET_ROOMS).cast("int").alias("parts"))
+    if held is not None:
+        places = places.join(held.select("block", F.col("ad_ord").alias("ord"), F.col("hb_ord").alias("by")), ["block", "ord"], "left")
+    else:
+        places = places.withColumn("by", F.lit(None).cast("long"))
+    dealt = active.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("ord"), "parts").cast("int")).drop("parts")
+    return dealt, places.join(parts, "block").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+
+
+def _in_phases(rooms: DataFrame, places: DataFrame, threshold: float, facts: tuple[str, ...], adjust: similar.Adjust | None) -> DataFrame:
+    """Assignment in large blocks from lists of LIST_ROOMS candidates. rooms, places: block, ord, vec and facts.
+
+    A room whose list is used up, though it has more candidates, waits. In the next phase it gets a list of the best places that no earlier
+    room holds: what is held only passes to earlier rooms, so refusals stay, and no list of all candidates is needed. All propose again from their lists.
+    """
+    rooms, places = shared.cut(rooms, "rooms"), shared.cut(places, "seats")
+    key = ["block", "hb_ord"]
+    active, held, flags, lists = rooms, None, None, None
+    while True:
+        found = similar.best(*_cells(active, places, held), LIST_ROOMS, threshold, facts, adjust)
+        lists = shared.cut(found if lists is None else found.unionByName(lists.join(active.select("block", F.col("ord").alias("hb_ord")), key, "left_anti")), "lists")
+        flags = lists if flags is None else flags
+        proposals = lists.select(*key, "ords", "sims", "adjs", F.array().cast("array<bigint>").alias("failed"), F.lit(False).alias("below"))
+        got = shared.cut(_assigned(proposals, "block", _large(lists, "block")), "got")
+        held = got.where("ad_ord is not null").drop("reason")
+        waiting = got.where("ad_ord is null").join(lists.where("more").select(*key), key).select("block", F.col("hb_ord").alias("ord"))
+        active = shared.cut(rooms.join(waiting, ["block", "ord"], "left_semi"), "waiting")
+        if active.isEmpty():
+            break
+    left = shared.cut(flags.join(held.select(*key), key, "left_anti").select(*key, "near", "failed", "unknown"), "left")
+    failed = left.where("failed").select(*key)
+    if adjust is not None:  # whether a place that failed is open, now that all is settled
+        again = rooms.join(failed.withColumnRenamed("hb_ord", "ord"), ["block", "ord"], "left_semi")
+        failed = similar.best(*_cells(again, places, held), 1, threshold, facts, adjust).where("failed").select(*key)
+    reason = F.when(F.col("open"), "failed_validation_checks").when(F.col("near") | F.col("unknown"), "no_match_found").otherwise("below_threshold")
+    none = left.join(failed.withColumn("open", F.lit(True)), key, "left")
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("ad_ord", "long"), ("sim", "double"), ("adjusted", "double"))]
+    return held.withColumn("reason", F.lit(None).cast("string")).unionByName(none.select(*key, *nothing, reason.alias("reason")))
+
+
+def _matched(hb: DataFrame, ad: DataFrame, block: str, vec: str, threshold: float, facts: tuple[str, ...] = (), adjust: similar.Adjust | None = None) -> DataFrame:
+    """Greedy assignment without lists of all candidates: in one pass, or in phases in large blocks."""
+    if _many(hb, ad, block).isEmpty():
+        return similar.chosen(hb, ad, block, vec, threshold, facts, adjust).withColumnRenamed("block", block)
+    with shared.scratch(hb.sparkSession) as own:
+        hot = shared.cut(_many(hb, ad, block).select(F.col("b_").alias("l_")), "large-blocks")
+        of = lambda df, how: df.join(hot, F.col(block) == F.col("l_"), how)
+        large = [of(df, "left_semi").select(F.col(block).alias("block"), F.col("ord").cast("long").alias("ord"), F.col(vec).alias("vec"), *facts) for df in (hb, ad)]
+        small = similar.chosen(of(hb, "left_anti"), of(ad, "left_anti"), block, vec, threshold, facts, adjust)
+        found = own.keep(small.unionByName(_in_phases(*large, threshold, facts, adjust)), "assigned")
+    return found.withColumnRenamed("block", block)
 
 
 def match_rooms(hb: DataFrame, ad: DataFrame, block: str, vec: str, threshold: float = ST_THRESHOLD) -> DataFrame:
     """Greedy assignment by plain similarity. Null similarity is no candidate; with one of them, a room's best one counts as unknown."""
-    even = _even(hb, ad, block)
-    return _assigned(_ranked(similar.candidates(hb, ad, block, vec, threshold, even=even), block, threshold), block, None if even else _large(hb, block))
+    return _matched(hb, ad, block, vec, threshold)
 
 
 def match_rooms_validated(hb: DataFrame, ad: DataFrame, block: str, vec: str, threshold: float = GM_THRESHOLD, penalties: scoring.Penalties = scoring.Penalties(), text: str = "text", occ: str = "occupancy") -> DataFrame:
     """Greedy assignment by similarity less penalties for bedrooms, occupancy and room type."""
-    facts = ("_bedrooms", "_type", occ)
-    hb, ad = (df.withColumn("_bedrooms", scoring.bedrooms(F.col(text))).withColumn("_type", scoring.room_type(F.col(text))) for df in (hb, ad))
-    even = _even(hb, ad, block)
-    met = similar.candidates(hb, ad, block, vec, threshold, facts, even)
-    adjusted = lambda m: scoring.penalized_facts(m["sim"], tuple(F.col(c) for c in facts), tuple(m[c] for c in facts), penalties)["adjusted"]
-    return _assigned(_ranked(met, block, threshold, adjusted), block, None if even else _large(hb, block))
+    facts = scoring.fact_numbers(F.col(text), F.col(occ))
+    hb, ad = (df.select(block, "ord", vec, *[c.alias(f"_{n}") for n, c in facts.items()]) for df in (hb, ad))
+    bare = lambda x: {n[1:]: v for n, v in x.items()}
+    return _matched(hb, ad, block, vec, threshold, tuple(f"_{n}" for n in facts), lambda sim, a, b: scoring.adjusted_arrays(sim, bare(a), bare(b), penalties))
 
 
 def unmatched_rooms(hb: DataFrame, ad: DataFrame, assigned: DataFrame, block: str) -> DataFrame:

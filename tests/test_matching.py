@@ -67,3 +67,38 @@ def test_no_rooms(spark):
     none = df.where("1 = 0")
     for hb, ad in ((df, none), (none, df), (none, none)):
         assert matching.match_rooms(hb, ad, "b", "v").count() == 0
+
+
+TEXTS = ["one bedroom apartment", "2 bedroom suite", "studio apartment", "studio", "double room", "hall", None]
+
+
+@pytest.mark.parametrize("seed,bucket,tile,few", [(0, 4096, 4096, 32), (1, 4096, 4096, 32), (2, 3, 2, 2), (3, 5, 4, 1)])
+def test_no_list_of_all_candidates(spark, monkeypatch, seed, bucket, tile, few):
+    """Penalized rooms against the loop, in one pass and in phases of short lists."""
+    rng = random.Random(seed)
+    fact = lambda: (rng.choice(TEXTS), rng.choice([None, (rng.choice([None, 1, 2, 4]), rng.choice([1, 2, 3]), rng.choice([None, 0, 3]))]))
+    hb, ad = ([(b, o, x, *fact()) for b, o, x in rooms(rng, 4, n, 6)] for n in (17, 12))
+    kind = "b long, ord long, v array<double>, text string, occupancy struct<max_occupancy:int,max_adults:int,max_children:int>"
+    one, two = spark.createDataFrame(hb, kind), spark.createDataFrame(ad, kind)
+    met = one.alias("x").join(two.alias("y"), "b").select("b", F.col("x.ord").alias("i"), F.col("y.ord").alias("j"), scoring.penalized(F.lit(1.0), F.col("x.text"), F.col("y.text"), F.col("x.occupancy"), F.col("y.occupancy"))["adjusted"].alias("f"))
+    factor = {(r["b"], r["i"], r["j"]): r["f"] for r in met.collect()}
+    pairs = [(b, o, p, s, None if s is None else s * factor[b, o, p]) for b, o, x, *_ in hb for c, p, y, *_ in ad if b == c for s in [similarity(x, y)]]
+    monkeypatch.setattr(matching, "BUCKET_ROOMS", bucket)
+    monkeypatch.setattr(matching, "LIST_ROOMS", few)
+    monkeypatch.setattr(matching, "ONE_PASS_ROOMS", bucket)
+    monkeypatch.setattr(similar, "TILE", tile)
+    monkeypatch.setattr(similar, "candidates", None)  # these were lists of all candidates
+    got = matching.match_rooms_validated(one, two, "b", "v", 0.6).collect()
+    assert sorted(((r["b"], r["hb_ord"], r["ad_ord"], r["reason"]) for r in got), key=str) == greedy(pairs, 0.6)
+    assert {r["reason"] for r in got} >= {None, "failed_validation_checks"}
+
+
+def test_adjusted_arrays_equal_the_expression(spark):
+    rng = random.Random(5)
+    fact = lambda: (rng.choice(TEXTS), rng.choice([None, (rng.choice([None, 1, 2, 4]), rng.choice([1, 2, 3]), rng.choice([None, 0, 3]))]))
+    kind = "s double, x string, a struct<max_occupancy:int,max_adults:int,max_children:int>, y string, b struct<max_occupancy:int,max_adults:int,max_children:int>"
+    df = spark.createDataFrame([(rng.random(), *fact(), *fact()) for _ in range(400)], kind)
+    sides = [scoring.fact_numbers(F.col(t), F.col(o)) for t, o in (("x", "a"), ("y", "b"))]
+    r = df.select("s", scoring.penalized(F.col("s"), F.col("x"), F.col("y"), F.col("a"), F.col("b"))["adjusted"].alias("want"), *[c.alias(f"{k}{n}") for k, f in enumerate(sides) for n, c in f.items()]).toPandas()
+    a, b = ({n: r[f"{k}{n}"].to_numpy(float) for n in sides[0]} for k in (0, 1))
+    assert (scoring.adjusted_arrays(r["s"].to_numpy(), a, b) == r["want"].to_numpy()).all()
