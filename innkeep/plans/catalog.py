@@ -134,10 +134,16 @@ def penalized_match(spark, d):
     return _gm(spark, d)[2].select("label", "hb_ord", "ad_ord", F.round("sim", 6).alias("sim"), F.round("adjusted", 6).alias("adjusted"), "reason")
 
 
+def penalized_pairs(spark, d):
+    """label, hb_ord, ad_ord, p of the pairs above T. Texts are looked at once a room, not once a pair."""
+    hb, ad = (_described(x).withColumn("bedrooms", scoring.bedrooms(F.col("text"))).withColumn("kind", scoring.room_type(F.col("text"))) for x in _sides(spark, d))
+    facts = ("bedrooms", "kind", "occupancy")
+    p = matching.room_pairs(hb, ad, "label", "embedding", facts, T)
+    return p.select("label", "hb_ord", "ad_ord", scoring.penalized_facts(F.col("sim"), *[tuple(F.col(f"{side}_{c}") for c in facts) for side in ("hb", "ad")]).alias("p"))
+
+
 def penalty_flags(spark, d):
-    hb, ad = (_described(x) for x in _sides(spark, d))
-    p = matching.room_pairs(hb, ad, "label", "embedding", ("text", "occupancy"), T)
-    p = p.select("label", "hb_ord", "ad_ord", scoring.penalized(F.col("sim"), F.col("hb_text"), F.col("ad_text"), F.col("hb_occupancy"), F.col("ad_occupancy")).alias("p"))
+    p = penalized_pairs(spark, d)
     return p.select("label", "hb_ord", "ad_ord", F.round("p.adjusted", 6).alias("adjusted"), "p.flags.bedroom_match", "p.flags.room_type_match", "p.flags.occupancy_match", F.array_join("p.flags.penalties_applied", "; ").alias("penalties"))
 
 
