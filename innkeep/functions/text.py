@@ -22,6 +22,7 @@ KEY_TERM_STOP_WORDS = [
 #: The number words zero to twelve, in order.
 NUMBER_WORDS = ["zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve"]
 
+_OTHER = r"[^\x00-\x7F]+"
 _SPACE = r"(?U)[\s\x1c-\x1f]+"
 
 
@@ -34,8 +35,15 @@ def _strip_marks(text: pd.Series) -> pd.Series:
 
 
 def normalize_unicode(c: Column) -> Column:
-    """Compatibility decomposition without combining marks."""
-    return _strip_marks(F.coalesce(c, F.lit("")))
+    """Compatibility decomposition without combining marks.
+
+    ASCII characters stay and part what they stand between, so only the runs of others go to Python, joined by line feeds.
+    """
+    c = F.coalesce(c, F.lit(""))
+    runs = F.array_join(F.regexp_extract_all(c, F.lit(_OTHER), F.lit(0)), "\n")
+    plain = _strip_marks(F.when(F.length(c) != F.octet_length(c), runs))
+    whole = F.zip_with(F.split(c, _OTHER, -1), F.concat(F.split(plain, "\n", -1), F.array(F.lit(""))), lambda a, b: F.concat(a, b))
+    return F.coalesce(F.array_join(whole, ""), c)
 
 
 def normalize_whitespace(c: Column) -> Column:

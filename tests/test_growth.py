@@ -1,5 +1,10 @@
-"""What must not grow with the input."""
+"""What must not grow with the input: texts sent to Python, rows sorted for a count, work per pair."""
 
+import unicodedata
+
+from pyspark.sql import functions as F
+
+from innkeep.functions import text
 from innkeep.plans import catalog
 
 
@@ -12,3 +17,19 @@ def test_texts_are_looked_at_once_a_room(spark):
     plan = _plan(catalog.penalty_flags(spark, "/root/testdata/sf0.001"))
     above = plan[: plan.index("MapInArrow")]
     assert "RLIKE" not in above and "bedroom\\s" not in above and "regexp_extract" not in above
+
+
+def test_only_other_characters_go_to_python(spark):
+    texts = ["", None, "plain\n text", "é", "aẹ́x", "́ starts", "ﬁn\nÅngström\n", "한국 \U0001d11e 漢字", "ẋ̣éy", "½ ① ™ z", "\nä\n\nö"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    want = {i: "".join(c for c in unicodedata.normalize("NFKD", t or "") if unicodedata.category(c) != "Mn") for i, t in enumerate(texts)}
+    assert {r[0]: r[1] for r in df.select("i", text.normalize_unicode(F.col("t"))).collect()} == want
+    long = spark.createDataFrame([("a" * 5000 + "é" + "b" * 5000,)], "t string")
+    sent = []
+    kept = text._strip_marks
+    try:
+        text._strip_marks = lambda c: sent.append(c) or kept(c)
+        text.normalize_unicode(F.col("t"))
+    finally:
+        text._strip_marks = kept
+    assert long.select(F.length(sent[0])).first()[0] == 1  # it was the whole text
