@@ -42,9 +42,13 @@ def type_categories(rooms: DataFrame) -> DataFrame:
 
 
 def _first_seen(rooms: DataFrame, text_col: str, stop_words: Iterable[str]) -> DataFrame:
-    """token, n and where it first occurs (room, place)."""
+    """token, n and where it first occurs: room and place as one number.
+
+    A least struct would have all occurrences sorted in memory; numbers are added up in a map of the tokens.
+    """
     words = text.counted_tokens(text.number_words(F.col(text_col)), stop_words)
-    return rooms.select("ord", F.posexplode(words).alias("pos", "token")).groupBy("token").agg(F.count("*").alias("n"), F.min(F.struct("ord", "pos")).alias("first"))
+    at = F.coalesce(F.col("ord"), F.lit(-(1 << 63))).cast("decimal(19,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("pos").cast("decimal(10,0)")
+    return rooms.select("ord", F.posexplode(words).alias("pos", "token")).groupBy("token").agg(F.count("*").alias("n"), F.min(at).alias("first"))
 
 
 def top_tokens(rooms: DataFrame, k: int, text_col: str = "text", stop_words: Iterable[str] = ()) -> DataFrame:

@@ -5,6 +5,7 @@ import unicodedata
 from pyspark.sql import functions as F
 
 from innkeep.functions import text
+from innkeep.operators import learn
 from innkeep.plans import catalog
 
 
@@ -33,3 +34,10 @@ def test_only_other_characters_go_to_python(spark):
     finally:
         text._strip_marks = kept
     assert long.select(F.length(sent[0])).first()[0] == 1  # it was the whole text
+
+
+def test_first_places_need_no_sort(spark):
+    rooms = spark.createDataFrame([(5, "bbb aaa"), (-3, "zzz bbb bbb"), (1, "aaa zzz")], "ord long, text string")
+    found = learn.top_tokens(rooms, 10)
+    assert [tuple(r) for r in found.orderBy("place").collect()] == [("bbb", 3, 0), ("zzz", 2, 1), ("aaa", 2, 2)]
+    assert "SortAggregate" not in _plan(learn._first_seen(rooms, "text", ()))
