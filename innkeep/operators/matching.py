@@ -34,8 +34,8 @@ ST_THRESHOLD = 0.75
 GM_THRESHOLD = 0.90
 #: Rooms of a bucket; blocks with more rooms are large.
 BUCKET_ROOMS = 4096
-#: Rooms of a side up to which a block chooses in one pass, 256 rooms against all places at a time.
-ONE_PASS_ROOMS = 12_288
+#: Rooms of a side up to which a block chooses in one pass, some rooms against all places at a time.
+ONE_PASS_ROOMS = 40_960
 #: Candidates that a room of a large block proposes to in a phase.
 LIST_ROOMS = 64
 

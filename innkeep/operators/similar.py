@@ -24,6 +24,8 @@ TILE = 4096
 CELL_PAIRS = 1 << 26
 #: Rows of a batch that meet a tile at once.
 _ROWS = 256
+#: Pairs that are looked at together where rooms choose: fewer rows meet more places.
+_AT_ONCE = 1 << 21
 _MARGIN = 1e-9
 
 
@@ -48,7 +50,7 @@ def _numbers(col: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 
 def _wide(x: np.ndarray, width: int) -> np.ndarray:
-    return np.pad(x, ((0, 0), (0, width - x.shape[1])))
+    return x if x.shape[1] == width else np.pad(x, ((0, 0), (0, width - x.shape[1])))
 
 
 class _Tile:
@@ -187,47 +189,86 @@ def _order(i: np.ndarray, adj: np.ndarray, sim: np.ndarray, ords: np.ndarray) ->
     return np.lexsort((ords, -sim, -adj, i))
 
 
+class _Seats:
+    """Places of a block, and which of them are taken. Only pairs that may decide a room's choice are worked out exactly."""
+
+    def __init__(self, tile: _Tile, threshold: float, facts: tuple[str, ...], adjust: Adjust | None):
+        self.tile, self.threshold, self.facts, self.adjust = tile, threshold, facts, adjust
+        self.names, self.place = np.unique(tile.ords, return_inverse=True)
+        self.columns = np.argsort(self.place, kind="stable")
+        self.starts = np.searchsorted(self.place[self.columns], np.arange(len(self.names) + 1))
+        self.free = np.ones(tile.n, bool)
+
+    def _adjusted(self, sim: np.ndarray, rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        return self.adjust(sim, {c: rows[c][i] for c in self.facts}, {c: self.tile.facts[c][j] for c in self.facts}) if self.adjust else sim
+
+    def taken(self, batch: pa.RecordBatch) -> list[tuple]:
+        """(ord, similarity, adjusted one, reason) of each row's choice, a row after the other."""
+        x, size, norm = _vectors(batch.column("vec"))
+        facts = {c: _numbers(batch.column(c)) for c in self.facts}
+        known, about = self.tile.screened(x, size, norm)
+        reach = known & (about >= self.threshold - _MARGIN)
+        worth = np.full(about.shape, -np.inf)
+        i, j = np.nonzero(reach & self.free)
+        rough = self._adjusted(about[i, j], facts, i, j)
+        fine = rough >= self.threshold - 2 * _MARGIN
+        worth[i[fine], j[fine]] = rough[fine]
+
+        def exact(r: int, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            i = np.full(len(j), r)
+            sim = self.tile.exact(x, norm, i, j)
+            return sim, self._adjusted(sim, facts, i, j)
+
+        out = []
+        for r in range(len(worth)):
+            row, hit = worth[r], None
+            while hit is None and (top := row.max()) > -np.inf:
+                j = np.flatnonzero(row >= top - 2 * _MARGIN)
+                sim, adj = exact(r, j)
+                good = np.flatnonzero((sim >= self.threshold) & (adj >= self.threshold))
+                if len(good):
+                    k = good[np.lexsort((self.tile.ords[j[good]], -sim[good], -adj[good]))[0]]
+                    hit = int(self.place[j[k]])
+                    out.append((int(self.names[hit]), float(sim[k]), float(adj[k]), None))
+                    gone = self.columns[self.starts[hit] : self.starts[hit + 1]]
+                    self.free[gone] = False
+                    worth[r:, gone] = -np.inf
+                row[j] = -np.inf
+            if hit is None:
+                out.append((None, None, None, self._reason(r, reach[r], about[r], known[r], exact)))
+        return out
+
+    def _reason(self, r: int, reach: np.ndarray, about: np.ndarray, known: np.ndarray, exact: Callable) -> str:
+        if self.adjust and len(j := np.flatnonzero(reach & self.free)):
+            sim, adj = exact(r, j)
+            if ((sim >= self.threshold) & ~(adj >= self.threshold)).any():
+                return "failed_validation_checks"
+        if not known.all() or (reach & (about > self.threshold + _MARGIN)).any():
+            return "no_match_found"
+        return "no_match_found" if (exact(r, np.flatnonzero(reach))[0] >= self.threshold).any() else "below_threshold"
+
+
 def chosen(hb: DataFrame, ad: DataFrame, block: str, vec: str, threshold: float, facts: tuple[str, ...] = (), adjust: Adjust | None = None) -> DataFrame:
     """block, hb_ord, ad_ord, sim, adjusted, reason: the greedy assignment in blocks of one cell, made where the rooms meet."""
     cols = ["ord", "vec", *facts]
     hb, ad = (df.where(F.col(block).isNotNull()).select(F.col(block).alias("block"), F.col("ord").cast("long").alias("ord"), F.col(vec).alias("vec"), *facts) for df in (hb, ad))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, held, tile, used, place = None, [], None, None, None
+        cell, held, seats = None, [], None
         for now, first, run in _runs(batches, ["block"]):
             if now != cell:
-                cell, held, tile = now, [], None
+                cell, held, seats = now, [], None
             if not first:
                 held.append(run)
                 continue
-            if not held:
+            if seats is None and not held:
                 continue  # the other side lacks the block
-            if tile is None:
-                tile = _Tile(held, list(facts))
-                names, place = np.unique(tile.ords, return_inverse=True)
-                used = np.zeros(len(names), bool)
-            for o in range(0, run.num_rows, _ROWS):
-                rows = run.slice(o, _ROWS)
-                i, j, sim, unknown = tile.met(*_vectors(rows.column("vec")), threshold)
-                adj = adjust(sim, {c: _numbers(rows.column(c))[i] for c in facts}, {c: tile.facts[c][j] for c in facts}) if adjust else sim
-                near = np.bincount(i, minlength=rows.num_rows) > 0
-                good = adj >= threshold
-                fi, fp = i[~good], place[j[~good]]
-                i, j, sim, adj = i[good], j[good], sim[good], adj[good]
-                order = _order(i, adj, sim, tile.ords[j])
-                i, p, sim, adj = i[order], place[j[order]], sim[order], adj[order]
-                at, fat = np.searchsorted(i, np.arange(rows.num_rows + 1)), np.searchsorted(fi, np.arange(rows.num_rows + 1))
-                out = []
-                for r in range(rows.num_rows):
-                    free = ~used[p[at[r] : at[r + 1]]]
-                    if free.any():
-                        k = at[r] + int(free.argmax())
-                        used[p[k]] = True
-                        out.append((int(names[p[k]]), float(sim[k]), float(adj[k]), None))
-                    elif not used[fp[fat[r] : fat[r + 1]]].all():
-                        out.append((None, None, None, "failed_validation_checks"))
-                    else:
-                        out.append((None, None, None, "no_match_found" if near[r] or unknown[r] else "below_threshold"))
+            if seats is None:
+                seats, held = _Seats(_Tile(held, list(facts)), threshold, facts, adjust), []
+            step = max(1, min(_ROWS, _AT_ONCE // seats.tile.n))
+            for o in range(0, run.num_rows, step):
+                rows = run.slice(o, step)
+                out = seats.taken(rows)
                 kinds = [pa.int64(), pa.float64(), pa.float64(), pa.string()]
                 yield pa.RecordBatch.from_arrays([rows.column("block"), rows.column("ord"), *[pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]], ["block", "hb_ord", "ad_ord", "sim", "adjusted", "reason"])
 
