@@ -171,10 +171,36 @@ def _falsy(v: str) -> str:
     return f"({v} IS NULL OR is_variant_null({v}) OR coalesce({_length(v, 'array')} = 0, {_length(v, 'map')} = 0, {plain}))"
 
 
+def _struct(v: str, keys: dict[str, str]) -> str:
+    """Members of a variant by their names (key: type), from one pass over it; null unless it is an object."""
+    return f"try_variant_get({v}, '$', 'struct<{', '.join(f'`{k}`:{t}' for k, t in keys.items())}>')"
+
+
+def _kind_by(s: str) -> str:
+    """:func:`_kind` of a small member, from its schema (a column)."""
+    return (
+        f"CASE WHEN {s} IS NULL THEN NULL WHEN {s} = 'STRING' THEN 'str' WHEN {s} = 'BIGINT' THEN 'int' WHEN {s} = 'BOOLEAN' THEN 'bool' WHEN {s} = 'VOID' THEN 'NoneType' "
+        f"WHEN startswith({s}, 'OBJECT<') THEN 'dict' WHEN startswith({s}, 'ARRAY<') THEN 'list' ELSE 'float' END"
+    )
+
+
+def _falsy_by(v: str, s: str) -> str:
+    """:func:`_falsy` of a small member, with its schema (a column)."""
+    return (
+        f"CASE WHEN {s} IS NULL OR {s} = 'VOID' THEN TRUE WHEN {s} = 'STRING' THEN try_variant_get({v}, '$', 'string') = '' "
+        f"WHEN startswith({s}, 'OBJECT<') THEN {_length(v, 'map')} = 0 WHEN startswith({s}, 'ARRAY<') THEN {_length(v, 'array')} = 0 ELSE to_json({v}) IN ('0', '0.0', 'false') END"
+    )
+
+
 def _issues(conds: list[tuple[str, str]]) -> Column:
-    """An array of the messages whose conditions hold; both are SQL."""
+    """An array with the message of each condition that holds, else null; both are SQL."""
     items = ", ".join(f"CASE WHEN {c} THEN {m} END" for c, m in conds)
-    return F.expr(f"filter(array({items}), m -> m IS NOT NULL)")
+    return F.expr(f"array({items})")
+
+
+def _said(c: str) -> str:
+    """The messages of a settled column of :func:`_issues`. Functions over arrays don't run compiled, so it must not hold the conditions themselves."""
+    return f"filter({c}, m -> m IS NOT NULL)"
 
 
 def _q(s: str) -> str:
@@ -184,39 +210,48 @@ def _q(s: str) -> str:
 def with_hotel_issues(recs: DataFrame) -> DataFrame:
     """Adds errors of the variant column rec. Members and their kinds become columns first, so that conditions stay short."""
     fields = {"placeId": ("str", "string"), "hotelCode": ("str", "string"), "name": ("str", "string"), "rooms": ("list", "list")}
-    facts = recs.select("*", F.expr(_kind("rec")).alias("k_"), *[F.expr(_get("rec", f)).alias(f"v_{f}") for f in fields])
-    facts = facts.select("*", *[F.expr(_kind(f"v_{f}")).alias(f"k_{f}") for f in fields], *[F.expr(_falsy(f"v_{f}")).alias(f"e_{f}") for f in fields])
+    facts = recs.select("*", F.expr(_struct("rec", dict.fromkeys(fields, "variant"))).alias("m_"))
+    facts = facts.select("*", F.expr(f"CASE WHEN m_ IS NOT NULL THEN 'dict' ELSE {_kind('rec')} END").alias("k_"), *[F.expr(f"schema_of_variant(m_.{f})").alias(f"s_{f}") for f in fields if f != "rooms"])
+    facts = facts.select("*", *[F.expr(_kind("m_.rooms") if f == "rooms" else _kind_by(f"s_{f}")).alias(f"k_{f}") for f in fields], *[F.expr(_falsy_by(f"m_.{f}", f"s_{f}")).alias(f"e_{f}") for f in fields if f != "rooms"])
     conds = [("coalesce(k_, 'NoneType') <> 'dict'", "concat('Must be a dict, got ', coalesce(k_, 'NoneType'))")]
     for f in fields:
         conds.append((f"k_ = 'dict' AND k_{f} IS NULL", _q(f"Missing required field: {f}")))
         if f != "rooms":
             conds.append((f"k_ = 'dict' AND k_{f} IS NOT NULL AND e_{f}", _q(f"Empty value for required field: {f}")))
     conds += [(f"k_ = 'dict' AND k_{f} <> '{want}'", f"concat('{f} must be {name}, got ', k_{f})") for f, (want, name) in fields.items()]
-    return settled(facts.select(*recs.columns, _issues(conds).alias("errors")), "errors")
+    found = settled(facts.select(*recs.columns, _issues(conds).alias("errors")), "errors")
+    return settled(found.withColumn("errors", F.expr(_said("errors"))), "errors")
 
 
-def with_room_issues(rooms: DataFrame, p: Provider) -> DataFrame:
-    """Adds warnings of the variant column room, and occupancy_ok: occupancy was reached and has no warning."""
+def _room_messages(rooms: DataFrame, p: Provider) -> DataFrame:
+    """Adds w1 and w2 (messages of the variant column room; of its occupancy) as :func:`_issues` gives them, and reached: occupancy was reached."""
     where = "concat('Hotel #', hotel_ord, ', Room #', room_ord, ': "
     msg = lambda s: where + s.replace("'", "\\'") + "')"
-    first = "try_variant_get(room, '$.providers[0]', 'variant')"
-    facts = rooms.selectExpr("*", f"{_kind('room')} AS k_", f"{_get('room', 'id')} IS NULL AS no_id", f"{_falsy(_get('room', 'name'))} AS e_name", f"{_falsy(_get('room', p.room_code))} AS e_code", f"{_get('room', 'providers')} AS v_prov", f"{first} AS v_first", f"{_get('room', 'occupancies')} AS v_occ")
-    facts = facts.selectExpr("*", f"{_kind('v_prov')} AS k_prov", f"{_kind('v_first')} AS k_first", "coalesce(try_variant_get(v_first, '$.name', 'string'), '') AS first_name", f"{_falsy(_get('v_first', 'code'))} AS e_first", f"{_falsy('v_occ')} AS e_occ", f"{_kind('v_occ')} AS k_occ", *[f"{_get('v_occ', f)} AS o_{f}" for f in p.required])
-    facts = facts.selectExpr("*", *[f"{_kind(f'o_{f}')} AS k_{f}" for f in p.required], *[f"try_variant_get(o_{f}, '$', 'string') AS t_{f}" for f in p.required])
-    facts = facts.selectExpr("*", *[f"CASE WHEN t_{f} RLIKE '^\\\\s*[+-]?[0-9]+\\\\s*$' THEN try_cast(trim(t_{f}) AS BIGINT) END AS n_{f}" for f in p.required], "k_ = 'dict' AND coalesce(k_prov, 'list') = 'list' AS listed", "coalesce(k_ = 'dict' AND k_prov = 'list' AND k_first = 'dict', FALSE) AS reached")
+    facts = rooms.selectExpr("*", f"{_struct('room', dict.fromkeys(('id', 'name', p.room_code, 'providers', 'occupancies'), 'variant'))} AS m_")
+    facts = facts.selectExpr(
+        "*", "m_ IS NOT NULL AS is_dict", "m_.id IS NULL AS no_id", "schema_of_variant(m_.name) AS s_name", f"schema_of_variant(m_.{p.room_code}) AS s_code",
+        "try_variant_get(m_.providers, '$[0]', 'variant') AS v_first", f"{_struct('m_.occupancies', dict.fromkeys(p.required, 'variant'))} AS o_",
+    )
+    facts = facts.selectExpr("*", f"{_struct('v_first', {'name': 'string', 'code': 'variant'})} AS f_", *[f"schema_of_variant(o_.{f}) AS s_{f}" for f in p.required], f"v_first IS NOT NULL OR {_length('m_.providers', 'array')} IS NOT NULL AS is_list")
+    has = " OR ".join(f"s_{f} IS NOT NULL" for f in p.required)
+    number = lambda f: f"CASE WHEN s_{f} = 'BIGINT' THEN try_variant_get(o_.{f}, '$', 'bigint') WHEN s_{f} IS NOT NULL THEN CASE WHEN try_variant_get(o_.{f}, '$', 'string') RLIKE '^\\\\s*[+-]?[0-9]+\\\\s*$' THEN try_cast(trim(try_variant_get(o_.{f}, '$', 'string')) AS BIGINT) END END"
+    facts = facts.selectExpr(
+        "*", "is_dict AND (m_.providers IS NULL OR is_list) AS listed", "is_dict AND is_list AND f_ IS NOT NULL AS reached", f"{_falsy_by('m_.name', 's_name')} AS e_name", f"{_falsy_by(f'm_.{p.room_code}', 's_code')} AS e_code",
+        "schema_of_variant(f_.code) AS s_first", f"CASE WHEN {has} THEN FALSE ELSE {_falsy('m_.occupancies')} END AS e_occ", *[f"{_kind_by(f's_{f}')} AS k_{f}" for f in p.required], *[f"{number(f)} AS n_{f}" for f in p.required],
+    )
     conds = [
-        ("coalesce(k_, 'NoneType') <> 'dict'", msg("Must be a dict")),
-        ("k_ = 'dict' AND no_id", msg("Missing id")),
-        ("k_ = 'dict' AND e_name", msg("Missing or empty name")),
-        ("k_ = 'dict' AND e_code", msg(f"Missing or empty {p.room_code}")),
-        ("k_ = 'dict' AND NOT listed", msg("providers must be a list")),
-        ("listed AND k_first IS NULL", msg("No providers defined")),
-        ("listed AND k_first <> 'dict'", msg("provider must be a dict")),
-        (f"reached AND first_name <> '{p.name}'", msg(f"First provider should be '{p.name}'")),
-        ("reached AND e_first", msg("Missing provider code")),
+        ("NOT is_dict", msg("Must be a dict")),
+        ("is_dict AND no_id", msg("Missing id")),
+        ("is_dict AND e_name", msg("Missing or empty name")),
+        ("is_dict AND e_code", msg(f"Missing or empty {p.room_code}")),
+        ("is_dict AND NOT listed", msg("providers must be a list")),
+        ("listed AND v_first IS NULL", msg("No providers defined")),
+        ("listed AND v_first IS NOT NULL AND f_ IS NULL", msg("provider must be a dict")),
+        (f"reached AND coalesce(f_.name, '') <> '{p.name}'", msg(f"First provider should be '{p.name}'")),
+        (f"reached AND {_falsy_by('f_.code', 's_first')}", msg("Missing provider code")),
     ]
-    occ = [("reached AND e_occ", msg("Missing occupancies data")), ("reached AND NOT e_occ AND k_occ <> 'dict'", msg("occupancies must be a dict"))]
-    checked = "reached AND NOT e_occ AND k_occ = 'dict'"
+    occ = [("reached AND e_occ", msg("Missing occupancies data")), ("reached AND NOT e_occ AND o_ IS NULL", msg("occupancies must be a dict"))]
+    checked = "reached AND NOT e_occ AND o_ IS NOT NULL"
     want, kinds = ("str", "('str')") if p.textual else ("int", "('int', 'bool')")
     for f in p.required:
         occ += [
@@ -228,8 +263,23 @@ def with_room_issues(rooms: DataFrame, p: Provider) -> DataFrame:
             occ.append((f"{checked} AND k_{f} = 'str' AND n_{f} IS NULL", msg(f"occupancy field '{f}' is not a valid integer")))
     for low, high in p.ordered:
         occ.append((f"{checked} AND n_{low} > n_{high}", where + f"{low} (', n_{low}, ') > {high} (', n_{high}, ')')"))
-    facts = facts.select(*rooms.columns, "reached", _issues(conds).alias("w1"), _issues(occ).alias("w2"))
-    return settled(facts.select(*rooms.columns, F.concat("w1", "w2").alias("warnings"), (F.col("reached") & (F.size("w2") == 0)).alias("occupancy_ok")), "warnings", "occupancy_ok")
+    return settled(facts.select(*rooms.columns, "reached", _issues(conds).alias("w1"), _issues(occ).alias("w2")), "reached", "w1", "w2")
+
+
+def with_room_issues(rooms: DataFrame, p: Provider) -> DataFrame:
+    """Adds warnings of the variant column room, and occupancy_ok: occupancy was reached and has no warning."""
+    said = _room_messages(rooms, p).selectExpr(*rooms.columns, f"concat({_said('w1')}, {_said('w2')}) AS warnings", f"reached AND size({_said('w2')}) = 0 AS occupancy_ok")
+    return settled(said, "warnings", "occupancy_ok")
+
+
+def _found_issues(recs: DataFrame, p: Provider) -> DataFrame:
+    """level, hotel_ord, room_ord, message, first of records with errors and valid, from one pass over them: a row per room, and one of each hotel without rooms or with errors."""
+    named = recs.selectExpr("hotel_ord", "errors", "valid", "coalesce(try_variant_get(rec, '$.hotelCode', 'string'), 'UNKNOWN') AS code_", "CASE WHEN valid THEN try_variant_get(rec, '$.rooms', 'variant') END AS rooms_")
+    each = recs.sparkSession.sql("SELECT hotel_ord, errors, valid, code_, CAST(pos AS BIGINT) AS room_ord, value AS room FROM {v}, LATERAL variant_explode_outer(rooms_)", v=named)
+    none = "array(concat('Hotel #', hotel_ord, ' (', code_, '): No rooms defined'))"
+    said = F.expr(f"CASE WHEN room_ord IS NOT NULL THEN concat(w1, w2) WHEN valid THEN {none} ELSE errors END")
+    rows = _room_messages(each, p).select(F.expr("IF(valid, 'warning', 'error')").alias("level"), "hotel_ord", "room_ord", "valid", F.posexplode(said).alias("pos", "message"))
+    return rows.where("message IS NOT NULL").select("level", "hotel_ord", "room_ord", "message", F.expr("NOT valid AND pos = 0").alias("first"))
 
 
 _MEMBERS = ("coalesce(try_variant_get(rec, '$._id.oid', 'string'), '') AS hotel_id", "try_variant_get(rec, '$.placeId', 'string') AS place_id", "try_variant_get(rec, '$.hotelCode', 'string') AS hotel_code", "try_variant_get(rec, '$.name', 'string') AS hotel_name")
@@ -243,13 +293,8 @@ def validated(recs: DataFrame, provider: Provider, strict: bool = False) -> Cata
     names = ", ".join(m.split()[-1] for m in _MEMBERS)
     found = recs.sparkSession.sql(f"SELECT hotel_ord, {names}, CAST(pos AS BIGINT) AS room_ord, value AS room FROM {{v}}, LATERAL variant_explode(try_variant_get(rec, '$.rooms', 'variant'))", v=members)
     rooms = with_room_issues(found.select("hotel_ord", "room_ord", "room", *[m.split()[-1] for m in _MEMBERS]), provider)
-    none = valid.where("try_variant_get(rec, '$.rooms[0]', 'variant') IS NULL").select(
-        F.lit("warning").alias("level"), "hotel_ord", F.lit(None).cast("long").alias("room_ord"), F.expr("concat('Hotel #', hotel_ord, ' (', coalesce(try_variant_get(rec, '$.hotelCode', 'string'), 'UNKNOWN'), '): No rooms defined')").alias("message")
-    )
-    errors = recs.select(F.lit("error").alias("level"), "hotel_ord", F.lit(None).cast("long").alias("room_ord"), F.posexplode("errors").alias("pos", "message"))
-    errors = errors.select("level", "hotel_ord", "room_ord", "message", (F.col("pos") == 0).alias("first"))
-    warnings = none.unionByName(rooms.select(F.lit("warning").alias("level"), "hotel_ord", "room_ord", F.explode("warnings").alias("message")))
-    issues = errors.unionByName(warnings.withColumn("first", F.lit(False)))
+    issues = _found_issues(recs, provider)
+    errors = recs.select(F.explode("errors").alias("message"))
     if strict and errors.limit(1).count():
         raise CatalogError("Validation failed: " + "; ".join(r["message"] for r in errors.limit(5).collect()))
     return Catalog(recs.select("hotel_ord", "rec", "valid"), rooms, found, issues.drop("first"), issues)

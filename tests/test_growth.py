@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from innkeep.functions import text
 from innkeep.operators import learn
-from innkeep.plans import catalog
+from innkeep.plans import catalog, hotel_queries
 
 
 def _plan(df):
@@ -41,3 +41,10 @@ def test_first_places_need_no_sort(spark):
     found = learn.top_tokens(rooms, 10)
     assert [tuple(r) for r in found.orderBy("place").collect()] == [("bbb", 3, 0), ("zzz", 2, 1), ("aaa", 2, 2)]
     assert "SortAggregate" not in _plan(learn._first_seen(rooms, "text", ()))
+
+
+def test_records_are_read_once_for_their_issues(spark):
+    """They were read and parsed for errors, for hotels without rooms and for warnings."""
+    for q in (hotel_queries.validate_records, hotel_queries.validate_textual_records):
+        plan = q(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 2  # orders and lineitem
