@@ -27,13 +27,29 @@ SCAN_PAIRS = 20_000_000_000
 _BUCKETS = 64
 
 
-def normalize_rooms(rooms: DataFrame, with_stems: bool = True) -> DataFrame:
-    """Adds text, tokens, stems, numeric_features, normalized_code and code_prefix to rooms with code, name and description."""
+def _worded(rooms: DataFrame) -> DataFrame:
+    """Adds text and normalized_code to rooms with code, name and description."""
     out = settled(rooms.withColumn("text", text.number_words(F.lower(text.room_text(F.col("name"), F.col("description"))))), "text")
-    out = out.withColumn("tokens", text.kept_tokens(F.col("text")))
+    return out.withColumn("normalized_code", text.trimmed_code(F.col("code")))
+
+
+def _features(df: DataFrame, with_stems: bool) -> DataFrame:
+    """Adds tokens, stems and numeric_features of the column text."""
+    out = df.withColumn("tokens", text.kept_tokens(F.col("text")))
     out = out.withColumn("stems", text.stems("tokens") if with_stems else F.array().cast("array<string>"))
-    out = out.withColumn("numeric_features", text.numeric_features(F.col("text"))).withColumn("normalized_code", text.trimmed_code(F.col("code")))
-    return out.withColumn("code_prefix", text.code_prefix(F.col("normalized_code")))
+    return out.withColumn("numeric_features", text.numeric_features(F.col("text")))
+
+
+def normalize_rooms(rooms: DataFrame, with_stems: bool = True) -> DataFrame:
+    """Adds text, tokens, stems, numeric_features, normalized_code and code_prefix to rooms with code, name and description."""
+    return _features(_worded(rooms), with_stems).withColumn("code_prefix", text.code_prefix(F.col("normalized_code")))
+
+
+def _texts(worded: DataFrame, with_stems: bool, *aggs) -> DataFrame:
+    """Distinct texts with ``aggs`` and their features, which are worked out once a text."""
+    worded = worded if "text" in worded.columns else _worded(worded)
+    each = worded.groupBy("text").agg(*aggs) if aggs else worded.select("text").distinct()
+    return _features(each, with_stems)
 
 
 def _characters(s: str) -> np.ndarray:
@@ -156,9 +172,8 @@ def best_matches(source: DataFrame, target: DataFrame, use_stems: bool = True, u
     Both sides need ord, code, name and description. No target scores above 0: target columns are null. indexed: search by the
     inverted index (its results are written in the shared folder); by default beyond SCAN_PAIRS pairs of texts. Both ways are exact.
     """
-    src, tgt = normalize_rooms(source, use_stems), normalize_rooms(target, use_stems)
-    lists = [F.first(c).alias(c) for c in ("tokens", "stems", "numeric_features")]
-    s, t = src.groupBy("text").agg(*lists), tgt.groupBy("text").agg(F.min("ord").cast("long").alias("t_ord"), *lists)
+    src, tgt = _worded(source), _worded(target)
+    s, t = _texts(src, use_stems), _texts(tgt, use_stems, F.min("ord").cast("long").alias("t_ord"))
     if indexed is None:
         indexed = source.count() * target.count() > SCAN_PAIRS
     found = _searched(s, t, use_stems, use_fuzzy) if indexed else _scored(s, t, use_fuzzy)

@@ -5,7 +5,7 @@ import unicodedata
 from pyspark.sql import functions as F
 
 from innkeep.functions import text
-from innkeep.operators import learn
+from innkeep.operators import fuzzy, learn
 from innkeep.plans import catalog, hotel_queries
 
 
@@ -48,3 +48,12 @@ def test_records_are_read_once_for_their_issues(spark):
     for q in (hotel_queries.validate_records, hotel_queries.validate_textual_records):
         plan = q(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("Relation [") == 2  # orders and lineitem
+
+
+def test_texts_are_taken_apart_once(spark):
+    """Tokens of rooms are worked out once a text, not once a room."""
+    rooms = spark.createDataFrame([(i, "C1", "large ring", "SMALL") for i in range(20)], "ord long, code string, name string, description string")
+    top, below = fuzzy._texts(rooms, False)._jdf.queryExecution().optimizedPlan().toString().split("\n", 1)
+    assert top.startswith("Aggregate") and "split(" in top and "split(" not in below
+    found = fuzzy.best_matches(rooms, rooms.limit(3), use_stems=False, use_fuzzy=False).collect()
+    assert len(found) == 20 and {r["target_ord"] for r in found} == {0}
