@@ -43,7 +43,7 @@ def normalize_unicode(c: Column) -> Column:
     runs = F.array_join(F.regexp_extract_all(c, F.lit(_OTHER), F.lit(0)), "\n")
     plain = _strip_marks(F.when(F.length(c) != F.octet_length(c), runs))
     whole = F.zip_with(F.split(c, _OTHER, -1), F.concat(F.split(plain, "\n", -1), F.array(F.lit(""))), lambda a, b: F.concat(a, b))
-    return F.coalesce(F.array_join(whole, ""), c)
+    return F.when(plain.isNull(), c).otherwise(F.array_join(whole, ""))
 
 
 def normalize_whitespace(c: Column) -> Column:

@@ -210,9 +210,12 @@ def _q(s: str) -> str:
 def with_hotel_issues(recs: DataFrame) -> DataFrame:
     """Adds errors of the variant column rec. Members and their kinds become columns first, so that conditions stay short."""
     fields = {"placeId": ("str", "string"), "hotelCode": ("str", "string"), "name": ("str", "string"), "rooms": ("list", "list")}
-    facts = recs.select("*", F.expr(_struct("rec", dict.fromkeys(fields, "variant"))).alias("m_"))
-    facts = facts.select("*", F.expr(f"CASE WHEN m_ IS NOT NULL THEN 'dict' ELSE {_kind('rec')} END").alias("k_"), *[F.expr(f"schema_of_variant(m_.{f})").alias(f"s_{f}") for f in fields if f != "rooms"])
-    facts = facts.select("*", *[F.expr(_kind("m_.rooms") if f == "rooms" else _kind_by(f"s_{f}")).alias(f"k_{f}") for f in fields], *[F.expr(_falsy_by(f"m_.{f}", f"s_{f}")).alias(f"e_{f}") for f in fields if f != "rooms"])
+    kinds = {f: "array<boolean>" if f == "rooms" else "variant" for f in fields}  # rooms aren't copied: whether they are a list is enough
+    facts = recs.select("*", F.expr(_struct("rec", kinds)).alias("m_"))
+    schema = {f: f"schema_of_variant(m_.{f})" for f in fields} | {"rooms": f"CASE WHEN m_.rooms IS NOT NULL THEN 'ARRAY<' ELSE schema_of_variant({_get('rec', 'rooms')}) END"}
+    facts = facts.select("*", F.expr(f"CASE WHEN m_ IS NOT NULL THEN 'dict' ELSE {_kind('rec')} END").alias("k_"), *[F.expr(schema[f]).alias(f"s_{f}") for f in fields])
+    facts = facts.select(*recs.columns, "k_", *[F.expr(_kind_by(f"s_{f}")).alias(f"k_{f}") for f in fields], *[F.expr(_falsy_by(f"m_.{f}", f"s_{f}")).alias(f"e_{f}") for f in fields if f != "rooms"])
+    facts = settled(facts, *[c for c in facts.columns if c not in recs.columns])  # also cuts the compiled method: the JVM leaves one above 8,000 bytes to its interpreter
     conds = [("coalesce(k_, 'NoneType') <> 'dict'", "concat('Must be a dict, got ', coalesce(k_, 'NoneType'))")]
     for f in fields:
         conds.append((f"k_ = 'dict' AND k_{f} IS NULL", _q(f"Missing required field: {f}")))
@@ -310,9 +313,9 @@ def load_all(spark: SparkSession, hotelbeds: str, axisdata: str, strict: bool =
     return {"hotelbeds": load_catalog(spark, hotelbeds, HOTELBEDS, strict, lines), "axisdata": load_catalog(spark, axisdata, AXISDATA, strict, lines)}
 
 
-def _text(v: str, key: str, absent: str) -> str:
-    """A text member: ``absent`` (SQL) if the key is missing, null if it is null."""
-    return f"CASE WHEN {_get(v, key)} IS NULL THEN {absent} ELSE try_variant_get({v}, '$.{key}', 'string') END"
+def _text(v: str, absent: str) -> str:
+    """A member (variant) as a text: ``absent`` (SQL) if the key is missing, null if it is null."""
+    return f"CASE WHEN {v} IS NULL THEN {absent} ELSE try_variant_get({v}, '$', 'string') END"
 
 
 def _members(cat: Catalog) -> DataFrame:
@@ -330,12 +333,17 @@ def flat_rooms(cat: Catalog, p: Provider, checked: bool = False) -> DataFrame:
 
     ``checked`` adds occupancy_ok: no warning of its occupancy.
     """
-    occ = ", ".join(f"'{f}', try_variant_get(room, '$.occupancies.{f}', '{t}')" for f, t in p.ints.items())
-    has = f"NOT {_falsy(_get('room', 'occupancies'))} AND {_kind(_get('room', 'occupancies'))} = 'dict'"
-    rooms = (cat.rooms if checked else cat.found).selectExpr(
-        "hotel_ord", "hotel_id", "place_id", "hotel_code", "hotel_name", "room_ord", f"{_text('room', 'id', _q(''))} AS room_id", f"{_text('room', p.room_code, _q(''))} AS room_code", f"{_text('room', 'name', _q('Unknown Room'))} AS name",
-        f"{_get('room', 'description')} IS NOT NULL AS has_description", "try_variant_get(room, '$.description', 'string') AS description",
-        f"{_text('room', 'codeDescription', _q(''))} AS code_description", "coalesce(CASE WHEN try_variant_get(room, '$.providers[0].code', 'variant') IS NULL THEN '' END, try_variant_get(room, '$.providers[0].code', 'string')) AS provider_code",
+    # members come from one pass over the room; to follow a path to a missing key is slow
+    members = dict.fromkeys(("id", p.room_code, "name", "description", "codeDescription"), "variant")
+    members |= {"providers": "array<struct<code:variant>>", "occupancies": f"struct<{', '.join(f'`{f}`:{t}' for f, t in p.ints.items())}>"}
+    facts = (cat.rooms if checked else cat.found).selectExpr("*", f"{_struct('room', members)} AS m_")
+    # an object without any member is no occupancy
+    has = f"m_.occupancies IS NOT NULL AND (coalesce({', '.join(f'm_.occupancies.{f}' for f in p.ints)}) IS NOT NULL OR {_length(_get('room', 'occupancies'), 'map')} > 0)"
+    occ = ", ".join(f"'{f}', m_.occupancies.{f}" for f in p.ints)
+    rooms = facts.selectExpr(
+        "hotel_ord", "hotel_id", "place_id", "hotel_code", "hotel_name", "room_ord", f"{_text('m_.id', _q(''))} AS room_id", f"{_text(f'm_.{p.room_code}', _q(''))} AS room_code", f"{_text('m_.name', _q('Unknown Room'))} AS name",
+        "m_.description IS NOT NULL AS has_description", "try_variant_get(m_.description, '$', 'string') AS description",
+        f"{_text('m_.codeDescription', _q(''))} AS code_description", f"{_text('get(m_.providers, 0).code', _q(''))} AS provider_code",
         f"CASE WHEN {has} THEN named_struct({occ}) END AS occupancies", *["occupancy_ok"] * checked,
     )
     return settled(rooms, "occupancies")

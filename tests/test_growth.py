@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from innkeep.functions import text
 from innkeep.operators import fuzzy, learn
 from innkeep.plans import catalog, hotel_queries
+from innkeep.sources import hotels
 
 
 def _plan(df):
@@ -57,3 +58,22 @@ def test_texts_are_taken_apart_once(spark):
     assert top.startswith("Aggregate") and "split(" in top and "split(" not in below
     found = fuzzy.best_matches(rooms, rooms.limit(3), use_stems=False, use_fuzzy=False).collect()
     assert len(found) == 20 and {r["target_ord"] for r in found} == {0}
+
+
+def test_rooms_are_read_in_one_pass(spark):
+    """Paths were followed to each member of a room, also to missing ones, and whole texts of rooms were shuffled."""
+    for q in (hotel_queries.normalized_rooms, hotel_queries.normalized_textual_rooms):
+        plan = _plan(q(spark, "/root/testdata/sf0.001"))
+        assert not any(f"$.{key}, " in plan for key in ("id", "roomCode", "code", "description", "codeDescription", "providers[0].code", "occupancies.minOccupancy", "occupancies.MinOccupancy"))
+        dealt = plan[plan.index("REPARTITION_BY_NUM") :]
+        assert "providers" in plan and "providers" not in dealt
+
+
+def test_missing_members_are_told_from_null(spark):
+    rooms = ["{}", '{"id":null,"roomCode":null,"name":null,"providers":[{"code":null}],"occupancies":{}}', '{"id":7,"roomCode":"c","description":"d","providers":[{"code":"p"}],"occupancies":{"other":1}}', '{"occupancies":{"maxAdults":"3"}}', "[1]"]
+    rec = '{"_id":{"oid":"o"},"placeId":"P","hotelCode":"H","name":"N","rooms":[' + ",".join(rooms) + "]}"
+    recs = spark.createDataFrame([(0, rec)], "hotel_ord long, t string").selectExpr("hotel_ord", "explode(array(parse_json(t))) AS rec")
+    got = hotels.flat_rooms(hotels.validated(recs, hotels.HOTELBEDS), hotels.HOTELBEDS).orderBy("room_ord").collect()
+    assert [(r["room_id"], r["room_code"], r["name"], r["provider_code"]) for r in got] == [("", "", "Unknown Room", ""), (None, None, None, None), ("7", "c", "Unknown Room", "p"), ("", "", "Unknown Room", ""), ("", "", "Unknown Room", "")]
+    assert [r["has_description"] for r in got] == [False, False, True, False, False]
+    assert [r["occupancies"] and tuple(r["occupancies"]) for r in got] == [None, None, (None,) * 5, (None, None, None, 3, None), None]
