@@ -23,12 +23,13 @@ def pair_report(pairs: DataFrame, hb_rooms: DataFrame, ad_rooms: DataFrame, assi
         m = m.join(side[p].select("pair", F.col("ord").alias(f"{p}_ord"), *[F.col(c).alias(f"{name}_{c}" if c != "text" else f"{name}_text") for c in room]), ["pair", f"{p}_ord"])
     cols = [f"{name}_{c}" for _, name in _SIDES for c in room]
     matches = m.groupBy("pair").agg(F.array_sort(F.collect_list(F.struct("hb_ord", F.struct(F.col("sim").alias("similarity_score"), F.col("adjusted").alias("adjusted_score"), *cols).alias("r")))).alias("x"))
-    out = pairs.join(matches.select("pair", F.transform("x", lambda e: e["r"]).alias("room_matches")), "pair", "left")
+    # lists are never broadcast: Spark's estimates count a list as one member
+    out = pairs.join(matches.select("pair", F.transform("x", lambda e: e["r"]).alias("room_matches")).hint("merge"), "pair", "left")
     for p, name in _SIDES:
         u = unmatched.where(F.col("side") == p).join(side[p], ["pair", "ord"])
         u = u.groupBy("pair").agg(F.array_sort(F.collect_list(F.struct("ord", F.struct(*room, "reason").alias("r")))).alias("x")).select("pair", F.transform("x", lambda e: e["r"]).alias(f"unmatched_{name}_rooms"))
         n = side[p].groupBy("pair").agg(F.count("*").alias(f"{name}_total_rooms"))
-        out = out.join(u, "pair", "left").join(n, "pair", "left").fillna(0, [f"{name}_total_rooms"])
+        out = out.join(u.hint("merge"), "pair", "left").join(n, "pair", "left").fillna(0, [f"{name}_total_rooms"])
         out = out.withColumnRenamed(f"{p}_hotel_code", f"{name}_hotel_code").withColumnRenamed(f"{p}_hotel_name", f"{name}_hotel_name")
     return out.withColumn("confidence", F.lit(1.0))
 
@@ -47,7 +48,7 @@ def hotel_mapping(hotel_matches: DataFrame, room_lists: DataFrame) -> DataFrame:
     """
     rooms = F.transform("rooms", lambda r: F.struct(r.alias("room"), F.when(r["matched"], 0.8).otherwise(0.0).alias("confidence")))
     share = F.coalesce(F.try_divide(F.size(F.filter("rooms", lambda r: r["matched"])), F.size("rooms")), F.lit(0.0))
-    return hotel_matches.join(room_lists, "ord", "left").withColumn("confidence", F.coalesce(share, F.lit(0.0))).withColumn("rooms", F.coalesce(rooms, F.array().cast(room_lists.select(rooms.alias("x")).schema["x"].dataType)))
+    return hotel_matches.join(room_lists.hint("merge"), "ord", "left").withColumn("confidence", F.coalesce(share, F.lit(0.0))).withColumn("rooms", F.coalesce(rooms, F.array().cast(room_lists.select(rooms.alias("x")).schema["x"].dataType)))
 
 
 def output_document(mappings: DataFrame, order: str = "ord") -> Document:

@@ -371,7 +371,8 @@ _HOTEL = ["hotel_ord", "hotel_id", "place_id", "hotel_code", "hotel_name", "norm
 def nested_hotels(rooms: DataFrame, hotels: DataFrame) -> DataFrame:
     """Hotels (of ``hotel_members``) with their normalized rooms nested in input order; hotels without rooms stay."""
     nested = rooms.groupBy("hotel_ord").agg(F.transform(F.array_sort(F.collect_list(F.struct("room_ord", F.struct(*_ROOM).alias("r")))), lambda x: x["r"]).alias("rooms"))
-    return hotels.join(nested, "hotel_ord", "left").select(*_HOTEL, F.coalesce("rooms", F.expr("CAST(array() AS array<" + rooms.select(F.struct(*_ROOM).alias("r")).schema["r"].dataType.simpleString() + ">)")).alias("rooms"))
+    # never broadcast: Spark's estimates count a list as one member
+    return hotels.join(nested.hint("merge"), "hotel_ord", "left").select(*_HOTEL, F.coalesce("rooms", F.expr("CAST(array() AS array<" + rooms.select(F.struct(*_ROOM).alias("r")).schema["r"].dataType.simpleString() + ">)")).alias("rooms"))
 
 
 def normalized_hotels(rooms: DataFrame, cat: Catalog, p: Provider) -> DataFrame:

@@ -5,7 +5,7 @@ import unicodedata
 from pyspark.sql import functions as F
 
 from innkeep.functions import text
-from innkeep.operators import fuzzy, learn
+from innkeep.operators import fuzzy, learn, results
 from innkeep.plans import catalog, hotel_queries
 from innkeep.sources import hotels
 
@@ -77,3 +77,13 @@ def test_missing_members_are_told_from_null(spark):
     assert [(r["room_id"], r["room_code"], r["name"], r["provider_code"]) for r in got] == [("", "", "Unknown Room", ""), (None, None, None, None), ("7", "c", "Unknown Room", "p"), ("", "", "Unknown Room", ""), ("", "", "Unknown Room", "")]
     assert [r["has_description"] for r in got] == [False, False, True, False, False]
     assert [r["occupancies"] and tuple(r["occupancies"]) for r in got] == [None, None, (None,) * 5, (None, None, None, 3, None), None]
+
+
+def test_lists_are_never_broadcast(spark):
+    """Spark's estimates count a list as one member, so that the rooms of all hotels went through the driver."""
+    d = "/root/testdata/sf0.001"
+    for q in (hotel_queries.normalized_hotels, hotel_queries.normalized_rooms, hotel_queries.normalized_textual_rooms, hotel_queries.validate_records, hotel_queries.hotel_texts):
+        assert "BroadcastHashJoin" not in _plan(q(spark, d))
+    hotels_ = spark.range(5).withColumnRenamed("id", "ord")
+    lists = hotels_.groupBy("ord").agg(F.collect_list(F.struct((F.col("ord") > 2).alias("matched"))).alias("rooms"))
+    assert "BroadcastHashJoin" not in _plan(results.hotel_mapping(hotels_, lists))
