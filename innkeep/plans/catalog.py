@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from innkeep.functions import occupancy, scoring, text
 from innkeep.functions.scoring import Penalties
-from innkeep.operators import enrich, fuzzy, learn, matching, summary, tiers
-from innkeep.operators.dealt import dealt_join
+from innkeep.operators import dealt, enrich, fuzzy, learn, matching, summary, tiers
 from innkeep.sources.tables import table
 
 T = 0.15
@@ -216,14 +215,21 @@ def word_clusters(spark, d):
 
 #: Keys of a list of parts span less than this, so that no list is longer.
 _KEY_SPAN = 1 << 20
+#: Cells of parts are smaller than others by this.
+_SHARE = 4
 
 
 def jaccard_score(spark, d):
-    """All pairs of parts of a size. A part meets lists of the parts of one name: scores are worked out once a list, not once a pair."""
-    p = table(spark, d, "part").select("p_partkey", "p_size", F.split(F.lower("p_name"), " ").alias("w"))
-    span = F.floor(F.col("p_partkey") / _KEY_SPAN).alias("span")
-    q = p.where("p_partkey is not null").groupBy(F.col("p_size").alias("q_size"), F.col("w").alias("v"), span).agg(F.collect_list("p_partkey").alias("keys"), F.max("p_partkey").alias("last")).drop("span")
-    met = dealt_join(p, q, ("p_size", "q_size"), (F.col("p_partkey"), F.col("keys")), F.col("p_partkey") < F.col("last"))
+    """All pairs of parts of a size. A part meets lists of the parts of one name: scores are worked out once a list, not once a pair.
+
+    The lists that a task goes through again and again are some CELL_ROWS parts, so that their keys stay in the dictionary of a Parquet file.
+    """
+    p = table(spark, d, "part").where("p_partkey is not null").select("p_partkey", "p_size", F.split(F.lower("p_name"), " ").alias("w"))
+    span, most = F.floor(F.col("p_partkey") / _KEY_SPAN).alias("span"), max(1, dealt.CELL_ROWS // _SHARE // 4)
+    whole = p.groupBy("p_size", "w", span).agg(F.sort_array(F.collect_list("p_partkey")).alias("keys"))
+    lists = whole.select("p_size", "w", F.explode(F.transform(F.sequence(F.lit(1), F.size("keys"), F.lit(most)), lambda i: F.slice("keys", i, most))).alias("p_partkey"))
+    q = lists.select(F.col("p_size").alias("q_size"), F.col("w").alias("v"), F.col("p_partkey").alias("keys"), F.element_at("p_partkey", -1).alias("last"))
+    met = dealt.dealt_join(lists, q, ("p_size", "q_size"), (F.col("p_partkey"), F.col("keys")), F.col("p_partkey") < F.col("last"), sizes=(F.size("p_partkey"), F.size("keys")), unfold="p_partkey", share=_SHARE)
     scored = met.select("p_partkey", "keys", F.round(scoring.jaccard(F.col("w"), F.col("v")), 6).alias("jaccard"), F.round(scoring.numeric_match(F.slice("w", 1, 1), F.slice("v", 1, 2)), 6).alias("shared"))
     return scored.select("p_partkey", F.explode("keys").alias("q_partkey"), "jaccard", "shared").where("p_partkey < q_partkey")
 

@@ -52,3 +52,19 @@ def test_scores_of_one_size_are_dealt(spark, tmp_path, monkeypatch):
     assert found == want
     rows = _tasks(got)
     assert rows[0] < sum(rows) / 3  # it was one task
+
+
+def test_a_part_meets_few_others_in_a_row(spark, tmp_path, monkeypatch):
+    """A part met all others of its size in a row, so that keys of large sizes didn't fit the dictionary of a file and were written out."""
+    monkeypatch.setattr(dealt, "CELL_ROWS", 128)
+    names = ["hot bolt", "hot ring", "blue", "old plate"]
+    spark.createDataFrame([(i, names[i * i % 7 % 4], 7) for i in range(300)], "p_partkey long, p_name string, p_size int").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    got = catalog.jaccard_score(spark, str(tmp_path))
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin")[0]
+    rows = [tuple(r) for r in got.select(F.spark_partition_id(), "p_partkey", "q_partkey").collect()]
+    assert sorted(r[1:] for r in rows) == [(i, j) for i in range(300) for j in range(i + 1, 300)]
+    longest, run = 0, 0
+    for x, y in zip([None, *rows], rows):
+        run = run + 1 if x and x[:2] == y[:2] else 1
+        longest = max(longest, run)
+    assert longest < 150  # it was 299
